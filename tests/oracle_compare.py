@@ -24,7 +24,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, repr(round(v, 9)))
+        return (1, repr(v) if os.environ.get("EXACT") else repr(round(v, 9)))
     if hasattr(v, "isoformat"):
         return (1, v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat())
     return (1, repr(v))

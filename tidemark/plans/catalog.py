@@ -589,7 +589,7 @@ dq AS (SELECT *, 'proportion' AS unit, TIMESTAMP '2024-02-01 06:00:00' AS check_
 
 _PAGE_LINKS = r"""
 WITH segs AS (
-  SELECT page_id, s.seg, s.pos - 1 AS section_pos
+  SELECT page_id, s.seg, CAST(s.pos - 1 AS INTEGER) AS section_pos
   FROM pages, UNNEST(list_zip(string_split_regex(html, '<(?:title|h1)>'),
                               range(1, len(string_split_regex(html, '<(?:title|h1)>')) + 1))) AS u(z),
        LATERAL (SELECT z[1] AS seg, z[2] AS pos) s),
@@ -599,7 +599,7 @@ rows AS (
          regexp_extract_all(seg, '<li><a href="([^"]*)">([^<]*)</a></li>', 0) AS items
   FROM segs),
 items AS (
-  SELECT page_id, section_pos, section, it.z[1] AS row, it.z[2] - 1 AS row_pos
+  SELECT page_id, section_pos, section, it.z[1] AS row, CAST(it.z[2] - 1 AS INTEGER) AS row_pos
   FROM rows, UNNEST(list_zip(items, range(1, len(items) + 1))) AS it(z))
 SELECT page_id, section_pos, row_pos,
        CASE WHEN section IS NOT NULL THEN {clean_section} END AS section,
