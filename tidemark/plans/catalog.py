@@ -140,9 +140,9 @@ def q_team_form(spark, d):
 
 
 def q_team_form_split(spark, d):
-    """Same result through the hot-key path (every key treated as hot)."""
+    """Same result with customers above 12 orders routed through the hot-key path."""
     t = Tables(spark, d)
-    return gold.build_team_form(_matches(t), scale=MONEY, split=month_index(F.col("date")), hot_threshold=0)
+    return gold.build_team_form(_matches(t), scale=MONEY, split=month_index(F.col("date")), hot_threshold=12)
 
 
 def _lookback(spark, d, **kw):
@@ -174,7 +174,8 @@ def q_lookback_baseline(spark, d):
 
 
 def q_lookback_split(spark, d):
-    return _lookback(spark, d, hot_threshold=0)
+    """Same result with suppliers above 600 lines routed through the hot-key path."""
+    return _lookback(spark, d, hot_threshold=600)
 
 
 def q_squad_deficit(spark, d):

@@ -236,8 +236,10 @@ def governance_status(value, unit) -> "F.Column":
 
 def build_data_governance_report(dq_metrics: DataFrame) -> DataFrame:
     """V9/Q3: latest snapshot's metrics with a status label."""
-    latest = dq_metrics.select(F.max("snapshot_date")).scalar()
-    return dq_metrics.filter(F.col("snapshot_date") == latest).select(
+    # One-row aggregate joined on equality (a proven one-row broadcast side).
+    latest = dq_metrics.agg(F.max("snapshot_date").alias("_latest"))
+    cur = dq_metrics.join(F.broadcast(latest), F.col("snapshot_date") == F.col("_latest"))
+    return cur.select(
         "table_name",
         "dimension",
         "metric_name",
