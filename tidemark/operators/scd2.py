@@ -93,6 +93,7 @@ def scd2_apply(
     open_end=OPEN_END,
     current_col: str | None = None,
     carried: Sequence[str] = (),
+    check_batch: bool = True,
 ) -> DataFrame:
     """Apply a batch of state events to a history; returns the new history.
 
@@ -102,7 +103,12 @@ def scd2_apply(
     ``current_col``: also emit ``is_current``-style flag under that name.
     Date columns may be DATE, TIMESTAMP or ISO strings; strings come back as
     strings.
+    ``check_batch``: run gate G4 (one event per key and effective date), which
+    also bounds each key's window by its number of distinct dates; pass False
+    when the batch comes from :func:`latest_per_period` (unique by construction).
     """
+    if check_batch:
+        scd2_batch_overlap_gate(batch, list(keys), eff_col)
     attrs = [*tracked, *[c for c in carried if c not in tracked]]
     eff_type = _kind(batch, eff_col)
     as_string = isinstance(eff_type, StringType)
@@ -241,7 +247,7 @@ def process_injury_scd2(target: DataFrame, batch: DataFrame, logical_date) -> Da
     scd2_batch_overlap_gate(batch, ["player_id", "category"], "effective_date")
     tgt = target.drop("is_current") if "is_current" in target.columns else target
     return scd2_apply(
-        tgt, batch, ["player_id", "category"], ["status"], current_col="is_current"
+        tgt, batch, ["player_id", "category"], ["status"], current_col="is_current", check_batch=False
     ).select("player_id", "category", "status", "valid_from", "valid_to", "is_current")
 
 

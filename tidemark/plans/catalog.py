@@ -63,8 +63,8 @@ def status_history(t: Tables) -> DataFrame:
     ev = status_events(t)
     first = ev.filter(F.col("effective_date") < F.lit(SPLIT_DATE))
     second = ev.filter(F.col("effective_date") >= F.lit(SPLIT_DATE))
-    h1 = scd2_apply(None, first, ["player_id"], ["status"])
-    return scd2_apply(h1, second, ["player_id"], ["status"], current_col="is_current")
+    h1 = scd2_apply(None, first, ["player_id"], ["status"], check_batch=False)
+    return scd2_apply(h1, second, ["player_id"], ["status"], current_col="is_current", check_batch=False)
 
 
 def shots(t: Tables) -> DataFrame:

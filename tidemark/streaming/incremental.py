@@ -71,7 +71,9 @@ def start_scd2_stream(
         current = read_latest(spark, history_base)
         if current is not None and "is_current" in current.columns:
             current = current.drop("is_current")
-        new_state = scd2_apply(current, batch, list(keys), list(tracked), current_col="is_current")
+        new_state = scd2_apply(
+            current, batch, list(keys), list(tracked), current_col="is_current", check_batch=False
+        )
         publish_version(new_state, history_base)
 
     writer = (
