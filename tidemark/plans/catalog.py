@@ -27,12 +27,12 @@ from tidemark.operators import dq as dqm
 from tidemark.operators.asof import asof_join, month_index
 from tidemark.operators.dedup import union_keep_existing
 from tidemark.operators.extract import extract_json_fields, extract_page_links
-from tidemark.operators.gates import duplicate_keys, pk_collisions
+from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
 from tidemark.operators.loads import load_silver_teams, upsert_dim_teams
 from tidemark.operators.merge import upsert
 from tidemark.operators.metrics import compute_match_squad_health_deficit, compute_player_injury_summary, player_baselines
-from tidemark.operators.resolve import resolve_player_entities
-from tidemark.operators.scd2 import latest_per_period, scd2_apply
+from tidemark.operators.resolve import resolve_entities, resolve_player_entities
+from tidemark.operators.scd2 import latest_per_period, scd2_apply, upsert_dim_players_scd2
 from tidemark.operators.setops import set_difference, union_by_name
 from tidemark.operators.windows import rolling_avg
 from tidemark.plans import gold
@@ -426,6 +426,54 @@ def q_baselines_match(spark, d):
     return b
 
 
+def q_resolve_warn(spark, d):
+    """R3 policy: keep resolved rows only; the dropped count is observed, not raised."""
+    t = Tables(spark, d)
+    mapping = t.customer.filter(F.col("c_mktsegment") != "BUILDING").select(
+        F.col("c_name").alias("raw_player_name"), F.col("c_custkey").alias("player_id")
+    )
+    out, _report = resolve_entities(_name_feed(t), mapping, "player_name", "raw_player_name", policy="warn")
+    return out
+
+
+def q_dedupe_events(spark, d):
+    """G3 on a clean batch: exact copies collapse, one row per event id."""
+    return dedupe_batch(Tables(spark, d).events, "event_id")
+
+
+SNAPSHOT_1 = _dt.datetime(2024, 1, 1, 6, 0, 0)
+SNAPSHOT_2 = _dt.datetime(2024, 2, 1, 6, 0, 0)
+
+
+def q_dim_players_scd2(spark, d):
+    """Two snapshot feeds of the customer dimension (status = segment, then the
+    priority of the customer's latest order, NULL without orders)."""
+    t = Tables(spark, d)
+    base = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("player_id"),
+        F.col("c_name").alias("player_name"),
+        F.col("n_name").alias("team_name"),
+        F.col("c_mktsegment").alias("injury_status"),
+    )
+    latest = t.orders.groupBy(F.col("o_custkey").alias("player_id")).agg(
+        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("_latest")
+    )
+    snap2 = base.join(latest, "player_id", "left").select(
+        "player_id", "player_name", "team_name", F.col("_latest").alias("injury_status")
+    )
+    v1 = upsert_dim_players_scd2(None, base, SNAPSHOT_1)
+    v2 = upsert_dim_players_scd2(v1, snap2, SNAPSHOT_2)
+    return v2.select(
+        "player_id",
+        "player_name",
+        "team_name",
+        "injury_status",
+        F.col("effective_from").cast("timestamp_ntz").alias("effective_from"),
+        F.col("effective_to").cast("timestamp_ntz").alias("effective_to"),
+        "is_current",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "player_stats": q_player_stats,
     "injury_summary": q_injury_summary,
@@ -440,6 +488,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "point_in_time": q_point_in_time,
     "resolve_ok": q_resolve_ok,
     "resolve_unmatched": q_resolve_unmatched,
+    "resolve_warn": q_resolve_warn,
+    "dedupe_events": q_dedupe_events,
+    "dim_players_scd2": q_dim_players_scd2,
     "merge_scd1": q_merge_scd1,
     "gold_upsert": q_gold_upsert,
     "load_dedup": q_load_dedup,
@@ -655,6 +706,25 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN customer m ON c.
 SELECT o.o_orderkey, o.o_totalprice, c.c_name AS player_name
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 WHERE NOT EXISTS (SELECT 1 FROM customer m WHERE m.c_mktsegment <> 'BUILDING' AND m.c_name = c.c_name)""",
+    "resolve_warn": """
+SELECT o.o_orderkey, o.o_totalprice, m.c_name AS raw_player_name, m.c_custkey AS player_id
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN customer m ON m.c_name = c.c_name AND m.c_mktsegment <> 'BUILDING'""",
+    "dedupe_events": "SELECT DISTINCT * FROM events",
+    "dim_players_scd2": """
+WITH b AS (SELECT c.c_custkey AS player_id, c.c_name AS player_name, n.n_name AS team_name, c.c_mktsegment AS s1
+           FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+lt AS (SELECT o_custkey, o_orderpriority AS s2 FROM (
+         SELECT o_custkey, o_orderpriority,
+                row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+         FROM orders) WHERE rn = 1),
+j AS (SELECT b.*, lt.s2, (b.s1 IS DISTINCT FROM lt.s2) AS changed FROM b LEFT JOIN lt ON b.player_id = lt.o_custkey)
+SELECT player_id, player_name, team_name, s1 AS injury_status, TIMESTAMP '2024-01-01 06:00:00' AS effective_from,
+       CASE WHEN changed THEN TIMESTAMP '2024-02-01 06:00:00' END AS effective_to, NOT changed AS is_current
+FROM j
+UNION ALL
+SELECT player_id, player_name, team_name, s2, TIMESTAMP '2024-02-01 06:00:00', CAST(NULL AS TIMESTAMP), true
+FROM j WHERE changed""",
     "merge_scd1": """
 WITH src AS (
   SELECT c.c_custkey, c.c_name, CAST(CAST(c.c_acctbal AS DECIMAL(18,2)) - o.open_total AS DOUBLE) AS c_acctbal, c.c_mktsegment
