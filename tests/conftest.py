@@ -21,6 +21,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemark-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -53,3 +53,20 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from tidemark.sources.io import save_table
+
+    shots = spark.range(0, 2000).select((F.col("id") % 97).alias("match_id"), (F.col("id") / 1000).alias("xg"))
+    roster = spark.range(0, 500).select((F.col("id") % 97).alias("match_id"), F.col("id").alias("player_id"))
+    save_table(shots, "bk_shots", bucket_by=(8, "match_id"))
+    save_table(roster, "bk_roster", bucket_by=(8, "match_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("bk_shots").join(spark.table("bk_roster"), "match_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert j.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
