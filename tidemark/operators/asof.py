@@ -6,8 +6,9 @@ version of its key — all pairs of a group. Here the join key is widened by a
 calendar bucket (month): each closed version is listed once per month it
 overlaps, each fact once, so a fact is compared only with the versions that
 overlap its month (for day-grain histories at most 32). Open versions (at
-most one per key) join on the key alone; a hot key there is split by AQE's
-skew-join handling. Nothing is broadcast unless the planner proves it small.
+most one per key) are listed up to the latest fact month, so a hot key's
+facts spread over its months in every case. Nothing is broadcast unless the
+planner proves it small.
 """
 
 from __future__ import annotations
@@ -42,31 +43,41 @@ def asof_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     open_end=None,
+    horizon=None,
 ) -> DataFrame:
     """Inner join of each fact with the dimension version valid at ``fact_date``.
 
     ``open_end``: sentinel marking an open version (e.g. 9999-12-31); NULL
-    ``valid_to`` is always open. Output: all fact columns plus the
-    dimension's non-key columns.
+    ``valid_to`` is always open. Open versions are listed up to the
+    ``horizon`` month: the given date, else the latest fact month (a scalar
+    subquery over the fact dates). One equi join on ``(keys, month)``; the
+    facts are shuffled once. Output: all fact columns plus the dimension's
+    non-key columns.
     """
     dcols = [c for c in dim.columns if c not in keys]
-    d = dim.select(*[F.col(k).alias(f"_dk_{k}") for k in keys], *dcols)
+    f = facts.withColumn("_m", month_index(F.col(fact_date)))
+    if horizon is None:
+        last = f.select(F.max("_m")).scalar()
+    else:
+        last = month_index(F.lit(horizon))
     vf, vt = F.col(valid_from), F.col(valid_to)
     is_open = _open(vt, open_end)
-    closed = d.filter(~is_open & (vf < vt)).withColumn("_dm", _months(vf, vt))
-    opened = d.filter(is_open)
-    f = facts.withColumn("_m", month_index(F.col(fact_date)))
+    first_m = month_index(vf)
+    last_m = F.when(is_open, F.greatest(first_m, last)).otherwise(month_index(vt))
+    d = (
+        dim.filter(is_open | (vf < vt))
+        .select(
+            *[F.col(k).alias(f"_dk_{k}") for k in keys],
+            *dcols,
+            is_open.alias("_open"),
+            F.explode(F.sequence(first_m, last_m)).alias("_dm"),
+        )
+    )
     fd = F.col(fact_date)
-
-    key_eq = None
+    cond = (F.col("_m") == F.col("_dm")) & (fd >= vf) & (F.col("_open") | (fd < vt))
     for k in keys:
-        e = f[k] == F.col(f"_dk_{k}")
-        key_eq = e if key_eq is None else key_eq & e
-    in_closed = key_eq & (F.col("_m") == F.col("_dm")) & (fd >= vf) & (fd < vt)
-    hit_closed = f.join(closed, in_closed, "inner")
-    hit_open = f.join(opened, key_eq & (fd >= vf), "inner")
-    out_cols = [*facts.columns, *dcols]
-    return hit_closed.select(*out_cols).unionByName(hit_open.select(*out_cols))
+        cond = cond & (f[k] == F.col(f"_dk_{k}"))
+    return f.join(d, cond, "inner").select(*facts.columns, *dcols)
 
 
 def inside_closed(
