@@ -5,8 +5,8 @@ most keys that is fine; a key holding a third of the table would serialise
 the job. :func:`rolling_avg` and :func:`running_sum` therefore
 
 1. find hot keys with one partially-aggregated ``groupBy(key).count()``
-   (only the key column is read); the hot-key list is bounded by
-   ``max_hot_keys`` before it is collected;
+   (only the key column is read); a bounded count proves the hot-key frame
+   small (at most ``MAX_HOT_KEYS`` rows) before it is broadcast to flag rows;
 2. with no hot key, run the plain built-in window (one shuffle, codegen);
 3. otherwise split each hot key into sub-partitions ``(key, bucket)`` by a
    monotone function of the order column and run the window per
@@ -38,18 +38,38 @@ def _c(c: Column | str) -> Column:
 
 
 def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS):
-    """Keys with more than ``threshold`` rows; ``None`` if there are more than ``limit``."""
-    rows = (
+    """Hot keys as a one-column DataFrame, ``[]`` when there are none, ``None``
+    when there are more than ``limit`` (then every key is split).
+
+    Nothing is collected: a bounded count (at most ``limit + 1`` rows) proves
+    the frame small enough to broadcast.
+    """
+    frame = (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > threshold)
         .select(key)
-        .limit(limit + 1)
-        .collect()
     )
-    if len(rows) > limit:
+    n = frame.limit(limit + 1).count()
+    if n == 0:
+        return []
+    if n > limit:
         return None
-    return [r[0] for r in rows]
+    return frame
+
+
+def _bucketed(df: DataFrame, key: str, split: Column, hot) -> DataFrame:
+    """Add ``_b``: the split bucket for hot keys, one sentinel bucket otherwise."""
+    sentinel = F.lit(-(2**62))
+    if hot is None:
+        return df.withColumn("_b", F.coalesce(split.cast("long"), sentinel))
+    if isinstance(hot, DataFrame):
+        flags = F.broadcast(hot.select(F.col(key).alias("_hk")).withColumn("_hot", F.lit(True)))
+        x = df.join(flags, df[key] == F.col("_hk"), "left").drop("_hk")
+        b = F.when(F.col("_hot"), split.cast("long"))
+        return x.withColumn("_b", F.coalesce(b, sentinel)).drop("_hot")
+    b = F.when(F.col(key).isin(list(hot)), split.cast("long"))
+    return df.withColumn("_b", F.coalesce(b, sentinel))
 
 
 def _frame_value(v: Column, scale: int | None):
@@ -76,16 +96,15 @@ def rolling_avg(
     ``scale``: sum as DECIMAL with that many decimals (exact, rerun-stable).
     ``split``: monotone (non-decreasing in ``order``) bucket expression used
     for hot keys, e.g. the month of a date or ``floor(id / 65536)``.
-    ``hot``: known hot keys (skips detection).
+    ``hot``: known hot keys — a list or a one-column DataFrame (skips detection).
     """
     if not (lo < 0 and hi <= 0 and lo <= hi):
         raise ValueError("look-back frames only: lo < 0, lo <= hi <= 0")
     if split is not None and hot is None:
         hot = hot_keys(df, key, hot_threshold)
-    if split is None or hot == []:
+    if split is None or (isinstance(hot, list) and not hot):
         return _plain_rolling(df, key, order, value, lo, hi, out, scale)
-    bucket = split if hot is None else F.when(F.col(key).isin(list(hot)), split)
-    return _split_rolling(df, key, order, value, lo, hi, out, scale, bucket)
+    return _split_rolling(_bucketed(df, key, split, hot), df.columns, key, order, value, lo, hi, out, scale)
 
 
 def _avg_from(total: Column, n: Column) -> Column:
@@ -98,11 +117,9 @@ def _plain_rolling(df, key, order, value, lo, hi, out, scale):
     return df.withColumn(out, _avg_from(F.sum(v).over(w), F.count(v).over(w)))
 
 
-def _split_rolling(df, key, order, value, lo, hi, out, scale, bucket):
+def _split_rolling(x, cols, key, order, value, lo, hi, out, scale):
     depth = -lo  # rows of look-back needed at a bucket edge
-    cols = df.columns
     v = _frame_value(F.col(value), scale)
-    x = df.withColumn("_b", F.coalesce(bucket.cast("long"), F.lit(-(2**62))))
     part = Window.partitionBy(key, "_b")
     wo = part.orderBy(*[_c(o) for o in order])
     x = (
@@ -170,11 +187,10 @@ def running_sum(
         hot = hot_keys(df, key, hot_threshold)
     w = Window.partitionBy(key).orderBy(*[_c(o) for o in order])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if split is None or hot == []:
+    if split is None or (isinstance(hot, list) and not hot):
         return df.withColumn(out, F.sum(value).over(run))
-    bucket = split if hot is None else F.when(F.col(key).isin(list(hot)), split)
     cols = df.columns
-    x = df.withColumn("_b", F.coalesce(bucket.cast("long"), F.lit(-(2**62))))
+    x = _bucketed(df, key, split, hot)
     wo = Window.partitionBy(key, "_b").orderBy(*[_c(o) for o in order])
     x = x.withColumn("_local", F.sum(value).over(wo.rowsBetween(Window.unboundedPreceding, 0)))
     totals = x.groupBy(key, "_b").agg(F.sum(value).alias("_tot"))
