@@ -168,3 +168,23 @@ def test_latest_per_period_picks_last_event_of_day(spark):
     )
     out = rows(latest_per_period(ev, ["player_id"], "ts", ["status"], tiebreak=["event_id"]))
     assert out == [(1, "c", dt.date(2024, 1, 1))]
+
+
+def test_apply_many_with_checkpoints_equals_one_shot(spark):
+    rnd = random.Random(11)
+    base = dt.date(2024, 1, 1)
+    ev = {}
+    for _ in range(150):
+        ev[(rnd.randrange(5), rnd.randrange(30))] = rnd.choice("AB")
+    events = [(k, s, base + dt.timedelta(days=day)) for (k, day), s in ev.items()]
+    df = spark.createDataFrame(events, "player_id INT, status STRING, effective_date DATE")
+    days = sorted({e[2] for e in events})
+    batches = [df.filter(F.col("effective_date") == F.lit(day)) for day in days]
+    from tidemark.operators.scd2 import scd2_apply_many
+
+    out = scd2_apply_many(
+        None, batches, checkpoint_every=2, keys=["player_id"], tracked=["status"], current_col="is_current",
+        check_batch=False,
+    )
+    got = rows(out, "player_id", "status", "valid_from", "valid_to")
+    assert got == _model(events)

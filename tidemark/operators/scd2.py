@@ -185,6 +185,35 @@ def scd2_apply(
     return u.select(*cols)
 
 
+def scd2_apply_many(
+    history: DataFrame | None,
+    batches,
+    checkpoint_every: int = 2,
+    **kwargs,
+) -> DataFrame:
+    """Apply a sequence of batches in order (e.g. a multi-day backfill).
+
+    Each apply reads the previous history twice (bypass and affected rows),
+    so an unmaterialised chain doubles its plan per batch. Every
+    ``checkpoint_every`` batches the history is therefore written to the
+    shared checkpoint folder (``spark.checkpoint.dir``) with a reliable
+    ``checkpoint()``: the plan stays short and a lost executor recomputes
+    only from the last checkpoint.
+    """
+    if checkpoint_every < 1 or checkpoint_every > 4:
+        raise ValueError("checkpoint_every must be between 1 and 4")
+    from tidemark.session import cut_lineage
+
+    state = history
+    for i, batch in enumerate(batches, start=1):
+        if state is not None and kwargs.get("current_col") and kwargs["current_col"] in state.columns:
+            state = state.drop(kwargs["current_col"])
+        state = scd2_apply(state, batch, **kwargs)
+        if checkpoint_every and i % checkpoint_every == 0:
+            state = cut_lineage(state)
+    return state
+
+
 def scd2_rebuild(events: DataFrame, **kwargs) -> DataFrame:
     """Order-independent rebuild: the whole event log applied to an empty history."""
     return scd2_apply(None, events, **kwargs)

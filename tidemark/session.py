@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,14 +69,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder and return it.
+def cut_lineage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and read it back.
 
-    Reliable checkpoints survive executor loss, unlike local checkpoints or
-    caching, so iterative loops (many SCD2 batches) keep a short plan.
+    The data is written under ``spark.checkpoint.dir`` (shared storage on a
+    cluster), so it survives executor loss, and the returned DataFrame is a
+    plain file scan: its plan, statistics and constraints start afresh. (A
+    ``Dataset.checkpoint()`` keeps the original plan's constraint set, which
+    in a loop of window-heavy plans keeps growing.)
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tidemark-{uuid.uuid4().hex}"
+    df.write.format(fmt).mode("errorifexists").save(path)
+    return spark.read.format(fmt).load(path)
 
 
 def scratch_dir(prefix: str = "run-") -> str:
