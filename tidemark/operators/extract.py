@@ -198,9 +198,10 @@ def extract_id_title(
     """X5 + X6: uniform ``(id INT, title STRING)`` rows of one dataset.
 
     Accepts the dataset as a map or a list; rosters and shots are flattened
-    over the h then a sides. Gates: root key absent -> SourceDataMissingError;
-    empty dataset -> ValueError; id or label missing -> ValueError; id not an
-    integer -> TypeError.
+    over the h then a sides. Gates, checked together in one aggregation
+    pass and raised in this order: root key absent -> SourceDataMissingError;
+    empty dataset -> ValueError; id or label missing -> ValueError; id not
+    an integer -> TypeError.
     """
     if dataset not in ID_TITLE_FIELDS:
         raise ValueError(f"unknown dataset {dataset!r}")
@@ -208,11 +209,6 @@ def extract_id_title(
     root = F.get_json_object(F.col(body), f"$.{dataset}")
     keys = F.json_object_keys(F.col(body))
     x = payloads.select(key, root.alias("_root"), keys.alias("_keys"))
-    _raise_if(
-        x,
-        ~F.coalesce(F.array_contains("_keys", dataset), F.lit(False)),
-        SourceDataMissingError(f"Missing root key envelope: '{dataset}'"),
-    )
     if dataset in ("rosters", "shots"):
         sides = F.array(*[F.get_json_object("_root", f"$.{s}") for s in SIDES])
         per_side = F.transform(sides, lambda s: F.coalesce(_elements(s), F.array().cast("array<string>")))
@@ -220,25 +216,35 @@ def extract_id_title(
         elems = F.when(F.size(flat) > 0, flat).otherwise(_elements(F.col("_root")))
     else:
         elems = _elements(F.col("_root"))
-    y = x.select(key, elems.alias("_e"))
-    _raise_if(
-        y, F.coalesce(F.size("_e"), F.lit(0)) <= 0, ValueError(f"Empty record payload for: '{dataset}'")
-    )
-    rows = y.select(key, F.explode("_e").alias("_r"))
-    ident = F.get_json_object("_r", f"$.{id_f}")
-    label = F.get_json_object("_r", f"$.{label_f}")
-    z = rows.select(key, ident.alias("_id"), label.alias("_title"))
-    _raise_if(
-        z,
-        F.col("_id").isNull() | F.col("_title").isNull(),
-        ValueError(f"Row item missing critical attributes inside '{dataset}'"),
+    y = x.select(
+        key,
+        F.coalesce(F.array_contains("_keys", dataset), F.lit(False)).alias("_has_root"),
+        elems.alias("_e"),
     )
-    _raise_if(
-        z,
-        F.col("_id").try_cast("int").isNull(),
-        TypeError(f"Invalid schema data type detected inside '{dataset}' row"),
+    rows = y.select(key, "_has_root", F.size("_e").alias("_n"), F.explode_outer("_e").alias("_r"))
+    z = rows.select(
+        key,
+        "_has_root",
+        "_n",
+        F.get_json_object("_r", f"$.{id_f}").alias("_id"),
+        F.get_json_object("_r", f"$.{label_f}").alias("_title"),
     )
-    return z.select(key, F.col("_id").cast("int").alias("id"), F.col("_title").alias("title"))
+    has_row = F.col("_n") > 0
+    check = z.agg(
+        F.count_if(~F.col("_has_root")).alias("no_root"),
+        F.count_if(F.col("_has_root") & ~F.coalesce(has_row, F.lit(False))).alias("empty"),
+        F.count_if(has_row & (F.col("_id").isNull() | F.col("_title").isNull())).alias("missing"),
+        F.count_if(has_row & F.col("_id").isNotNull() & F.col("_id").try_cast("int").isNull()).alias("badtype"),
+    ).first()
+    if check["no_root"]:
+        raise SourceDataMissingError(f"Missing root key envelope: '{dataset}'")
+    if check["empty"]:
+        raise ValueError(f"Empty record payload for: '{dataset}'")
+    if check["missing"]:
+        raise ValueError(f"Row item missing critical attributes inside '{dataset}'")
+    if check["badtype"]:
+        raise TypeError(f"Invalid schema data type detected inside '{dataset}' row")
+    return z.filter(has_row).select(key, F.col("_id").cast("int").alias("id"), F.col("_title").alias("title"))
 
 
 def active_matches(dates: DataFrame, run_date, datetime_col: str = "datetime", result_col: str = "isResult") -> DataFrame:

@@ -19,16 +19,16 @@ from tidemark.operators.dedup import union_keep_existing
 from tidemark.operators.merge import merge_update
 from tidemark.sources.io import write_partitioned
 
-# Number of md5-prefix buckets used to number new keys in parallel.
-ID_BUCKET_HEX = 2  # 256 buckets
+# Hex digits of the md5 prefix used to number new keys in parallel (4096 buckets).
+ID_BUCKET_HEX = 3
 
 
 def assign_ids(new_keys: DataFrame, key: str, id_col: str, start: int) -> DataFrame:
     """number distinct new keys ``start+1, start+2, ...`` in ``md5(key), key`` order.
 
-    Rows are numbered inside 256 md5-prefix buckets in parallel; each
-    bucket's offset is a prefix sum over the 256 bucket sizes (a fixed,
-    tiny table that is broadcast). The result equals
+    Rows are numbered inside 4096 md5-prefix buckets in parallel; each
+    bucket's offset is a prefix sum over at most 4096 bucket sizes (a
+    fixed, tiny table that is broadcast). The result equals
     ``start + row_number() OVER (ORDER BY md5(key), key)``.
     """
     h = F.md5(F.col(key).cast("string"))
