@@ -87,3 +87,11 @@ def test_keep_first_is_deterministic_and_existing_wins(spark):
     assert rows(union_keep_existing(old, new, ["shot_id"])) == [(1, "old"), (2, "a")]
     df = spark.createDataFrame([(1, 3, "x"), (1, 1, "y"), (1, 1, "a")], "k INT, o INT, v STRING")
     assert rows(keep_first(df, ["k"], [F.col("o")])) == [(1, 1, "a")]
+
+
+def test_unique_existing_fast_path_agrees(spark):
+    old = spark.createDataFrame([(1, "old"), (3, "c")], "shot_id INT, v STRING")
+    new = spark.createDataFrame([(1, "new"), (2, "b"), (2, "a"), (4, None)], "shot_id INT, v STRING")
+    slow = union_keep_existing(old, new, ["shot_id"])
+    fast = union_keep_existing(old, new, ["shot_id"], existing_unique=True)
+    assert rows(fast) == rows(slow) == [(1, "old"), (2, "a"), (3, "c"), (4, None)]

@@ -42,12 +42,22 @@ def union_keep_existing(
     incoming: DataFrame,
     keys: Sequence[str],
     tiebreak: Sequence[Column | str] = (),
+    existing_unique: bool = False,
 ) -> DataFrame:
     """O5 + A8: union by name (missing columns NULL) and keep one row per key.
 
     A row already in ``existing`` beats any incoming row for the same key;
     within one side the smallest ``tiebreak`` tuple (then full row) wins.
+
+    ``existing_unique=True`` (the state a previous load produced is unique
+    by construction): only the incoming side is deduplicated and anti-joined
+    on the key, so the existing table's rows are never aggregated — only its
+    key column is shuffled for the anti join.
     """
+    if existing_unique:
+        fresh = keep_first(incoming, keys, tiebreak)
+        fresh = fresh.join(existing.select(*keys), list(keys), "left_anti")
+        return existing.unionByName(fresh, allowMissingColumns=True)
     both = existing.withColumn("_src", F.lit(0)).unionByName(
         incoming.withColumn("_src", F.lit(1)), allowMissingColumns=True
     )

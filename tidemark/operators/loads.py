@@ -66,7 +66,9 @@ def load_silver_players(initial: DataFrame, batch: DataFrame) -> DataFrame:
     return load_new_members(initial, batch, "raw_name", "player_id")
 
 
-def load_silver_matches(initial: DataFrame, batch: DataFrame, teams: DataFrame | None = None) -> DataFrame:
+def load_silver_matches(
+    initial: DataFrame, batch: DataFrame, teams: DataFrame | None = None, initial_unique: bool = False
+) -> DataFrame:
     """L1 + F15: a batch carrying team *names* is aligned to ids through the
     team dimension (``raw_name -> team_id``), then deduplicated by match_id."""
     if "home_team" in batch.columns:
@@ -76,17 +78,23 @@ def load_silver_matches(initial: DataFrame, batch: DataFrame, teams: DataFrame |
         home = t.select(F.col("raw_name").alias("home_team"), F.col("team_id").alias("home_id"))
         away = t.select(F.col("raw_name").alias("away_team"), F.col("team_id").alias("away_id"))
         batch = batch.join(home, "home_team", "left").join(away, "away_team", "left").drop("home_team", "away_team")
-    return union_keep_existing(initial, batch, ["match_id"])
+    return union_keep_existing(initial, batch, ["match_id"], existing_unique=initial_unique)
+
 
+def load_silver_shots(initial: DataFrame, batch: DataFrame, initial_unique: bool = False) -> DataFrame:
+    """L3: shots deduplicated by ``shot_id``.
 
-def load_silver_shots(initial: DataFrame, batch: DataFrame) -> DataFrame:
-    """L3: shots deduplicated by ``shot_id``."""
-    return union_keep_existing(initial, batch, ["shot_id"])
+    ``initial_unique``: the table was produced by this load (unique by
+    construction), so only the batch is deduplicated and anti-joined.
+    """
+    return union_keep_existing(initial, batch, ["shot_id"], existing_unique=initial_unique)
 
 
-def load_silver_rosters(initial: DataFrame, batch: DataFrame) -> DataFrame:
+def load_silver_rosters(initial: DataFrame, batch: DataFrame, initial_unique: bool = False) -> DataFrame:
     """L4: rosters deduplicated by (team_id, player_id, season)."""
-    return union_keep_existing(initial, batch, ["team_id", "player_id", "season"])
+    return union_keep_existing(
+        initial, batch, ["team_id", "player_id", "season"], existing_unique=initial_unique
+    )
 
 
 def upsert_dim_teams(

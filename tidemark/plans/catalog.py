@@ -25,7 +25,7 @@ from tidemark.functions.exprs import hash_key
 from tidemark.functions.text import WHITESPACE_CLASS_RE2, clean_whitespace
 from tidemark.operators import dq as dqm
 from tidemark.operators.asof import asof_join, month_index
-from tidemark.operators.dedup import union_keep_existing
+from tidemark.operators.dedup import keep_first, union_keep_existing
 from tidemark.operators.extract import extract_json_fields, extract_page_links
 from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
 from tidemark.operators.loads import load_silver_teams, upsert_dim_teams
@@ -278,6 +278,17 @@ def q_load_dedup(spark, d):
     )
 
 
+def q_load_incremental(spark, d):
+    """Same state as ``load_dedup`` built as two loads: the first batch
+    deduplicated into a (unique) state, the second appended through the
+    fast path that never re-aggregates the existing rows."""
+    t = Tables(spark, d)
+    li = t.lineitem
+    keys = ["l_orderkey", "l_linenumber"]
+    state = keep_first(li.filter(F.col("l_linestatus") == "F"), keys)
+    return union_keep_existing(state, li.filter(F.col("l_linestatus") == "O"), keys, existing_unique=True)
+
+
 def q_pk_violations(spark, d):
     return duplicate_keys(Tables(spark, d).lineitem, ["l_orderkey", "l_linenumber"])
 
@@ -494,6 +505,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_scd1": q_merge_scd1,
     "gold_upsert": q_gold_upsert,
     "load_dedup": q_load_dedup,
+    "load_incremental": q_load_incremental,
     "load_ids": q_load_ids,
     "pk_violations": q_pk_violations,
     "batch_collisions": q_batch_collisions,
@@ -800,3 +812,6 @@ SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_acctbal AS ba
 UNION ALL BY NAME
 SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance FROM supplier""",
 }
+
+# The incremental load must reach the same state as the one-shot dedup.
+ORACLE_SQL["load_incremental"] = ORACLE_SQL["load_dedup"]
