@@ -5,10 +5,11 @@ A merge is computed as a new table state from (target, source); the sink
 so the job never reads and overwrites the same files.
 
 * full replace (``INSERT OR REPLACE`` / ``MERGE ... UPDATE SET *``):
-  ``target LEFT ANTI source  UNION  source`` — one shuffle of each side on
-  the key, no per-row branching;
-* column-subset / conditional update: one full outer join with a
-  source-present flag and null-safe change detection (trap T6).
+  ``target LEFT ANTI source-keys  UNION  source`` — a small source is the
+  broadcast build side, so the target is read once and not shuffled;
+* column-subset / conditional update: a left join of the target with the
+  (broadcastable) source plus a key-only anti join for inserts, with
+  null-safe change detection (trap T6).
 
 Source keys are gated unique first (trap T10): a merge source with two rows
 per key has no defined result.
@@ -53,39 +54,38 @@ def merge_update(
     ``only_if_changed`` names the columns whose null-safe difference makes
     a matched row eligible for update; columns not in ``update_cols`` keep
     the target value.
+
+    Plan: ``target LEFT JOIN source`` applies the updates (a small source is
+    the broadcast build side, the target is not shuffled), and inserts are
+    ``source LEFT ANTI target`` over the target's key columns only — never
+    a full outer join that would shuffle every target row.
     """
     if check_source_unique:
         validate_composite_keys(source, keys)
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
     cond = None
     for k in keys:
-        e = F.col(f"t_{k}") == F.col(f"s_{k}")
+        e = target[k] == F.col(f"s_{k}")
         cond = e if cond is None else cond & e
-    j = t.join(s, cond, "full_outer")
-    matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
+    j = target.join(s, cond, "left")
+    matched = F.col("_s").isNotNull()
     if only_if_changed:
         changed = None
         for c in only_if_changed:
-            d = ~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}"))
+            d = ~target[c].eqNullSafe(F.col(f"s_{c}"))
             changed = d if changed is None else changed | d
         do_update = matched & changed
     else:
         do_update = matched
-    out_cols = []
+    cols = []
     for c in target.columns:
-        if c in keys:
-            out_cols.append(F.coalesce(F.col(f"t_{c}"), F.col(f"s_{c}")).alias(c))
-        elif c in update_cols and c in source.columns:
-            src_only = F.col("_t").isNull()
-            out_cols.append(
-                F.when(do_update | src_only, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
-            )
-        elif c in source.columns:
-            out_cols.append(
-                F.when(F.col("_t").isNull(), F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
-            )
+        if c in update_cols and c in source.columns and c not in keys:
+            cols.append(F.when(do_update, F.col(f"s_{c}")).otherwise(target[c]).alias(c))
         else:
-            out_cols.append(F.col(f"t_{c}").alias(c))
-    keep = F.col("_t").isNotNull() | (F.lit(insert) & F.col("_s").isNotNull())
-    return j.filter(keep).select(*out_cols)
+            cols.append(target[c].alias(c))
+    updated = j.select(*cols)
+    if not insert:
+        return updated
+    new_rows = source.join(target.select(*keys), list(keys), "left_anti")
+    fill = [F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    return updated.unionByName(new_rows.select(*fill))
