@@ -73,9 +73,9 @@ def test_id_title_map_or_list_and_gates(spark):
     assert rows(extract_id_title(payloads(spark, shots), "shots"), "id", "title") == [(5, "A"), (6, "B")]
     with pytest.raises(SourceDataMissingError):
         extract_id_title(payloads(spark, {"teams": {}}), "players")
-    with pytest.raises(ValueError, match="Empty"):
+    with pytest.raises(ValueError, match="empty"):
         extract_id_title(payloads(spark, {"players": []}), "players")
-    with pytest.raises(ValueError, match="missing"):
+    with pytest.raises(ValueError, match="lacks"):
         extract_id_title(payloads(spark, {"players": [{"id": "1"}]}), "players")
     with pytest.raises(TypeError):
         extract_id_title(payloads(spark, {"players": [{"id": "x", "player_name": "A"}]}), "players")

@@ -45,3 +45,13 @@ class DataQualityError(WarehouseError, ValueError):
 
 class ContractViolationError(WarehouseError, ValueError):
     """A DataFrame does not match its registered schema contract."""
+
+
+# Message fragments that callers match on.
+MSG_UNRESOLVED = "Unresolved entity detected"
+MSG_PK_COLLISION = "PK Collision"
+MSG_GRID_MISSING = "Injury table not found"
+MSG_DUP_PLAYER = "Duplicate player detected"
+MSG_MATCH_INFO_MISSING = "match_info script tag not found"
+MSG_DUP_SHOT = "Duplicate shot ID"
+MSG_DUP_ROSTER = "Duplicate roster ID"

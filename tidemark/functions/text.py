@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The whitespace set of Python's ``str.isspace`` (which the
-# reference's ``re.sub(r"\s+", ...)`` and ``str.strip`` use), written as a
+# original cleaner's ``re.sub(r"\s+", ...)`` and ``str.strip`` use), written as a
 # Java-regex character class. Java's plain ``\s`` misses U+00A0 and friends.
 WHITESPACE_CLASS = (
     "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"

@@ -14,7 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.errors import IntraBatchDuplicateError, SelectorNotFoundError, SourceDataMissingError
+from tidemark.errors import (
+    MSG_DUP_PLAYER,
+    MSG_DUP_ROSTER,
+    MSG_DUP_SHOT,
+    MSG_GRID_MISSING,
+    MSG_MATCH_INFO_MISSING,
+    IntraBatchDuplicateError,
+    SelectorNotFoundError,
+    SourceDataMissingError,
+)
 from tidemark.functions.text import clean_injury_text, decode_entities, html_text, strip_html_tags
 
 # League player fields -> output name and type, in output order.
@@ -109,8 +118,8 @@ def _sides(payloads: DataFrame, body: str, key: str, root: str, entry_schema: st
 def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
     """Both sides' roster maps, home first.
 
-    ``roster_id`` is the map key (what the reference calls player_id, trap
-    T22) and ``player_id`` the id inside the entry. ``is_start`` is true
+    ``roster_id`` is the map key (emitted as player_id by the original
+    parser, trap T22) and ``player_id`` the id inside the entry. ``is_start`` is true
     unless the position is 'Sub' (an absent position counts as a start). A
     roster id on both sides of one match raises ``IntraBatchDuplicateError``.
     """
@@ -118,7 +127,7 @@ def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload
     rows = sides.select(key, "_side_pos", F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("roster_id", "e"))
     dup = rows.groupBy(key, "roster_id").count().filter("count > 1").limit(1).collect()
     if dup:
-        raise IntraBatchDuplicateError(f"Duplicate roster ID: {dup[0]['roster_id']}")
+        raise IntraBatchDuplicateError(f"{MSG_DUP_ROSTER}: {dup[0]['roster_id']}")
     return rows.select(
         key,
         "roster_id",
@@ -137,7 +146,7 @@ def extract_shots(payloads: DataFrame, body: str = "body", key: str = "payload_i
     rows = sides.select(key, F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("e"))
     dup = rows.groupBy(key, F.col("e.id").alias("id")).count().filter("count > 1").limit(1).collect()
     if dup:
-        raise IntraBatchDuplicateError(f"Duplicate shot ID: {dup[0]['id']}")
+        raise IntraBatchDuplicateError(f"{MSG_DUP_SHOT}: {dup[0]['id']}")
     return rows.select(
         key,
         F.col("e.id").alias("id"),
@@ -163,7 +172,7 @@ def extract_match_info(pages: DataFrame, html: str = "html", key: str = "payload
     """
     raw = F.regexp_extract(F.col(html), MATCH_INFO_PATTERN, 1)
     x = pages.select(key, raw.alias("_raw"))
-    _raise_if(x, F.col("_raw") == "", SourceDataMissingError("match_info script tag not found in HTML."))
+    _raise_if(x, F.col("_raw") == "", SourceDataMissingError(f"{MSG_MATCH_INFO_MISSING} in page"))
     unescaped = F.regexp_replace("_raw", "\\\\x([0-9A-Fa-f]{2})", "\\\\u00$1")
     decoded = F.get_json_object(F.concat(F.lit('{"v":"'), unescaped, F.lit('"}')), "$.v")
     info = F.from_json(
@@ -237,13 +246,13 @@ def extract_id_title(
         F.count_if(has_row & F.col("_id").isNotNull() & F.col("_id").try_cast("int").isNull()).alias("badtype"),
     ).first()
     if check["no_root"]:
-        raise SourceDataMissingError(f"Missing root key envelope: '{dataset}'")
+        raise SourceDataMissingError(f"Payload has no '{dataset}' key")
     if check["empty"]:
-        raise ValueError(f"Empty record payload for: '{dataset}'")
+        raise ValueError(f"Dataset '{dataset}' is empty")
     if check["missing"]:
-        raise ValueError(f"Row item missing critical attributes inside '{dataset}'")
+        raise ValueError(f"A '{dataset}' record lacks its id or label field")
     if check["badtype"]:
-        raise TypeError(f"Invalid schema data type detected inside '{dataset}' row")
+        raise TypeError(f"A '{dataset}' id is not an integer")
     return z.filter(has_row).select(key, F.col("_id").cast("int").alias("id"), F.col("_title").alias("title"))
 
 
@@ -296,7 +305,7 @@ TRACK_ID = "<a[^>]*class=\"[^\"]*track[^\"]*\"[^>]*data-id=\"([^\"]*)\""
 
 def _grid_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     x = pages.select(key, F.col(html).alias("_html"))
-    _raise_if(x, ~F.col("_html").rlike(GRID_TABLE), SelectorNotFoundError("Injury table not found in HTML."))
+    _raise_if(x, ~F.col("_html").rlike(GRID_TABLE), SelectorNotFoundError(f"{MSG_GRID_MISSING} in page"))
     rows = carry_down_rows(x, key, "_html", GRID_HEADING, GRID_TEAM, GRID_ROW)
     return rows.withColumn("_cells", F.regexp_extract_all("row", F.lit(GRID_CELL), 1))
 
@@ -322,7 +331,7 @@ def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "
     )
     dup = out.groupBy(key, "player_name").count().filter("count > 1").limit(1).collect()
     if dup:
-        raise IntraBatchDuplicateError(f"Duplicate player detected: {dup[0]['player_name']}")
+        raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {dup[0]['player_name']}")
     return out
 
 
@@ -343,7 +352,7 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
     _raise_if(
         rows.groupBy(key).count().join(pages.select(key), key, "right").fillna(0, ["count"]),
         F.col("count") == 0,
-        ValueError("Empty dataset: No active injury rows parsed from HTML grid"),
+        ValueError("Page has no injury rows"),
     )
     rows = rows.filter(F.size("_cells") >= 7)
     rid = F.regexp_extract(F.col("_cells")[6], TRACK_ID, 1)
@@ -351,11 +360,11 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
     x = rows.select(key, "section_pos", "row_pos", rid.alias("_id"), status.alias("_status")).filter(
         F.col("_id") != ""
     )
-    _raise_if(x, F.col("_status") == "", ValueError("Row item missing critical inner attributes"))
+    _raise_if(x, F.col("_status") == "", ValueError("Injury row without a status"))
     _raise_if(
         x,
         F.trim("_id").try_cast("int").isNull(),
-        TypeError("Mismatched data types discovered during DOM data conversion"),
+        TypeError("Injury row id is not an integer"),
     )
     return x.select(key, F.trim("_id").cast("int").alias("id"), F.col("_status").alias("title"))
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.errors import FutureDateError, IntraBatchDuplicateError, SCD2TimelineException
+from tidemark.errors import MSG_PK_COLLISION, FutureDateError, IntraBatchDuplicateError, SCD2TimelineException
 
 
 def _col(c: Column | str) -> Column:
@@ -55,7 +55,9 @@ def scd2_batch_overlap_gate(df: DataFrame, keys: Sequence[str], eff_col: str) ->
     """Two events for one key on one effective date contradict each other."""
     dup = first_duplicate(df, [*keys, eff_col])
     if dup is not None:
-        raise SCD2TimelineException("Timeline anomaly: overlapping states inside incoming batch.")
+        raise SCD2TimelineException(
+            f"Two events for one key on the same {eff_col} in the batch: {dict(dup.asDict())}"
+        )
 
 
 def dedupe_batch(df: DataFrame, pk: str) -> DataFrame:
@@ -71,9 +73,9 @@ def dedupe_batch(df: DataFrame, pk: str) -> DataFrame:
     bad = grouped.filter(F.col(pk).isNull() | ~F.col("_lo").eqNullSafe(F.col("_hi"))).limit(1).collect()
     if bad:
         if bad[0][pk] is None:
-            raise ValueError(f"Record is missing mandatory primary key field '{pk}'")
+            raise ValueError(f"NULL primary key {pk!r} in batch")
         raise IntraBatchDuplicateError(
-            f"PK collision on '{pk}' with value '{bad[0][pk]}': attributes do not match."
+            f"{MSG_PK_COLLISION} on {pk}={bad[0][pk]!r}: two different rows share the key"
         )
     if not others:
         return grouped.select(pk)

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.errors import IntraBatchDuplicateError, UnresolvedEntityError
+from tidemark.errors import MSG_UNRESOLVED, IntraBatchDuplicateError, UnresolvedEntityError
 from tidemark.functions.exprs import hash_key
 from tidemark.operators.gates import first_duplicate
 from tidemark.sources.io import read_source
@@ -88,7 +88,7 @@ def resolve_entities(
             .collect()
         )
         if culprit:
-            raise UnresolvedEntityError(f"Unresolved entity detected: {culprit[0]['_k']}")
+            raise UnresolvedEntityError(f"{MSG_UNRESOLVED}: {culprit[0]['_k']}")
     cond = input_df[input_key] == lookup[lookup_key]
     resolved = input_df.join(lookup, cond, "inner").drop(input_df[input_key])
     if policy == "quarantine":
@@ -117,7 +117,7 @@ def resolve_player_identities(raw_df: DataFrame, mapping_df: DataFrame) -> DataF
     """R2: every raw name must map to a player id; returns (player_id, raw_name)."""
     resolved = raw_df.join(mapping_df, on="raw_name", how="left")
     if not resolved.filter(F.col("player_id").isNull()).isEmpty():
-        raise UnresolvedEntityError("Detected unmapped player names in incoming batch")
+        raise UnresolvedEntityError(f"{MSG_UNRESOLVED}: raw names without a mapping entry")
     return resolved.select("player_id", "raw_name")
 
 

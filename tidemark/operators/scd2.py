@@ -1,7 +1,7 @@
 """Slowly-changing type 2 histories.
 
-:func:`scd2_apply` is the one canonical operator; the loaders the reference
-exposes (D1-D4) are thin presets over it.
+:func:`scd2_apply` is the one canonical operator; the four loaders of
+SURVEY D1-D4 are thin presets over it.
 
 Semantics (half-open slices ``[valid_from, valid_to)``, at most one event
 per key and effective date):
@@ -240,9 +240,7 @@ def conflict_gate(
         flagged = flagged.withColumn(eff_col, F.to_date(eff_col))
     hits = inside_closed(flagged, history, keys, eff_col, valid_from, valid_to, open_end)
     if not hits.isEmpty():
-        raise SCD2TimelineException(
-            "Logical timeline overlap discrepancy detected on a closed record segment."
-        )
+        raise SCD2TimelineException("Conflicting event inside a closed history slice")
 
 
 # ---------------------------------------------------------------- presets
