@@ -38,3 +38,31 @@ def test_create_registered_tables(spark):
     create_tables(spark, "tidemark_test_ns", {"silver_dim_team": SILVER["silver_dim_team"]})  # idempotent
     cols = [c.name for c in spark.catalog.listColumns("tidemark_test_ns.silver_dim_team")]
     assert cols == ["id", "title"]
+
+
+def test_stream_late_event_does_not_override_later_one(spark, scratch):
+    import datetime as dt
+
+    from tidemark.sources.io import latest_version
+
+    schema = "player_id INT, status STRING, ts TIMESTAMP, event_id INT"
+    src = os.path.join(scratch, "landing")
+    hist, ckpt = os.path.join(scratch, "history"), os.path.join(scratch, "ckpt")
+    kw = dict(keys=["player_id"], tracked=["status"], ts_col="ts", tiebreak=["event_id"], watermark="30 days")
+    first = spark.createDataFrame([(1, "A", dt.datetime(2024, 1, 1, 10), 1)], schema)
+    first.write.parquet(os.path.join(src, "p1"))
+    q = start_scd2_stream(spark, os.path.join(src, "*"), first.schema, hist, ckpt, **kw)
+    q.awaitTermination()
+    late = spark.createDataFrame(
+        [(1, "B", dt.datetime(2024, 1, 1, 9), 2), (1, "C", dt.datetime(2024, 1, 2, 10), 3)], schema
+    )
+    late.write.parquet(os.path.join(src, "p2"))
+    q = start_scd2_stream(spark, os.path.join(src, "*"), first.schema, hist, ckpt, **kw)
+    q.awaitTermination()
+    got = rows(read_latest(spark, hist), "player_id", "status", "valid_from", "valid_to")
+    assert got == [(1, "A", dt.date(2024, 1, 1), dt.date(2024, 1, 2)), (1, "C", dt.date(2024, 1, 2), dt.date(9999, 12, 31))]
+    # nothing new: a restart publishes no further version
+    v = latest_version(spark, hist)
+    q = start_scd2_stream(spark, os.path.join(src, "*"), first.schema, hist, ckpt, **kw)
+    q.awaitTermination()
+    assert latest_version(spark, hist) == v
