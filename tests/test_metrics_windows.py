@@ -79,3 +79,23 @@ def test_split_running_sum_equals_plain_window(spark):
     plain = running_sum(df, "k", ["t", "id"], "n", "c")
     split = running_sum(df, "k", ["t", "id"], "n", "c", split=F.floor(F.col("t") / 101), hot_threshold=50)
     assert rows(split) == rows(plain)
+
+
+def test_hot_key_is_split_into_bounded_groups(spark):
+    from tidemark.operators.windows import _bucketed, hot_keys
+
+    n = 9000
+    # key 0 holds a third of the rows, the rest spread over 600 keys
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 600 + 1).alias("k"),
+        F.col("id").alias("t"),
+        (F.col("id") % 7).cast("double").alias("v"),
+    )
+    hot = hot_keys(df, "k", threshold=100)
+    assert [r.k for r in hot.collect()] == [0]
+    groups = _bucketed(df, "k", F.floor(F.col("t") / 300), hot).groupBy("k", "_b").count()
+    biggest = groups.agg(F.max("count")).first()[0]
+    assert biggest <= 100  # the 3000-row hot key is cut into 30 groups of 100
+    plain = rolling_avg(df, "k", ["t"], "v", -5, -1, "r")
+    split = rolling_avg(df, "k", ["t"], "v", -5, -1, "r", split=F.floor(F.col("t") / 300), hot=hot)
+    assert rows(split) == rows(plain)
