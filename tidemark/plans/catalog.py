@@ -42,7 +42,9 @@ from tidemark.sources.tables import Tables
 SPLIT_DATE = _dt.date(2024, 1, 16)
 PROCESSING_DATE = _dt.date(2024, 2, 1)
 SNAPSHOT_DATE = _dt.date(2024, 2, 1)
-CHECK_TS = _dt.datetime(2024, 2, 1, 6, 0, 0)
+# Timestamps as text: cast in the session time zone and shown back as
+# wall-clock TIMESTAMP_NTZ, the result does not depend on the zone.
+CHECK_TS = "2024-02-01 06:00:00"
 PROCESSING_TS = _dt.datetime(2024, 2, 1, 6, 0, 0)
 INJURED = "error"
 MONEY = 2  # decimals of prices / discounts
@@ -452,8 +454,8 @@ def q_dedupe_events(spark, d):
     return dedupe_batch(Tables(spark, d).events, "event_id")
 
 
-SNAPSHOT_1 = _dt.datetime(2024, 1, 1, 6, 0, 0)
-SNAPSHOT_2 = _dt.datetime(2024, 2, 1, 6, 0, 0)
+SNAPSHOT_1 = "2024-01-01 06:00:00"
+SNAPSHOT_2 = "2024-02-01 06:00:00"
 
 
 def q_dim_players_scd2(spark, d):
