@@ -56,3 +56,14 @@ def test_quality_gate_blocks_gold(spark, scratch):
     paths = _bronze(spark, scratch)
     with pytest.raises(DataQualityError):
         run_all(spark, paths, dt.datetime(2024, 2, 1, 6), dq_threshold=1.01)
+
+
+def test_command_line_entry(spark, scratch):
+    from tidemark.plans.layers import main
+
+    paths = _bronze(spark, scratch)
+    main([
+        "--teams", paths.teams_bronze, "--injuries", paths.injuries_bronze, "--players", paths.players_bronze,
+        "--mapping", paths.mapping, "--warehouse", paths.warehouse, "--processing-ts", "2024-02-01T06:00:00",
+    ])
+    assert spark.read.parquet(paths.table("fact_match_stats")).count() == 2

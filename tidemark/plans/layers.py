@@ -109,3 +109,32 @@ def run_all(
     """Bronze -> silver -> DQ gate -> gold for one processing day."""
     run_silver(spark, paths, processing_ts)
     return run_gold(spark, paths, processing_ts.date(), processing_ts, dq_threshold)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m tidemark.plans.layers --warehouse ... --processing-ts ...``."""
+    import argparse
+
+    from tidemark.session import build_session
+
+    p = argparse.ArgumentParser(description="Run bronze -> silver -> DQ gate -> gold for one day")
+    p.add_argument("--teams", required=True)
+    p.add_argument("--injuries", required=True)
+    p.add_argument("--players", required=True)
+    p.add_argument("--mapping", required=True)
+    p.add_argument("--warehouse", required=True)
+    p.add_argument("--processing-ts", required=True, help="e.g. 2024-02-01T06:00:00")
+    p.add_argument("--dq-threshold", type=float, default=0.95)
+    p.add_argument("--layer", choices=["silver", "gold", "all"], default="all")
+    a = p.parse_args(argv)
+    ts = _dt.datetime.fromisoformat(a.processing_ts)
+    paths = Paths(a.teams, a.injuries, a.players, a.mapping, a.warehouse)
+    spark = build_session(app_name=f"tidemark-{a.layer}")
+    if a.layer in ("silver", "all"):
+        run_silver(spark, paths, ts)
+    if a.layer in ("gold", "all"):
+        run_gold(spark, paths, ts.date(), ts, a.dq_threshold)
+
+
+if __name__ == "__main__":
+    main()
