@@ -7,7 +7,6 @@ partitions) always win.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -54,7 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared filesystem path and is used as
-    is. Only when it is unset (local tests) a private scratch folder is made.
+    is; if it is missing there, this raises rather than guess a
+    machine-local folder. Only in local mode (tests) a private scratch
+    folder is made when the setting is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         configured = fallback or tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -83,8 +86,3 @@ def cut_lineage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
     path = f"{base}/tidemark-{uuid.uuid4().hex}"
     df.write.format(fmt).mode("errorifexists").save(path)
     return spark.read.format(fmt).load(path)
-
-
-def scratch_dir(prefix: str = "run-") -> str:
-    """A fresh local folder for test output (never used on a cluster path)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
