@@ -112,7 +112,7 @@ def run_all(
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m tidemark.plans.layers --warehouse ... --processing-ts ...``."""
+    """``spark-submit --py-files tidemark.zip tidemark/plans/layers.py --warehouse ... --processing-ts ...``."""
     import argparse
 
     from tidemark.session import build_session
