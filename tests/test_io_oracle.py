@@ -70,3 +70,14 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_incomplete_version_is_invisible(spark, scratch):
+    base = os.path.join(scratch, "dim2")
+    publish_version(spark.createDataFrame([(1,)], "k INT"), base)
+    # a crashed writer leaves a folder without its _SUCCESS marker
+    spark.createDataFrame([(99,)], "k INT").write.parquet(os.path.join(base, "v=7"))
+    os.remove(os.path.join(base, "v=7", "_SUCCESS"))
+    assert rows(read_latest(spark, base)) == [(1,)]
+    publish_version(spark.createDataFrame([(2,)], "k INT"), base)  # skips the broken v=7
+    assert rows(read_latest(spark, base)) == [(2,)]

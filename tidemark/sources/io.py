@@ -118,12 +118,12 @@ def _fs_and_path(spark: SparkSession, path: str):
     return fs, hpath
 
 
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    """Highest ``v=<n>`` folder under ``base`` holding a ``_SUCCESS`` marker."""
+def _versions(spark: SparkSession, base: str) -> list[tuple[int, bool]]:
+    """``(n, complete)`` for every ``v=<n>`` folder under ``base``."""
     fs, hbase = _fs_and_path(spark, base)
     if not fs.exists(hbase):
-        return None
-    best = None
+        return []
+    out = []
     for status in fs.listStatus(hbase):
         name = status.getPath().getName()
         if not name.startswith("v="):
@@ -133,9 +133,14 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
         except ValueError:
             continue
         marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if fs.exists(marker) and (best is None or n > best):
-            best = n
-    return best
+        out.append((n, bool(fs.exists(marker))))
+    return out
+
+
+def latest_version(spark: SparkSession, base: str) -> int | None:
+    """Highest ``v=<n>`` folder under ``base`` holding a ``_SUCCESS`` marker."""
+    done = [n for n, complete in _versions(spark, base) if complete]
+    return max(done) if done else None
 
 
 def read_latest(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
@@ -156,8 +161,8 @@ def publish_version(
     its ``_SUCCESS`` marker exists. A failed job leaves the old version live.
     """
     spark = df.sparkSession
-    current = latest_version(spark, base)
-    target = f"{base.rstrip('/')}/v={0 if current is None else current + 1}"
+    taken = [n for n, _ in _versions(spark, base)]  # incomplete folders too
+    target = f"{base.rstrip('/')}/v={max(taken) + 1 if taken else 0}"
     writer = df.write.format(fmt).mode("errorifexists")
     parts = list(partition_by)
     if parts:
