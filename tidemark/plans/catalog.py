@@ -26,7 +26,7 @@ from tidemark.functions.text import WHITESPACE_CLASS_RE2, clean_whitespace
 from tidemark.operators import dq as dqm
 from tidemark.operators.asof import asof_join, month_index
 from tidemark.operators.dedup import keep_first, union_keep_existing
-from tidemark.operators.extract import extract_json_fields, extract_page_links
+from tidemark.operators.extract import extract_id_title, extract_json_fields, extract_league_players, extract_page_links
 from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
 from tidemark.operators.loads import load_silver_teams, upsert_dim_teams
 from tidemark.operators.merge import upsert
@@ -487,6 +487,35 @@ def q_dim_players_scd2(spark, d):
     )
 
 
+def q_extract_players_json(spark, d):
+    """X1 over bronze payloads Spark derives per supplier: one league JSON
+    document each (string-typed values, several fields absent)."""
+    t = Tables(spark, d)
+    player = F.struct(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.col("s_name").alias("player_name"),
+        F.col("n_name").alias("team_title"),
+        F.col("s_acctbal").cast("string").alias("xG"),
+        F.col("s_nationkey").cast("string").alias("games"),
+    )
+    payloads = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("payload_id"),
+        F.to_json(F.struct(F.array(player).alias("players"))).alias("body"),
+    )
+    return extract_league_players(payloads)
+
+
+def q_extract_id_title_json(spark, d):
+    """X5 over map-shaped payloads Spark derives per customer."""
+    t = Tables(spark, d)
+    entry = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"))
+    payloads = t.customer.select(
+        F.col("c_custkey").alias("payload_id"),
+        F.to_json(F.struct(F.create_map(F.col("c_custkey").cast("string"), entry).alias("teams"))).alias("body"),
+    )
+    return extract_id_title(payloads, "teams")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "player_stats": q_player_stats,
     "injury_summary": q_injury_summary,
@@ -520,6 +549,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report": q_dq_report,
     "clean_text": q_clean_text,
     "extract_json": q_extract_json,
+    "extract_players_json": q_extract_players_json,
+    "extract_id_title_json": q_extract_id_title_json,
     "extract_grid": q_extract_grid,
     "set_diff": q_set_diff,
     "union_missing": q_union_missing,
@@ -804,6 +835,13 @@ SELECT table_name, dimension, metric_name, metric_value,
 FROM dq WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM dq)""",
     "clean_text": f"""
 SELECT doc_id, trim(regexp_replace(COALESCE(text, ''), '{WHITESPACE_CLASS_RE2}+', ' ', 'g')) AS text_clean FROM documents""",
+    "extract_players_json": """
+SELECT s.s_suppkey AS payload_id, CAST(s.s_suppkey AS VARCHAR) AS player_id, s.s_name AS name, n.n_name AS team,
+       CAST(NULL AS VARCHAR) AS position, s.s_nationkey AS matches, 0 AS minutes, 0 AS goals, 0 AS assists,
+       s.s_acctbal AS xg, CAST(0 AS DOUBLE) AS xa, 0 AS shots, 0 AS key_passes, CAST(0 AS DOUBLE) AS npxg,
+       CAST(0 AS DOUBLE) AS xg_chain, CAST(0 AS DOUBLE) AS xg_buildup
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    "extract_id_title_json": "SELECT c_custkey AS payload_id, CAST(c_custkey AS INTEGER) AS id, c_name AS title FROM customer",
     "extract_json": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "extract_grid": _PAGE_LINKS.replace("{clean_section}", _html_text_sql("section")).replace(
         "{clean_link}", _html_text_sql("regexp_extract(row, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2)")
