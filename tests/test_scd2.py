@@ -183,8 +183,18 @@ def test_apply_many_with_checkpoints_equals_one_shot(spark):
     from tidemark.operators.scd2 import scd2_apply_many
 
     out = scd2_apply_many(
-        None, batches, checkpoint_every=2, keys=["player_id"], tracked=["status"], current_col="is_current",
+        None, batches, checkpoint_every=5, keys=["player_id"], tracked=["status"], current_col="is_current",
         check_batch=False,
     )
     got = rows(out, "player_id", "status", "valid_from", "valid_to")
     assert got == _model(events)
+
+
+def test_bypass_and_full_sort_agree(spark):
+    h = spark.createDataFrame(
+        [(1, "Fit", "2024-01-01", "2024-01-10"), (1, "Injured", "2024-01-10", OPEN), (2, "Fit", "2024-01-01", OPEN)], H
+    )
+    b = spark.createDataFrame([(1, "Fit", "2024-01-05"), (3, "Fit", "2024-01-07")], B)
+    a = scd2_apply(h, b, ["player_id"], ["status"])
+    c = scd2_apply(h, b, ["player_id"], ["status"], bypass=False)
+    assert rows(a) == rows(c)

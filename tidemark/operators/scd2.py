@@ -94,6 +94,7 @@ def scd2_apply(
     current_col: str | None = None,
     carried: Sequence[str] = (),
     check_batch: bool = True,
+    bypass: bool = True,
 ) -> DataFrame:
     """Apply a batch of state events to a history; returns the new history.
 
@@ -106,6 +107,9 @@ def scd2_apply(
     ``check_batch``: run gate G4 (one event per key and effective date), which
     also bounds each key's window by its number of distinct dates; pass False
     when the batch comes from :func:`latest_per_period` (unique by construction).
+    ``bypass``: history rows the batch cannot affect skip the window sort
+    (the history is then read twice); ``False`` reads it once and sorts it
+    all — better when most keys change, or inside loops.
     """
     if check_batch:
         scd2_batch_overlap_gate(batch, list(keys), eff_col)
@@ -142,11 +146,14 @@ def scd2_apply(
             F.coalesce(norm(F.col(valid_to)), OPEN).alias("_vt"),
             F.lit(0).alias("_src"),
         )
-        first_event = b.groupBy(*keys).agg(F.min("_vf").alias("_first"))
-        hj = h.join(first_event, list(keys), "left")
-        bypass = F.col("_first").isNull() | (F.col("_vt") <= F.col("_first"))
-        h_keep = hj.filter(bypass).drop("_first")
-        h_aff = hj.filter(~bypass).drop("_first")
+        if bypass:
+            first_event = b.groupBy(*keys).agg(F.min("_vf").alias("_first"))
+            hj = h.join(first_event, list(keys), "left")
+            untouched = F.col("_first").isNull() | (F.col("_vt") <= F.col("_first"))
+            h_keep = hj.filter(untouched).drop("_first")
+            h_aff = hj.filter(~untouched).drop("_first")
+        else:
+            h_keep, h_aff = None, h
 
     u = b if h_aff is None else h_aff.unionByName(b)
     o = Window.partitionBy(*keys).orderBy("_vf", "_src")
@@ -188,20 +195,20 @@ def scd2_apply(
 def scd2_apply_many(
     history: DataFrame | None,
     batches,
-    checkpoint_every: int = 2,
+    checkpoint_every: int = 4,
     **kwargs,
 ) -> DataFrame:
     """Apply a sequence of batches in order (e.g. a multi-day backfill).
 
-    Each apply reads the previous history twice (bypass and affected rows),
-    so an unmaterialised chain doubles its plan per batch. Every
-    ``checkpoint_every`` batches the history is therefore written to the
-    shared checkpoint folder (``spark.checkpoint.dir``) with a reliable
-    ``checkpoint()``: the plan stays short and a lost executor recomputes
-    only from the last checkpoint.
+    Each step reads the previous history once (``bypass=False``), so the
+    plan grows by one step per batch; every ``checkpoint_every`` batches the
+    history is materialised in the shared checkpoint folder
+    (:func:`tidemark.session.cut_lineage`), which keeps plans short and
+    bounds the recomputation after a lost executor.
     """
-    if checkpoint_every < 1 or checkpoint_every > 4:
-        raise ValueError("checkpoint_every must be between 1 and 4")
+    if checkpoint_every < 1 or checkpoint_every > 8:
+        raise ValueError("checkpoint_every must be between 1 and 8")
+    kwargs.setdefault("bypass", False)
     from tidemark.session import cut_lineage
 
     state = history
