@@ -198,3 +198,35 @@ def test_bypass_and_full_sort_agree(spark):
     a = scd2_apply(h, b, ["player_id"], ["status"])
     c = scd2_apply(h, b, ["player_id"], ["status"], bypass=False)
     assert rows(a) == rows(c)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_timeline_invariants(spark, seed):
+    """Per key: slices do not overlap, at most one is open; batch row order is irrelevant."""
+    rnd = random.Random(seed)
+    base = dt.date(2024, 1, 1)
+    ev = {}
+    for _ in range(200):
+        ev[(rnd.randrange(8), rnd.randrange(60))] = rnd.choice("ABCD")
+    events = [(k, s, base + dt.timedelta(days=day)) for (k, day), s in ev.items()]
+    shuffled = events[:]
+    rnd.shuffle(shuffled)
+    hist_rows = None
+    outs = []
+    for data in (events, shuffled):
+        df = spark.createDataFrame(data, "player_id INT, status STRING, effective_date DATE").repartition(3)
+        h = scd2_apply(None, df.filter(F.col("effective_date") < dt.date(2024, 2, 1)), ["player_id"], ["status"])
+        h = scd2_apply(h, df.filter(F.col("effective_date") >= dt.date(2024, 2, 1)), ["player_id"], ["status"],
+                       current_col="is_current")
+        outs.append(rows(h))
+        hist_rows = h.collect()
+    assert outs[0] == outs[1]
+    by_key = {}
+    for r in hist_rows:
+        by_key.setdefault(r.player_id, []).append(r)
+    for slices in by_key.values():
+        slices.sort(key=lambda r: r.valid_from)
+        assert sum(r.is_current for r in slices) <= 1
+        for a, b in zip(slices, slices[1:]):
+            assert a.valid_to <= b.valid_from
+            assert a.valid_from < a.valid_to
