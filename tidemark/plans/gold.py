@@ -176,9 +176,11 @@ def build_team_health_performance(
 ) -> DataFrame:
     """V7: per team and snapshot: xG, goals, current injured count, finishing efficiency.
 
-    The injured count is aggregated per team before the join (one row per
-    team), so the fact side is never multiplied. With ``scale`` the xG sums
-    are exact decimals.
+    Facts are summed per (team_id, snapshot_date) *before* the dimension
+    joins (map-side combined), and the injured count is one row per team,
+    so the joins see a row per team and day, never the raw facts. With
+    ``scale`` the xG sums are exact decimals, so summing the partial sums
+    again after the join is exact too.
     """
     injured = (
         dim_players.filter((F.col("is_current") == F.lit(True)) & F.col("injury_status").isNotNull())
@@ -186,19 +188,22 @@ def build_team_health_performance(
         .agg(F.count("player_id").alias("active_injuries"))
     )
     xg = F.col("xg").cast(f"decimal(18,{scale})") if scale is not None else F.col("xg")
-    f = fact_stats.select("team_id", "snapshot_date", xg.alias("_xg"), "actual_goals")
-    j = f.join(dim_teams.select("team_id", "team_name"), "team_id").join(injured, "team_id", "left")
-    out = j.groupBy(
-        "team_name", "snapshot_date", F.coalesce(F.col("active_injuries"), F.lit(0)).alias("injured_player_count")
-    ).agg(F.sum("_xg").alias("_sx"), F.sum("actual_goals").alias("total_goals"))
-    eff = F.round(F.col("total_goals").cast(f"decimal(38,{scale or 0})") - F.col("_sx"), 2) if scale is not None else F.round(F.col("total_goals") - F.col("_sx"), 2)
+    per_day = fact_stats.groupBy("team_id", "snapshot_date").agg(
+        F.sum(xg).alias("_px"), F.sum("actual_goals").alias("_pg")
+    )
+    j = per_day.join(dim_teams.select("team_id", "team_name"), "team_id").join(injured, "team_id", "left")
+    injured_count = F.coalesce(F.col("active_injuries"), F.lit(0)).alias("injured_player_count")
+    out = j.groupBy("team_name", "snapshot_date", injured_count).agg(
+        F.sum("_px").alias("_sx"), F.sum("_pg").alias("total_goals")
+    )
+    goals = F.col("total_goals").cast(f"decimal(38,{scale})") if scale is not None else F.col("total_goals")
     return out.select(
         "team_name",
         "snapshot_date",
         F.col("_sx").cast("double").alias("total_xg"),
         "total_goals",
         "injured_player_count",
-        eff.cast("double").alias("finishing_efficiency"),
+        F.round(goals - F.col("_sx"), 2).cast("double").alias("finishing_efficiency"),
     )
 
 
