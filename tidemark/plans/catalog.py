@@ -321,12 +321,20 @@ def q_load_ids(spark, d):
 
 def q_star_health(spark, d):
     t = Tables(spark, d)
-    facts = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("l_suppkey").alias("player_id"),
-        F.col("s_nationkey").alias("team_id"),
-        F.col("l_discount").alias("xg"),
-        F.col("l_quantity").cast("int").alias("actual_goals"),
-        F.to_date(F.date_trunc("month", "l_shipdate")).alias("snapshot_date"),
+    # Line items are summed per (supplier, month) before the supplier join, so
+    # the join sees one row per player and month; the exact decimal partial
+    # sums are summed again per team by the gold builder.
+    per_player = (
+        t.lineitem.groupBy(
+            F.col("l_suppkey").alias("player_id"),
+            F.to_date(F.date_trunc("month", "l_shipdate")).alias("snapshot_date"),
+        ).agg(
+            F.sum(F.col("l_discount").cast(f"decimal(18,{MONEY})")).alias("xg"),
+            F.sum(F.col("l_quantity").cast("int")).alias("actual_goals"),
+        )
+    )
+    facts = per_player.join(t.supplier, F.col("player_id") == F.col("s_suppkey")).select(
+        "player_id", F.col("s_nationkey").alias("team_id"), "xg", "actual_goals", "snapshot_date"
     )
     teams = t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("team_name"))
     players = status_history(t).join(t.supplier, F.col("player_id") == F.col("s_suppkey")).select(
