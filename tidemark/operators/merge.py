@@ -23,6 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.gates import validate_composite_keys
+from tidemark.operators.sizing import broadcast_if_bounded
+
+# Row bound for broadcasting a whole source row set (not just its keys).
+FULL_ROW_BROADCAST_MAX = 100_000
 
 
 def upsert(
@@ -36,7 +40,7 @@ def upsert(
         validate_composite_keys(source, keys)
     cols = target.columns
     src = source.select(*cols)
-    kept = target.join(src.select(*keys), on=list(keys), how="left_anti")
+    kept = target.join(broadcast_if_bounded(src.select(*keys)), on=list(keys), how="left_anti")
     return kept.unionByName(src)
 
 
@@ -62,7 +66,11 @@ def merge_update(
     """
     if check_source_unique:
         validate_composite_keys(source, keys)
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
+    # Full source rows: a tighter row bound than for key-only frames.
+    s = broadcast_if_bounded(
+        source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s")),
+        max_rows=FULL_ROW_BROADCAST_MAX,
+    )
     cond = None
     for k in keys:
         e = target[k] == F.col(f"s_{k}")

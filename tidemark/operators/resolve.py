@@ -24,23 +24,11 @@ from pyspark.sql import functions as F
 from tidemark.errors import MSG_UNRESOLVED, IntraBatchDuplicateError, UnresolvedEntityError
 from tidemark.functions.exprs import hash_key
 from tidemark.operators.gates import first_duplicate
+from tidemark.operators.sizing import broadcast_if_bounded
 from tidemark.sources.io import read_source
 
 log = logging.getLogger(__name__)
 
-# Largest mapping (rows) that is broadcast after a bounded count proves its size.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; a larger side is left to
-    the planner (sort-merge, or AQE's runtime broadcast when small enough).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 @dataclass
 class ResolveReport:

@@ -38,6 +38,7 @@ from tidemark.errors import SCD2TimelineException
 from tidemark.functions.exprs import OPEN_END
 from tidemark.operators.asof import inside_closed
 from tidemark.operators.gates import future_date_gate, scd2_batch_overlap_gate
+from tidemark.operators.sizing import broadcast_if_bounded
 
 _OPEN_TS = _dt.datetime(9999, 12, 31)
 
@@ -147,7 +148,9 @@ def scd2_apply(
             F.lit(0).alias("_src"),
         )
         if bypass:
-            first_event = b.groupBy(*keys).agg(F.min("_vf").alias("_first"))
+            # One row per batch key: broadcast when provably small, so the
+            # history is not shuffled just to find its untouched rows.
+            first_event = broadcast_if_bounded(b.groupBy(*keys).agg(F.min("_vf").alias("_first")))
             hj = h.join(first_event, list(keys), "left")
             untouched = F.col("_first").isNull() | (F.col("_vt") <= F.col("_first"))
             h_keep = hj.filter(untouched).drop("_first")
