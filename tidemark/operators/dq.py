@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.errors import ContractViolationError, DataQualityError
+from tidemark.operators.sizing import broadcast_if_bounded
 
 PROPORTION = "proportion"
 
@@ -62,6 +63,9 @@ def orphan_share(
 ) -> DataFrame:
     """Share of child rows whose key exists in the parent (consistency)."""
     parents = parent.select(F.col(parent_key).alias("_pk")).distinct().withColumn("_hit", F.lit(1))
+    # A dimension's distinct keys are usually small: broadcast them (after a
+    # bounded count) so the fact's key column is not shuffled.
+    parents = broadcast_if_bounded(parents)
     j = child.select(F.col(child_key).alias("_ck")).join(parents, F.col("_ck") == F.col("_pk"), "left")
     metrics = [("consistency", f"{child_key}_has_parent", _ratio(F.count("_hit"), F.count(F.lit(1))))]
     return _to_rows(j.agg(metrics[0][2].alias("m0")), table_name, metrics, snapshot_date, check_timestamp)
