@@ -193,6 +193,17 @@ def q_scd2_apply(spark, d):
     return status_history(Tables(spark, d))
 
 
+def q_scd2_backfill(spark, d):
+    """Late arrival of a whole earlier block: the events from SPLIT_DATE on are
+    loaded first, the earlier ones afterwards. Earlier slices chain and close
+    where the recorded history begins; recorded slices are kept as they are."""
+    ev = status_events(Tables(spark, d))
+    later = ev.filter(F.col("effective_date") >= F.lit(SPLIT_DATE))
+    earlier = ev.filter(F.col("effective_date") < F.lit(SPLIT_DATE))
+    h = scd2_apply(None, later, ["player_id"], ["status"], check_batch=False)
+    return scd2_apply(h, earlier, ["player_id"], ["status"], current_col="is_current", check_batch=False)
+
+
 def q_point_in_time(spark, d):
     t = Tables(spark, d)
     dim = status_history(t).select(
@@ -535,6 +546,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "squad_deficit": q_squad_deficit,
     "injury_metrics": q_injury_metrics,
     "scd2_apply": q_scd2_apply,
+    "scd2_backfill": q_scd2_backfill,
     "point_in_time": q_point_in_time,
     "resolve_ok": q_resolve_ok,
     "resolve_unmatched": q_resolve_unmatched,
@@ -745,6 +757,21 @@ FROM pm WINDOW w AS (PARTITION BY player_id ORDER BY match_id ROWS BETWEEN 5 PRE
 SELECT player_id, status, valid_from, valid_to, is_current, injury_duration_days, cumulative_days_lost,
        availability_coefficient FROM m3""",
     "scd2_apply": "WITH " + _TIMELINE + " SELECT * FROM tl",
+    "scd2_backfill": """
+WITH ev AS (
+  SELECT user_id AS player_id, event_type AS status, CAST(ts AS DATE) AS eff,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events),
+dd AS (SELECT player_id, status, eff, eff >= DATE '2024-01-16' AS late FROM ev WHERE rn = 1),
+ch AS (SELECT *, lag(status) OVER (PARTITION BY player_id, late ORDER BY eff) AS prev FROM dd),
+kept AS (SELECT player_id, status, eff, late FROM ch WHERE prev IS NULL OR prev <> status),
+first_late AS (SELECT player_id, MIN(eff) AS first_eff FROM kept WHERE late GROUP BY player_id),
+tl AS (
+  SELECT k.player_id, k.status, k.eff AS valid_from,
+         COALESCE(lead(k.eff) OVER (PARTITION BY k.player_id, k.late ORDER BY k.eff),
+                  CASE WHEN NOT k.late THEN f.first_eff END, DATE '9999-12-31') AS valid_to
+  FROM kept k LEFT JOIN first_late f ON k.player_id = f.player_id)
+SELECT player_id, status, valid_from, valid_to, valid_to = DATE '9999-12-31' AS is_current FROM tl""",
     "point_in_time": "WITH " + _TIMELINE + """,
 p AS (SELECT player_id, status, valid_from, CASE WHEN is_current THEN NULL ELSE valid_to END AS valid_to FROM tl)
 SELECT e.event_id, e.user_id AS player_id, CAST(e.ts AS DATE) AS snapshot_date, e.value AS xg, p.status,
