@@ -45,3 +45,13 @@ def test_inside_closed(spark):
     dims = spark.createDataFrame([(1, "a", d(2024, 1, 1), d(2024, 2, 1)), (1, "b", d(2024, 2, 1), None)], DIM)
     ev = spark.createDataFrame([(1, 1, d(2024, 1, 15)), (2, 1, d(2024, 2, 15)), (3, 1, d(2024, 2, 1))], FACT)
     assert rows(inside_closed(ev, dims, ["k"], "day"), "fid") == [(1,)]
+
+
+def test_grains_agree(spark):
+    dims = [(1, "a", d(2023, 11, 20), d(2024, 2, 3)), (1, "b", d(2024, 2, 3), None), (2, "c", d(2024, 1, 1), d(2024, 1, 2))]
+    facts = [(i, 1 + i % 2, d(2023, 11, 1) + dt.timedelta(days=7 * i)) for i in range(40)]
+    fd = spark.createDataFrame(facts, FACT)
+    dd = spark.createDataFrame(dims, DIM)
+    expected = _brute(facts, dims)
+    for grain in ("month", "quarter", "year"):
+        assert rows(asof_join(fd, dd, ["k"], "day", grain=grain), "fid", "k", "day", "st") == expected

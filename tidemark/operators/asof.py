@@ -24,6 +24,22 @@ def month_index(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c) - 1
 
 
+def calendar_bucket(c: Column, grain: str = "month") -> Column:
+    """Monotone calendar bucket number of a date/timestamp: month, quarter or year.
+
+    A coarser grain lists each version in fewer buckets (fewer dimension rows)
+    but compares a fact with more versions (at most one per day of the bucket
+    for day-grain histories).
+    """
+    if grain == "month":
+        return month_index(c)
+    if grain == "quarter":
+        return F.year(c) * 4 + F.quarter(c) - 1
+    if grain == "year":
+        return F.year(c)
+    raise ValueError("grain must be 'month', 'quarter' or 'year'")
+
+
 def _open(vt: Column, open_end) -> Column:
     cond = vt.isNull()
     if open_end is not None:
@@ -44,26 +60,28 @@ def asof_join(
     valid_to: str = "valid_to",
     open_end=None,
     horizon=None,
+    grain: str = "month",
 ) -> DataFrame:
     """Inner join of each fact with the dimension version valid at ``fact_date``.
 
     ``open_end``: sentinel marking an open version (e.g. 9999-12-31); NULL
     ``valid_to`` is always open. Open versions are listed up to the
-    ``horizon`` month: the given date, else the latest fact month (a scalar
-    subquery over the fact dates). One equi join on ``(keys, month)``; the
-    facts are shuffled once. Output: all fact columns plus the dimension's
-    non-key columns.
+    ``horizon`` bucket: the given date's, else the latest fact bucket (a
+    scalar subquery over the fact dates). One equi join on ``(keys,
+    bucket)`` with ``grain`` month (default), quarter or year; the facts are
+    shuffled once. Output: all fact columns plus the dimension's non-key
+    columns.
     """
     dcols = [c for c in dim.columns if c not in keys]
-    f = facts.withColumn("_m", month_index(F.col(fact_date)))
+    f = facts.withColumn("_m", calendar_bucket(F.col(fact_date), grain))
     if horizon is None:
         last = f.select(F.max("_m")).scalar()
     else:
-        last = month_index(F.lit(horizon))
+        last = calendar_bucket(F.lit(horizon), grain)
     vf, vt = F.col(valid_from), F.col(valid_to)
     is_open = _open(vt, open_end)
-    first_m = month_index(vf)
-    last_m = F.when(is_open, F.greatest(first_m, last)).otherwise(month_index(vt))
+    first_m = calendar_bucket(vf, grain)
+    last_m = F.when(is_open, F.greatest(first_m, last)).otherwise(calendar_bucket(vt, grain))
     d = (
         dim.filter(is_open | (vf < vt))
         .select(
