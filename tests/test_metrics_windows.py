@@ -99,3 +99,13 @@ def test_hot_key_is_split_into_bounded_groups(spark):
     plain = rolling_avg(df, "k", ["t"], "v", -5, -1, "r")
     split = rolling_avg(df, "k", ["t"], "v", -5, -1, "r", split=F.floor(F.col("t") / 300), hot=hot)
     assert rows(split) == rows(plain)
+
+
+def test_future_guard_on_summary(spark):
+    import pytest
+
+    from tidemark.errors import FutureDateError
+
+    df = spark.createDataFrame([(1, d(2026, 12, 25), d(9999, 12, 31))], S)
+    with pytest.raises(FutureDateError):
+        compute_player_injury_summary(df, current_processing_date=d(2026, 5, 17), guard_future=True)

@@ -230,3 +230,10 @@ def test_timeline_invariants(spark, seed):
         for a, b in zip(slices, slices[1:]):
             assert a.valid_to <= b.valid_from
             assert a.valid_from < a.valid_to
+
+
+def test_default_future_bound_is_today(spark):
+    h = spark.createDataFrame([(1, "Fit", "2024-01-01", OPEN)], H)
+    with pytest.raises(FutureDateError):
+        update_injury_history(h, spark.createDataFrame([(1, "Injured", "2999-01-05")], B))
+    assert update_injury_history(h, spark.createDataFrame([(1, "Injured", "2024-01-05")], B)).count() == 2

@@ -45,6 +45,11 @@ def clean_whitespace(c: Column | str) -> Column:
     return F.trim(collapsed)
 
 
+def clean_string_whitespace(c: Column | str) -> Column:
+    """F1 under its original name (a Column expression here)."""
+    return clean_whitespace(c)
+
+
 def strip_html_tags(c: Column | str) -> Column:
     """Remove markup tags, keeping the text between them."""
     return F.regexp_replace(_col(c), "<[^>]*>", "")

@@ -51,6 +51,11 @@ def validate_composite_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise IntraBatchDuplicateError(f"Composite key violation ({shown}) seen {dup['n_rows']} times")
 
 
+def validate_fact_composite_keys(fact_df: DataFrame, composite_pks: Sequence[str]) -> None:
+    """G2 under its original name."""
+    validate_composite_keys(fact_df, composite_pks)
+
+
 def scd2_batch_overlap_gate(df: DataFrame, keys: Sequence[str], eff_col: str) -> None:
     """Two events for one key on one effective date contradict each other."""
     dup = first_duplicate(df, [*keys, eff_col])

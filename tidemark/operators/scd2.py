@@ -256,35 +256,39 @@ def conflict_gate(
 # ---------------------------------------------------------------- presets
 
 
-def load_silver_injuries(initial: DataFrame, batch: DataFrame) -> DataFrame:
+def load_silver_injuries(initial_df: DataFrame, batch_df: DataFrame) -> DataFrame:
     """Player status history with string dates and a 9999-12-31 open end.
 
     Closed history of affected players is kept (trap T1); several events of
     one player chain (T4); a rerun is a no-op.
     """
-    return scd2_apply(initial, batch, ["player_id"], ["status"])
+    return scd2_apply(initial_df, batch_df, ["player_id"], ["status"])
 
 
 def update_injury_history(
-    history: DataFrame,
-    batch: DataFrame,
-    future_bound,
+    history_df: DataFrame,
+    batch_df: DataFrame,
+    future_bound=None,
     conflict_statuses: Sequence[str] = ("Unknown",),
 ) -> DataFrame:
-    """Future-date gate, closed-slice conflict gate, then the split."""
-    eff = F.to_date("effective_date") if isinstance(_kind(batch, "effective_date"), StringType) else F.col("effective_date")
-    future_date_gate(batch, eff, future_bound)
-    conflict_gate(history, batch, ["player_id"], conflict_statuses=conflict_statuses)
-    return scd2_apply(history, batch, ["player_id"], ["status"])
+    """Future-date gate, closed-slice conflict gate, then the split.
+
+    ``future_bound``: latest allowed effective date; by default the query's
+    ``current_date()`` (trap T5: never a hard-coded year).
+    """
+    eff = F.to_date("effective_date") if isinstance(_kind(batch_df, "effective_date"), StringType) else F.col("effective_date")
+    future_date_gate(batch_df, eff, F.current_date() if future_bound is None else future_bound)
+    conflict_gate(history_df, batch_df, ["player_id"], conflict_statuses=conflict_statuses)
+    return scd2_apply(history_df, batch_df, ["player_id"], ["status"])
 
 
-def process_injury_scd2(target: DataFrame, batch: DataFrame, logical_date) -> DataFrame:
+def process_injury_scd2(target_df: DataFrame, batch_df: DataFrame, logical_date) -> DataFrame:
     """D3: keyed by (player_id, category), emits ``is_current``; gates G1 then G4."""
-    future_date_gate(batch, "effective_date", logical_date)
-    scd2_batch_overlap_gate(batch, ["player_id", "category"], "effective_date")
-    tgt = target.drop("is_current") if "is_current" in target.columns else target
+    future_date_gate(batch_df, "effective_date", logical_date)
+    scd2_batch_overlap_gate(batch_df, ["player_id", "category"], "effective_date")
+    tgt = target_df.drop("is_current") if "is_current" in target_df.columns else target_df
     return scd2_apply(
-        tgt, batch, ["player_id", "category"], ["status"], current_col="is_current", check_batch=False
+        tgt, batch_df, ["player_id", "category"], ["status"], current_col="is_current", check_batch=False
     ).select("player_id", "category", "status", "valid_from", "valid_to", "is_current")
 
 
