@@ -32,7 +32,7 @@ from tidemark.operators.loads import load_silver_teams, upsert_dim_teams
 from tidemark.operators.merge import upsert
 from tidemark.operators.metrics import compute_match_squad_health_deficit, compute_player_injury_summary, player_baselines
 from tidemark.operators.resolve import resolve_entities, resolve_player_entities
-from tidemark.operators.scd2 import latest_per_period, scd2_apply, upsert_dim_players_scd2
+from tidemark.operators.scd2 import latest_per_period, load_silver_injuries, scd2_apply, upsert_dim_players_scd2
 from tidemark.operators.setops import set_difference, union_by_name
 from tidemark.operators.windows import rolling_avg
 from tidemark.plans import gold
@@ -204,6 +204,17 @@ def q_scd2_backfill(spark, d):
     return scd2_apply(h, earlier, ["player_id"], ["status"], current_col="is_current", check_batch=False)
 
 
+def q_injuries_string_dates(spark, d):
+    """D1 preset: ISO-string dates in and out, 9999-12-31 open end, two loads."""
+    ev = status_events(Tables(spark, d)).withColumn("effective_date", F.date_format("effective_date", "yyyy-MM-dd"))
+    first = ev.filter(F.col("effective_date") < F.lit(SPLIT_DATE.isoformat()))
+    second = ev.filter(F.col("effective_date") >= F.lit(SPLIT_DATE.isoformat()))
+    empty = first.limit(0).select(
+        "player_id", "status", F.col("effective_date").alias("valid_from"), F.col("effective_date").alias("valid_to")
+    )
+    return load_silver_injuries(load_silver_injuries(empty, first), second)
+
+
 def q_point_in_time(spark, d):
     t = Tables(spark, d)
     dim = status_history(t).select(
@@ -547,6 +558,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "injury_metrics": q_injury_metrics,
     "scd2_apply": q_scd2_apply,
     "scd2_backfill": q_scd2_backfill,
+    "injuries_string_dates": q_injuries_string_dates,
     "point_in_time": q_point_in_time,
     "resolve_ok": q_resolve_ok,
     "resolve_unmatched": q_resolve_unmatched,
@@ -772,6 +784,9 @@ tl AS (
                   CASE WHEN NOT k.late THEN f.first_eff END, DATE '9999-12-31') AS valid_to
   FROM kept k LEFT JOIN first_late f ON k.player_id = f.player_id)
 SELECT player_id, status, valid_from, valid_to, valid_to = DATE '9999-12-31' AS is_current FROM tl""",
+    "injuries_string_dates": "WITH " + _TIMELINE + """
+SELECT player_id, status, strftime(valid_from, '%Y-%m-%d') AS valid_from, strftime(valid_to, '%Y-%m-%d') AS valid_to
+FROM tl""",
     "point_in_time": "WITH " + _TIMELINE + """,
 p AS (SELECT player_id, status, valid_from, CASE WHEN is_current THEN NULL ELSE valid_to END AS valid_to FROM tl)
 SELECT e.event_id, e.user_id AS player_id, CAST(e.ts AS DATE) AS snapshot_date, e.value AS xg, p.status,
