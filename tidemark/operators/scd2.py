@@ -38,7 +38,7 @@ from tidemark.errors import SCD2TimelineException
 from tidemark.functions.exprs import OPEN_END
 from tidemark.operators.asof import inside_closed
 from tidemark.operators.gates import future_date_gate, scd2_batch_overlap_gate
-from tidemark.operators.sizing import broadcast_if_bounded
+from tidemark.operators.sizing import BROADCAST_MAX_ROWS
 
 _OPEN_TS = _dt.datetime(9999, 12, 31)
 
@@ -112,8 +112,6 @@ def scd2_apply(
     (the history is then read twice); ``False`` reads it once and sorts it
     all — better when most keys change, or inside loops.
     """
-    if check_batch:
-        scd2_batch_overlap_gate(batch, list(keys), eff_col)
     attrs = [*tracked, *[c for c in carried if c not in tracked]]
     eff_type = _kind(batch, eff_col)
     as_string = isinstance(eff_type, StringType)
@@ -136,6 +134,26 @@ def scd2_apply(
         F.lit(None).cast(work_type).alias("_vt"),
         F.lit(1).alias("_src"),
     )
+    # One pass over the batch serves both the G4 gate (one event per key and
+    # date) and the size check of the batch keys (one row per key, broadcast
+    # when provably small so the history is not shuffled to find its
+    # untouched rows).
+    first_event = None
+    if check_batch or (history is not None and bypass):
+        per_key = (
+            b.groupBy(*keys, "_vf")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy(*keys)
+            .agg(F.max("_n").alias("_most"), F.min("_vf").alias("_first"))
+        )
+        stats = per_key.agg(F.max("_most").alias("most"), F.count(F.lit(1)).alias("nkeys")).first()
+        if check_batch and stats["most"] is not None and stats["most"] > 1:
+            raise SCD2TimelineException(
+                f"Two events for one key on the same {eff_col} in the batch"
+            )
+        first_event = per_key.select(*keys, "_first")
+        if stats["nkeys"] <= BROADCAST_MAX_ROWS:
+            first_event = F.broadcast(first_event)
     if history is None:
         h_aff = None
         h_keep = None
@@ -148,9 +166,6 @@ def scd2_apply(
             F.lit(0).alias("_src"),
         )
         if bypass:
-            # One row per batch key: broadcast when provably small, so the
-            # history is not shuffled just to find its untouched rows.
-            first_event = broadcast_if_bounded(b.groupBy(*keys).agg(F.min("_vf").alias("_first")))
             hj = h.join(first_event, list(keys), "left")
             untouched = F.col("_first").isNull() | (F.col("_vt") <= F.col("_first"))
             h_keep = hj.filter(untouched).drop("_first")
