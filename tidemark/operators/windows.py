@@ -37,13 +37,29 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Detection results per (input plan, key, threshold, limit) in this process.
+# The plain and the split path give identical results, so a stale entry can
+# only pick the slower path, never a wrong answer.
+_HOT_CACHE: dict[tuple, object] = {}
+
+
 def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS):
     """Hot keys as a one-column DataFrame, ``[]`` when there are none, ``None``
     when there are more than ``limit`` (then every key is split).
 
     Nothing is collected: a bounded count (at most ``limit + 1`` rows) proves
-    the frame small enough to broadcast.
+    the frame small enough to broadcast. Repeated checks of the same input
+    plan reuse the first answer.
     """
+    memo = (df.semanticHash(), key, threshold, limit)
+    if memo in _HOT_CACHE:
+        return _HOT_CACHE[memo]
+    result = _detect_hot(df, key, threshold, limit)
+    _HOT_CACHE[memo] = result
+    return result
+
+
+def _detect_hot(df: DataFrame, key: str, threshold: int, limit: int):
     frame = (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
