@@ -28,7 +28,7 @@ from tidemark.operators.asof import asof_join, month_index
 from tidemark.operators.dedup import keep_first, union_keep_existing
 from tidemark.operators.extract import extract_id_title, extract_json_fields, extract_league_players, extract_page_links
 from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
-from tidemark.operators.loads import load_silver_teams, upsert_dim_teams
+from tidemark.operators.loads import load_silver_matches, load_silver_teams, upsert_dim_teams
 from tidemark.operators.merge import upsert
 from tidemark.operators.metrics import compute_match_squad_health_deficit, compute_player_injury_summary, player_baselines
 from tidemark.operators.resolve import resolve_entities, resolve_player_entities
@@ -313,6 +313,27 @@ def q_load_incremental(spark, d):
     return union_keep_existing(state, li.filter(F.col("l_linestatus") == "O"), keys, existing_unique=True)
 
 
+def q_load_matches(spark, d):
+    """L1 + F15: finished orders are the stored matches; a batch of all orders
+    carries customer *names*, aligned to ids through the name dimension;
+    stored matches win."""
+    t = Tables(spark, d)
+    initial = t.orders.filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("match_id"),
+        F.col("o_custkey").alias("home_id"),
+        F.col("o_custkey").alias("away_id"),
+        F.col("o_orderstatus").alias("score"),
+    )
+    batch = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("match_id"),
+        F.col("c_name").alias("home_team"),
+        F.col("c_name").alias("away_team"),
+        F.col("o_orderpriority").alias("score"),
+    )
+    teams = t.customer.select(F.col("c_name").alias("raw_name"), F.col("c_custkey").alias("team_id"))
+    return load_silver_matches(initial, batch, teams)
+
+
 def q_pk_violations(spark, d):
     return duplicate_keys(Tables(spark, d).lineitem, ["l_orderkey", "l_linenumber"])
 
@@ -569,6 +590,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_upsert": q_gold_upsert,
     "load_dedup": q_load_dedup,
     "load_incremental": q_load_incremental,
+    "load_matches": q_load_matches,
     "load_ids": q_load_ids,
     "pk_violations": q_pk_violations,
     "batch_collisions": q_batch_collisions,
@@ -835,6 +857,10 @@ SELECT {_LINE_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY src, {_LINE_ORDER}) AS rn
   FROM (SELECT *, CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS src FROM lineitem WHERE l_linestatus IN ('F', 'O')))
 WHERE rn = 1""",
+    "load_matches": """
+SELECT o_orderkey AS match_id, o_custkey AS home_id, o_custkey AS away_id,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderstatus ELSE o_orderpriority END AS score
+FROM orders""",
     "load_ids": """
 WITH init AS (SELECT p_name AS raw_name, MIN(p_partkey) AS team_id FROM part WHERE p_size <= 25 GROUP BY p_name),
 nw AS (SELECT DISTINCT p_name AS raw_name FROM part WHERE p_name NOT IN (SELECT raw_name FROM init))
