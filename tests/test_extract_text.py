@@ -102,7 +102,7 @@ def _player_row(name, status, pid=None):
              ("Potential Return", "May"), ("Condition", "Bad"), ("Status", status)]
     tds = "".join(f'<td><div class="mob-title">{lab}</div> {val} </td>' for lab, val in cells)
     if pid is not None:
-        tds += f'<td><a class="track" data-id="{pid}">x</a></td>'
+        tds += f'<td><a data-id="{pid}" class="btn track">x</a></td>'
     return f'<tr class="player-row team_1">{tds}</tr>'
 
 

@@ -24,7 +24,13 @@ from tidemark.errors import (
     SelectorNotFoundError,
     SourceDataMissingError,
 )
-from tidemark.functions.text import clean_injury_text, decode_entities, html_text, strip_html_tags
+from tidemark.functions.text import (
+    WHITESPACE_CLASS,
+    clean_injury_text,
+    decode_entities,
+    html_text,
+    strip_html_tags,
+)
 
 # League player fields -> output name and type, in output order.
 PLAYER_FIELDS = (
@@ -300,7 +306,8 @@ GRID_TEAM = "(?s)^.*?<div[^>]*class=\"[^\"]*injury-team[^\"]*\"[^>]*>(.*?)</div>
 GRID_ROW = "(?s)<tr[^>]*class=\"[^\"]*player-row[^\"]*\"[^>]*>.*?</tr>"
 GRID_CELL = "(?s)<td[^>]*>(.*?)</td>"
 MOB_TITLE = "(?s)<div[^>]*class=\"[^\"]*mob-title[^\"]*\"[^>]*>.*?</div>"
-TRACK_ID = "<a[^>]*class=\"[^\"]*track[^\"]*\"[^>]*data-id=\"([^\"]*)\""
+TRACK_TAG = "<a\\b(?=[^>]*\\bclass=\"[^\"]*\\btrack\\b)[^>]*>"
+DATA_ID = "\\bdata-id=\"([^\"]*)\""
 
 
 def _grid_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -355,8 +362,11 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
         ValueError("Page has no injury rows"),
     )
     rows = rows.filter(F.size("_cells") >= 7)
-    rid = F.regexp_extract(F.col("_cells")[6], TRACK_ID, 1)
-    status = F.trim(html_text(F.regexp_replace(F.col("_cells")[5], MOB_TITLE, "")))
+    rid = F.regexp_extract(F.regexp_extract(F.col("_cells")[6], TRACK_TAG, 0), DATA_ID, 1)
+    # Status text: tags and the mobile title removed, outer whitespace
+    # stripped, inner whitespace kept.
+    raw_status = decode_entities(strip_html_tags(F.regexp_replace(F.col("_cells")[5], MOB_TITLE, "")))
+    status = F.regexp_replace(raw_status, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
     x = rows.select(key, "section_pos", "row_pos", rid.alias("_id"), status.alias("_status")).filter(
         F.col("_id") != ""
     )
