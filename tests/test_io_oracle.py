@@ -81,3 +81,15 @@ def test_incomplete_version_is_invisible(spark, scratch):
     assert rows(read_latest(spark, base)) == [(1,)]
     publish_version(spark.createDataFrame([(2,)], "k INT"), base)  # skips the broken v=7
     assert rows(read_latest(spark, base)) == [(2,)]
+
+
+def test_catalog_reads_views_and_guard(spark):
+    from tidemark.sources.io import create_namespace, read_table, register_views, run_view_script
+
+    create_namespace(spark, "tidemark_io_ns")
+    create_namespace(spark, "tidemark_io_ns")  # idempotent
+    with pytest.raises(SourceMissingError):
+        read_table(spark, "tidemark_io_ns.absent_table")
+    register_views(spark, {"v_base": spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING")})
+    run_view_script(spark, ["CREATE OR REPLACE TEMP VIEW v_top AS SELECT k FROM v_base WHERE k > 1;", "  "])
+    assert rows(read_table(spark, "v_top")) == [(2,)]
