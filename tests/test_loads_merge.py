@@ -85,3 +85,16 @@ def test_set_ops(spark):
     assert rows(union_by_name(b, c), "k", "extra") == [(None, None), (1, "x"), (2, None)]
     gone, added = state_diff(a, b)
     assert gone.count() == 2 and added.count() == 0
+
+
+def test_merge_source_must_be_unique(spark):
+    import pytest
+
+    from tidemark.errors import IntraBatchDuplicateError
+
+    tgt = spark.createDataFrame([(1, "a")], "k INT, v STRING")
+    src = spark.createDataFrame([(2, "b"), (2, "c")], "k INT, v STRING")
+    with pytest.raises(IntraBatchDuplicateError):
+        upsert(tgt, src, ["k"])
+    with pytest.raises(IntraBatchDuplicateError):
+        merge_update(tgt, src, ["k"], ["v"])

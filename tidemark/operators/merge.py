@@ -22,13 +22,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.gates import validate_composite_keys
-from tidemark.operators.sizing import broadcast_if_bounded
+from tidemark.errors import IntraBatchDuplicateError
+from tidemark.operators.sizing import BROADCAST_MAX_ROWS
 
 # Row bound for broadcasting a whole source row set (not just its keys).
 FULL_ROW_BROADCAST_MAX = 100_000
 
 
+def _source_keys(source: DataFrame, keys: Sequence[str], check_unique: bool):
+    """One pass over the source: the uniqueness gate (T10) and its key count.
+
+    Returns ``(distinct_keys, n_keys)``; raises ``IntraBatchDuplicateError``
+    when ``check_unique`` and a key occurs twice.
+    """
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    stats = per_key.agg(F.max("_n").alias("most"), F.count(F.lit(1)).alias("nkeys")).first()
+    if check_unique and stats["most"] is not None and stats["most"] > 1:
+        raise IntraBatchDuplicateError(f"Merge source repeats a key of {list(keys)}")
+    return per_key.select(*keys), int(stats["nkeys"])
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -36,11 +49,12 @@ def upsert(
     check_source_unique: bool = True,
 ) -> DataFrame:
     """Matched keys take the source row, others are inserted; rerun-stable."""
-    if check_source_unique:
-        validate_composite_keys(source, keys)
     cols = target.columns
     src = source.select(*cols)
-    kept = target.join(broadcast_if_bounded(src.select(*keys)), on=list(keys), how="left_anti")
+    src_keys, n_keys = _source_keys(src, keys, check_source_unique)
+    if n_keys <= BROADCAST_MAX_ROWS:
+        src_keys = F.broadcast(src_keys)
+    kept = target.join(src_keys, on=list(keys), how="left_anti")
     return kept.unionByName(src)
 
 
@@ -64,13 +78,11 @@ def merge_update(
     ``source LEFT ANTI target`` over the target's key columns only — never
     a full outer join that would shuffle every target row.
     """
-    if check_source_unique:
-        validate_composite_keys(source, keys)
-    # Full source rows: a tighter row bound than for key-only frames.
-    s = broadcast_if_bounded(
-        source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s")),
-        max_rows=FULL_ROW_BROADCAST_MAX,
-    )
+    _, n_keys = _source_keys(source, keys, check_source_unique)
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
+    # Whole source rows (one per key once gated): a tighter bound than for key-only frames.
+    if check_source_unique and n_keys <= FULL_ROW_BROADCAST_MAX:
+        s = F.broadcast(s)
     cond = None
     for k in keys:
         e = target[k] == F.col(f"s_{k}")
