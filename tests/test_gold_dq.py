@@ -31,7 +31,7 @@ def silver(spark):
     }
 
 
-def test_gold_views_sql_and_dataframe_agree(spark, silver):
+def test_gold_views_registered_from_builders(spark, silver):
     gold.register_gold_views(
         spark, silver, ["gold_player_resilience_index", "gold_squad_health_drag", "gold_efficiency_anomalies"]
     )

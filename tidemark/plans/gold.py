@@ -1,8 +1,7 @@
-"""Gold layer: serving views and upserted gold tables.
+"""Gold layer: serving views and upserted gold tables.
 
-Each view exists twice: as Spark SQL text (registered over temp views of the
-silver tables by :func:`register_gold_views`) and as a DataFrame builder.
-Both compile to the same Catalyst plan.
+Each gold view is a DataFrame builder over silver tables;
+:func:`register_gold_views` publishes the builders' plans as SQL views.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.asof import asof_join
 from tidemark.operators.merge import upsert
 from tidemark.operators.windows import rolling_avg
-from tidemark.sources.io import register_views, run_view_script
+from tidemark.sources.io import register_views
 
 # Data-governance status labels and thresholds.
 STATUS_CRITICAL = "🔴 CRITICAL"
@@ -24,76 +23,22 @@ STATUS_HEALTHY = "🟢 HEALTHY"
 CRITICAL_BELOW = 0.95
 WARNING_BELOW = 0.99
 
-GOLD_VIEW_SQL: dict[str, str] = {
-    "gold_player_resilience_index": """
-        CREATE OR REPLACE TEMP VIEW gold_player_resilience_index AS
-        SELECT p.id AS player_id, p.player_name, i.availability_coefficient
-        FROM silver_dim_player p
-        JOIN silver_analytics_player_injury_summary i ON p.id = i.player_id
-        WHERE i.is_current = true""",
-    "gold_squad_health_drag": """
-        CREATE OR REPLACE TEMP VIEW gold_squad_health_drag AS
-        SELECT m.match_id, t.title AS home_team_title, d.active_injured_count, d.total_squad_xg_drag
-        FROM silver_fact_match m
-        JOIN silver_dim_team t ON m.team_h = t.id
-        JOIN silver_analytics_match_squad_health_deficit d
-          ON m.match_id = d.match_id AND m.team_h = d.team_id""",
-    "gold_efficiency_anomalies": """
-        CREATE OR REPLACE TEMP VIEW gold_efficiency_anomalies AS
-        SELECT m.match_id, t.title AS home_team_title,
-               (CAST(m.pts AS DOUBLE) - CAST(m.xpts AS DOUBLE)) AS points_mismatch_differential,
-               d.total_squad_xg_drag
-        FROM silver_fact_match m
-        JOIN silver_dim_team t ON m.team_h = t.id
-        JOIN silver_analytics_match_squad_health_deficit d
-          ON m.match_id = d.match_id AND m.team_h = d.team_id""",
-    "gold_team_health_performance": """
-        CREATE OR REPLACE TEMP VIEW gold_team_health_performance AS
-        WITH current_injuries AS (
-            SELECT team_id, COUNT(player_id) AS active_injuries
-            FROM dim_players
-            WHERE is_current = true AND injury_status IS NOT NULL
-            GROUP BY team_id)
-        SELECT t.team_name, f.snapshot_date,
-               SUM(f.xg) AS total_xg,
-               SUM(f.actual_goals) AS total_goals,
-               COALESCE(i.active_injuries, 0) AS injured_player_count,
-               ROUND(SUM(f.actual_goals) - SUM(f.xg), 2) AS finishing_efficiency
-        FROM fact_match_stats f
-        JOIN dim_teams t ON f.team_id = t.team_id
-        LEFT JOIN current_injuries i ON f.team_id = i.team_id
-        GROUP BY ALL""",
-    "gold_historical_player_impact": """
-        CREATE OR REPLACE TEMP VIEW gold_historical_player_impact AS
-        SELECT p.player_name, p.team_name, f.snapshot_date, f.xg, p.injury_status,
-               CASE WHEN p.injury_status IS NOT NULL THEN 'Unavailable' ELSE 'Available' END
-                 AS availability_status
-        FROM fact_match_stats f
-        JOIN dim_players p
-          ON f.player_id = p.player_id
-         AND f.snapshot_date >= CAST(p.effective_from AS DATE)
-         AND (f.snapshot_date < CAST(p.effective_to AS DATE) OR p.effective_to IS NULL)""",
-    "gold_data_governance_report": f"""
-        CREATE OR REPLACE TEMP VIEW gold_data_governance_report AS
-        SELECT table_name, dimension, metric_name, metric_value,
-               CASE
-                 WHEN unit = 'proportion' AND metric_value < {CRITICAL_BELOW} THEN '{STATUS_CRITICAL}'
-                 WHEN unit = 'proportion' AND metric_value < {WARNING_BELOW} THEN '{STATUS_WARNING}'
-                 ELSE '{STATUS_HEALTHY}'
-               END AS status,
-               check_timestamp
-        FROM dq_metrics
-        WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM dq_metrics)""",
-}
-
-
 def register_gold_views(
     spark: SparkSession, silver: Mapping[str, DataFrame], views: Sequence[str] | None = None
 ) -> None:
-    """Expose the silver tables, then (re)create the gold views over them."""
+    """Expose the silver tables, then (re)create the gold views over them.
+
+    Each view is the plan of its builder below registered under the view's
+    name, so SQL users and DataFrame users read the same Catalyst plan.
+    Views whose inputs are missing from ``silver`` are skipped unless named.
+    """
     register_views(spark, silver)
-    names = list(views) if views is not None else list(GOLD_VIEW_SQL)
-    run_view_script(spark, [GOLD_VIEW_SQL[n] for n in names])
+    names = list(views) if views is not None else [
+        n for n, (inputs, _) in GOLD_VIEWS.items() if all(i in silver for i in inputs)
+    ]
+    for name in names:
+        inputs, build = GOLD_VIEWS[name]
+        build(*[silver[i] for i in inputs]).createOrReplaceTempView(name)
 
 
 # ------------------------------------------------------------- DataFrame twins
@@ -257,3 +202,26 @@ def build_data_governance_report(dq_metrics: DataFrame) -> DataFrame:
 def upsert_gold(target: DataFrame, source: DataFrame, pk: Sequence[str]) -> DataFrame:
     """``INSERT OR REPLACE`` a query result into a PK gold table."""
     return upsert(target, source, pk)
+
+
+# View name -> (silver inputs in argument order, builder).
+GOLD_VIEWS = {
+    "gold_player_resilience_index": (
+        ("silver_dim_player", "silver_analytics_player_injury_summary"),
+        build_resilience_index,
+    ),
+    "gold_squad_health_drag": (
+        ("silver_fact_match", "silver_dim_team", "silver_analytics_match_squad_health_deficit"),
+        build_squad_health_drag,
+    ),
+    "gold_efficiency_anomalies": (
+        ("silver_fact_match", "silver_dim_team", "silver_analytics_match_squad_health_deficit"),
+        build_efficiency_anomalies,
+    ),
+    "gold_team_health_performance": (
+        ("fact_match_stats", "dim_teams", "dim_players"),
+        build_team_health_performance,
+    ),
+    "gold_historical_player_impact": (("fact_match_stats", "dim_players"), build_historical_player_impact),
+    "gold_data_governance_report": (("dq_metrics",), build_data_governance_report),
+}
