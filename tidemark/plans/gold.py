@@ -41,7 +41,7 @@ def register_gold_views(
         build(*[silver[i] for i in inputs]).createOrReplaceTempView(name)
 
 
-# ------------------------------------------------------------- DataFrame twins
+# ------------------------------------------------------------- view builders
 
 
 def build_injury_summary(injuries: DataFrame, status: str = "Injured") -> DataFrame:
