@@ -21,10 +21,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import hash_key
+from tidemark.functions.exprs import OPEN_END, hash_key
 from tidemark.functions.text import WHITESPACE_CLASS_RE2, clean_whitespace
 from tidemark.operators import dq as dqm
-from tidemark.operators.asof import asof_join, month_index
+from tidemark.operators.asof import asof_join, inside_closed, month_index
 from tidemark.operators.dedup import keep_first, union_keep_existing
 from tidemark.operators.extract import extract_id_title, extract_json_fields, extract_league_players, extract_page_links
 from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
@@ -215,6 +215,16 @@ def q_injuries_string_dates(spark, d):
     return load_silver_injuries(load_silver_injuries(empty, first), second)
 
 
+def q_timeline_conflicts(spark, d):
+    """G5's containment test as a report: purchase events dated inside a
+    *closed* status slice of their user (a (key, month) semi join)."""
+    t = Tables(spark, d)
+    events = t.events.filter(F.col("event_type") == "purchase").select(
+        "event_id", F.col("user_id").alias("player_id"), F.to_date("ts").alias("event_date")
+    )
+    return inside_closed(events, status_history(t), ["player_id"], "event_date", open_end=OPEN_END)
+
+
 def q_point_in_time(spark, d):
     t = Tables(spark, d)
     dim = status_history(t).select(
@@ -581,6 +591,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_backfill": q_scd2_backfill,
     "injuries_string_dates": q_injuries_string_dates,
     "point_in_time": q_point_in_time,
+    "timeline_conflicts": q_timeline_conflicts,
     "resolve_ok": q_resolve_ok,
     "resolve_unmatched": q_resolve_unmatched,
     "resolve_warn": q_resolve_warn,
@@ -809,6 +820,12 @@ SELECT player_id, status, valid_from, valid_to, valid_to = DATE '9999-12-31' AS
     "injuries_string_dates": "WITH " + _TIMELINE + """
 SELECT player_id, status, strftime(valid_from, '%Y-%m-%d') AS valid_from, strftime(valid_to, '%Y-%m-%d') AS valid_to
 FROM tl""",
+    "timeline_conflicts": "WITH " + _TIMELINE + """
+SELECT e.event_id, e.user_id AS player_id, CAST(e.ts AS DATE) AS event_date
+FROM events e
+WHERE e.event_type = 'purchase' AND EXISTS (
+  SELECT 1 FROM tl WHERE tl.player_id = e.user_id AND NOT tl.is_current
+     AND CAST(e.ts AS DATE) >= tl.valid_from AND CAST(e.ts AS DATE) < tl.valid_to)""",
     "point_in_time": "WITH " + _TIMELINE + """,
 p AS (SELECT player_id, status, valid_from, CASE WHEN is_current THEN NULL ELSE valid_to END AS valid_to FROM tl)
 SELECT e.event_id, e.user_id AS player_id, CAST(e.ts AS DATE) AS snapshot_date, e.value AS xg, p.status,
