@@ -32,7 +32,13 @@ from tidemark.operators.loads import load_silver_matches, load_silver_teams, ups
 from tidemark.operators.merge import upsert
 from tidemark.operators.metrics import compute_match_squad_health_deficit, compute_player_injury_summary, player_baselines
 from tidemark.operators.resolve import resolve_entities, resolve_player_entities
-from tidemark.operators.scd2 import latest_per_period, load_silver_injuries, scd2_apply, upsert_dim_players_scd2
+from tidemark.operators.scd2 import (
+    latest_per_period,
+    load_silver_injuries,
+    process_injury_scd2,
+    scd2_apply,
+    upsert_dim_players_scd2,
+)
 from tidemark.operators.setops import set_difference, union_by_name
 from tidemark.operators.windows import rolling_avg
 from tidemark.plans import gold
@@ -225,6 +231,40 @@ def q_timeline_conflicts(spark, d):
     return inside_closed(events, status_history(t), ["player_id"], "event_date", open_end=OPEN_END)
 
 
+# Fixed parameters: value bands used as the status of the category history.
+BAND_LOW, BAND_HIGH = 100, 300
+
+
+def q_injury_categories(spark, d):
+    """D3 preset keyed by (player, category): per user and event type, the
+    value band of the day's last event; two loads with the logical-date gate
+    (G1) and the one-event-per-key-and-date gate (G4)."""
+    t = Tables(spark, d)
+    band = (
+        F.when(F.col("value") < BAND_LOW, "low").when(F.col("value") < BAND_HIGH, "mid").otherwise("high")
+    )
+    ev = t.events.select(
+        F.col("user_id").alias("player_id"),
+        F.col("event_type").alias("category"),
+        band.alias("status"),
+        "ts",
+        "event_id",
+    )
+    daily = latest_per_period(ev, ["player_id", "category"], "ts", ["status"], tiebreak=["event_id"])
+    target = daily.limit(0).select(
+        "player_id",
+        "category",
+        "status",
+        F.col("effective_date").alias("valid_from"),
+        F.col("effective_date").alias("valid_to"),
+        F.lit(True).alias("is_current"),
+    )
+    first = daily.filter(F.col("effective_date") < F.lit(SPLIT_DATE))
+    second = daily.filter(F.col("effective_date") >= F.lit(SPLIT_DATE))
+    h = process_injury_scd2(target, first, SPLIT_DATE)
+    return process_injury_scd2(h, second, PROCESSING_DATE)
+
+
 def q_point_in_time(spark, d):
     t = Tables(spark, d)
     dim = status_history(t).select(
@@ -590,6 +630,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_apply": q_scd2_apply,
     "scd2_backfill": q_scd2_backfill,
     "injuries_string_dates": q_injuries_string_dates,
+    "injury_categories": q_injury_categories,
     "point_in_time": q_point_in_time,
     "timeline_conflicts": q_timeline_conflicts,
     "resolve_ok": q_resolve_ok,
@@ -826,6 +867,20 @@ FROM events e
 WHERE e.event_type = 'purchase' AND EXISTS (
   SELECT 1 FROM tl WHERE tl.player_id = e.user_id AND NOT tl.is_current
      AND CAST(e.ts AS DATE) >= tl.valid_from AND CAST(e.ts AS DATE) < tl.valid_to)""",
+    "injury_categories": """
+WITH ev AS (
+  SELECT user_id AS player_id, event_type AS category,
+         CASE WHEN value < 100 THEN 'low' WHEN value < 300 THEN 'mid' ELSE 'high' END AS status,
+         CAST(ts AS DATE) AS eff,
+         row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events),
+dd AS (SELECT player_id, category, status, eff FROM ev WHERE rn = 1),
+ch AS (SELECT *, lag(status) OVER (PARTITION BY player_id, category ORDER BY eff) AS prev FROM dd),
+tl AS (
+  SELECT player_id, category, status, eff AS valid_from,
+         COALESCE(lead(eff) OVER (PARTITION BY player_id, category ORDER BY eff), DATE '9999-12-31') AS valid_to
+  FROM ch WHERE prev IS NULL OR prev <> status)
+SELECT player_id, category, status, valid_from, valid_to, valid_to = DATE '9999-12-31' AS is_current FROM tl""",
     "point_in_time": "WITH " + _TIMELINE + """,
 p AS (SELECT player_id, status, valid_from, CASE WHEN is_current THEN NULL ELSE valid_to END AS valid_to FROM tl)
 SELECT e.event_id, e.user_id AS player_id, CAST(e.ts AS DATE) AS snapshot_date, e.value AS xg, p.status,
