@@ -12,6 +12,7 @@ from tidemark.functions.exprs import (  # noqa: F401
 )
 from tidemark.functions.text import (  # noqa: F401
     clean_injury_text,
+    clean_string_whitespace,
     clean_whitespace,
     decode_entities,
     html_text,
