@@ -18,7 +18,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import OPEN_END, hash_key
@@ -26,7 +26,14 @@ from tidemark.functions.text import WHITESPACE_CLASS_RE2, clean_whitespace
 from tidemark.operators import dq as dqm
 from tidemark.operators.asof import asof_join, inside_closed, month_index
 from tidemark.operators.dedup import keep_first, union_keep_existing
-from tidemark.operators.extract import extract_id_title, extract_json_fields, extract_league_players, extract_page_links
+from tidemark.operators.extract import (
+    extract_id_title,
+    extract_json_fields,
+    extract_league_players,
+    extract_page_links,
+    extract_rosters,
+    extract_shots,
+)
 from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
 from tidemark.operators.loads import load_silver_matches, load_silver_teams, upsert_dim_teams
 from tidemark.operators.merge import upsert
@@ -606,6 +613,55 @@ def q_extract_players_json(spark, d):
     return extract_league_players(payloads)
 
 
+def match_payloads(t: Tables) -> DataFrame:
+    """One match JSON document per order, built by Spark from its line items.
+
+    Lines are numbered within their order (a window over one order's lines)
+    to give each entry an id; odd line numbers form the home side. Rosters
+    are maps keyed by that id, shots are lists. Each group is one order.
+    """
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus", "l_shipdate"]
+    li = t.lineitem.withColumn(
+        "_pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)).cast("string")
+    ).withColumn("_side", F.when(F.col("l_linenumber") % 2 == 1, "h").otherwise("a"))
+    position = F.when(F.col("l_returnflag") == "R", "Sub").when(F.col("l_returnflag") == "A", "DF")
+    roster_entry = F.struct(
+        F.col("l_suppkey").cast("string").alias("player_id"),
+        F.concat(F.lit("Supplier#"), F.col("l_suppkey").cast("string")).alias("player"),
+        position.alias("position"),
+        F.col("l_quantity").cast("int").cast("string").alias("time"),
+    )
+    shot_entry = F.struct(
+        F.col("_pos").alias("id"),
+        F.col("l_suppkey").cast("string").alias("player_id"),
+        F.col("l_orderkey").cast("string").alias("match_id"),
+        F.concat(F.lit("Supplier#"), F.col("l_suppkey").cast("string")).alias("player"),
+        F.col("l_discount").cast("string").alias("xG"),
+        F.col("l_linenumber").cast("string").alias("minute"),
+        F.col("l_returnflag").alias("result"),
+    )
+    per_side = li.groupBy("l_orderkey", "_side").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("_pos"), roster_entry))).alias("roster"),
+        F.collect_list(shot_entry).alias("shots"),
+    )
+    doc = per_side.groupBy("l_orderkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("_side", "roster"))).alias("rosters"),
+        F.map_from_entries(F.collect_list(F.struct("_side", "shots"))).alias("shots"),
+    )
+    return doc.select(F.col("l_orderkey").alias("payload_id"), F.to_json(F.struct("rosters", "shots")).alias("body"))
+
+
+def q_extract_rosters_json(spark, d):
+    """X2 over per-order match documents derived from the line items."""
+    return extract_rosters(match_payloads(Tables(spark, d)))
+
+
+def q_extract_shots_json(spark, d):
+    """X3 over per-order match documents derived from the line items."""
+    return extract_shots(match_payloads(Tables(spark, d)))
+
+
 def q_extract_id_title_json(spark, d):
     """X5 over map-shaped payloads Spark derives per customer."""
     t = Tables(spark, d)
@@ -657,6 +713,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_json": q_extract_json,
     "extract_players_json": q_extract_players_json,
     "extract_id_title_json": q_extract_id_title_json,
+    "extract_rosters_json": q_extract_rosters_json,
+    "extract_shots_json": q_extract_shots_json,
     "extract_grid": q_extract_grid,
     "set_diff": q_set_diff,
     "union_missing": q_union_missing,
@@ -812,6 +870,15 @@ FROM items
 """
 
 
+_MATCH_LINES = """
+WITH lines AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+                 l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS VARCHAR) AS pos,
+         CASE WHEN l_linenumber % 2 = 1 THEN 'h' ELSE 'a' END AS side
+  FROM lineitem)
+"""
+
+
 def _html_text_sql(expr: str) -> str:
     out = f"regexp_replace({expr}, '<[^>]*>', '', 'g')"
     for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
@@ -990,6 +1057,18 @@ SELECT s.s_suppkey AS payload_id, CAST(s.s_suppkey AS VARCHAR) AS player_id, s.s
        CAST(0 AS DOUBLE) AS xg_chain, CAST(0 AS DOUBLE) AS xg_buildup
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "extract_id_title_json": "SELECT c_custkey AS payload_id, CAST(c_custkey AS INTEGER) AS id, c_name AS title FROM customer",
+    "extract_rosters_json": _MATCH_LINES + """
+SELECT l_orderkey AS payload_id, pos AS roster_id, CAST(l_suppkey AS VARCHAR) AS player_id,
+       'Supplier#' || CAST(l_suppkey AS VARCHAR) AS player_name,
+       (CASE WHEN l_returnflag = 'R' THEN 'Sub' WHEN l_returnflag = 'A' THEN 'DF' END) IS DISTINCT FROM 'Sub' AS is_start,
+       CASE WHEN l_returnflag = 'R' THEN 'Sub' WHEN l_returnflag = 'A' THEN 'DF' END AS position,
+       CAST(l_quantity AS INTEGER) AS minutes, side AS team_side
+FROM lines""",
+    "extract_shots_json": _MATCH_LINES + """
+SELECT l_orderkey AS payload_id, pos AS id, 'Supplier#' || CAST(l_suppkey AS VARCHAR) AS player,
+       CAST(l_suppkey AS VARCHAR) AS player_id, CAST(l_orderkey AS VARCHAR) AS match_id, l_discount AS xg,
+       l_linenumber AS minute, l_returnflag AS result, side AS team_side
+FROM lines""",
     "extract_json": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "extract_grid": _PAGE_LINKS.replace("{clean_section}", _html_text_sql("section")).replace(
         "{clean_link}", _html_text_sql("regexp_extract(row, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2)")
