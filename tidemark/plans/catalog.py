@@ -30,6 +30,7 @@ from tidemark.operators.extract import (
     extract_id_title,
     extract_json_fields,
     extract_league_players,
+    extract_match_info,
     extract_page_links,
     extract_rosters,
     extract_shots,
@@ -662,6 +663,34 @@ def q_extract_shots_json(spark, d):
     return extract_shots(match_payloads(Tables(spark, d)))
 
 
+# Characters a match page escapes as \xNN inside JSON.parse('...').
+PAGE_ESCAPES = (("{", "\\x7B"), ("}", "\\x7D"), ('"', "\\x22"), (":", "\\x3A"), (",", "\\x2C"))
+
+
+def q_extract_match_info(spark, d):
+    """X4 over match pages Spark renders per order (escaped JSON in a script)."""
+    t = Tables(spark, d)
+    info = F.to_json(
+        F.struct(
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.col("c_name").alias("team_h"),
+            F.col("n_name").alias("team_a"),
+            F.substring("o_orderpriority", 1, 1).alias("h_goals"),
+            F.col("o_totalprice").cast("string").alias("h_xg"),
+            F.to_date("o_orderdate").cast("string").alias("date"),
+        )
+    )
+    for ch, esc in PAGE_ESCAPES:
+        info = F.replace(info, F.lit(ch), F.lit(esc))
+    page = F.concat(F.lit("<html><script>var match_info = JSON.parse('"), info, F.lit("');</script></html>"))
+    pages = (
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(F.col("o_orderkey").alias("payload_id"), page.alias("html"))
+    )
+    return extract_match_info(pages)
+
+
 def q_extract_id_title_json(spark, d):
     """X5 over map-shaped payloads Spark derives per customer."""
     t = Tables(spark, d)
@@ -715,6 +744,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_id_title_json": q_extract_id_title_json,
     "extract_rosters_json": q_extract_rosters_json,
     "extract_shots_json": q_extract_shots_json,
+    "extract_match_info": q_extract_match_info,
     "extract_grid": q_extract_grid,
     "set_diff": q_set_diff,
     "union_missing": q_union_missing,
@@ -1069,6 +1099,11 @@ SELECT l_orderkey AS payload_id, pos AS id, 'Supplier#' || CAST(l_suppkey AS VAR
        CAST(l_suppkey AS VARCHAR) AS player_id, CAST(l_orderkey AS VARCHAR) AS match_id, l_discount AS xg,
        l_linenumber AS minute, l_returnflag AS result, side AS team_side
 FROM lines""",
+    "extract_match_info": """
+SELECT o.o_orderkey AS payload_id, CAST(o.o_orderkey AS VARCHAR) AS match_id, c.c_name AS home_team,
+       n.n_name AS away_team, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS home_goals, 0 AS away_goals,
+       o.o_totalprice AS home_xg, CAST(0 AS DOUBLE) AS away_xg, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS match_date
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "extract_json": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "extract_grid": _PAGE_LINKS.replace("{clean_section}", _html_text_sql("section")).replace(
         "{clean_link}", _html_text_sql("regexp_extract(row, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2)")
