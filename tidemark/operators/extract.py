@@ -277,6 +277,8 @@ def carry_down_rows(
     heading_split: str,
     heading_text: str,
     row_pattern: str,
+    keep: Sequence[str] = (),
+    outer: bool = False,
 ) -> DataFrame:
     """Rows of a document, each tagged with the nearest heading above it.
 
@@ -284,18 +286,22 @@ def carry_down_rows(
     0 precedes the first heading. ``heading_text`` captures the heading from
     the start of its segment; ``row_pattern`` matches the rows of a segment.
     The carry-down needs no window and no shuffle: a row's heading is the one
-    that starts its segment. Output: key, section_pos, row_pos, section, row.
+    that starts its segment. Output: key, ``keep`` columns, section_pos,
+    row_pos, section, row. ``outer`` keeps pages and segments without rows
+    (with NULL positions and row), which lets gates see every page.
     """
-    segs = pages.select(key, F.posexplode(F.split(F.col(html), heading_split)).alias("section_pos", "_seg"))
+    explode = F.posexplode_outer if outer else F.posexplode
+    segs = pages.select(key, *keep, explode(F.split(F.col(html), heading_split)).alias("section_pos", "_seg"))
     segs = segs.withColumn(
         "section",
         F.when(F.col("section_pos") > 0, F.regexp_extract("_seg", heading_text, 1)),
     )
     rows = segs.select(
         key,
+        *keep,
         "section_pos",
         "section",
-        F.posexplode(F.regexp_extract_all("_seg", F.lit(row_pattern), 0)).alias("row_pos", "row"),
+        explode(F.regexp_extract_all("_seg", F.lit(row_pattern), 0)).alias("row_pos", "row"),
     )
     return rows
 
@@ -311,35 +317,51 @@ DATA_ID = "\\bdata-id=\"([^\"]*)\""
 
 
 def _grid_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
-    x = pages.select(key, F.col(html).alias("_html"))
-    _raise_if(x, ~F.col("_html").rlike(GRID_TABLE), SelectorNotFoundError(f"{MSG_GRID_MISSING} in page"))
-    rows = carry_down_rows(x, key, "_html", GRID_HEADING, GRID_TEAM, GRID_ROW)
+    """Every page with its player rows and their cells; pages without a grid
+    or without rows are kept (``_has_table`` flag, NULL row) for the gates."""
+    x = pages.select(key, F.col(html).alias("_html"), F.col(html).rlike(GRID_TABLE).alias("_has_table"))
+    rows = carry_down_rows(x, key, "_html", GRID_HEADING, GRID_TEAM, GRID_ROW, keep=["_has_table"], outer=True)
     return rows.withColumn("_cells", F.regexp_extract_all("row", F.lit(GRID_CELL), 1))
 
 
+def _cell_text(cells: Column, i: int, label: str) -> Column:
+    return clean_injury_text(html_text_keep_label(F.get(cells, i)), label)
+
+
 def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "html") -> DataFrame:
     """Team-tagged injury rows (rows with at least six cells).
 
     The team comes from the nearest heading row above; each cell is cleaned
-    by :func:`clean_injury_text` with its mobile label. A player twice on one
-    page raises ``IntraBatchDuplicateError``.
+    by :func:`clean_injury_text` with its mobile label. Both gates — a page
+    without the grid (``SelectorNotFoundError``) and a player twice on one
+    page (``IntraBatchDuplicateError``) — are checked in one aggregation.
     """
-    rows = _grid_rows(pages, key, html).filter(F.size("_cells") >= 6)
+    rows = _grid_rows(pages, key, html)
+    full = F.coalesce(F.size("_cells"), F.lit(0)) >= 6
+    player = F.when(full, _cell_text(F.col("_cells"), 0, GRID_LABELS[0]))
+    per_player = rows.groupBy(key, player.alias("_player")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.col("_has_table").cast("int")).alias("_has")
+    )
+    check = per_player.agg(
+        F.count_if(F.col("_has") == 0).alias("no_table"),
+        F.max(F.when(F.col("_player").isNotNull(), F.col("_n"))).alias("most"),
+        F.max_by(F.col("_player"), F.when(F.col("_player").isNotNull(), F.col("_n"))).alias("dup"),
+    ).first()
+    if check["no_table"]:
+        raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
+    if check["most"] is not None and check["most"] > 1:
+        raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {check['dup']}")
     cells = [
-        clean_injury_text(html_text_keep_label(F.col("_cells")[i]), label).alias(name)
+        _cell_text(F.col("_cells"), i, label).alias(name)
         for i, (label, name) in enumerate(zip(GRID_LABELS, GRID_COLUMNS))
     ]
-    out = rows.select(
+    return rows.filter(full).select(
         key,
         "section_pos",
         "row_pos",
         F.when(F.col("section").isNotNull(), html_text(F.col("section"))).alias("team"),
         *cells,
     )
-    dup = out.groupBy(key, "player_name").count().filter("count > 1").limit(1).collect()
-    if dup:
-        raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {dup[0]['player_name']}")
-    return out
 
 
 def html_text_keep_label(c: Column) -> Column:
@@ -351,32 +373,46 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
     """``(id INT, title STRING)`` from player rows: id from the tracking link
     in the seventh cell, status from the sixth cell without its mobile title.
 
-    Rows with fewer than seven cells or no tracking link are skipped. A row
-    with an empty status raises ValueError, a non-integer id TypeError, and a
-    page with no usable row ValueError.
+    Rows with fewer than seven cells or no tracking link are skipped. Gates,
+    all from one aggregation per page and raised in this order: no grid ->
+    SelectorNotFoundError; no player rows, or no usable row -> ValueError;
+    a usable row with an empty status -> ValueError; a non-integer id ->
+    TypeError.
     """
     rows = _grid_rows(pages, key, html)
-    _raise_if(
-        rows.groupBy(key).count().join(pages.select(key), key, "right").fillna(0, ["count"]),
-        F.col("count") == 0,
-        ValueError("Page has no injury rows"),
-    )
-    rows = rows.filter(F.size("_cells") >= 7)
-    rid = F.regexp_extract(F.regexp_extract(F.col("_cells")[6], TRACK_TAG, 0), DATA_ID, 1)
+    # get() yields NULL past the end: short rows are skipped, not errors.
+    rid = F.trim(F.regexp_extract(F.regexp_extract(F.get("_cells", 6), TRACK_TAG, 0), DATA_ID, 1))
     # Status text: tags and the mobile title removed, outer whitespace
     # stripped, inner whitespace kept.
-    raw_status = decode_entities(strip_html_tags(F.regexp_replace(F.col("_cells")[5], MOB_TITLE, "")))
+    raw_status = decode_entities(strip_html_tags(F.regexp_replace(F.get("_cells", 5), MOB_TITLE, "")))
     status = F.regexp_replace(raw_status, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
-    x = rows.select(key, "section_pos", "row_pos", rid.alias("_id"), status.alias("_status")).filter(
-        F.col("_id") != ""
+    usable = (F.coalesce(F.size("_cells"), F.lit(0)) >= 7) & (F.coalesce(rid, F.lit("")) != "")
+    x = rows.select(
+        key, "_has_table", "row", usable.alias("_ok"), rid.alias("_id"), status.alias("_status")
     )
-    _raise_if(x, F.col("_status") == "", ValueError("Injury row without a status"))
-    _raise_if(
-        x,
-        F.trim("_id").try_cast("int").isNull(),
-        TypeError("Injury row id is not an integer"),
+    per_page = x.groupBy(key).agg(
+        F.min(F.col("_has_table").cast("int")).alias("has"),
+        F.count("row").alias("nrows"),
+        F.count_if(F.col("_ok")).alias("nok"),
+        F.count_if(F.col("_ok") & (F.col("_status") == "")).alias("nostatus"),
+        F.count_if(F.col("_ok") & F.col("_id").try_cast("int").isNull()).alias("badid"),
     )
-    return x.select(key, F.trim("_id").cast("int").alias("id"), F.col("_status").alias("title"))
+    check = per_page.agg(
+        F.count_if(F.col("has") == 0).alias("no_table"),
+        F.count_if((F.col("has") == 1) & (F.col("nrows") == 0)).alias("no_rows"),
+        F.count_if((F.col("nrows") > 0) & (F.col("nok") == 0)).alias("no_usable"),
+        F.sum("nostatus").alias("nostatus"),
+        F.sum("badid").alias("badid"),
+    ).first()
+    if check["no_table"]:
+        raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
+    if check["no_rows"] or check["no_usable"]:
+        raise ValueError("Page has no usable injury rows")
+    if check["nostatus"]:
+        raise ValueError("Injury row without a status")
+    if check["badid"]:
+        raise TypeError("Injury row id is not an integer")
+    return x.filter(F.col("_ok")).select(key, F.col("_id").cast("int").alias("id"), F.col("_status").alias("title"))
 
 
 # Page-analogue patterns — headings are <title> and <h1>, rows are

@@ -28,6 +28,8 @@ from tidemark.operators.asof import asof_join, inside_closed, month_index
 from tidemark.operators.dedup import keep_first, union_keep_existing
 from tidemark.operators.extract import (
     extract_id_title,
+    extract_injury_grid,
+    extract_injury_status,
     extract_json_fields,
     extract_league_players,
     extract_match_info,
@@ -691,6 +693,62 @@ def q_extract_match_info(spark, d):
     return extract_match_info(pages)
 
 
+def injury_pages(t: Tables) -> DataFrame:
+    """One injury-grid page per order, rendered by Spark: a heading row per
+    side (home = customer, away = nation) followed by one player row per line
+    item of that side, rows in line-position order. Each group is one order."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus", "l_shipdate"]
+    li = t.lineitem.withColumn("_pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)))
+
+    def cell(label, value):
+        return F.concat(F.lit(f'<td><div class="mob-title">{label}</div> '), value, F.lit(" </td>"))
+
+    row = F.concat(
+        F.lit('<tr class="player-row team_1">'),
+        cell("Player", F.concat(F.lit("Supplier#"), F.col("l_suppkey").cast("string"), F.lit("-"), F.col("_pos").cast("string"))),
+        cell("Reason", F.col("l_returnflag")),
+        cell("Further Detail", F.concat(F.lit("Apr 09: 'Line "), F.col("l_linenumber").cast("string"), F.lit(".'"))),
+        cell("Potential Return", F.to_date("l_shipdate").cast("string")),
+        cell("Condition", F.col("l_linestatus")),
+        cell("Status", F.concat_ws("/", "l_linestatus", "l_returnflag")),
+        F.lit('<td><a class="track" data-id="'), F.col("l_suppkey").cast("string"), F.lit('">x</a></td></tr>'),
+    )
+    side = F.when(F.col("l_linenumber") % 2 == 1, 0).otherwise(1)
+    rows = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct(side.alias("s"), F.col("_pos").alias("p"), row.alias("r")))).alias("_rows")
+    )
+
+    def side_html(k):
+        return F.array_join(F.transform(F.filter("_rows", lambda x: x["s"] == k), lambda x: x["r"]), "")
+
+    def heading(name):
+        return F.concat(F.lit('<tr class="heading"><td><div class="injury-team">'), name, F.lit("</div></td></tr>"))
+
+    pages = (
+        rows.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    html = F.concat(
+        F.lit('<html><table class="injury-table">'),
+        heading(F.col("c_name")), side_html(0),
+        heading(F.col("n_name")), side_html(1),
+        F.lit("</table></html>"),
+    )
+    return pages.select(F.col("l_orderkey").alias("payload_id"), html.alias("html"))
+
+
+def q_extract_injury_grid(spark, d):
+    """X7 over injury-grid pages rendered per order."""
+    return extract_injury_grid(injury_pages(Tables(spark, d)))
+
+
+def q_extract_injury_status(spark, d):
+    """X8 over the same pages: tracking id and status per player row."""
+    return extract_injury_status(injury_pages(Tables(spark, d)))
+
+
 def q_extract_id_title_json(spark, d):
     """X5 over map-shaped payloads Spark derives per customer."""
     t = Tables(spark, d)
@@ -745,6 +803,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_rosters_json": q_extract_rosters_json,
     "extract_shots_json": q_extract_shots_json,
     "extract_match_info": q_extract_match_info,
+    "extract_injury_grid": q_extract_injury_grid,
+    "extract_injury_status": q_extract_injury_status,
     "extract_grid": q_extract_grid,
     "set_diff": q_set_diff,
     "union_missing": q_union_missing,
@@ -1104,6 +1164,22 @@ SELECT o.o_orderkey AS payload_id, CAST(o.o_orderkey AS VARCHAR) AS match_id, c.
        n.n_name AS away_team, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS home_goals, 0 AS away_goals,
        o.o_totalprice AS home_xg, CAST(0 AS DOUBLE) AS away_xg, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS match_date
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "extract_injury_grid": _MATCH_LINES + """,
+ranked AS (
+  SELECT l.*, c.c_name, n.n_name,
+         CAST(row_number() OVER (PARTITION BY l.l_orderkey, l.side ORDER BY CAST(l.pos AS INTEGER)) - 1 AS INTEGER) AS row_pos
+  FROM lines l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey)
+SELECT l_orderkey AS payload_id, CASE WHEN side = 'h' THEN 1 ELSE 2 END AS section_pos, row_pos,
+       CASE WHEN side = 'h' THEN c_name ELSE n_name END AS team,
+       'Supplier#' || CAST(l_suppkey AS VARCHAR) || '-' || pos AS player_name,
+       l_returnflag AS reason, 'Apr 09: Line ' || CAST(l_linenumber AS VARCHAR) || '.' AS further_detail,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS potential_return, l_linestatus AS condition,
+       l_linestatus || '/' || l_returnflag AS status
+FROM ranked""",
+    "extract_injury_status": """
+SELECT l_orderkey AS payload_id, CAST(l_suppkey AS INTEGER) AS id, l_linestatus || '/' || l_returnflag AS title
+FROM lineitem""",
     "extract_json": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "extract_grid": _PAGE_LINKS.replace("{clean_section}", _html_text_sql("section")).replace(
         "{clean_link}", _html_text_sql("regexp_extract(row, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2)")
