@@ -137,3 +137,12 @@ def test_active_matches(spark):
     import datetime as dt
 
     assert rows(active_matches(dates, dt.date(2024, 1, 5)), "id") == [("1",)]
+
+
+def test_injury_grid_materialized_matches(spark):
+    html = _grid(
+        '<tr class="heading"><td><div class="injury-team">Arsenal</div></td></tr>'
+        + _player_row("Saka", "50%", 7) + _player_row("Odegaard", "Out", 8)
+    )
+    df = spark.createDataFrame([(1, html)], "payload_id INT, html STRING")
+    assert rows(extract_injury_grid(df, materialize=True)) == rows(extract_injury_grid(df))

@@ -328,18 +328,39 @@ def _cell_text(cells: Column, i: int, label: str) -> Column:
     return clean_injury_text(html_text_keep_label(F.get(cells, i)), label)
 
 
-def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "html") -> DataFrame:
+def extract_injury_grid(
+    pages: DataFrame, key: str = "payload_id", html: str = "html", materialize: bool = False
+) -> DataFrame:
     """Team-tagged injury rows (rows with at least six cells).
 
     The team comes from the nearest heading row above; each cell is cleaned
     by :func:`clean_injury_text` with its mobile label. Both gates — a page
     without the grid (``SelectorNotFoundError``) and a player twice on one
     page (``IntraBatchDuplicateError``) — are checked in one aggregation.
+    ``materialize``: parse and clean every page once into the shared
+    checkpoint folder, then gate and return the staged rows (one regex pass
+    instead of two; worth it for large payload tables).
     """
     rows = _grid_rows(pages, key, html)
     full = F.coalesce(F.size("_cells"), F.lit(0)) >= 6
-    player = F.when(full, _cell_text(F.col("_cells"), 0, GRID_LABELS[0]))
-    per_player = rows.groupBy(key, player.alias("_player")).agg(
+    cells = [
+        F.when(full, _cell_text(F.col("_cells"), i, label)).alias(name)
+        for i, (label, name) in enumerate(zip(GRID_LABELS, GRID_COLUMNS))
+    ]
+    staged = rows.select(
+        key,
+        "_has_table",
+        full.alias("_full"),
+        "section_pos",
+        "row_pos",
+        F.when(F.col("section").isNotNull(), html_text(F.col("section"))).alias("team"),
+        *cells,
+    )
+    if materialize:
+        from tidemark.session import cut_lineage
+
+        staged = cut_lineage(staged)
+    per_player = staged.groupBy(key, F.col("player_name").alias("_player")).agg(
         F.count(F.lit(1)).alias("_n"), F.min(F.col("_has_table").cast("int")).alias("_has")
     )
     check = per_player.agg(
@@ -351,17 +372,7 @@ def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "
         raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
     if check["most"] is not None and check["most"] > 1:
         raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {check['dup']}")
-    cells = [
-        _cell_text(F.col("_cells"), i, label).alias(name)
-        for i, (label, name) in enumerate(zip(GRID_LABELS, GRID_COLUMNS))
-    ]
-    return rows.filter(full).select(
-        key,
-        "section_pos",
-        "row_pos",
-        F.when(F.col("section").isNotNull(), html_text(F.col("section"))).alias("team"),
-        *cells,
-    )
+    return staged.filter(F.col("_full")).select(key, "section_pos", "row_pos", "team", *GRID_COLUMNS)
 
 
 def html_text_keep_label(c: Column) -> Column:

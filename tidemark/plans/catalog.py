@@ -740,8 +740,8 @@ def injury_pages(t: Tables) -> DataFrame:
 
 
 def q_extract_injury_grid(spark, d):
-    """X7 over injury-grid pages rendered per order."""
-    return extract_injury_grid(injury_pages(Tables(spark, d)))
+    """X7 over injury-grid pages rendered per order (parsed once, staged)."""
+    return extract_injury_grid(injury_pages(Tables(spark, d)), materialize=True)
 
 
 def q_extract_injury_status(spark, d):
