@@ -146,3 +146,12 @@ def test_injury_grid_materialized_matches(spark):
     )
     df = spark.createDataFrame([(1, html)], "payload_id INT, html STRING")
     assert rows(extract_injury_grid(df, materialize=True)) == rows(extract_injury_grid(df))
+
+
+def test_injury_status_materialized_matches(spark):
+    html = _grid(_player_row("Saka", "50%", 7) + _player_row("Kane", "Doubt"))
+    df = spark.createDataFrame([(1, html)], "payload_id INT, html STRING")
+    assert rows(extract_injury_status(df, materialize=True)) == rows(extract_injury_status(df)) == [(1, 7, "50%")]
+    empty = spark.createDataFrame([(1, _grid(""))], "payload_id INT, html STRING")
+    with pytest.raises(ValueError):
+        extract_injury_status(empty, materialize=True)

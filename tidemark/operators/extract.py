@@ -380,7 +380,9 @@ def html_text_keep_label(c: Column) -> Column:
     return decode_entities(strip_html_tags(c))
 
 
-def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str = "html") -> DataFrame:
+def extract_injury_status(
+    pages: DataFrame, key: str = "payload_id", html: str = "html", materialize: bool = False
+) -> DataFrame:
     """``(id INT, title STRING)`` from player rows: id from the tracking link
     in the seventh cell, status from the sixth cell without its mobile title.
 
@@ -388,7 +390,8 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
     all from one aggregation per page and raised in this order: no grid ->
     SelectorNotFoundError; no player rows, or no usable row -> ValueError;
     a usable row with an empty status -> ValueError; a non-integer id ->
-    TypeError.
+    TypeError. ``materialize`` parses once into the shared checkpoint
+    folder before gating, as in :func:`extract_injury_grid`.
     """
     rows = _grid_rows(pages, key, html)
     # get() yields NULL past the end: short rows are skipped, not errors.
@@ -399,11 +402,20 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
     status = F.regexp_replace(raw_status, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
     usable = (F.coalesce(F.size("_cells"), F.lit(0)) >= 7) & (F.coalesce(rid, F.lit("")) != "")
     x = rows.select(
-        key, "_has_table", "row", usable.alias("_ok"), rid.alias("_id"), status.alias("_status")
+        key,
+        "_has_table",
+        F.col("row").isNotNull().alias("_has_row"),
+        usable.alias("_ok"),
+        rid.alias("_id"),
+        status.alias("_status"),
     )
+    if materialize:
+        from tidemark.session import cut_lineage
+
+        x = cut_lineage(x)
     per_page = x.groupBy(key).agg(
         F.min(F.col("_has_table").cast("int")).alias("has"),
-        F.count("row").alias("nrows"),
+        F.count_if(F.col("_has_row")).alias("nrows"),
         F.count_if(F.col("_ok")).alias("nok"),
         F.count_if(F.col("_ok") & (F.col("_status") == "")).alias("nostatus"),
         F.count_if(F.col("_ok") & F.col("_id").try_cast("int").isNull()).alias("badid"),

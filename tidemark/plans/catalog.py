@@ -745,8 +745,8 @@ def q_extract_injury_grid(spark, d):
 
 
 def q_extract_injury_status(spark, d):
-    """X8 over the same pages: tracking id and status per player row."""
-    return extract_injury_status(injury_pages(Tables(spark, d)))
+    """X8 over the same pages: tracking id and status per player row (parsed once, staged)."""
+    return extract_injury_status(injury_pages(Tables(spark, d)), materialize=True)
 
 
 def q_extract_id_title_json(spark, d):
