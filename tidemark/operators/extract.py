@@ -121,16 +121,23 @@ def _sides(payloads: DataFrame, body: str, key: str, root: str, entry_schema: st
     return parsed.select(key, F.posexplode(sides).alias("_side_pos", "_s"))
 
 
-def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
+def extract_rosters(
+    payloads: DataFrame, body: str = "body", key: str = "payload_id", materialize: bool = False
+) -> DataFrame:
     """Both sides' roster maps, home first.
 
     ``roster_id`` is the map key (emitted as player_id by the original
     parser, trap T22) and ``player_id`` the id inside the entry. ``is_start`` is true
     unless the position is 'Sub' (an absent position counts as a start). A
     roster id on both sides of one match raises ``IntraBatchDuplicateError``.
+    ``materialize``: parse once into the shared checkpoint folder, then gate.
     """
     sides = _sides(payloads, body, key, "rosters", ROSTER_ENTRY, as_map=True)
     rows = sides.select(key, "_side_pos", F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("roster_id", "e"))
+    if materialize:
+        from tidemark.session import cut_lineage
+
+        rows = cut_lineage(rows)
     dup = rows.groupBy(key, "roster_id").count().filter("count > 1").limit(1).collect()
     if dup:
         raise IntraBatchDuplicateError(f"{MSG_DUP_ROSTER}: {dup[0]['roster_id']}")
@@ -146,10 +153,20 @@ def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload
     )
 
 
-def extract_shots(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
-    """Both sides' shot lists; keeps player_id/match_id for the fact."""
+def extract_shots(
+    payloads: DataFrame, body: str = "body", key: str = "payload_id", materialize: bool = False
+) -> DataFrame:
+    """Both sides' shot lists; keeps player_id/match_id for the fact.
+
+    A shot id twice in one match raises ``IntraBatchDuplicateError``.
+    ``materialize``: parse once into the shared checkpoint folder, then gate.
+    """
     sides = _sides(payloads, body, key, "shots", SHOT_ENTRY, as_map=False)
     rows = sides.select(key, F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("e"))
+    if materialize:
+        from tidemark.session import cut_lineage
+
+        rows = cut_lineage(rows)
     dup = rows.groupBy(key, F.col("e.id").alias("id")).count().filter("count > 1").limit(1).collect()
     if dup:
         raise IntraBatchDuplicateError(f"{MSG_DUP_SHOT}: {dup[0]['id']}")

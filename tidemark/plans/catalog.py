@@ -657,12 +657,12 @@ def match_payloads(t: Tables) -> DataFrame:
 
 def q_extract_rosters_json(spark, d):
     """X2 over per-order match documents derived from the line items."""
-    return extract_rosters(match_payloads(Tables(spark, d)))
+    return extract_rosters(match_payloads(Tables(spark, d)), materialize=True)
 
 
 def q_extract_shots_json(spark, d):
     """X3 over per-order match documents derived from the line items."""
-    return extract_shots(match_payloads(Tables(spark, d)))
+    return extract_shots(match_payloads(Tables(spark, d)), materialize=True)
 
 
 # Characters a match page escapes as \xNN inside JSON.parse('...').
