@@ -271,7 +271,7 @@ def conflict_gate(
 # ---------------------------------------------------------------- presets
 
 
-def load_silver_injuries(initial_df: DataFrame, batch_df: DataFrame) -> DataFrame:
+def load_silver_injuries(initial_df: DataFrame | None, batch_df: DataFrame) -> DataFrame:
     """Player status history with string dates and a 9999-12-31 open end.
 
     Closed history of affected players is kept (trap T1); several events of
@@ -297,11 +297,15 @@ def update_injury_history(
     return scd2_apply(history_df, batch_df, ["player_id"], ["status"])
 
 
-def process_injury_scd2(target_df: DataFrame, batch_df: DataFrame, logical_date) -> DataFrame:
-    """D3: keyed by (player_id, category), emits ``is_current``; gates G1 then G4."""
+def process_injury_scd2(target_df: DataFrame | None, batch_df: DataFrame, logical_date) -> DataFrame:
+    """D3: keyed by (player_id, category), emits ``is_current``; gates G1 then G4.
+
+    ``target_df=None`` is a cold start."""
     future_date_gate(batch_df, "effective_date", logical_date)
     scd2_batch_overlap_gate(batch_df, ["player_id", "category"], "effective_date")
-    tgt = target_df.drop("is_current") if "is_current" in target_df.columns else target_df
+    tgt = target_df
+    if tgt is not None and "is_current" in tgt.columns:
+        tgt = tgt.drop("is_current")
     return scd2_apply(
         tgt, batch_df, ["player_id", "category"], ["status"], current_col="is_current", check_batch=False
     ).select("player_id", "category", "status", "valid_from", "valid_to", "is_current")

@@ -225,10 +225,7 @@ def q_injuries_string_dates(spark, d):
     ev = status_events(Tables(spark, d)).withColumn("effective_date", F.date_format("effective_date", "yyyy-MM-dd"))
     first = ev.filter(F.col("effective_date") < F.lit(SPLIT_DATE.isoformat()))
     second = ev.filter(F.col("effective_date") >= F.lit(SPLIT_DATE.isoformat()))
-    empty = first.limit(0).select(
-        "player_id", "status", F.col("effective_date").alias("valid_from"), F.col("effective_date").alias("valid_to")
-    )
-    return load_silver_injuries(load_silver_injuries(empty, first), second)
+    return load_silver_injuries(load_silver_injuries(None, first), second)
 
 
 def q_timeline_conflicts(spark, d):
@@ -261,17 +258,9 @@ def q_injury_categories(spark, d):
         "event_id",
     )
     daily = latest_per_period(ev, ["player_id", "category"], "ts", ["status"], tiebreak=["event_id"])
-    target = daily.limit(0).select(
-        "player_id",
-        "category",
-        "status",
-        F.col("effective_date").alias("valid_from"),
-        F.col("effective_date").alias("valid_to"),
-        F.lit(True).alias("is_current"),
-    )
     first = daily.filter(F.col("effective_date") < F.lit(SPLIT_DATE))
     second = daily.filter(F.col("effective_date") >= F.lit(SPLIT_DATE))
-    h = process_injury_scd2(target, first, SPLIT_DATE)
+    h = process_injury_scd2(None, first, SPLIT_DATE)
     return process_injury_scd2(h, second, PROCESSING_DATE)
 
 
