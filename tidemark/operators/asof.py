@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import OPEN_END
+
 
 def month_index(c: Column) -> Column:
     """Months since year 0 — a monotone calendar bucket for dates and timestamps."""
@@ -58,14 +60,14 @@ def asof_join(
     fact_date: str,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    open_end=None,
+    open_end=OPEN_END,
     horizon=None,
     grain: str = "month",
 ) -> DataFrame:
     """Inner join of each fact with the dimension version valid at ``fact_date``.
 
-    ``open_end``: sentinel marking an open version (e.g. 9999-12-31); NULL
-    ``valid_to`` is always open. Open versions are listed up to the
+    ``open_end``: sentinel marking an open version (default 9999-12-31; any
+    end at or after it is open); NULL ``valid_to`` is always open. Open versions are listed up to the
     ``horizon`` bucket: the given date's, else the latest fact bucket (a
     scalar subquery over the fact dates). One equi join on ``(keys,
     bucket)`` with ``grain`` month (default), quarter or year; the facts are
@@ -105,7 +107,7 @@ def inside_closed(
     event_date: str,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    open_end=None,
+    open_end=OPEN_END,
 ) -> DataFrame:
     """Events whose date falls inside a *closed* version of their key (left semi)."""
     d = dim.select(
