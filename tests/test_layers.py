@@ -28,7 +28,7 @@ def _bronze(spark, base):
             "name STRING, team STRING, xg STRING, goals STRING",
         ),
         mapping=put(
-            "mapping", [("B. Saka", "Bukayo Saka"), ("H. Son", "Heung-min Son")], "understat_name STRING, full_name STRING"
+            "mapping", [("B. Saka", "Bukayo Saka"), ("H. Son", "Heung-min Son")], "source_name STRING, full_name STRING"
         ),
         warehouse=os.path.join(base, "wh"),
     )

@@ -114,7 +114,7 @@ def resolve_source(
     bronze_path: str,
     mapping_path: str,
     source_name_col: str,
-    mapping_name_col: str = "understat_name",
+    mapping_name_col: str = "source_name",
     team_col: str = "team_name",
 ):
     """Read a bronze feed and its mapping, inner-join (policy ``warn``).

@@ -31,7 +31,7 @@ class Paths:
     teams_bronze: str  # league teams feed: ``title``
     injuries_bronze: str  # extracted injury grid: player_name, team, reason, ...
     players_bronze: str  # extracted league players: name, team, xg, goals
-    mapping: str  # governance mapping: understat_name -> verified name
+    mapping: str  # governance mapping: source_name -> verified name
     warehouse: str  # shared output folder
 
     def table(self, name: str) -> str:
@@ -49,7 +49,7 @@ def run_silver(spark: SparkSession, paths: Paths, processing_ts: _dt.datetime) -
     )
     incoming = resolved.select(
         "player_id",
-        F.col("understat_name").alias("player_name"),
+        F.col("source_name").alias("player_name"),
         clean_whitespace("team").alias("team_name"),
         "team_id",
         F.col("reason").alias("injury_status"),
