@@ -66,3 +66,21 @@ def test_stream_late_event_does_not_override_later_one(spark, scratch):
     q = start_scd2_stream(spark, os.path.join(src, "*"), first.schema, hist, ckpt, **kw)
     q.awaitTermination()
     assert latest_version(spark, hist) == v
+
+
+def test_contract_against_registry(spark):
+    import datetime as dt
+
+    import pytest
+
+    from tidemark.errors import ContractViolationError
+    from tidemark.operators.dq import check_contract
+
+    spec = SILVER["silver_dim_injury"]
+    good = spark.createDataFrame(
+        [(1, "knee", "Fit", dt.date(2024, 1, 1), dt.date(9999, 12, 31), True)], spec.schema
+    )
+    check_contract(good, spec.schema, spec.not_null)
+    bad = good.withColumn("player_id", good["player_id"].cast("string"))
+    with pytest.raises(ContractViolationError, match="player_id"):
+        check_contract(bad, spec.schema, spec.not_null)
