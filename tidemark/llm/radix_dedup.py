@@ -1,8 +1,8 @@
 """Exact dedup by distributed MSD radix partitioning.
 
-Documents are split by the leading bytes of their normalised text, the
-groups so made by the next bytes, and so on, until a group is a single
-document or its texts have ended. Groups that end together are equal by
+Documents are split by the length and the leading bytes of their normalised
+text, the groups so made by the next bytes, and so on, until a group is a
+single document or its texts have ended. Groups that end together are equal by
 construction: every byte has been compared, no digest decides.
 
 One round is one grouping and one join. The number of bytes read per round
@@ -23,7 +23,7 @@ from tidemark.llm.staging import shared_folder, stage, stage_at
 
 #: Bytes compared in the first round, and the factor from round to round.
 FIRST_BYTES = 32
-GROWTH = 4
+GROWTH = 16
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -54,15 +54,21 @@ def radix_dedup(
     base = docs.select(F.col(id_col).alias("id"), F.encode(normalised(text_col), "UTF-8").alias("bytes")).select(
         "id",
         F.sha2("bytes", 256).alias("sha"),
+        F.length("bytes").alias("size"),
         F.substring("bytes", 1, first_bytes).alias("chunk"),
         F.expr(f"substring(bytes, {first_bytes + 1})").alias("tail"),
     )
     # Round one: openings that occur twice; everything else is already single.
     repeated = stage(
-        base.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("chunk").alias("opening")),
+        base.groupBy("size", "chunk")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select(F.col("size").alias("opening_size"), F.col("chunk").alias("opening")),
         "radix-openings",
     )
-    first = base.join(repeated, base.chunk == repeated.opening, "left")
+    # The number of repeated openings grows with the table: merged, never broadcast.
+    same = (base["size"] == repeated["opening_size"]) & (base["chunk"] == repeated["opening"])
+    first = base.join(repeated.hint("merge"), same, "left")
     path = shared_folder(spark, "radix-first")
     is_open = F.col("opening").isNotNull()
     opened = stage_at(
@@ -71,7 +77,7 @@ def radix_dedup(
             "id",
             "sha",
             is_open.alias("open"),
-            F.lit(0).cast("long").alias("grp"),
+            F.col("size").cast("long").alias("grp"),
             F.when(is_open, F.concat("chunk", "tail")).alias("tail"),
         ),
         path,
