@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, pfor, radix_dedup
+from tidemark.llm import minhash, packing, pfor, radix_dedup
 from tidemark.sources.tables import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -26,7 +26,20 @@ def op7_radix_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.radix_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pfor_blocks, op3_ffd_packing, op7_radix_exact_dedup)}
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of ``documents`` on two-word shingles at 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_pfor_blocks,
+        op3_ffd_packing,
+        op7_radix_exact_dedup,
+        op10_minhash_near_dedup,
+    )
+}
 
 ORACLE_SQL = {
     "op7_radix_exact_dedup": r"""
