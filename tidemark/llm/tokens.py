@@ -10,6 +10,7 @@ the library's normalizer, pre-tokenizer and model.
 from __future__ import annotations
 
 import json
+import string
 from functools import lru_cache
 
 import numpy as np
@@ -22,6 +23,19 @@ CACHE_CHUNK_BYTES = 64
 # Fixed value: the normaliser steps under which chunks can be encoded apart.
 _SPLITTABLE_NORMALIZER = ["NFC", "Replace", "Lowercase"]
 
+_PUNCTUATION = string.punctuation.encode()
+
+
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies.
+
+    Printable bytes stand for themselves, the others for the characters from
+    U+0100 on, in order.
+    """
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
+
 
 def drops_white_space(config: dict) -> bool:
     """Whether a tokenizer's ids of a text are those of its white-space chunks.
@@ -60,6 +74,7 @@ class ChunkEncoder(dict):
         self.by_chunk = drops_white_space(config)
         self.special = [t["content"].encode() for t in config["added_tokens"]]
         self.model = self.tokenizer.model
+        self.symbols = byte_symbols()
         self.limit = limit
 
     def __missing__(self, chunk: bytes) -> bytes:
@@ -71,14 +86,28 @@ class ChunkEncoder(dict):
         return ids
 
     def _ids(self, chunk: bytes) -> bytes:
-        if chunk.isalpha() and chunk.islower():  # plain a-z: one word, nothing to normalise
-            words = [chunk.decode()]
-        elif any(s in chunk for s in self.special):
+        if chunk.isalpha():  # ASCII letters: one word
+            low = chunk.lower()
+            return self._word(low.decode()) if low == chunk else self[low]
+        if any(s in chunk for s in self.special):
             return self._whole(chunk.decode())
-        else:
-            text = self.tokenizer.normalizer.normalize_str(chunk.decode())
-            words = [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-        return np.array([t.id for w in words for t in self.model.tokenize(w)], dtype="<u4").tobytes()
+        core = chunk.strip(_PUNCTUATION)
+        if core and len(core) < len(chunk):
+            at = chunk.index(core)
+            # Punctuation beside a letter is a word of its own, but for an apostrophe before one ('s, 't).
+            low = core.decode().lower()
+            if low[0].isalpha() and low[-1].isalpha() and chunk[at - 1 : at] != b"'":
+                before, after = chunk[:at], chunk[at + len(core) :]
+                return (self[before] if before else b"") + self[core] + (self[after] if after else b"")
+        text = chunk.decode()
+        if text.isalpha() and max(text) < "\u0100":  # Latin-1 letters: one word, in normal form already
+            return self._word("".join([self.symbols[b] for b in text.lower().encode()]))
+        text = self.tokenizer.normalizer.normalize_str(text)
+        return b"".join(self._word(w) for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word in byte symbols."""
+        return np.array([t.id for t in self.model.tokenize(word)], dtype="<u4").tobytes()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
