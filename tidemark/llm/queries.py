@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, packing, pfor, radix_dedup
+from tidemark.llm import bpe, minhash, packing, pfor, radix_dedup, toxicity
 from tidemark.sources.tables import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -21,6 +22,22 @@ def op3_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a factorization machine."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_numpy_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` encoded by batched merge rounds and decoded again; digests of both."""
+    made = bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return made.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_radix_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal ``documents`` by MSD radix partitioning."""
     return radix_dedup.radix_dedup(table(spark, sf_dir, "documents"))
@@ -36,6 +53,8 @@ QUERIES = {
     for f in (
         op2_pfor_blocks,
         op3_ffd_packing,
+        op5_fm_toxicity,
+        op6_numpy_bpe,
         op7_radix_exact_dedup,
         op10_minhash_near_dedup,
     )

@@ -8,7 +8,7 @@ times 50 and at most 1, so texts of any length compare. The machine scores
 
 so that pairs of terms, such as an insult with a group's name, weigh beyond
 their sum. It is trained by AdaGrad on a bounded sample of labelled rows.
-Only places that at least ten documents of the sample use have weights: a
+Only places that at least four documents of the sample use have weights: a
 rare place would only learn its document's noise. The trained places (a few
 ten thousand) are broadcast, and every whole text is scored where it lies,
 without a shuffle.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 PLACES = 1 << 22
 FACTORS = 4
 #: A place is trained when so many documents of the sample use it.
-LEAST_DOCS = 10
+LEAST_DOCS = 4
 #: Lengths of the word beginnings that are terms too.
 PREFIXES = (4, 5)
 #: Share of the terms at which a place's weight reaches 1.
