@@ -6,12 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, packing, pfor, radix_dedup, toxicity
+from tidemark.llm import bpe, link_graph, minhash, packing, perm_index, pfor, radix_dedup, toxicity
 from tidemark.sources.tables import table
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return perm_index.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op2_pfor_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of ``documents`` written as PFOR shards and read back."""
     return pfor.encode_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
@@ -22,6 +28,11 @@ def op3_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op4_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules, or else by its host's trust and distrust."""
+    return link_graph.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a factorization machine."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -51,8 +62,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_permutation_index,
         op2_pfor_blocks,
         op3_ffd_packing,
+        op4_link_graph_filter,
         op5_fm_toxicity,
         op6_numpy_bpe,
         op7_radix_exact_dedup,
@@ -61,6 +74,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_link_graph_filter": link_graph.judge_sql(),
     "op7_radix_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
