@@ -6,10 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, link_graph, minhash, packing, perm_index, pfor, radix_dedup, toxicity
+from tidemark.llm import (
+    bpe,
+    link_graph,
+    minhash,
+    packing,
+    perm_index,
+    pfor,
+    radix_dedup,
+    tool_links,
+    toxicity,
+    wordpiece,
+)
 from tidemark.sources.tables import table
 
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +66,17 @@ def op7_radix_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.radix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` as calls of the assistant: linked, ordered, checked, serialised."""
+    calls, results = tool_links.reply_calls(table(spark, sf_dir, "conversations"))
+    return tool_links.link(calls, results, {"reply": tool_links.REPLY_SCHEMA})
+
+
+def op9_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every whole document."""
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of ``documents`` on two-word shingles at 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
@@ -69,6 +92,8 @@ QUERIES = {
         op5_fm_toxicity,
         op6_numpy_bpe,
         op7_radix_exact_dedup,
+        op8_tool_call_links,
+        op9_longest_match_counts,
         op10_minhash_near_dedup,
     )
 }
