@@ -10,14 +10,15 @@ the job. :func:`rolling_avg` and :func:`running_sum` therefore
 2. with no hot key, run the plain built-in window (one shuffle, codegen);
 3. otherwise split each hot key into sub-partitions ``(key, bucket)`` by a
    monotone function of the order column and run the window per
-   sub-partition. Only rows within ``|lo|`` of a bucket edge need rows from
-   the previous bucket; those few edge rows (at most ``2*|lo|`` per bucket)
-   get a global position from a per-bucket size prefix and their frames are
-   recomputed from the edge rows alone. The bulk of the data is shuffled
-   once, exactly as in the plain window.
-
-Frames are ``ROWS BETWEEN lo AND hi`` with ``lo < 0`` and ``hi <= 0`` —
-look-back frames, which is what the baseline and form metrics use.
+   sub-partition. What a bucket needs from the earlier ones is one row per
+   bucket: its last ``|lo|`` values (look-back) or its total (running sum).
+   These rows are prefixed per key and joined back, null-safe, to the rows
+   of the bucket. The data itself is shuffled once.
+
+Both paths give the same answer, NULL keys, NULL order values and NULL
+values included. Frames are ``ROWS BETWEEN lo AND hi`` with ``lo < 0`` and
+``hi <= 0`` — look-back frames, which is what the baseline and form metrics
+use.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
 # A key with more rows than this is split into buckets.
 HOT_KEY_ROWS = 5_000_000
@@ -37,26 +39,14 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Detection results per (input plan, key, threshold, limit) in this process.
-# The plain and the split path give identical results, so a stale entry can
-# only pick the slower path, never a wrong answer.
-_HOT_CACHE: dict[tuple, object] = {}
-
-
 def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS):
     """Hot keys as a one-column DataFrame, ``[]`` when there are none, ``None``
     when there are more than ``limit`` (then every key is split).
 
     Nothing is collected: a bounded count (at most ``limit + 1`` rows) proves
-    the frame small enough to broadcast. Repeated checks of the same input
-    plan reuse the first answer.
+    the frame small enough to broadcast.
     """
-    memo = (df.semanticHash(), key, threshold, limit)
-    if memo in _HOT_CACHE:
-        return _HOT_CACHE[memo]
-    result = _detect_hot(df, key, threshold, limit)
-    _HOT_CACHE[memo] = result
-    return result
+    return _detect_hot(df, key, threshold, limit)
 
 
 def _detect_hot(df: DataFrame, key: str, threshold: int, limit: int):
@@ -81,7 +71,7 @@ def _bucketed(df: DataFrame, key: str, split: Column, hot) -> DataFrame:
         return df.withColumn("_b", F.coalesce(split.cast("long"), sentinel))
     if isinstance(hot, DataFrame):
         flags = F.broadcast(hot.select(F.col(key).alias("_hk")).withColumn("_hot", F.lit(True)))
-        x = df.join(flags, df[key] == F.col("_hk"), "left").drop("_hk")
+        x = df.join(flags, df[key].eqNullSafe(F.col("_hk")), "left").drop("_hk")
         b = F.when(F.col("_hot"), split.cast("long"))
         return x.withColumn("_b", F.coalesce(b, sentinel)).drop("_hot")
     b = F.when(F.col(key).isin(list(hot)), split.cast("long"))
@@ -133,55 +123,52 @@ def _plain_rolling(df, key, order, value, lo, hi, out, scale):
     return df.withColumn(out, _avg_from(F.sum(v).over(w), F.count(v).over(w)))
 
 
+def _with_prefix(x: DataFrame, per_bucket: DataFrame, key: str) -> DataFrame:
+    """``x`` with its bucket's row of ``per_bucket`` (key, ``_b``, values); NULL keys match."""
+    named = per_bucket.withColumnsRenamed({key: "_pk", "_b": "_pb"})
+    return x.join(named, x[key].eqNullSafe(F.col("_pk")) & (x["_b"] == F.col("_pb")), "left").drop("_pk", "_pb")
+
+
 def _split_rolling(x, cols, key, order, value, lo, hi, out, scale):
     depth = -lo  # rows of look-back needed at a bucket edge
-    v = _frame_value(F.col(value), scale)
+    x = x.withColumn("_v", _frame_value(F.col(value), scale))
     part = Window.partitionBy(key, "_b")
     wo = part.orderBy(*[_c(o) for o in order])
-    x = (
+    boxed = F.struct("_v")  # collect_list drops bare NULLs
+    # Last values of each bucket: one row per (key, bucket), at most ``depth`` values.
+    ends = (
         x.withColumn("_rn", F.row_number().over(wo))
         .withColumn("_cnt", F.count(F.lit(1)).over(part))
-        .withColumn("_fs", F.sum(v).over(wo.rowsBetween(lo, hi)))
-        .withColumn("_fn", F.count(v).over(wo.rowsBetween(lo, hi)))
-    )
-    # Per-bucket size prefix: one row per (key, bucket), bounded by the bucket count.
-    sizes = x.filter(F.col("_rn") == 1).select(key, "_b", "_cnt")
-    prefix = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(prefix), F.lit(0))).select(
-        key, "_b", "_off"
+        .withColumn("_tail", F.collect_list(boxed).over(wo.rowsBetween(1 - depth, 0)))
+        .filter(F.col("_rn") == F.col("_cnt"))
+        .select(key, "_b", "_tail")
     )
-    edge = (
-        x.filter((F.col("_rn") <= depth) | (F.col("_rn") > F.col("_cnt") - depth))
-        .join(offsets, [key, "_b"])
-        .withColumn("_idx", F.col("_off") + F.col("_rn"))
-    )
-    heads = edge.filter(F.col("_rn") <= depth).select(key, "_b", "_rn", "_idx")
-    contrib = edge.filter(F.col(value).isNotNull()).select(
-        F.col(key).alias("_k"),
-        F.explode(F.sequence(F.col("_idx") - hi, F.col("_idx") - lo)).alias("_t"),
-        F.col("_idx").alias("_src"),
-        v.alias("_v"),
+    # No bucket is empty, so the last ``depth`` values lie in the last ``depth`` buckets.
+    before = Window.partitionBy(key).orderBy("_b").rowsBetween(-depth, -1)
+    carry = ends.select(key, "_b", F.flatten(F.collect_list("_tail").over(before)).alias("_in"))
+    carry = carry.withColumn("_in", F.slice("_in", F.greatest(F.lit(1), F.size("_in") - depth + 1), depth))
+    x = (
+        x.withColumn("_rn", F.row_number().over(wo))
+        .withColumn("_fs", F.sum("_v").over(wo.rowsBetween(lo, hi)))
+        .withColumn("_fn", F.count("_v").over(wo.rowsBetween(lo, hi)))
+        .withColumn("_own", F.collect_list(F.when(F.col("_rn") <= 2 * depth, boxed)).over(wo.rowsBetween(lo, hi)))
     )
+    x = _with_prefix(x, carry, key)
+    # The frame of row ``rn`` starts at carried place size + rn + lo and ends at size + min(0, rn + hi).
+    held = F.coalesce(F.size("_in"), F.lit(0))
+    first = F.greatest(F.lit(1), held + F.col("_rn") + lo)
+    last = held + F.least(F.lit(0), F.col("_rn") + hi)
+    borrowed = F.when(last >= first, F.slice("_in", first, last - first + 1))
+    frame = F.filter(F.concat(F.coalesce(borrowed, F.array().cast(x.schema["_own"].dataType)), "_own"), lambda e: e["_v"].isNotNull())
     zero = F.lit(0.0) if scale is None else F.lit(0).cast(f"decimal(38,{scale})")
-    fixed = (
-        heads.join(contrib, (F.col(key) == F.col("_k")) & (F.col("_idx") == F.col("_t")), "left")
-        .groupBy(key, "_b", "_rn")
-        .agg(F.collect_list(F.when(F.col("_src").isNotNull(), F.struct("_src", "_v"))).alias("_fr"))
-        .select(
-            key,
-            "_b",
-            "_rn",
-            F.aggregate(F.array_sort("_fr"), zero, lambda acc, e: acc + e["_v"]).alias("_xs"),
-            F.size("_fr").alias("_xn"),
-        )
-    )
-    body = x.filter(F.col("_rn") > depth).withColumn(out, _avg_from(F.col("_fs"), F.col("_fn")))
-    head = (
-        x.filter(F.col("_rn") <= depth)
-        .join(fixed, [key, "_b", "_rn"], "left")
-        .withColumn(out, _avg_from(F.col("_xs"), F.coalesce(F.col("_xn"), F.lit(0))))
-    )
-    return body.select(*cols, out).unionByName(head.select(*cols, out))
+    total = F.aggregate(frame, zero, lambda acc, e: (acc + e["_v"]).cast(_sum_type(scale)))
+    at_edge = F.col("_rn") <= depth
+    result = F.when(at_edge, _avg_from(total, F.size(frame))).otherwise(_avg_from(F.col("_fs"), F.col("_fn")))
+    return x.withColumn(out, result).select(*cols, out)
+
+
+def _sum_type(scale: int | None) -> str:
+    return "double" if scale is None else f"decimal(38,{scale})"
 
 
 def running_sum(
@@ -197,8 +184,14 @@ def running_sum(
     """``SUM(value) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED PRECEDING)``.
 
     Hot keys are split into buckets; each row adds the totals of the earlier
-    buckets of its key (a prefix over one row per bucket).
+    buckets of its key (a prefix over one row per bucket). ``split`` needs an
+    integer or decimal ``value``: floating sums depend on their order, and
+    the answer must not depend on the table's size.
     """
+    if split is not None and isinstance(df.schema[value].dataType, FractionalType) and not isinstance(
+        df.schema[value].dataType, DecimalType
+    ):
+        raise ValueError(f"a split running sum needs an integer or decimal value, not {df.schema[value].dataType}")
     if split is not None and hot is None:
         hot = hot_keys(df, key, hot_threshold)
     w = Window.partitionBy(key).orderBy(*[_c(o) for o in order])
@@ -207,11 +200,12 @@ def running_sum(
         return df.withColumn(out, F.sum(value).over(run))
     cols = df.columns
     x = _bucketed(df, key, split, hot)
-    wo = Window.partitionBy(key, "_b").orderBy(*[_c(o) for o in order])
-    x = x.withColumn("_local", F.sum(value).over(wo.rowsBetween(Window.unboundedPreceding, 0)))
     totals = x.groupBy(key, "_b").agg(F.sum(value).alias("_tot"))
     prefix = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.sum("_tot").over(prefix)).select(key, "_b", "_off")
-    y = x.join(offsets, [key, "_b"])
-    total = F.when(F.col("_off").isNull(), F.col("_local")).otherwise(F.col("_local") + F.col("_off"))
+    offsets = totals.select(key, "_b", F.sum("_tot").over(prefix).alias("_off"))
+    wo = Window.partitionBy(key, "_b").orderBy(*[_c(o) for o in order])
+    x = x.withColumn("_local", F.sum(value).over(wo.rowsBetween(Window.unboundedPreceding, 0)))
+    y = _with_prefix(x, offsets, key)
+    kind = df.select(F.sum(value)).schema[0].dataType
+    total = F.coalesce(F.col("_local") + F.col("_off"), F.col("_local"), F.col("_off")).cast(kind)
     return y.withColumn(out, total).select(*cols, out)
