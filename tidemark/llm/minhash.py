@@ -1,18 +1,19 @@
 """MinHash near-duplicate detection: bands, verification, components.
 
 1. One pass over the texts makes each document's set of shingle hashes and
-   from it 200 minima of universal hash functions. They are kept as 40 band
-   keys (five minima each) and one byte of each minimum, the sketch. Two
-   documents at the threshold of 0.8 miss all 40 bands with probability
+   from it 200 minima of universal hash functions. One byte of each is kept,
+   the sketch; 40 band keys hold five bytes each. Two documents at the
+   threshold of 0.8 miss all 40 bands with probability at most
    (1 - 0.8**5)**40 = 1.2e-7.
 2. Documents with the same set become one node, so copies cost no pairs.
 3. A band bucket never lists its pairs. In star rounds each member is tried
    against one chosen member only; confirmed links are joined to components
    and buckets within one component are finished. Buckets that still span
    components are compared by sketch in bounded blocks, only across
-   components, and each member puts forward its likeliest partners first: 8,
-   then 64, then all, until no pair is left untried. So no link between
-   components is lost, whatever a bucket's size.
+   components and in the first bucket that the two share; each member puts
+   forward its 64 likeliest partners and, where it has more, all of them in a
+   second round. So no link between components is lost, whatever a bucket's
+   size.
 4. A pair is confirmed when its sketches agree in 0.62 of the places or more
    (six standard deviations below 0.8) and the full shingle sets meet the
    threshold exactly.
@@ -41,7 +42,7 @@ SHINGLE_WORDS = 5
 #: Members of a bucket compared in one task, squared.
 BLOCK_ROWS = 256
 #: Partners a member puts forward in successive rounds; the last exceeds any block.
-PARTNERS = (8, 64, BLOCK_ROWS)
+PARTNERS = (64, BLOCK_ROWS)
 SEED = 7
 #: Words a worker remembers the hash of.
 CACHE_WORDS = 400_000
@@ -109,14 +110,13 @@ def signatures(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarr
     return out
 
 
-def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key per band, the band's number mixed in."""
-    parts = sig.reshape(len(sig), bands, rows).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sig), bands)).copy()
+def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One number per band: the band's place and its sketch bytes, so equal keys mean equal bytes."""
+    parts = sketches.reshape(len(sketches), bands, rows).astype(np.int64)
+    key = np.broadcast_to(np.arange(bands, dtype=np.int64), (len(sketches), bands)).copy()
     for r in range(rows):
-        key = (key ^ parts[:, :, r]) * _ODD
-        key ^= key >> np.uint64(31)
-    return key.view(np.int64)
+        key = key << 8 | parts[:, :, r]
+    return key
 
 
 def sketch(docs: DataFrame, shingle_words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -134,7 +134,8 @@ def sketch(docs: DataFrame, shingle_words: int, bands: int = BANDS, rows: int =
                 digests, keys, bytes_ = [[None] * len(sets) for _ in range(3)]
                 if filled:
                     sig = signatures([sets[i] for i in filled], a, b)
-                    for i, k, low in zip(filled, band_keys(sig, bands, rows), sig.astype(np.uint8), strict=True):
+                    low_bytes = sig.astype(np.uint8)
+                    for i, k, low in zip(filled, band_keys(low_bytes, bands, rows), low_bytes, strict=True):
                         digests[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                         keys[i], bytes_[i] = k, low.tobytes()
                 yield out.assign(digest=digests, bands=keys, sketch=bytes_)
@@ -337,23 +338,33 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, partners: int) -> DataFra
         right = unit[unit["own"] == unit["j"]]
         if not len(left) or not len(right):
             return None
-        x = np.frombuffer(b"".join(left["sketch"]), dtype=np.uint8).reshape(len(left), -1)
-        y = np.frombuffer(b"".join(right["sketch"]), dtype=np.uint8).reshape(len(right), -1)
         nx, ny = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-        fit = left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
+        fit = left["component"].to_numpy()[:, None] != right["component"].to_numpy()
         fit &= 100 * np.minimum(nx[:, None], ny) >= THRESHOLD_PERCENT * np.maximum(nx[:, None], ny)
         if not fit.any():
             return None
-        rows = np.flatnonzero(fit.any(axis=1))
-        out = []
-        v = right["node"].to_numpy()
-        for r in rows:
-            alike = np.where(fit[r], (x[r] == y).mean(axis=1), 0.0)
-            good = np.flatnonzero(alike >= LEAST_AGREEMENT)
-            best = good[np.argsort(-alike[good], kind="stable")[:partners]]
-            if len(best):
-                out.append(pd.DataFrame({"u": left["node"].iloc[r], "v": v[best], "more": len(good) > partners}))
-        return pd.concat(out) if out else None
+        x = np.frombuffer(b"".join(left["sketch"]), dtype=np.uint8).reshape(len(left), -1)
+        y = np.frombuffer(b"".join(right["sketch"]), dtype=np.uint8).reshape(len(right), -1)
+        band = int(unit["bucket"].iloc[0]) >> 8 * ROWS
+        u, v = left["node"].to_numpy(), right["node"].to_numpy()
+        found_u, found_v, found_more = [], [], []
+        for r in np.flatnonzero(fit.any(axis=1)):
+            few = np.flatnonzero(fit[r])
+            same = x[r] == y[few]
+            alike = same.mean(axis=1)
+            likely = np.flatnonzero(alike >= LEAST_AGREEMENT)
+            # A pair that shares several buckets counts in the first one only.
+            if not len(likely):
+                continue
+            first = same[likely].reshape(len(likely), -1, ROWS).all(axis=2).argmax(axis=1)
+            likely = likely[first == band]
+            best = likely[np.argsort(-alike[likely], kind="stable")[:partners]]
+            found_u.append(np.full(len(best), u[r]))
+            found_v.append(v[few[best]])
+            found_more.append(np.full(len(best), len(likely) > partners))
+        if not found_u:
+            return None
+        return pd.DataFrame({"u": np.concatenate(found_u), "v": np.concatenate(found_v), "more": np.concatenate(found_more)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None

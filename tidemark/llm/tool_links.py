@@ -90,15 +90,11 @@ def check_call(name: str | None, arguments: str | None, schemas: dict[str, dict]
 
 
 def _first_of(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``nth``: 0 for the earliest turn of each identifier, 1 for later ones.
-
-    Of several rows of that turn all are first only if they are equal in
-    turn; ``link`` counts them apart by their content.
-    """
+    """``rows`` with ``nth``: 0 for the earliest turn of each identifier and for null identifiers, 1 for later ones."""
     low = stage(rows.groupBy("conv_id", "call_id").agg(F.min("turn").alias("low")), "first-turns")
     same = rows["conv_id"].eqNullSafe(low["conv_id"]) & (rows["call_id"] == low["call_id"])
-    kept = [rows[c] for c in rows.columns]
-    return rows.join(low, same, "left").select(*kept, (~F.col("turn").eqNullSafe(F.col("low"))).cast("int").alias("nth"))
+    later = F.when(rows["call_id"].isNotNull(), (~F.col("turn").eqNullSafe(F.col("low"))).cast("int")).otherwise(0)
+    return rows.join(low, same, "left").select(*[rows[c] for c in rows.columns], later.alias("nth"))
 
 
 def depths(calls: DataFrame) -> DataFrame:
