@@ -139,19 +139,65 @@ def test_active_matches(spark):
     assert rows(active_matches(dates, dt.date(2024, 1, 5)), "id") == [("1",)]
 
 
-def test_injury_grid_materialized_matches(spark):
-    html = _grid(
-        '<tr class="heading"><td><div class="injury-team">Arsenal</div></td></tr>'
-        + _player_row("Saka", "50%", 7) + _player_row("Odegaard", "Out", 8)
+def pages(spark, *html):
+    return spark.createDataFrame(list(enumerate(html)), "payload_id INT, html STRING")
+
+
+def test_bad_payloads_raise(spark):
+    from tidemark.errors import MalformedPayloadError
+
+    broken = spark.createDataFrame([(1, "{not json")], "payload_id INT, body STRING")
+    for extractor in (extract_league_players, extract_rosters, extract_shots):
+        with pytest.raises(MalformedPayloadError):
+            extractor(broken)
+        none = spark.createDataFrame([(1, None)], "payload_id INT, body STRING")
+        assert extractor(none).count() == 0
+    with pytest.raises(TypeError):
+        extract_rosters(payloads(spark, {"rosters": {"h": {"1": {"time": "ninety"}}, "a": {}}}))
+    for shot in ({"id": "1", "xG": "much"}, {"id": "1", "minute": "1.5x"}):
+        with pytest.raises(TypeError):
+            extract_shots(payloads(spark, {"shots": {"h": [shot], "a": []}}))
+
+
+def test_match_info_plain_escaped_and_bad(spark):
+    from tidemark.errors import MalformedPayloadError
+
+    plain = """match_info = JSON.parse('{"id":"7","team_h":"O\\'Neill","h_goals":3}')"""
+    double = r"""match_info=JSON.parse("{\"id\":\"8\",\"team_a\":\"D'or\"}");"""
+    got = rows(extract_match_info(pages(spark, plain, double)), "match_id", "home_team", "away_team", "home_goals")
+    assert got == [("7", "O'Neill", "Unknown", 3), ("8", "Unknown", "D'or", 0)]
+    with pytest.raises(MalformedPayloadError):
+        extract_match_info(pages(spark, "match_info = JSON.parse('{broken')"))
+    with pytest.raises(TypeError):
+        extract_match_info(pages(spark, """match_info = JSON.parse('{"h_goals":"x"}')"""))
+    with pytest.raises(SourceDataMissingError):
+        extract_match_info(pages(spark, None))
+
+
+def test_grid_on_other_html(spark):
+    foreign = "<table class='standings'><tr class='player-row'>" + "<td>no</td>" * 7 + "</tr></table>"
+    html = (
+        foreign
+        + "<table id=x class='wide injury-table'>"
+        + "<tr class='heading'><td><div class='injury-team'>K&Oslash;benhavn</div></td></tr>"
+        + _player_row("&#216;st &amp; V&#xe9;r&eacute;", "Out", 7).replace('"', "'")
+        + "<tr class='heading'><td>no team here</td></tr>"
+        + "<tr class='subheading'><td><div class='injury-team'>Wrong</div></td></tr>"
+        + _player_row("Second", "50%", 8)
+        + "</table>"
+        + foreign
     )
-    df = spark.createDataFrame([(1, html)], "payload_id INT, html STRING")
-    assert rows(extract_injury_grid(df, materialize=True)) == rows(extract_injury_grid(df))
+    got = rows(extract_injury_grid(pages(spark, html)), "team", "player_name", "status")
+    assert got == [("K\u00d8benhavn", "Second", "50%"), ("K\u00d8benhavn", "\u00d8st & V\u00e9r\u00e9", "Out")]
+    assert rows(extract_injury_status(pages(spark, html)), "id", "title") == [(7, "Out"), (8, "50%")]
+    with pytest.raises(SelectorNotFoundError):
+        extract_injury_grid(pages(spark, foreign))
 
 
-def test_injury_status_materialized_matches(spark):
+def test_injury_status_gates(spark):
     html = _grid(_player_row("Saka", "50%", 7) + _player_row("Kane", "Doubt"))
-    df = spark.createDataFrame([(1, html)], "payload_id INT, html STRING")
-    assert rows(extract_injury_status(df, materialize=True)) == rows(extract_injury_status(df)) == [(1, 7, "50%")]
-    empty = spark.createDataFrame([(1, _grid(""))], "payload_id INT, html STRING")
+    assert rows(extract_injury_status(pages(spark, html))) == [(0, 7, "50%")]
     with pytest.raises(ValueError):
-        extract_injury_status(empty, materialize=True)
+        extract_injury_status(pages(spark, _grid("")))
+    with pytest.raises(ValueError, match="no id"):
+        extract_injury_status(pages(spark, _grid(_player_row("Saka", "50%", ""))))

@@ -15,10 +15,18 @@ class IntraBatchDuplicateError(WarehouseError):
     """A primary key occurs more than once inside one batch."""
 
 
+class NullKeyError(WarehouseError, ValueError):
+    """A merge or load key is NULL: it would never meet its own earlier copy."""
+
+
 class SourceDataMissingError(WarehouseError):
     """An expected envelope, script block or root key is absent from a payload."""
 
 
+class MalformedPayloadError(WarehouseError, ValueError):
+    """A payload is there but is not the JSON it should be."""
+
+
 class SelectorNotFoundError(WarehouseError):
     """An expected HTML structure (e.g. the injury grid) is absent from a page."""
 

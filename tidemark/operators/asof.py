@@ -69,7 +69,8 @@ def asof_join(
     ``open_end``: sentinel marking an open version (default 9999-12-31; any
     end at or after it is open); NULL ``valid_to`` is always open. Open versions are listed up to the
     ``horizon`` bucket: the given date's, else the latest fact bucket (a
-    scalar subquery over the fact dates). One equi join on ``(keys,
+    scalar subquery over the fact dates). Facts and versions after the
+    horizon share its bucket, so a horizon only bounds the buckets listed. One equi join on ``(keys,
     bucket)`` with ``grain`` month (default), quarter or year; the facts are
     shuffled once. Output: all fact columns plus the dimension's non-key
     columns.
@@ -80,10 +81,13 @@ def asof_join(
         last = f.select(F.max("_m")).scalar()
     else:
         last = calendar_bucket(F.lit(horizon), grain)
+        f = f.withColumn("_m", F.least("_m", last))
     vf, vt = F.col(valid_from), F.col(valid_to)
     is_open = _open(vt, open_end)
-    first_m = calendar_bucket(vf, grain)
-    last_m = F.when(is_open, F.greatest(first_m, last)).otherwise(calendar_bucket(vt, grain))
+    first_m, end_m = calendar_bucket(vf, grain), calendar_bucket(vt, grain)
+    if horizon is not None:
+        first_m, end_m = F.least(first_m, last), F.least(end_m, last)
+    last_m = F.when(is_open, F.greatest(first_m, last)).otherwise(end_m)
     d = (
         dim.filter(is_open | (vf < vt))
         .select(

@@ -47,7 +47,8 @@ def union_keep_existing(
     """O5 + A8: union by name (missing columns NULL) and keep one row per key.
 
     A row already in ``existing`` beats any incoming row for the same key;
-    within one side the smallest ``tiebreak`` tuple (then full row) wins.
+    within one side the smallest ``tiebreak`` tuple (then full row) wins. NULL
+    keys equal each other on either path.
 
     ``existing_unique=True`` (the state a previous load produced is unique
     by construction): only the incoming side is deduplicated and anti-joined
@@ -56,7 +57,11 @@ def union_keep_existing(
     """
     if existing_unique:
         fresh = keep_first(incoming, keys, tiebreak)
-        fresh = fresh.join(existing.select(*keys), list(keys), "left_anti")
+        known = existing.select(*[F.col(k).alias(f"_have_{k}") for k in keys])
+        same = F.lit(True)
+        for k in keys:  # null-safe, as the grouping of the other path is
+            same = same & fresh[k].eqNullSafe(F.col(f"_have_{k}"))
+        fresh = fresh.join(known, same, "left_anti")
         return existing.unionByName(fresh, allowMissingColumns=True)
     both = existing.withColumn("_src", F.lit(0)).unionByName(
         incoming.withColumn("_src", F.lit(1)), allowMissingColumns=True

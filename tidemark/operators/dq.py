@@ -19,6 +19,8 @@ from tidemark.errors import ContractViolationError, DataQualityError
 from tidemark.operators.sizing import broadcast_if_bounded
 
 PROPORTION = "proportion"
+# Failing metrics named in the gate's message, at most.
+GATE_SHOWN = 100
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -92,18 +94,21 @@ def _to_rows(agg_row: DataFrame, table_name, metrics, snapshot_date, check_times
 
 
 def dq_gate(metrics: DataFrame, threshold: float = 0.95) -> None:
-    """Q2: fail when any proportion metric is below ``threshold``.
+    """Q2: fail when any proportion metric is below ``threshold`` or has no value.
 
-    The failing rows are at most the number of configured metrics, so they
-    are collected to build the message.
+    A metric without value comes from an empty table, or from one that could
+    not be measured. The message names at most ``GATE_SHOWN`` failures.
     """
     failed = (
-        metrics.filter((F.col("unit") == PROPORTION) & (F.col("metric_value") < threshold))
+        metrics.filter((F.col("unit") == PROPORTION) & (F.col("metric_value").isNull() | (F.col("metric_value") < threshold)))
         .select("table_name", "metric_name", "metric_value")
+        .limit(GATE_SHOWN)
         .collect()
     )
     if failed:
-        names = ", ".join(f"{r.table_name}.{r.metric_name}={r.metric_value:.4f}" for r in failed)
+        names = ", ".join(
+            f"{r.table_name}.{r.metric_name}=" + ("none" if r.metric_value is None else f"{r.metric_value:.4f}") for r in failed
+        )
         raise DataQualityError(f"Data quality gate failed: {names}")
 
 

@@ -21,15 +21,17 @@ from tidemark.errors import (
     MSG_GRID_MISSING,
     MSG_MATCH_INFO_MISSING,
     IntraBatchDuplicateError,
+    MalformedPayloadError,
     SelectorNotFoundError,
     SourceDataMissingError,
 )
 from tidemark.functions.text import (
     WHITESPACE_CLASS,
     clean_injury_text,
-    decode_entities,
+    clean_whitespace,
     html_text,
     strip_html_tags,
+    unescape_all,
 )
 
 # League player fields -> output name and type, in output order.
@@ -67,41 +69,56 @@ GRID_COLUMNS = ("player_name", "reason", "further_detail", "potential_return", "
 SIDES = ("h", "a")
 
 
-def _raise_if(df: DataFrame, cond: Column, exc: Exception) -> None:
-    if not df.filter(cond).isEmpty():
-        raise exc
-
-
 def _num(raw: Column, dtype: str, default) -> Column:
+    """An absent number is the default; gates see to it that a present one casts."""
     return F.coalesce(raw.try_cast(dtype), F.lit(default).cast(dtype))
 
 
+def _uncastable(raw: Column, dtype: str) -> Column:
+    return raw.isNotNull() & raw.try_cast(dtype).isNull()
+
+
+def _broken(body: Column) -> Column:
+    """A body that is there but is no JSON (blank text included)."""
+    return body.isNotNull() & F.get_json_object(body, "$").isNull()
+
+
+def _refuse(broken: int | None, bad: int | None, what: str) -> None:
+    if broken:
+        raise MalformedPayloadError(f"{broken} {what} payloads are not JSON")
+    if bad:
+        raise TypeError(f"{bad} {what} rows hold a number that does not cast")
+
+
 # ------------------------------------------------------------------ JSON
 
 
 def extract_league_players(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
     """The league ``players`` list, renamed and typed; absent numbers are 0.
 
-    A payload without ``players`` yields no rows. A present but uncastable
-    number raises ``TypeError``.
+    A payload without ``players`` yields no rows. One that is not JSON raises
+    ``MalformedPayloadError``, a present but uncastable number ``TypeError``;
+    both are counted in one aggregation.
     """
     fields = ", ".join(f"`{src}` string" for src, _, _ in PLAYER_FIELDS)
     parsed = payloads.select(
-        F.col(key), F.from_json(F.col(body), f"struct<players: array<struct<{fields}>>>").alias("_j")
+        F.col(key),
+        _broken(F.col(body)).alias("_broken"),
+        F.from_json(F.col(body), f"struct<players: array<struct<{fields}>>>").alias("_j"),
     )
-    rows = parsed.select(key, F.explode("_j.players").alias("p"))
-    bad = None
+    every = parsed.select(key, "_broken", F.explode_outer("_j.players").alias("p"))
+    bad = F.lit(False)
     out = [F.col(key)]
     for src, dst, dtype in PLAYER_FIELDS:
         raw = F.col(f"p.`{src}`")
         if dtype == "string":
             out.append(raw.alias(dst))
         else:
-            uncastable = raw.isNotNull() & raw.try_cast(dtype).isNull()
-            bad = uncastable if bad is None else bad | uncastable
+            bad = bad | _uncastable(raw, dtype)
             out.append(_num(raw, dtype, 0).alias(dst))
-    _raise_if(rows, bad, TypeError("uncastable numeric field in league players"))
-    return rows.select(*out)
+    seen = every.agg(F.count_if("_broken").alias("broken"), F.count_if(bad).alias("bad")).first()
+    _refuse(seen["broken"], seen["bad"], "league player")
+    return parsed.select(key, F.explode("_j.players").alias("p")).select(*out)
 
 
 ROSTER_ENTRY = "struct<id: string, player_id: string, team_id: string, player: string, position: string, time: string>"
@@ -115,32 +132,44 @@ def _sides(payloads: DataFrame, body: str, key: str, root: str, entry_schema: st
     container = f"map<string, {entry_schema}>" if as_map else f"array<{entry_schema}>"
     parsed = payloads.select(
         F.col(key),
+        _broken(F.col(body)).alias("_broken"),
         F.from_json(F.col(body), f"struct<{root}: struct<h: {container}, a: {container}>>").alias("_j"),
     )
     sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"_j.{root}.{s}").alias("entries")) for s in SIDES])
-    return parsed.select(key, F.posexplode(sides).alias("_side_pos", "_s"))
+    return parsed.select(key, "_broken", F.posexplode(sides).alias("_side_pos", "_s"))
 
 
-def extract_rosters(
-    payloads: DataFrame, body: str = "body", key: str = "payload_id", materialize: bool = False
-) -> DataFrame:
+def _gate_entries(every: DataFrame, key: str, entry_id: str, numbers: Sequence[tuple[str, str]], what: str, message: str) -> None:
+    """One aggregation: payloads that are no JSON, uncastable numbers, an id twice in a payload."""
+    bad = F.lit(False)
+    for column, dtype in numbers:
+        bad = bad | _uncastable(F.col(column), dtype)
+    per_id = every.groupBy(key, F.col(entry_id).alias("_id")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("_broken").alias("_broken"), F.count_if(bad).alias("_bad")
+    )
+    named = F.when(F.col("_id").isNotNull(), F.col("_n"))
+    seen = per_id.agg(
+        F.count_if(F.col("_broken") > 0).alias("broken"), F.sum("_bad").alias("bad"), F.max(named).alias("most"), F.max_by("_id", named).alias("dup")
+    ).first()
+    _refuse(seen["broken"], seen["bad"], what)
+    if seen["most"] is not None and seen["most"] > 1:
+        raise IntraBatchDuplicateError(f"{message}: {seen['dup']}")
+
+
+def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
     """Both sides' roster maps, home first.
 
     ``roster_id`` is the map key (emitted as player_id by the original
     parser, trap T22) and ``player_id`` the id inside the entry. ``is_start`` is true
     unless the position is 'Sub' (an absent position counts as a start). A
-    roster id on both sides of one match raises ``IntraBatchDuplicateError``.
-    ``materialize``: parse once into the shared checkpoint folder, then gate.
+    roster id on both sides of one match raises ``IntraBatchDuplicateError``,
+    a payload that is not JSON ``MalformedPayloadError``, uncastable minutes
+    ``TypeError``.
     """
     sides = _sides(payloads, body, key, "rosters", ROSTER_ENTRY, as_map=True)
+    every = sides.select(key, "_broken", F.explode_outer("_s.entries").alias("roster_id", "e"))
+    _gate_entries(every, key, "roster_id", [("e.time", "int")], "roster", MSG_DUP_ROSTER)
     rows = sides.select(key, "_side_pos", F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("roster_id", "e"))
-    if materialize:
-        from tidemark.session import cut_lineage
-
-        rows = cut_lineage(rows)
-    dup = rows.groupBy(key, "roster_id").count().filter("count > 1").limit(1).collect()
-    if dup:
-        raise IntraBatchDuplicateError(f"{MSG_DUP_ROSTER}: {dup[0]['roster_id']}")
     return rows.select(
         key,
         "roster_id",
@@ -153,23 +182,17 @@ def extract_rosters(
     )
 
 
-def extract_shots(
-    payloads: DataFrame, body: str = "body", key: str = "payload_id", materialize: bool = False
-) -> DataFrame:
+def extract_shots(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
     """Both sides' shot lists; keeps player_id/match_id for the fact.
 
-    A shot id twice in one match raises ``IntraBatchDuplicateError``.
-    ``materialize``: parse once into the shared checkpoint folder, then gate.
+    A shot id twice in one match raises ``IntraBatchDuplicateError``, a
+    payload that is not JSON ``MalformedPayloadError``, an uncastable xG or
+    minute ``TypeError``.
     """
     sides = _sides(payloads, body, key, "shots", SHOT_ENTRY, as_map=False)
+    every = sides.select(key, "_broken", F.explode_outer("_s.entries").alias("e"))
+    _gate_entries(every, key, "e.id", [("e.xG", "double"), ("e.minute", "int")], "shot", MSG_DUP_SHOT)
     rows = sides.select(key, F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("e"))
-    if materialize:
-        from tidemark.session import cut_lineage
-
-        rows = cut_lineage(rows)
-    dup = rows.groupBy(key, F.col("e.id").alias("id")).count().filter("count > 1").limit(1).collect()
-    if dup:
-        raise IntraBatchDuplicateError(f"{MSG_DUP_SHOT}: {dup[0]['id']}")
     return rows.select(
         key,
         F.col("e.id").alias("id"),
@@ -183,27 +206,50 @@ def extract_shots(
     )
 
 
-MATCH_INFO_PATTERN = "match_info\\s+=\\s+JSON\\.parse\\(['\"](.+?)['\"]\\)"
+# The assignment, its opening quote, and the text up to the same quote before the closing bracket.
+MATCH_INFO = r"""(?s)\bmatch_info\s*=\s*JSON\s*\.\s*parse\s*\(\s*(["'])(.+?)\1\s*\)"""
+
+
+def _js_text(literal: Column) -> Column:
+    r"""The text that a quoted script literal stands for; NULL when it stands for none.
+
+    The literal is made the inside of a JSON string: ``\xNN`` becomes
+    ``\u00NN``, an escaped apostrophe a bare one, a bare quote an escaped one.
+    """
+    text = F.regexp_replace(literal, r"\\x([0-9A-Fa-f]{2})", r"\\u00$1")
+    text = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\'", "$1'")
+    text = F.regexp_replace(text, r'(?<!\\)((?:\\\\)*)"', r'$1\\"')
+    return F.get_json_object(F.concat(F.lit('{"v":"'), text, F.lit('"}')), "$.v")
 
 
 def extract_match_info(pages: DataFrame, html: str = "html", key: str = "payload_id") -> DataFrame:
     """The ``match_info = JSON.parse('...')`` block of a match page.
 
-    ``\\xNN`` escapes become ``\\u00NN``; the text is then decoded as a JSON
-    string literal and parsed. Defaults: id "0", teams "Unknown", goals 0,
-    xG 0.0. A page without the block raises ``SourceDataMissingError``.
+    The literal may be escaped or plain. Absent fields: id "0", teams
+    "Unknown", goals 0, xG 0.0. A page without the block raises
+    ``SourceDataMissingError``, a block that is not JSON
+    ``MalformedPayloadError``, an uncastable number ``TypeError``; one
+    aggregation counts all three.
     """
-    raw = F.regexp_extract(F.col(html), MATCH_INFO_PATTERN, 1)
-    x = pages.select(key, raw.alias("_raw"))
-    _raise_if(x, F.col("_raw") == "", SourceDataMissingError(f"{MSG_MATCH_INFO_MISSING} in page"))
-    unescaped = F.regexp_replace("_raw", "\\\\x([0-9A-Fa-f]{2})", "\\\\u00$1")
-    decoded = F.get_json_object(F.concat(F.lit('{"v":"'), unescaped, F.lit('"}')), "$.v")
+    raw = F.regexp_extract(F.coalesce(F.col(html), F.lit("")), MATCH_INFO, 2)
+    x = pages.select(key, raw.alias("_raw")).withColumn("_json", _js_text(F.col("_raw")))
     info = F.from_json(
-        decoded,
+        F.col("_json"),
         "struct<id: string, team_h: string, team_a: string, h_goals: string, a_goals: string, "
         "h_xg: string, a_xg: string, date: string>",
     )
-    y = x.select(key, info.alias("i"))
+    y = x.select(key, "_raw", F.get_json_object("_json", "$").isNull().alias("_broken"), info.alias("i"))
+    bad = F.lit(False)
+    for field, dtype in (("h_goals", "int"), ("a_goals", "int"), ("h_xg", "double"), ("a_xg", "double")):
+        bad = bad | _uncastable(F.col(f"i.{field}"), dtype)
+    seen = y.agg(
+        F.count_if(F.col("_raw") == "").alias("absent"),
+        F.count_if((F.col("_raw") != "") & F.col("_broken")).alias("broken"),
+        F.count_if(bad).alias("bad"),
+    ).first()
+    if seen["absent"]:
+        raise SourceDataMissingError(f"{MSG_MATCH_INFO_MISSING} in page")
+    _refuse(seen["broken"], seen["bad"], "match info")
     return y.select(
         key,
         F.coalesce(F.col("i.id"), F.lit("0")).alias("match_id"),
@@ -323,61 +369,53 @@ def carry_down_rows(
     return rows
 
 
-GRID_TABLE = "<table[^>]*class=\"[^\"]*injury-table"
-GRID_HEADING = "<tr[^>]*class=\"[^\"]*heading[^\"]*\"[^>]*>"
-GRID_TEAM = "(?s)^.*?<div[^>]*class=\"[^\"]*injury-team[^\"]*\"[^>]*>(.*?)</div>"
-GRID_ROW = "(?s)<tr[^>]*class=\"[^\"]*player-row[^\"]*\"[^>]*>.*?</tr>"
-GRID_CELL = "(?s)<td[^>]*>(.*?)</td>"
-MOB_TITLE = "(?s)<div[^>]*class=\"[^\"]*mob-title[^\"]*\"[^>]*>.*?</div>"
-TRACK_TAG = "<a\\b(?=[^>]*\\bclass=\"[^\"]*\\btrack\\b)[^>]*>"
-DATA_ID = "\\bdata-id=\"([^\"]*)\""
+def _class(token: str) -> str:
+    """Look-ahead within a tag: one whole token of its class attribute, quoted either way or bare."""
+    return (
+        rf"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^">]*\s)?{token}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{token}(?:\s[^'>]*)?'|{token}[\s>]))"""
+    )
+
+
+GRID_TABLE = rf"(?s)<table\b{_class('injury-table')}[^>]*>.*?(?:</table>|\z)"
+TEAM_NODE = rf"<div\b{_class('injury-team')}[^>]*>"
+# A heading row without a team node changes nothing: the team above it stays.
+GRID_HEADING = rf"(?s)<tr\b{_class('heading')}[^>]*>(?=(?:(?!</tr).)*?{TEAM_NODE})"
+GRID_TEAM = rf"(?s)^.*?{TEAM_NODE}(.*?)</div>"
+GRID_ROW = rf"(?s)<tr\b{_class('player-row')}[^>]*>.*?</tr>"
+GRID_CELL = r"(?s)<td\b[^>]*>(.*?)</td>"
+MOB_TITLE = rf"(?s)<div\b{_class('mob-title')}[^>]*>.*?</div>"
+TRACK_TAG = rf"<a\b{_class('track')}[^>]*>"
+DATA_ID = r"""\sdata-id\s*=\s*["']?([^"'\s>]*)"""
 
 
 def _grid_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Every page with its player rows and their cells; pages without a grid
-    or without rows are kept (``_has_table`` flag, NULL row) for the gates."""
-    x = pages.select(key, F.col(html).alias("_html"), F.col(html).rlike(GRID_TABLE).alias("_has_table"))
+    """Every page with the player rows, and their cells, of its first injury grid; pages
+    without a grid or without rows are kept (``_has_table`` flag, NULL row) for the gates."""
+    grid = F.regexp_extract(F.coalesce(F.col(html), F.lit("")), GRID_TABLE, 0)
+    x = pages.select(key, grid.alias("_html"), (grid != "").alias("_has_table"))
     rows = carry_down_rows(x, key, "_html", GRID_HEADING, GRID_TEAM, GRID_ROW, keep=["_has_table"], outer=True)
     return rows.withColumn("_cells", F.regexp_extract_all("row", F.lit(GRID_CELL), 1))
 
 
-def _cell_text(cells: Column, i: int, label: str) -> Column:
-    return clean_injury_text(html_text_keep_label(F.get(cells, i)), label)
-
-
-def extract_injury_grid(
-    pages: DataFrame, key: str = "payload_id", html: str = "html", materialize: bool = False
-) -> DataFrame:
+def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "html") -> DataFrame:
     """Team-tagged injury rows (rows with at least six cells).
 
-    The team comes from the nearest heading row above; each cell is cleaned
-    by :func:`clean_injury_text` with its mobile label. Both gates — a page
-    without the grid (``SelectorNotFoundError``) and a player twice on one
-    page (``IntraBatchDuplicateError``) — are checked in one aggregation.
-    ``materialize``: parse and clean every page once into the shared
-    checkpoint folder, then gate and return the staged rows (one regex pass
-    instead of two; worth it for large payload tables).
+    Only the page's injury table is read. The team comes from the nearest
+    heading row above that names one; all HTML entities are decoded and each
+    cell is cleaned by :func:`clean_injury_text` with its mobile label. Both
+    gates — a page without the grid (``SelectorNotFoundError``) and a player
+    twice on one page (``IntraBatchDuplicateError``) — are checked in one
+    aggregation that cleans the name cell alone.
     """
     rows = _grid_rows(pages, key, html)
     full = F.coalesce(F.size("_cells"), F.lit(0)) >= 6
-    cells = [
-        F.when(full, _cell_text(F.col("_cells"), i, label)).alias(name)
-        for i, (label, name) in enumerate(zip(GRID_LABELS, GRID_COLUMNS))
-    ]
-    staged = rows.select(
-        key,
-        "_has_table",
-        full.alias("_full"),
-        "section_pos",
-        "row_pos",
-        F.when(F.col("section").isNotNull(), html_text(F.col("section"))).alias("team"),
-        *cells,
-    )
-    if materialize:
-        from tidemark.session import cut_lineage
 
-        staged = cut_lineage(staged)
-    per_player = staged.groupBy(key, F.col("player_name").alias("_player")).agg(
+    def cell(texts: Column, i: int) -> Column:
+        return clean_injury_text(F.get(texts, i), GRID_LABELS[i])
+
+    name = unescape_all(F.array(strip_html_tags(F.get("_cells", 0))))
+    names = rows.select(key, "_has_table", F.when(full, cell(name, 0)).alias("_player"))
+    per_player = names.groupBy(key, "_player").agg(
         F.count(F.lit(1)).alias("_n"), F.min(F.col("_has_table").cast("int")).alias("_has")
     )
     check = per_player.agg(
@@ -389,35 +427,40 @@ def extract_injury_grid(
         raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
     if check["most"] is not None and check["most"] > 1:
         raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {check['dup']}")
-    return staged.filter(F.col("_full")).select(key, "section_pos", "row_pos", "team", *GRID_COLUMNS)
-
-
-def html_text_keep_label(c: Column) -> Column:
-    """Cell text with tags removed and entities decoded (label kept for F2)."""
-    return decode_entities(strip_html_tags(c))
+    # One decoding per row: its six cells, then its section.
+    texts = F.transform(F.slice("_cells", 1, 6), strip_html_tags)
+    section = F.array(strip_html_tags(F.coalesce("section", F.lit(""))))
+    found = rows.filter(full).select(
+        key, "section_pos", "row_pos", F.col("section").isNotNull().alias("_team"), unescape_all(F.concat(texts, section)).alias("_t")
+    )
+    return found.select(
+        key,
+        "section_pos",
+        "row_pos",
+        F.when(F.col("_team"), clean_whitespace(F.get("_t", 6))).alias("team"),
+        *[cell(F.col("_t"), i).alias(column) for i, column in enumerate(GRID_COLUMNS)],
+    )
 
 
-def extract_injury_status(
-    pages: DataFrame, key: str = "payload_id", html: str = "html", materialize: bool = False
-) -> DataFrame:
+def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str = "html") -> DataFrame:
     """``(id INT, title STRING)`` from player rows: id from the tracking link
     in the seventh cell, status from the sixth cell without its mobile title.
 
     Rows with fewer than seven cells or no tracking link are skipped. Gates,
     all from one aggregation per page and raised in this order: no grid ->
-    SelectorNotFoundError; no player rows, or no usable row -> ValueError;
-    a usable row with an empty status -> ValueError; a non-integer id ->
-    TypeError. ``materialize`` parses once into the shared checkpoint
-    folder before gating, as in :func:`extract_injury_grid`.
+    SelectorNotFoundError; no player rows, or no usable row -> ValueError; a
+    tracking link without an id, or an empty status -> ValueError; a
+    non-integer id -> TypeError.
     """
     rows = _grid_rows(pages, key, html)
     # get() yields NULL past the end: short rows are skipped, not errors.
-    rid = F.trim(F.regexp_extract(F.regexp_extract(F.get("_cells", 6), TRACK_TAG, 0), DATA_ID, 1))
+    link = F.regexp_extract(F.get("_cells", 6), TRACK_TAG, 0)
+    rid = F.trim(F.regexp_extract(link, DATA_ID, 1))
     # Status text: tags and the mobile title removed, outer whitespace
     # stripped, inner whitespace kept.
-    raw_status = decode_entities(strip_html_tags(F.regexp_replace(F.get("_cells", 5), MOB_TITLE, "")))
+    raw_status = F.get(unescape_all(F.array(strip_html_tags(F.regexp_replace(F.get("_cells", 5), MOB_TITLE, "")))), 0)
     status = F.regexp_replace(raw_status, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
-    usable = (F.coalesce(F.size("_cells"), F.lit(0)) >= 7) & (F.coalesce(rid, F.lit("")) != "")
+    usable = (F.coalesce(F.size("_cells"), F.lit(0)) >= 7) & (F.coalesce(link, F.lit("")) != "")
     x = rows.select(
         key,
         "_has_table",
@@ -426,15 +469,12 @@ def extract_injury_status(
         rid.alias("_id"),
         status.alias("_status"),
     )
-    if materialize:
-        from tidemark.session import cut_lineage
-
-        x = cut_lineage(x)
     per_page = x.groupBy(key).agg(
         F.min(F.col("_has_table").cast("int")).alias("has"),
         F.count_if(F.col("_has_row")).alias("nrows"),
         F.count_if(F.col("_ok")).alias("nok"),
         F.count_if(F.col("_ok") & (F.col("_status") == "")).alias("nostatus"),
+        F.count_if(F.col("_ok") & (F.col("_id") == "")).alias("noid"),
         F.count_if(F.col("_ok") & F.col("_id").try_cast("int").isNull()).alias("badid"),
     )
     check = per_page.agg(
@@ -442,12 +482,15 @@ def extract_injury_status(
         F.count_if((F.col("has") == 1) & (F.col("nrows") == 0)).alias("no_rows"),
         F.count_if((F.col("nrows") > 0) & (F.col("nok") == 0)).alias("no_usable"),
         F.sum("nostatus").alias("nostatus"),
+        F.sum("noid").alias("noid"),
         F.sum("badid").alias("badid"),
     ).first()
     if check["no_table"]:
         raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
     if check["no_rows"] or check["no_usable"]:
         raise ValueError("Page has no usable injury rows")
+    if check["noid"]:
+        raise ValueError("Injury row whose tracking link has no id")
     if check["nostatus"]:
         raise ValueError("Injury row without a status")
     if check["badid"]:

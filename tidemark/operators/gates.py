@@ -48,7 +48,7 @@ def validate_composite_keys(df: DataFrame, keys: Sequence[str]) -> None:
     dup = first_duplicate(df, keys)
     if dup is not None:
         shown = ", ".join(f"{k}={dup[k]!r}" for k in keys)
-        raise IntraBatchDuplicateError(f"Composite key violation ({shown}) seen {dup['n_rows']} times")
+        raise IntraBatchDuplicateError(f"Key ({shown}) occurs {dup['n_rows']} times in one batch")
 
 
 def validate_fact_composite_keys(fact_df: DataFrame, composite_pks: Sequence[str]) -> None:

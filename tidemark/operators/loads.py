@@ -14,10 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.errors import MSG_UNRESOLVED, NullKeyError, UnresolvedEntityError
 from tidemark.functions.exprs import hash_key
 from tidemark.operators.dedup import union_keep_existing
 from tidemark.operators.merge import merge_update
-from tidemark.sources.io import write_partitioned
+from tidemark.sources.io import write_partition
 
 # Hex digits of the md5 prefix used to number new keys in parallel (4096 buckets).
 ID_BUCKET_HEX = 3
@@ -48,7 +49,12 @@ def _max_id(df: DataFrame, id_col: str) -> int:
 
 
 def load_new_members(initial: DataFrame, batch: DataFrame, key: str, id_col: str) -> DataFrame:
-    """L2 core: existing members keep their id; unseen keys are numbered after the max."""
+    """L2 core: existing members keep their id; unseen keys are numbered after the max.
+
+    A NULL natural key raises ``NullKeyError``: no id could be found again for it.
+    """
+    if not batch.filter(F.col(key).isNull()).isEmpty():
+        raise NullKeyError(f"NULL natural key {key!r} in the batch")
     if id_col in batch.columns:
         return union_keep_existing(initial, batch, [key])
     new = batch.select(key).distinct().join(initial.select(key), key, "left_anti")
@@ -67,18 +73,46 @@ def load_silver_players(initial: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def load_silver_matches(
-    initial: DataFrame, batch: DataFrame, teams: DataFrame | None = None, initial_unique: bool = False
-) -> DataFrame:
+    initial: DataFrame,
+    batch: DataFrame,
+    teams: DataFrame | None = None,
+    initial_unique: bool = False,
+    policy: str = "fail",
+):
     """L1 + F15: a batch carrying team *names* is aligned to ids through the
-    team dimension (``raw_name -> team_id``), then deduplicated by match_id."""
+    team dimension (``raw_name -> team_id``), then deduplicated by match_id.
+
+    Names the dimension lacks (NULL among them) raise
+    ``UnresolvedEntityError`` under ``policy="fail"``; under
+    ``"quarantine"`` their matches stay out of the load and are returned
+    beside it: ``(state, quarantined)``.
+    """
+    if policy not in ("fail", "quarantine"):
+        raise ValueError(f"unknown policy {policy!r}")
+    quarantined = None
     if "home_team" in batch.columns:
         if teams is None:
             raise ValueError("a batch with team names needs the team dimension")
         t = teams.select("raw_name", "team_id")
         home = t.select(F.col("raw_name").alias("home_team"), F.col("team_id").alias("home_id"))
         away = t.select(F.col("raw_name").alias("away_team"), F.col("team_id").alias("away_id"))
-        batch = batch.join(home, "home_team", "left").join(away, "away_team", "left").drop("home_team", "away_team")
-    return union_keep_existing(initial, batch, ["match_id"], existing_unique=initial_unique)
+        aligned = batch.join(home, "home_team", "left").join(away, "away_team", "left")
+        unknown = F.col("home_id").isNull() | F.col("away_id").isNull()
+        if policy == "fail":
+            lost = aligned.filter(unknown).select(
+                F.when(F.col("home_id").isNull(), F.col("home_team")).otherwise(F.col("away_team")).alias("name")
+            )
+            culprit = lost.limit(1).collect()
+            if culprit:
+                raise UnresolvedEntityError(f"{MSG_UNRESOLVED}: {culprit[0]['name']}")
+        else:
+            quarantined = aligned.filter(unknown).select(*batch.columns)
+            aligned = aligned.filter(~unknown)
+        batch = aligned.drop("home_team", "away_team")
+    state = union_keep_existing(initial, batch, ["match_id"], existing_unique=initial_unique)
+    if policy == "quarantine":
+        return state, batch.limit(0) if quarantined is None else quarantined
+    return state
 
 
 def load_silver_shots(initial: DataFrame, batch: DataFrame, initial_unique: bool = False) -> DataFrame:
@@ -121,8 +155,8 @@ def write_fact_match_stats(
 ) -> DataFrame:
     """Cast and stamp the fact, then replace that snapshot's partition.
 
-    Dynamic partition overwrite makes a rerun of the same day replace its
-    partition instead of appending a copy (trap T13).
+    A rerun of the same day replaces its partition instead of appending a
+    copy (trap T13), also when the rerun has no rows.
     """
     fact = resolved.select(
         *keys,
@@ -130,5 +164,5 @@ def write_fact_match_stats(
         F.col(goals_col).try_cast("int").alias("actual_goals"),
         F.lit(snapshot_date).alias("snapshot_date"),
     )
-    write_partitioned(fact, path, ["snapshot_date"])
+    write_partition(fact.drop("snapshot_date"), path, "snapshot_date", snapshot_date.isoformat())
     return fact

@@ -11,8 +11,9 @@ so the job never reads and overwrites the same files.
   (broadcastable) source plus a key-only anti join for inserts, with
   null-safe change detection (trap T6).
 
-Source keys are gated unique first (trap T10): a merge source with two rows
-per key has no defined result.
+Source keys are gated first, in one pass: unique (trap T10), as a merge source
+with two rows per key has no defined result, and not NULL, as a NULL key would
+be inserted again on every run.
 """
 
 from __future__ import annotations
@@ -22,21 +23,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.errors import IntraBatchDuplicateError
-from tidemark.operators.sizing import BROADCAST_MAX_ROWS
-
-# Row bound for broadcasting a whole source row set (not just its keys).
-FULL_ROW_BROADCAST_MAX = 100_000
+from tidemark.errors import IntraBatchDuplicateError, NullKeyError
+from tidemark.operators.sizing import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, KEY_COLUMN_BYTES, row_bytes, rows_within
 
 
 def _source_keys(source: DataFrame, keys: Sequence[str], check_unique: bool):
-    """One pass over the source: the uniqueness gate (T10) and its key count.
+    """One pass over the source: the NULL-key gate, the uniqueness gate (T10), its key count.
 
-    Returns ``(distinct_keys, n_keys)``; raises ``IntraBatchDuplicateError``
-    when ``check_unique`` and a key occurs twice.
+    Returns ``(distinct_keys, n_keys)``; raises ``NullKeyError`` when a key
+    column is NULL, ``IntraBatchDuplicateError`` when ``check_unique`` and a
+    key occurs twice.
     """
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    stats = per_key.agg(F.max("_n").alias("most"), F.count(F.lit(1)).alias("nkeys")).first()
+    is_null = F.lit(False)
+    for k in keys:
+        is_null = is_null | F.col(k).isNull()
+    stats = per_key.agg(
+        F.max("_n").alias("most"), F.count(F.lit(1)).alias("nkeys"), F.count_if(is_null).alias("nulls")
+    ).first()
+    if stats["nulls"]:
+        raise NullKeyError(f"Merge source has a NULL in its key {list(keys)}")
     if check_unique and stats["most"] is not None and stats["most"] > 1:
         raise IntraBatchDuplicateError(f"Merge source repeats a key of {list(keys)}")
     return per_key.select(*keys), int(stats["nkeys"])
@@ -52,7 +58,7 @@ def upsert(
     cols = target.columns
     src = source.select(*cols)
     src_keys, n_keys = _source_keys(src, keys, check_source_unique)
-    if n_keys <= BROADCAST_MAX_ROWS:
+    if n_keys <= min(BROADCAST_MAX_ROWS, rows_within(KEY_COLUMN_BYTES * len(keys))):
         src_keys = F.broadcast(src_keys)
     kept = target.join(src_keys, on=list(keys), how="left_anti")
     return kept.unionByName(src)
@@ -80,8 +86,8 @@ def merge_update(
     """
     _, n_keys = _source_keys(source, keys, check_source_unique)
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
-    # Whole source rows (one per key once gated): a tighter bound than for key-only frames.
-    if check_source_unique and n_keys <= FULL_ROW_BROADCAST_MAX:
+    # Whole source rows (one per key once gated): bounded by their measured bytes.
+    if check_source_unique and n_keys <= BROADCAST_MAX_ROWS and row_bytes(source) <= BROADCAST_MAX_BYTES:
         s = F.broadcast(s)
     cond = None
     for k in keys:

@@ -132,7 +132,6 @@ def resolve_source(
         source_name_col,
         mapping_name_col,
         policy="warn",
-        check_lookup_unique=False,
         broadcast_lookup=True,
     )
     out = out.withColumn("player_id", hash_key(mapping_name_col)).withColumn(
@@ -144,5 +143,5 @@ def resolve_source(
 def log_gap(report: ResolveReport, source: str) -> int:
     gap = report.gap()
     if gap > 0:
-        log.warning("Governance gap: %d records dropped in %s", gap, source)
+        log.warning("%s: %d rows have no mapping entry and were left out", source, gap)
     return gap

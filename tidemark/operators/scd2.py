@@ -38,7 +38,7 @@ from tidemark.errors import SCD2TimelineException
 from tidemark.functions.exprs import OPEN_END
 from tidemark.operators.asof import inside_closed
 from tidemark.operators.gates import future_date_gate, scd2_batch_overlap_gate
-from tidemark.operators.sizing import BROADCAST_MAX_ROWS
+from tidemark.operators.sizing import BROADCAST_MAX_ROWS, KEY_COLUMN_BYTES, rows_within
 
 _OPEN_TS = _dt.datetime(9999, 12, 31)
 
@@ -152,8 +152,7 @@ def scd2_apply(
                 f"Two events for one key on the same {eff_col} in the batch"
             )
         first_event = per_key.select(*keys, "_first")
-        if stats["nkeys"] <= BROADCAST_MAX_ROWS:
-            first_event = F.broadcast(first_event)
+        small = stats["nkeys"] <= min(BROADCAST_MAX_ROWS, rows_within(KEY_COLUMN_BYTES * (len(keys) + 1)))
     if history is None:
         h_aff = None
         h_keep = None
@@ -166,7 +165,11 @@ def scd2_apply(
             F.lit(0).alias("_src"),
         )
         if bypass:
-            hj = h.join(first_event, list(keys), "left")
+            named = first_event.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_first")
+            same = F.lit(True)
+            for k in keys:  # null-safe, as the window's grouping is
+                same = same & h[k].eqNullSafe(F.col(f"_b_{k}"))
+            hj = h.join(F.broadcast(named) if small else named, same, "left").drop(*[f"_b_{k}" for k in keys])
             untouched = F.col("_first").isNull() | (F.col("_vt") <= F.col("_first"))
             h_keep = hj.filter(untouched).drop("_first")
             h_aff = hj.filter(~untouched).drop("_first")

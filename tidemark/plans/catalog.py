@@ -82,7 +82,11 @@ def status_history(t: Tables) -> DataFrame:
     first = ev.filter(F.col("effective_date") < F.lit(SPLIT_DATE))
     second = ev.filter(F.col("effective_date") >= F.lit(SPLIT_DATE))
     h1 = scd2_apply(None, first, ["player_id"], ["status"], check_batch=False)
-    return scd2_apply(h1, second, ["player_id"], ["status"], current_col="is_current", check_batch=False)
+    # The first load is not stored here, so it is read once and sorted whole
+    # rather than computed twice for its affected and its untouched rows.
+    return scd2_apply(
+        h1, second, ["player_id"], ["status"], current_col="is_current", check_batch=False, bypass=False
+    )
 
 
 def shots(t: Tables) -> DataFrame:
@@ -646,12 +650,12 @@ def match_payloads(t: Tables) -> DataFrame:
 
 def q_extract_rosters_json(spark, d):
     """X2 over per-order match documents derived from the line items."""
-    return extract_rosters(match_payloads(Tables(spark, d)), materialize=True)
+    return extract_rosters(match_payloads(Tables(spark, d)))
 
 
 def q_extract_shots_json(spark, d):
     """X3 over per-order match documents derived from the line items."""
-    return extract_shots(match_payloads(Tables(spark, d)), materialize=True)
+    return extract_shots(match_payloads(Tables(spark, d)))
 
 
 # Characters a match page escapes as \xNN inside JSON.parse('...').
@@ -730,12 +734,12 @@ def injury_pages(t: Tables) -> DataFrame:
 
 def q_extract_injury_grid(spark, d):
     """X7 over injury-grid pages rendered per order (parsed once, staged)."""
-    return extract_injury_grid(injury_pages(Tables(spark, d)), materialize=True)
+    return extract_injury_grid(injury_pages(Tables(spark, d)))
 
 
 def q_extract_injury_status(spark, d):
     """X8 over the same pages: tracking id and status per player row (parsed once, staged)."""
-    return extract_injury_status(injury_pages(Tables(spark, d)), materialize=True)
+    return extract_injury_status(injury_pages(Tables(spark, d)))
 
 
 def q_extract_id_title_json(spark, d):

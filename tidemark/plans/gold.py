@@ -177,8 +177,9 @@ def build_historical_player_impact(fact_stats: DataFrame, dim_players: DataFrame
 
 
 def governance_status(value, unit) -> "F.Column":
+    # A proportion without value (an empty table) was not measured: critical.
     return (
-        F.when((unit == "proportion") & (value < CRITICAL_BELOW), STATUS_CRITICAL)
+        F.when((unit == "proportion") & (value.isNull() | (value < CRITICAL_BELOW)), STATUS_CRITICAL)
         .when((unit == "proportion") & (value < WARNING_BELOW), STATUS_WARNING)
         .otherwise(STATUS_HEALTHY)
     )

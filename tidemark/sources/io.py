@@ -30,7 +30,7 @@ def read_source(
     try:
         return reader.load(path)
     except AnalysisException as exc:
-        raise SourceMissingError(f"Missing source or governance file: {path}: {exc}") from exc
+        raise SourceMissingError(f"Cannot read {path}: {exc}") from exc
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -84,7 +84,8 @@ def write_partitioned(
 
     With ``partitionOverwriteMode=dynamic`` only the partitions present in
     ``df`` are replaced, so re-running a day's load rewrites that day instead
-    of appending a second copy. Without partitions this is a full overwrite.
+    of appending a second copy; partitions without rows in ``df`` stay (see
+    :func:`write_partition`). Without partitions this is a full overwrite.
     """
     writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     parts = list(partition_by)
@@ -93,6 +94,15 @@ def write_partitioned(
     writer.save(path)
 
 
+def write_partition(df: DataFrame, path: str, column: str, value: str, fmt: str = "parquet") -> None:
+    """Replace the one partition ``column=value`` by ``df``, with an empty ``df`` too.
+
+    For loads that know their partition: a rerun that finds nothing clears
+    what an earlier run has left there.
+    """
+    df.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{column}={value}")
+
+
 def save_table(
     df: DataFrame,
     name: str,
