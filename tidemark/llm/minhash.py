@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.staging import stage
+from tidemark.llm.staging import TEXT_BATCH_ROWS, stage
 
 BANDS = 40
 ROWS = 5
@@ -45,7 +45,7 @@ BLOCK_ROWS = 256
 PARTNERS = (64, BLOCK_ROWS)
 SEED = 7
 #: Words a worker remembers the hash of.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Shingles hashed together, so that the numbers stay in the processor's cache.
 TILE = 32_768
 
@@ -206,7 +206,7 @@ class _Verifier:
                     yield pd.DataFrame({"node": part["node"].array, "shingles": sets})
 
         texts = self.docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
-        made = stage(texts.mapInPandas(run, "node long, shingles array<long>"), "sets")
+        made = stage(texts.mapInPandas(run, "node long, shingles array<long>"), "sets", TEXT_BATCH_ROWS)
         self.sets = made if self.sets is None else self.sets.unionByName(made)
 
 
@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col:
     table gives no rows.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = stage(sketch(docs, shingle_words), "sketches")
+    sketches = stage(sketch(docs, shingle_words), "sketches", TEXT_BATCH_ROWS)
     classes = stage(
         sketches.filter("digest is not null and doc_id is not null")
         .groupBy(F.col("digest").alias("class"))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import shared_folder, stage
+from tidemark.llm.staging import TEXT_BATCH_ROWS, shared_folder, stage
 from tidemark.llm.tokens import encoder
 
 BLOCK = 2048
@@ -271,7 +271,7 @@ def write_token_shards(
             stream.close()
             yield pd.DataFrame([{"shard": shard, "path": path, **done}])
 
-    return stage(ordered.mapInPandas(write, _MANIFEST), "pfor-manifest")
+    return stage(ordered.mapInPandas(write, _MANIFEST), "pfor-manifest", TEXT_BATCH_ROWS)
 
 
 def read_token_shards(spark: SparkSession, manifest: DataFrame) -> DataFrame:

@@ -14,14 +14,31 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+#: Rows sent to a Python worker together by stages that read whole texts: some
+#: megabytes at a usual length, where Spark's default of 10,000 is a hundred.
+TEXT_BATCH_ROWS = 1000
+
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stage(df: DataFrame, name: str = "stage", batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs only the reading of files, and
     gives the next join a plain scan on that side, which adaptive execution
-    can split when one key holds many rows.
+    can split when one key holds many rows. ``batch_rows`` bounds the rows of
+    an Arrow batch while this table is written; the session's setting is put
+    back afterwards.
     """
-    return stage_at(df, shared_folder(df.sparkSession, name))
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    if batch_rows is None:
+        return stage_at(df, path)
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(batch_rows))
+    try:
+        return stage_at(df, path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
 
 
 def stage_at(df: DataFrame, path: str) -> DataFrame:
