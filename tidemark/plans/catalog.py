@@ -27,6 +27,7 @@ from tidemark.operators import dq as dqm
 from tidemark.operators.asof import asof_join, inside_closed, month_index
 from tidemark.operators.dedup import keep_first, union_keep_existing
 from tidemark.operators.extract import (
+    active_matches,
     extract_id_title,
     extract_injury_grid,
     extract_injury_status,
@@ -38,19 +39,20 @@ from tidemark.operators.extract import (
     extract_shots,
 )
 from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
-from tidemark.operators.loads import load_silver_matches, load_silver_teams, upsert_dim_teams
-from tidemark.operators.merge import upsert
+from tidemark.operators.loads import load_silver_matches, load_silver_rosters, load_silver_teams, upsert_dim_teams
+from tidemark.operators.merge import merge_update, upsert
 from tidemark.operators.metrics import compute_match_squad_health_deficit, compute_player_injury_summary, player_baselines
-from tidemark.operators.resolve import resolve_entities, resolve_player_entities
+from tidemark.operators.resolve import resolve_entities, resolve_player_entities, resolve_player_identities
 from tidemark.operators.scd2 import (
     latest_per_period,
     load_silver_injuries,
     process_injury_scd2,
     scd2_apply,
+    update_injury_history,
     upsert_dim_players_scd2,
 )
 from tidemark.operators.setops import set_difference, union_by_name
-from tidemark.operators.windows import rolling_avg
+from tidemark.operators.windows import rolling_avg, running_sum
 from tidemark.plans import gold
 from tidemark.sources.tables import Tables
 
@@ -62,6 +64,7 @@ SNAPSHOT_DATE = _dt.date(2024, 2, 1)
 # wall-clock TIMESTAMP_NTZ, the result does not depend on the zone.
 CHECK_TS = "2024-02-01 06:00:00"
 PROCESSING_TS = _dt.datetime(2024, 2, 1, 6, 0, 0)
+EARLIER_TS = _dt.datetime(2024, 1, 1, 6, 0, 0)
 INJURED = "error"
 MONEY = 2  # decimals of prices / discounts
 
@@ -233,10 +236,10 @@ def q_injuries_string_dates(spark, d):
 
 
 def q_timeline_conflicts(spark, d):
-    """G5's containment test as a report: purchase events dated inside a
-    *closed* status slice of their user (a (key, month) semi join)."""
+    """G5's containment test as a report: events dated inside a *closed*
+    status slice of their user (a (key, month) semi join)."""
     t = Tables(spark, d)
-    events = t.events.filter(F.col("event_type") == "purchase").select(
+    events = t.events.select(
         "event_id", F.col("user_id").alias("player_id"), F.to_date("ts").alias("event_date")
     )
     return inside_closed(events, status_history(t), ["player_id"], "event_date", open_end=OPEN_END)
@@ -276,7 +279,7 @@ def q_point_in_time(spark, d):
         "valid_from",
         F.when(~F.col("is_current"), F.col("valid_to")).alias("valid_to"),
     )
-    facts = t.events.filter(F.col("event_type") == "purchase").select(
+    facts = t.events.select(
         "event_id",
         F.col("user_id").alias("player_id"),
         F.to_date("ts").alias("snapshot_date"),
@@ -317,8 +320,7 @@ def q_resolve_unmatched(spark, d):
 def q_merge_scd1(spark, d):
     t = Tables(spark, d)
     open_total = (
-        t.orders.filter(F.col("o_orderstatus") == "O")
-        .groupBy("o_custkey")
+        t.orders.groupBy("o_custkey")
         .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("_open"))
     )
     source = t.customer.join(open_total, F.col("c_custkey") == F.col("o_custkey")).select(
@@ -333,16 +335,19 @@ def q_merge_scd1(spark, d):
     return upsert(target, source, ["c_custkey"])
 
 
-def _stats_for(t: Tables, flag: str) -> DataFrame:
-    s = t.lineitem.filter(F.col("l_returnflag") == flag).select(
-        F.col("l_suppkey").alias("player_id"), F.col("l_orderkey").alias("shot_id"), F.col("l_discount").alias("xg")
+def _stats_for(t: Tables, status: str) -> DataFrame:
+    s = t.lineitem.filter(F.col("l_linestatus") == status).select(
+        F.col("l_orderkey").alias("player_id"), F.col("l_linenumber").alias("shot_id"), F.col("l_discount").alias("xg")
     )
     return gold.build_player_stats(s, scale=MONEY)
 
 
 def q_gold_upsert(spark, d):
+    """S11 run twice: statistics per order of the finished lines, replaced by
+    those of the open lines. Orders with finished lines only stay, orders with
+    both kinds are replaced, orders with open lines only are inserted."""
     t = Tables(spark, d)
-    target, source = _stats_for(t, "R"), _stats_for(t, "N")
+    target, source = _stats_for(t, "F"), _stats_for(t, "O")
     once = gold.upsert_gold(target, source, ["player_id"])
     return gold.upsert_gold(once, source, ["player_id"])
 
@@ -396,12 +401,129 @@ def q_batch_collisions(spark, d):
 
 
 def q_dim_hash(spark, d):
+    """L5 + S10: the stored teams are all nations and regions, stamped a month
+    earlier. The feed names the suppliers' nations, which match and are
+    stamped anew, and the part brands, which are inserted; the regions stay."""
+    t = Tables(spark, d)
+    names = t.nation.select(F.col("n_name").alias("name")).unionByName(t.region.select(F.col("r_name").alias("name")))
+    stored = upsert_dim_teams(None, names, "name", EARLIER_TS)
+    named = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("title"))
+    feed = named.unionByName(t.part.select(F.col("p_brand").alias("title")))
+    merged = upsert_dim_teams(stored, feed, "title", PROCESSING_TS)
+    return merged.select("team_id", "team_name", F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"))
+
+
+def q_merge_if_changed(spark, d):
+    """S10 with change detection: customers whose latest order priority differs
+    from the stored segment's first letter take segment and balance; those
+    where it is equal keep both, those without orders are not matched."""
+    t = Tables(spark, d)
+    source = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.when(F.max("o_orderstatus") == "P", "PENDING").alias("_moved"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("c_acctbal"),
+    )
+    source = source.join(t.customer.select("c_custkey", "c_mktsegment"), "c_custkey").select(
+        "c_custkey", F.coalesce("_moved", "c_mktsegment").alias("c_mktsegment"), "c_acctbal"
+    )
+    target = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
+    return merge_update(
+        target, source, ["c_custkey"], ["c_mktsegment", "c_acctbal"], insert=False, only_if_changed=["c_mktsegment"]
+    )
+
+
+def q_injuries_gated(spark, d):
+    """The future-date and the conflict gate, then the split, over two loads of ISO dates."""
+    ev = status_events(Tables(spark, d)).withColumn("effective_date", F.date_format("effective_date", "yyyy-MM-dd"))
+    first = ev.filter(F.col("effective_date") < F.lit(SPLIT_DATE.isoformat()))
+    second = ev.filter(F.col("effective_date") >= F.lit(SPLIT_DATE.isoformat()))
+    return update_injury_history(load_silver_injuries(None, first), second, future_bound=PROCESSING_DATE)
+
+
+def q_resolve_identities(spark, d):
+    """R2: every ordering customer's raw name must map to an id."""
+    t = Tables(spark, d)
+    mapping = t.customer.select(F.col("c_name").alias("raw_name"), F.col("c_custkey").alias("player_id"))
+    return resolve_player_identities(_name_feed(t).select(F.col("player_name").alias("raw_name")), mapping)
+
+
+def q_load_rosters(spark, d):
+    """L4: rosters keyed by (team, player, season). Finished lines are stored, all
+    lines arrive; a triple that is stored or repeated is loaded once."""
     t = Tables(spark, d)
-    existing = t.region.select(
-        hash_key("r_name").alias("team_id"), F.trim("r_name").alias("team_name"), F.lit(PROCESSING_TS).alias("updated_at")
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("team_id"),
+        F.col("l_suppkey").alias("player_id"),
+        F.year("l_shipdate").cast("string").alias("season"),
+        "l_linestatus",
+    )
+    stored = load_silver_rosters(lines.limit(0).drop("l_linestatus"), lines.filter("l_linestatus = 'F'").drop("l_linestatus"))
+    return load_silver_rosters(stored, lines.drop("l_linestatus"), initial_unique=True)
+
+
+def q_load_matches_quarantine(spark, d):
+    """F15 under the quarantine policy: matches of customers in segment BUILDING
+    have no team in the dimension; they are set aside, the others are loaded."""
+    t = Tables(spark, d)
+    batch = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("match_id"),
+        F.col("c_name").alias("home_team"),
+        F.col("c_name").alias("away_team"),
+        F.col("o_orderpriority").alias("score"),
+    )
+    teams = t.customer.filter(F.col("c_mktsegment") != "BUILDING").select(
+        F.col("c_name").alias("raw_name"), F.col("c_custkey").alias("team_id")
+    )
+    initial = spark.createDataFrame([], "match_id long, home_id long, away_id long, score string")
+    loaded, aside = load_silver_matches(initial, batch, teams, policy="quarantine")
+    return loaded.select("match_id", "home_id", "score", F.lit("loaded").alias("state")).unionByName(
+        aside.select("match_id", F.lit(None).cast("long").alias("home_id"), "score", F.lit("quarantined").alias("state"))
+    )
+
+
+def q_historical_impact(spark, d):
+    """V8 through its builder: every event's value at the version of its user valid then."""
+    t = Tables(spark, d)
+    dim = status_history(t).select(
+        "player_id",
+        F.concat(F.lit("user-"), F.col("player_id").cast("string")).alias("player_name"),
+        F.col("status").alias("team_name"),
+        F.when(F.col("status") == INJURED, F.col("status")).alias("injury_status"),
+        F.col("valid_from").cast("timestamp").alias("effective_from"),
+        F.when(~F.col("is_current"), F.col("valid_to").cast("timestamp")).alias("effective_to"),
+    )
+    facts = t.events.select(F.col("user_id").alias("player_id"), F.to_date("ts").alias("snapshot_date"), F.col("value").alias("xg"))
+    return gold.build_historical_player_impact(facts, dim)
+
+
+def q_active_matches(spark, d):
+    """The orders of one date that are finished, as the day's matches."""
+    t = Tables(spark, d)
+    feed = t.orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+        (F.col("o_orderstatus") == "F").alias("isResult"),
+    )
+    return active_matches(feed, t.orders.select(F.max(F.to_date("o_orderdate"))).scalar())
+
+
+def q_running_sum_split(spark, d):
+    """W1 through the hot-key path: running revenue of every supplier above 200 lines."""
+    t = Tables(spark, d)
+    li = t.lineitem.select(
+        "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), "l_quantity"
+    )
+    out = running_sum(
+        li,
+        "l_suppkey",
+        ["l_orderkey", "l_linenumber", "l_partkey", "price", "l_quantity"],
+        "price",
+        "revenue",
+        split=F.floor(F.col("l_orderkey") / 1024),
+        hot_threshold=200,
+    )
+    return out.select(
+        "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("price").cast("double"), "l_quantity", F.col("revenue").cast("double")
     )
-    merged = upsert_dim_teams(existing, t.nation, "n_name", PROCESSING_TS)
-    return merged.select("team_id", "team_name")
 
 
 def q_load_ids(spark, d):
@@ -455,7 +577,7 @@ def q_efficiency(spark, d):
 def q_resilience(spark, d):
     t = Tables(spark, d)
     summary = compute_player_injury_summary(status_history(t), PROCESSING_DATE)
-    players = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("player_name"))
+    players = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("player_name"))
     return gold.build_resilience_index(players, summary)
 
 
@@ -522,8 +644,8 @@ def q_extract_grid(spark, d):
 
 def q_set_diff(spark, d):
     t = Tables(spark, d)
-    open_orders = t.orders.filter(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("custkey"))
-    return set_difference(t.customer.select(F.col("c_custkey").alias("custkey")), open_orders)
+    ordering = t.orders.select(F.col("o_custkey").alias("custkey"))
+    return set_difference(t.customer.select(F.col("c_custkey").alias("custkey")), ordering)
 
 
 def q_union_missing(spark, d):
@@ -554,8 +676,12 @@ def q_resolve_warn(spark, d):
 
 
 def q_dedupe_events(spark, d):
-    """G3 on a clean batch: exact copies collapse, one row per event id."""
-    return dedupe_batch(Tables(spark, d).events, "event_id")
+    """G3 on a batch delivered twice in part: every event, and again those of
+    signed-up users; the copies collapse to one row per event id."""
+    t = Tables(spark, d)
+    users = t.events.filter(F.col("event_type") == "signup").select("user_id").distinct()
+    again = t.events.join(users, "user_id", "left_semi").select(*t.events.columns)
+    return dedupe_batch(t.events.unionByName(again), "event_id")
 
 
 SNAPSHOT_1 = "2024-01-01 06:00:00"
@@ -663,7 +789,8 @@ PAGE_ESCAPES = (("{", "\\x7B"), ("}", "\\x7D"), ('"', "\\x22"), (":", "\\x3A"),
 
 
 def q_extract_match_info(spark, d):
-    """X4 over match pages Spark renders per order (escaped JSON in a script)."""
+    """X4 over match pages Spark renders per order: JSON in a script, escaped on
+    the pages of finished orders, plain on the others."""
     t = Tables(spark, d)
     info = F.to_json(
         F.struct(
@@ -675,8 +802,10 @@ def q_extract_match_info(spark, d):
             F.to_date("o_orderdate").cast("string").alias("date"),
         )
     )
+    escaped = info
     for ch, esc in PAGE_ESCAPES:
-        info = F.replace(info, F.lit(ch), F.lit(esc))
+        escaped = F.replace(escaped, F.lit(ch), F.lit(esc))
+    info = F.when(F.col("o_orderstatus") == "F", escaped).otherwise(info)
     page = F.concat(F.lit("<html><script>var match_info = JSON.parse('"), info, F.lit("');</script></html>"))
     pages = (
         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -689,7 +818,12 @@ def q_extract_match_info(spark, d):
 def injury_pages(t: Tables) -> DataFrame:
     """One injury-grid page per order, rendered by Spark: a heading row per
     side (home = customer, away = nation) followed by one player row per line
-    item of that side, rows in line-position order. Each group is one order."""
+    item of that side, rows in line-position order. Each group is one order
+    (its lines number a few, in these tables at most 13).
+
+    Around the grid stand tables of other classes with rows like the grid's,
+    within it a heading without a team; names hold numeric and named
+    entities, and the pages of finished orders quote attributes singly."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
              "l_returnflag", "l_linestatus", "l_shipdate"]
     li = t.lineitem.withColumn("_pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)))
@@ -699,7 +833,7 @@ def injury_pages(t: Tables) -> DataFrame:
 
     row = F.concat(
         F.lit('<tr class="player-row team_1">'),
-        cell("Player", F.concat(F.lit("Supplier#"), F.col("l_suppkey").cast("string"), F.lit("-"), F.col("_pos").cast("string"))),
+        cell("Player", F.concat(F.lit("Supplier&num;"), F.col("l_suppkey").cast("string"), F.lit("-"), F.col("_pos").cast("string"))),
         cell("Reason", F.col("l_returnflag")),
         cell("Further Detail", F.concat(F.lit("Apr 09: 'Line "), F.col("l_linenumber").cast("string"), F.lit(".'"))),
         cell("Potential Return", F.to_date("l_shipdate").cast("string")),
@@ -723,22 +857,26 @@ def injury_pages(t: Tables) -> DataFrame:
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     )
+    foreign = F.lit('<table class="standings"><tr class="heading"><td><div class="injury-team">Foreign</div></td></tr>'
+                    '<tr class="player-row">' + "<td>1</td>" * 7 + "</tr></table>")
     html = F.concat(
-        F.lit('<html><table class="injury-table">'),
-        heading(F.col("c_name")), side_html(0),
+        F.lit("<html>"), foreign, F.lit('<table id="grid" class="wide injury-table">'),
+        heading(F.replace(F.col("c_name"), F.lit("#"), F.lit("&#35;"))),
+        F.lit('<tr class="heading"><td>no team</td></tr>'), side_html(0),
         heading(F.col("n_name")), side_html(1),
-        F.lit("</table></html>"),
+        F.lit("</table>"), foreign, F.lit("</html>"),
     )
+    html = F.when(F.col("o_orderstatus") == "F", F.translate(html, '"', "'")).otherwise(html)
     return pages.select(F.col("l_orderkey").alias("payload_id"), html.alias("html"))
 
 
 def q_extract_injury_grid(spark, d):
-    """X7 over injury-grid pages rendered per order (parsed once, staged)."""
+    """X7 over injury-grid pages rendered per order."""
     return extract_injury_grid(injury_pages(Tables(spark, d)))
 
 
 def q_extract_injury_status(spark, d):
-    """X8 over the same pages: tracking id and status per player row (parsed once, staged)."""
+    """X8 over the same pages: tracking id and status per player row."""
     return extract_injury_status(injury_pages(Tables(spark, d)))
 
 
@@ -783,6 +921,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pk_violations": q_pk_violations,
     "batch_collisions": q_batch_collisions,
     "dim_hash": q_dim_hash,
+    "merge_if_changed": q_merge_if_changed,
+    "injuries_gated": q_injuries_gated,
+    "resolve_identities": q_resolve_identities,
+    "load_rosters": q_load_rosters,
+    "load_matches_quarantine": q_load_matches_quarantine,
+    "historical_impact": q_historical_impact,
+    "active_matches": q_active_matches,
+    "running_sum_split": q_running_sum_split,
     "star_health": q_star_health,
     "home_drag": q_home_drag,
     "efficiency": q_efficiency,
@@ -865,12 +1011,20 @@ _LINE_COLS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_exte
 _LINE_ORDER = ", ".join(f"{c} NULLS FIRST" for c in _LINE_COLS.split(", ")[2:] if c != "l_linenumber")
 _LINE_ORDER = "l_partkey NULLS FIRST, " + _LINE_ORDER
 
-_PLAYER_STATS_FOR = """
+_PLAYER_STATS = """
 SELECT l_suppkey AS player_id, COUNT(l_orderkey) AS total_shots,
        CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS total_expected_goals,
        CASE WHEN COUNT(l_discount) > 0 THEN CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_discount) END
          AS avg_shot_quality
-FROM lineitem WHERE l_returnflag = '{flag}' GROUP BY l_suppkey
+FROM lineitem GROUP BY l_suppkey
+"""
+
+_ORDER_STATS_FOR = """
+SELECT l_orderkey AS player_id, COUNT(l_linenumber) AS total_shots,
+       CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS total_expected_goals,
+       CASE WHEN COUNT(l_discount) > 0 THEN CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_discount) END
+         AS avg_shot_quality
+FROM lineitem WHERE l_linestatus = '{flag}' GROUP BY l_orderkey
 """
 
 _TEAM_FORM = f"""
@@ -970,7 +1124,7 @@ def _html_text_sql(expr: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
-    "player_stats": _PLAYER_STATS_FOR.replace("WHERE l_returnflag = '{flag}' ", ""),
+    "player_stats": _PLAYER_STATS,
     "injury_summary": "WITH " + _TIMELINE + """
 SELECT c.c_nationkey AS team_id, COUNT(tl.player_id) AS total_injured_players
 FROM tl JOIN customer c ON tl.player_id = c.c_custkey
@@ -1014,7 +1168,7 @@ FROM tl""",
     "timeline_conflicts": "WITH " + _TIMELINE + """
 SELECT e.event_id, e.user_id AS player_id, CAST(e.ts AS DATE) AS event_date
 FROM events e
-WHERE e.event_type = 'purchase' AND EXISTS (
+WHERE EXISTS (
   SELECT 1 FROM tl WHERE tl.player_id = e.user_id AND NOT tl.is_current
      AND CAST(e.ts AS DATE) >= tl.valid_from AND CAST(e.ts AS DATE) < tl.valid_to)""",
     "injury_categories": """
@@ -1036,8 +1190,7 @@ p AS (SELECT player_id, status, valid_from, CASE WHEN is_current THEN NULL ELSE
 SELECT e.event_id, e.user_id AS player_id, CAST(e.ts AS DATE) AS snapshot_date, e.value AS xg, p.status,
        CASE WHEN p.status = 'error' THEN 'Unavailable' ELSE 'Available' END AS availability_status
 FROM events e JOIN p ON e.user_id = p.player_id
- AND CAST(e.ts AS DATE) >= p.valid_from AND (CAST(e.ts AS DATE) < p.valid_to OR p.valid_to IS NULL)
-WHERE e.event_type = 'purchase'""",
+ AND CAST(e.ts AS DATE) >= p.valid_from AND (CAST(e.ts AS DATE) < p.valid_to OR p.valid_to IS NULL)""",
     "resolve_ok": """
 SELECT o.o_orderkey, o.o_totalprice, m.c_name AS raw_player_name, m.c_custkey AS player_id
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN customer m ON c.c_name = m.c_name""",
@@ -1050,6 +1203,39 @@ SELECT o.o_orderkey, o.o_totalprice, m.c_name AS raw_player_name, m.c_custkey AS
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN customer m ON m.c_name = c.c_name AND m.c_mktsegment <> 'BUILDING'""",
     "dedupe_events": "SELECT DISTINCT * FROM events",
+    "merge_if_changed": """
+WITH s AS (SELECT o_custkey AS k, max(o_orderstatus) = 'P' AS moved,
+                  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY o_custkey)
+SELECT c_custkey, CASE WHEN moved AND c_mktsegment <> 'PENDING' THEN 'PENDING' ELSE c_mktsegment END AS c_mktsegment,
+       CASE WHEN moved AND c_mktsegment <> 'PENDING' THEN total ELSE c_acctbal END AS c_acctbal
+FROM customer LEFT JOIN s ON c_custkey = k""",
+    "injuries_gated": "WITH " + _TIMELINE + """
+SELECT player_id, status, strftime(valid_from, '%Y-%m-%d') AS valid_from, strftime(valid_to, '%Y-%m-%d') AS valid_to
+FROM tl""",
+    "resolve_identities": """
+SELECT m.c_custkey AS player_id, m.c_name AS raw_name
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN customer m ON c.c_name = m.c_name""",
+    "load_rosters": """
+SELECT DISTINCT l_orderkey AS team_id, l_suppkey AS player_id, CAST(year(l_shipdate) AS VARCHAR) AS season FROM lineitem""",
+    "load_matches_quarantine": """
+SELECT o_orderkey AS match_id, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END AS home_id, o_orderpriority AS score,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN 'loaded' ELSE 'quarantined' END AS state
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "historical_impact": "WITH " + _TIMELINE + """
+SELECT 'user-' || CAST(e.user_id AS VARCHAR) AS player_name, tl.status AS team_name, CAST(e.ts AS DATE) AS snapshot_date,
+       e.value AS xg, CASE WHEN tl.status = 'error' THEN tl.status END AS injury_status,
+       CASE WHEN tl.status = 'error' THEN 'Unavailable' ELSE 'Available' END AS availability_status
+FROM events e JOIN tl ON e.user_id = tl.player_id
+ AND CAST(e.ts AS DATE) >= tl.valid_from AND (CAST(e.ts AS DATE) < tl.valid_to OR tl.is_current)""",
+    "active_matches": """
+SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "datetime", o_orderstatus = 'F' AS "isResult"
+FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) AND o_orderstatus = 'F'""",
+    "running_sum_split": """
+SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price, l_quantity,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) OVER (
+         PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS revenue
+FROM lineitem""",
     "dim_players_scd2": """
 WITH b AS (SELECT c.c_custkey AS player_id, c.c_name AS player_name, n.n_name AS team_name, c.c_mktsegment AS s1
            FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
@@ -1068,11 +1254,11 @@ FROM j WHERE changed""",
 WITH src AS (
   SELECT c.c_custkey, c.c_name, CAST(CAST(c.c_acctbal AS DECIMAL(18,2)) - o.open_total AS DOUBLE) AS c_acctbal, c.c_mktsegment
   FROM customer c JOIN (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS open_total
-                        FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey),
+                        FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey),
 tgt AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING')
 SELECT * FROM tgt WHERE c_custkey NOT IN (SELECT c_custkey FROM src)
 UNION ALL SELECT * FROM src""",
-    "gold_upsert": "WITH tgt AS (" + _PLAYER_STATS_FOR.format(flag="R") + "), src AS (" + _PLAYER_STATS_FOR.format(flag="N") + """)
+    "gold_upsert": "WITH tgt AS (" + _ORDER_STATS_FOR.format(flag="F") + "), src AS (" + _ORDER_STATS_FOR.format(flag="O") + """)
 SELECT * FROM tgt WHERE player_id NOT IN (SELECT player_id FROM src) UNION ALL SELECT * FROM src""",
     "load_dedup": f"""
 SELECT {_LINE_COLS} FROM (
@@ -1095,10 +1281,11 @@ SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem GROUP BY l_ord
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n_variants FROM (SELECT DISTINCT * FROM lineitem)
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
     "dim_hash": """
-SELECT md5(trim(r_name)) AS team_id, trim(r_name) AS team_name FROM region
-WHERE md5(trim(r_name)) NOT IN (SELECT md5(trim(n_name)) FROM nation)
-UNION ALL
-SELECT DISTINCT md5(trim(n_name)) AS team_id, trim(n_name) AS team_name FROM nation""",
+WITH stored AS (SELECT trim(n_name) AS name FROM nation UNION SELECT trim(r_name) FROM region),
+feed AS (SELECT trim(n_name) AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION SELECT trim(p_brand) FROM part)
+SELECT md5(name) AS team_id, name AS team_name,
+       CASE WHEN name IN (SELECT name FROM feed) THEN '2024-02-01' ELSE '2024-01-01' END AS updated_on
+FROM (SELECT name FROM stored UNION SELECT name FROM feed)""",
     "star_health": "WITH " + _TIMELINE + """,
 ci AS (SELECT s.s_nationkey AS team_id, COUNT(tl.player_id) AS active_injuries
        FROM tl JOIN supplier s ON tl.player_id = s.s_suppkey
@@ -1121,8 +1308,8 @@ SELECT m.match_id, t.n_name AS home_team_title, CAST(m.pts AS DOUBLE) - CAST(m.x
 FROM fm m JOIN nation t ON m.team_h = t.n_nationkey
 JOIN deficit d ON m.match_id = d.match_id AND m.team_h = d.team_id""",
     "resilience": "WITH " + _METRICS + """
-SELECT s.s_suppkey AS player_id, s.s_name AS player_name, m3.availability_coefficient
-FROM supplier s JOIN m3 ON s.s_suppkey = m3.player_id WHERE m3.is_current""",
+SELECT s.c_custkey AS player_id, s.c_name AS player_name, m3.availability_coefficient
+FROM customer s JOIN m3 ON s.c_custkey = m3.player_id WHERE m3.is_current""",
     "dq_metrics": _DQ + "SELECT table_name, dimension, metric_name, metric_value, unit, check_timestamp, snapshot_date FROM dq",
     "dq_report": _DQ + """
 SELECT table_name, dimension, metric_name, metric_value,
@@ -1177,7 +1364,7 @@ FROM lineitem""",
     "extract_grid": _PAGE_LINKS.replace("{clean_section}", _html_text_sql("section")).replace(
         "{clean_link}", _html_text_sql("regexp_extract(row, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2)")
     ),
-    "set_diff": "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'O'",
+    "set_diff": "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey AS custkey FROM orders",
     "union_missing": """
 SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_acctbal AS balance FROM customer
 UNION ALL BY NAME
