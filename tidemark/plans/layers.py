@@ -21,7 +21,7 @@ from tidemark.operators.loads import upsert_dim_teams, write_fact_match_stats
 from tidemark.operators.resolve import log_gap, resolve_source
 from tidemark.operators.scd2 import upsert_dim_players_scd2
 from tidemark.plans.gold import register_gold_views
-from tidemark.sources.io import publish_version, read_latest, read_source, write_partitioned
+from tidemark.sources.io import publish_version, read_latest, read_source, write_partition, write_partitioned
 
 log = logging.getLogger(__name__)
 
@@ -73,23 +73,32 @@ def run_gold(
     check_ts: _dt.datetime,
     dq_threshold: float = 0.95,
 ) -> dict[str, DataFrame]:
-    """E2 + E3 tail: fact snapshot, DQ metrics and gate, then the gold views."""
+    """E2 + E3 tail: fact snapshot staged, DQ metrics and gate, then facts and gold views published.
+
+    The gate measures the staged snapshot; facts that fail it never reach
+    the live table, which keeps what an earlier run has published.
+    """
     resolved, report = resolve_source(spark, paths.players_bronze, paths.mapping, "name", team_col="team")
-    write_fact_match_stats(resolved, paths.table("fact_match_stats"), snapshot_date)
+    write_fact_match_stats(resolved, paths.table("staging/fact_match_stats"), snapshot_date)
     log_gap(report, paths.players_bronze)
 
-    facts = spark.read.parquet(paths.table("fact_match_stats"))
+    held = spark.read.parquet(paths.table("staging/fact_match_stats"))
+    staged = held.filter(F.col("snapshot_date") == F.lit(snapshot_date))
     players = read_latest(spark, paths.table("dim_players"))
     teams = read_latest(spark, paths.table("dim_teams"))
     kw = dict(snapshot_date=snapshot_date, check_timestamp=check_ts)
     metrics = (
         dq.measure_table(players, "dim_players", not_null=["player_id", "effective_from"], **kw)
-        .unionByName(dq.measure_table(facts, "fact_match_stats", not_null=["xg", "actual_goals"], **kw))
-        .unionByName(dq.orphan_share(facts, "team_id", teams, "team_id", "fact_match_stats", **kw))
+        .unionByName(dq.measure_table(staged, "fact_match_stats", not_null=["xg", "actual_goals"], **kw))
+        .unionByName(dq.orphan_share(staged, "team_id", teams, "team_id", "fact_match_stats", **kw))
     )
     write_partitioned(metrics, paths.table("dq_metrics"), ["snapshot_date"])
     stored = spark.read.parquet(paths.table("dq_metrics"))
     dq.dq_gate(stored.filter(F.col("snapshot_date") == F.lit(snapshot_date)), dq_threshold)
+    write_partition(
+        staged.drop("snapshot_date"), paths.table("fact_match_stats"), "snapshot_date", snapshot_date.isoformat()
+    )
+    facts = spark.read.parquet(paths.table("fact_match_stats"))
 
     silver = {"fact_match_stats": facts, "dim_players": players, "dim_teams": teams, "dq_metrics": stored}
     register_gold_views(

@@ -61,20 +61,31 @@ def start_scd2_stream(
     available_now: bool = True,
     source_format: str = "parquet",
 ) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what exists and stops."""
+    """Start the stream; with ``available_now`` it processes what exists and stops.
+
+    Limits: events later than ``watermark`` are dropped by the stream, and a
+    day whose state repeats the running one leaves no trace in the history,
+    so an event arriving afterwards for an earlier day holds until the next
+    recorded change. Rebuild such keys from the event log
+    (:func:`tidemark.operators.scd2.scd2_rebuild`) when late events matter.
+    """
     raw = spark.readStream.format(source_format).schema(source_schema).load(source_path)
     per_day = daily_states(raw, keys, ts_col, tracked, tiebreak, watermark)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        current = read_latest(spark, history_base)
-        if current is not None and "is_current" in current.columns:
-            current = current.drop("is_current")
-        new_state = scd2_apply(
-            current, batch, list(keys), list(tracked), current_col="is_current", check_batch=False
-        )
-        publish_version(new_state, history_base)
+        batch.persist()  # used by the emptiness test, the key statistics and the write
+        try:
+            if batch.isEmpty():
+                return
+            current = read_latest(spark, history_base)
+            if current is not None and "is_current" in current.columns:
+                current = current.drop("is_current")
+            new_state = scd2_apply(
+                current, batch, list(keys), list(tracked), current_col="is_current", check_batch=False
+            )
+            publish_version(new_state, history_base)
+        finally:
+            batch.unpersist()
 
     writer = (
         per_day.writeStream.outputMode("update")
