@@ -88,10 +88,10 @@ class FactorizationMachine:
     def known(self, places: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slots and weights of those places that are trained."""
         if not len(self.places) or not len(places):
-            return np.empty(0, np.int64), np.empty(0, np.float32)
+            return np.empty(0, np.int32), np.empty(0, np.float32)
         slot = np.minimum(np.searchsorted(self.places, places), len(self.places) - 1)
         hit = self.places[slot] == places
-        return slot[hit], x[hit]
+        return slot[hit].astype(np.int32), x[hit]
 
     def score(self, places: np.ndarray, x: np.ndarray) -> float:
         slot, x = self.known(places, x)
@@ -111,8 +111,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = SEED, epochs
     rng = np.random.default_rng(seed)
     n1 = sum(y for _, _, y in rows)
     share = (n1 + 1.0) / (len(rows) + 2.0)
-    used, docs = np.unique(np.concatenate([p for p, _, _ in rows] or [np.empty(0, np.int32)]), return_counts=True)
-    used = used[docs >= LEAST_DOCS]
+    docs_using = np.zeros(PLACES, dtype=np.int32)
+    for places, _, _ in rows:
+        docs_using[places] += 1  # a document's places are distinct
+    used = np.flatnonzero(docs_using >= LEAST_DOCS).astype(np.int32)
     linear = np.zeros(len(used))
     factors = rng.normal(0, 0.02, (len(used), FACTORS))
     machine = FactorizationMachine(float(np.log(share / (1 - share))), used, linear, factors)
