@@ -7,6 +7,20 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+# Whole-catalog comparisons, the bench and streams: ``pytest -m "not slow"`` is the inner loop.
+SLOW_MODULES = ("test_io_oracle", "test_bench_contract", "test_streaming_schemas", "test_windows_property", "test_layers")
+
+
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: whole-catalog, bench, streaming and layer tests")
+
+
+def pytest_collection_modifyitems(items):
+    for item in items:
+        if item.path.stem in SLOW_MODULES or item.path.parent.name == "llm":
+            item.add_marker(pytest.mark.slow)
+
+
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
