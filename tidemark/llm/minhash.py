@@ -167,6 +167,8 @@ class _Verifier:
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["u", "v"], "left_anti")
         pairs = stage(pairs, "pairs")
+        if pairs.isEmpty():
+            return pairs
         self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
         agree = F.pandas_udf(agreement, "double")
         near = stage(
@@ -268,7 +270,10 @@ def _components(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFr
     while left:
         hubs = stage(open_members.groupBy("bucket").agg(F.max_by("node", "component").alias("hub"), F.max("component").alias("own")), "hubs")
         stars = open_members.join(hubs, "bucket").filter("component <> own").select(F.col("hub").alias("u"), F.col("node").alias("v"))
-        links = links.unionByName(verifier.links(stars))
+        new = verifier.links(stars)
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
         labels = stage(connected_components(links), "labels")
         before = left
         open_members, left = _open(members, labels)
@@ -278,11 +283,14 @@ def _components(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFr
         if not left:
             break
         pairs = stage(_block_pairs(open_members, nodes, partners), "block-pairs")
-        links = links.unionByName(verifier.links(pairs.select("u", "v")))
-        labels = stage(connected_components(links), "labels")
+        new = verifier.links(pairs.select("u", "v"))
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            labels = stage(connected_components(links), "labels")
         if partners == PARTNERS[-1] or pairs.filter("more").isEmpty():
             break
-        open_members, left = _open(members, labels)
+        if not new.isEmpty():
+            open_members, left = _open(members, labels)
     return labels
 
 
