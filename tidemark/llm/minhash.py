@@ -1,22 +1,22 @@
 """MinHash near-duplicate detection: bands, verification, components.
 
 1. One pass over the texts makes each document's set of shingle hashes and
-   from it 200 minima of universal hash functions. One byte of each is kept,
-   the sketch; 40 band keys hold five bytes each. Two documents at the
-   threshold of 0.8 miss all 40 bands with probability at most
-   (1 - 0.8**5)**40 = 1.2e-7.
+   from it 400 minima of universal hash functions. One byte of each is kept,
+   the sketch; 40 band keys hold five of the first 200 bytes each. Two
+   documents at the threshold of 0.8 miss all 40 bands with probability at
+   most (1 - 0.8**5)**40 = 1.2e-7.
 2. Documents with the same set become one node, so copies cost no pairs.
-3. A band bucket never lists its pairs. In star rounds each member is tried
-   against one chosen member only; confirmed links are joined to components
-   and buckets within one component are finished. Buckets that still span
-   components are compared by sketch in bounded blocks, only across
-   components and in the first bucket that the two share; each member puts
-   forward its 64 likeliest partners and, where it has more, all of them in a
-   second round. So no link between components is lost, whatever a bucket's
-   size.
-4. A pair is confirmed when its sketches agree in 0.62 of the places or more
-   (six standard deviations below 0.8) and the full shingle sets meet the
-   threshold exactly.
+3. A band bucket does not list its pairs. In the star round each member is
+   tried against the bucket's first one; confirmed links are joined to
+   components and buckets within one component are finished. Buckets that
+   still span components are compared by sketch in bounded blocks, only
+   across components and in the first bucket that two members share; each
+   member puts forward its 4 likeliest partners per block and, where it has
+   more, in a second round all that still lie in other components. So no link
+   between components is lost, whatever a bucket's size.
+4. A pair is confirmed when its sketches agree in 0.71 of the places or more
+   (four and a half standard deviations below 0.8) and the full shingle sets
+   meet the threshold exactly.
 """
 
 from __future__ import annotations
@@ -35,14 +35,16 @@ from tidemark.llm.staging import TEXT_BATCH_ROWS, stage
 
 BANDS = 40
 ROWS = 5
+#: Hash functions of a sketch; the first BANDS * ROWS make the bands.
+HASHES = 400
 THRESHOLD_PERCENT = 80
 #: Share of equal sketch bytes below which a pair is not compared in full.
-LEAST_AGREEMENT = 0.62
+LEAST_AGREEMENT = 0.71
 SHINGLE_WORDS = 5
 #: Members of a bucket compared in one task, squared.
 BLOCK_ROWS = 256
 #: Partners a member puts forward in successive rounds; the last exceeds any block.
-PARTNERS = (64, BLOCK_ROWS)
+PARTNERS = (4, BLOCK_ROWS)
 SEED = 7
 #: Words a worker remembers the hash of.
 CACHE_WORDS = 250_000
@@ -121,7 +123,7 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def sketch(docs: DataFrame, shingle_words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, digest, bands, sketch) of every row; the last three null for empty sets."""
-    a, b = hash_functions(bands * rows)
+    a, b = hash_functions(max(HASHES, bands * rows))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words_of = WordHashes()
@@ -135,7 +137,7 @@ def sketch(docs: DataFrame, shingle_words: int, bands: int = BANDS, rows: int =
                 if filled:
                     sig = signatures([sets[i] for i in filled], a, b)
                     low_bytes = sig.astype(np.uint8)
-                    for i, k, low in zip(filled, band_keys(low_bytes, bands, rows), low_bytes, strict=True):
+                    for i, k, low in zip(filled, band_keys(low_bytes[:, : bands * rows], bands, rows), low_bytes, strict=True):
                         digests[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                         keys[i], bytes_[i] = k, low.tobytes()
                 yield out.assign(digest=digests, bands=keys, sketch=bytes_)
@@ -265,20 +267,7 @@ def _components(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFr
     stars = members.join(shared, "bucket").select(F.col("rep").alias("u"), F.col("node").alias("v"))
     links = verifier.links(stars)
     labels = stage(connected_components(links), "labels")
-    # More stars, each around a member outside its bucket's first component, while they pay.
     open_members, left = _open(members, labels)
-    while left:
-        hubs = stage(open_members.groupBy("bucket").agg(F.max_by("node", "component").alias("hub"), F.max("component").alias("own")), "hubs")
-        stars = open_members.join(hubs, "bucket").filter("component <> own").select(F.col("hub").alias("u"), F.col("node").alias("v"))
-        new = verifier.links(stars)
-        if new.isEmpty():
-            break
-        links = links.unionByName(new)
-        labels = stage(connected_components(links), "labels")
-        before = left
-        open_members, left = _open(members, labels)
-        if left > 0.7 * before:
-            break
     for partners in PARTNERS:
         if not left:
             break
@@ -364,7 +353,7 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, partners: int) -> DataFra
             # A pair that shares several buckets counts in the first one only.
             if not len(likely):
                 continue
-            first = same[likely].reshape(len(likely), -1, ROWS).all(axis=2).argmax(axis=1)
+            first = same[likely, : BANDS * ROWS].reshape(len(likely), BANDS, ROWS).all(axis=2).argmax(axis=1)
             likely = likely[first == band]
             best = likely[np.argsort(-alike[likely], kind="stable")[:partners]]
             found_u.append(np.full(len(best), u[r]))
