@@ -36,9 +36,9 @@ def test_half_open_bounds_gaps_and_open_versions(spark):
     got = rows(asof_join(fd, dd, ["k"], "day", open_end=d(9999, 12, 31)), "fid", "k", "day", "st")
     assert got == _brute(facts, dims, d(9999, 12, 31))
     assert [r[0] for r in got] == [2, 3, 4, 5, 7, 8, 9]
-    # an explicit horizon before a fact's month drops that fact's open match
-    capped = rows(asof_join(fd, dd, ["k"], "day", open_end=d(9999, 12, 31), horizon=d(2024, 12, 1)), "fid")
-    assert (8,) not in capped and (7,) in capped
+    # an explicit horizon before a fact's month bounds the buckets, not the facts
+    capped = rows(asof_join(fd, dd, ["k"], "day", open_end=d(9999, 12, 31), horizon=d(2024, 12, 1)), "fid", "k", "day", "st")
+    assert capped == got
 
 
 def test_inside_closed(spark):
