@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.llm.conftest import collected
@@ -154,6 +155,41 @@ def test_recall_on_the_given_vectors(spark):
     assert len(recall) == (ids % 20 == 0).sum() and np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["clusters", "hot"])
+def test_recall_on_vectors_in_few_large_groups(spark, kind):
+    """Every row that shares a file with a query is compared, however alike the rows of a block are."""
+    rng = np.random.default_rng(8)
+    n, d = 3000, 64
+    centre = rng.normal(size=(10, d))
+    x = centre[rng.integers(0, 10, n)] if kind == "clusters" else rng.normal(size=(n, d))
+    if kind == "hot":
+        x[: n // 3] = centre[0]
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) + 0.3 * rng.normal(size=(n, d)) / math.sqrt(d)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(f) for f in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in perm_index.search(df, df.filter("vec_id % 20 = 0 and vec_id < 1000")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = []
+    for q in range(0, 1000, 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(recall) >= 0.99
+
+
+def test_a_block_compares_every_row_and_counts_repeats_once():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 8))
+    ids = np.r_[np.arange(300), np.full(40, 7), 0]
+    x = np.vstack([x, np.repeat(x[7:8], 40, axis=0), x[1:2]])  # a row 41 times; id 0 with two vectors
+    rows = pd.DataFrame({"vec_id": ids, "vec": [v.tobytes() for v in x], "pos": [bytes(4)] * len(x)})
+    got = perm_index.rank_block(rows, rows.iloc[:30], 20)
+    for q, found in zip(got["query_id"], got["found"], strict=True):
+        score = {(-float(np.multiply(v, x[q]).sum()), int(i)) for i, v in zip(ids, x, strict=True) if i != q}
+        assert [(f["neg"], f["vec_id"]) for f in found] == sorted(score)[:20]
+
+
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, after string"
 RESULTS = "conv_id long, call_id string, turn long, content string"
 SCHEMAS = {
