@@ -115,6 +115,26 @@ def test_buckets_that_span_components_are_tried_whole(spark, monkeypatch):
     assert collected(minhash.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id", "kept") == plain_near(rows, 2)
 
 
+def test_links_behind_likelier_partners_reach_the_verifier(spark, monkeypatch):
+    """Blocks that exceed BLOCK_ROWS, where many likelier partners rank before the only linked one."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 1)
+    monkeypatch.setattr(minhash, "PARTNERS", (1, 1))
+    half = 12
+
+    class Linked:
+        def __init__(self, *_):
+            pass
+
+        def links(self, pairs):
+            return pairs.selectExpr("greatest(u, v) as u", "least(u, v) as v").filter(f"u - v = {half}").distinct()
+
+    monkeypatch.setattr(minhash, "_Verifier", Linked)
+    low, high = bytes(400), bytes(300) + b"x" * 100  # alike in 0.75 of the places
+    nodes = spark.createDataFrame([(i, 9, [0], low if i < half else high) for i in range(2 * half)], "node long, n_shingles long, bands array<long>, sketch binary")
+    got = collected(minhash._components(None, nodes, 1), "node", "component")
+    assert got == [(i, i % half) for i in range(2 * half)]
+
+
 def test_near_duplicates_on_odd_rows(odd_docs, no_docs):
     got = minhash.near_duplicates(odd_docs, 2).collect()
     assert len(got) == odd_docs.count()

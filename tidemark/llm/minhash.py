@@ -12,8 +12,8 @@
    still span components are compared by sketch in bounded blocks, only
    across components and in the first bucket that two members share; each
    member puts forward its 4 likeliest partners per block and, where it has
-   more, in a second round all that still lie in other components. So no link
-   between components is lost, whatever a bucket's size.
+   more, in a last round without bound all that still lie in other components.
+   So no link between components is lost, whatever a bucket's or block's size.
 4. A pair is confirmed when its sketches agree in 0.71 of the places or more
    (four and a half standard deviations below 0.8) and the full shingle sets
    meet the threshold exactly.
@@ -43,8 +43,8 @@ LEAST_AGREEMENT = 0.71
 SHINGLE_WORDS = 5
 #: Members of a bucket compared in one task, squared.
 BLOCK_ROWS = 256
-#: Partners a member puts forward in successive rounds; the last exceeds any block.
-PARTNERS = (4, BLOCK_ROWS)
+#: Partners a member puts forward per block in the rounds before the last, which has no bound.
+PARTNERS = (4,)
 SEED = 7
 #: Words a worker remembers the hash of.
 CACHE_WORDS = 250_000
@@ -268,7 +268,7 @@ def _components(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFr
     links = verifier.links(stars)
     labels = stage(connected_components(links), "labels")
     open_members, left = _open(members, labels)
-    for partners in PARTNERS:
+    for partners in (*PARTNERS, None):
         if not left:
             break
         pairs = stage(_block_pairs(open_members, nodes, partners), "block-pairs")
@@ -276,7 +276,7 @@ def _components(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFr
         if not new.isEmpty():
             links = links.unionByName(new)
             labels = stage(connected_components(links), "labels")
-        if partners == PARTNERS[-1] or pairs.filter("more").isEmpty():
+        if pairs.filter("more").isEmpty():
             break
         if not new.isEmpty():
             open_members, left = _open(members, labels)
@@ -303,12 +303,13 @@ def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
     return found, found.count()
 
 
-def _block_pairs(members: DataFrame, nodes: DataFrame, partners: int) -> DataFrame:
+def _block_pairs(members: DataFrame, nodes: DataFrame, partners: int | None) -> DataFrame:
     """(u, v, more): the likeliest pairs across components within each bucket's blocks.
 
     A bucket is dealt into blocks of about ``BLOCK_ROWS``; each pair of blocks
     is one unit of work, so a large bucket is shared by many tasks. ``more``
-    tells that a member had further partners beyond ``partners``.
+    tells that a member had further partners beyond ``partners``; None takes all,
+    whatever the size of a block.
     """
     facts = nodes.select("node", "n_shingles", "sketch")
     parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
@@ -358,7 +359,7 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, partners: int) -> DataFra
             best = likely[np.argsort(-alike[likely], kind="stable")[:partners]]
             found_u.append(np.full(len(best), u[r]))
             found_v.append(v[few[best]])
-            found_more.append(np.full(len(best), len(likely) > partners))
+            found_more.append(np.full(len(best), len(likely) > len(best)))
         if not found_u:
             return None
         return pd.DataFrame({"u": np.concatenate(found_u), "v": np.concatenate(found_v), "more": np.concatenate(found_more)})
