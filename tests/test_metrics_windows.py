@@ -68,8 +68,8 @@ def test_split_rolling_equals_plain_window(spark):
     for seed, (lo, hi) in [(1, (-5, -1)), (2, (-4, 0)), (3, (-2, -2))]:
         df = _random_frame(spark, seed)
         plain = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=2)
-        split = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=2, split=F.floor(F.col("t") / 97), hot_threshold=50)
-        everything = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=2, split=F.floor(F.col("t") / 7), hot_threshold=0)
+        split = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=2, range_rows=50)
+        everything = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=2, range_rows=3)
         assert rows(split) == rows(plain)
         assert rows(everything) == rows(plain)
 
@@ -77,28 +77,64 @@ def test_split_rolling_equals_plain_window(spark):
 def test_split_running_sum_equals_plain_window(spark):
     df = _random_frame(spark, 4).withColumn("n", F.col("t") % 17)
     plain = running_sum(df, "k", ["t", "id"], "n", "c")
-    split = running_sum(df, "k", ["t", "id"], "n", "c", split=F.floor(F.col("t") / 101), hot_threshold=50)
+    split = running_sum(df, "k", ["t", "id"], "n", "c", range_rows=50)
     assert rows(split) == rows(plain)
 
 
-def test_hot_key_is_split_into_bounded_groups(spark):
-    from tidemark.operators.windows import _bucketed, hot_keys
+def test_hot_key_on_one_date_is_split(spark):
+    from tidemark.operators.windows import _dealt, ranges_of
 
     n = 9000
-    # key 0 holds a third of the rows, the rest spread over 600 keys
+    # key 0 holds a third of the rows, all on one date; the rest spread over 600 keys
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 600 + 1).alias("k"),
-        F.col("id").alias("t"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("t"),
+        "id",
         (F.col("id") % 7).cast("double").alias("v"),
     )
-    hot = hot_keys(df, "k", threshold=100)
-    assert [r.k for r in hot.collect()] == [0]
-    groups = _bucketed(df, "k", F.floor(F.col("t") / 300), hot).groupBy("k", "_b").count()
-    biggest = groups.agg(F.max("count")).first()[0]
-    assert biggest <= 100  # the 3000-row hot key is cut into 30 groups of 100
-    plain = rolling_avg(df, "k", ["t"], "v", -5, -1, "r")
-    split = rolling_avg(df, "k", ["t"], "v", -5, -1, "r", split=F.floor(F.col("t") / 300), hot=hot)
+    ranges = ranges_of(df, "k", ["t", "id"], 100)
+    assert ranges_of(df, "k", ["t", "id"], n) is None
+    groups = _dealt(df, ranges, ["t", "id"]).groupBy("k", "_b").count()
+    assert groups.agg(F.max("count")).first()[0] <= 200  # ranges of some 100 rows
+    plain = rolling_avg(df, "k", ["t", "id"], "v", -5, -1, "r")
+    split = rolling_avg(df, "k", ["t", "id"], "v", -5, -1, "r", range_rows=100)
     assert rows(split) == rows(plain)
+    # one long search: more bounds than a stride, ranges shorter than the look-back
+    tiny = rolling_avg(df.filter("k = 0"), "k", ["t", "id"], "v", -5, -1, "r", range_rows=3)
+    assert rows(tiny) == rows(plain.filter("k = 0"))
+
+
+def test_prefix_scan_reads_and_shuffles_its_source_once(spark):
+    import contextlib
+    import io
+    import tempfile
+
+    path = tempfile.mkdtemp() + "/t"
+    _random_frame(spark, 5).write.parquet(path)
+    df = spark.read.parquet(path).withColumn("n", F.col("id") % 17)
+    for out in (
+        rolling_avg(df, "k", ["t", "id"], "v", -5, -1, "r", scale=2, range_rows=50),
+        running_sum(df, "k", ["t", "id"], "n", "r", range_rows=50),
+    ):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            out.explain()
+        plan = text.getvalue()
+        assert plan.count("FileScan") == 1
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert plan.count("Exchange") <= 3
+
+
+def test_prefix_scan_of_odd_keys(spark):
+    import datetime
+    import decimal
+
+    kinds = {"binary": lambda i: bytes([i % 2]), "double": lambda i: float("nan") if i % 2 else None, "date": lambda i: datetime.date(2024, 1, 1 + i % 2)}
+    for kind, make in kinds.items():
+        data = [(make(i), decimal.Decimal(i % 9), None if i % 5 == 0 else i) for i in range(120)]
+        df = spark.createDataFrame(data, f"k {kind}, t decimal(9,2), v INT").withColumn("id", F.monotonically_increasing_id())
+        for fn in (lambda **kw: rolling_avg(df, "k", ["t", "id"], "v", -3, -1, "r", scale=0, **kw), lambda **kw: running_sum(df, "k", ["t", "id"], "v", "r", **kw)):
+            assert sorted(map(str, fn(range_rows=10).collect())) == sorted(map(str, fn().collect()))
 
 
 def test_future_guard_on_summary(spark):

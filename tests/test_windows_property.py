@@ -24,13 +24,12 @@ row = st.tuples(
 def test_split_equals_plain(spark, data, lo, width, scale):
     df = spark.createDataFrame([(k, i, t, v) for i, (k, t, v) in enumerate(data)], "k INT, id INT, t INT, v DOUBLE")
     hi = min(0, lo + 2)
-    bucket = F.floor(F.col("t") / width)
     plain = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=scale)
-    split = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=scale, split=bucket, hot_threshold=0)
+    split = rolling_avg(df, "k", ["t", "id"], "v", lo, hi, "r", scale=scale, range_rows=width)
     assert rows(split) == rows(plain)
     sums = df.withColumn("n", (F.col("v") * 100).cast("int"))
     for value in ("n", "d"):
         sums = sums.withColumn("d", F.col("v").cast("decimal(9,2)"))
-        assert rows(running_sum(sums, "k", ["t", "id"], value, "c", split=bucket, hot_threshold=0)) == rows(
+        assert rows(running_sum(sums, "k", ["t", "id"], value, "c", range_rows=width)) == rows(
             running_sum(sums, "k", ["t", "id"], value, "c")
         )

@@ -1,81 +1,104 @@
 """Ordered-frame metrics that stay balanced when one key is huge.
 
-A ``Window.partitionBy(key)`` sends every row of a key to one task. For
-most keys that is fine; a key holding a third of the table would serialise
-the job. :func:`rolling_avg` and :func:`running_sum` therefore
-
-1. find hot keys with one partially-aggregated ``groupBy(key).count()``
-   (only the key column is read); a bounded count proves the hot-key frame
-   small (at most ``MAX_HOT_KEYS`` rows) before it is broadcast to flag rows;
-2. with no hot key, run the plain built-in window (one shuffle, codegen);
-3. otherwise split each hot key into sub-partitions ``(key, bucket)`` by a
-   monotone function of the order column and run the window per
-   sub-partition. What a bucket needs from the earlier ones is one row per
-   bucket: its last ``|lo|`` values (look-back) or its total (running sum).
-   These rows are prefixed per key and joined back, null-safe, to the rows
-   of the bucket. The data itself is shuffled once.
-
-Both paths give the same answer, NULL keys, NULL order values and NULL
-values included. Frames are ``ROWS BETWEEN lo AND hi`` with ``lo < 0`` and
-``hi <= 0`` — look-back frames, which is what the baseline and form metrics
-use.
+A ``Window.partitionBy(key)`` sends every row of a key to one task. For most
+keys that is fine; a key holding a third of the table would serialise the job.
+:func:`rolling_avg` and :func:`running_sum` therefore run a segmented prefix
+scan once a table has more than ``range_rows`` rows:
+
+1. rows are dealt into ranges of ``(key, order)`` whose bounds are quantiles of
+   a sample. A bound inside a key splits that key there, wherever its rows lie,
+   so a key with a third of the rows on one date is split like any other (by
+   the next order column). Keys without a bound stay in one range;
+2. one window per ``(key, range)``;
+3. a carry per range of a split key - the last ``|lo|`` values before it, or
+   the total of all before it - completes the first rows of the range, or all.
+
+Bounds and carries are counted in ranges, not rows: a few per ``range_rows``
+rows. They are collected, and travel as one small broadcast table, so the
+query itself reads its source once and shuffles it once.
+
+Up to ``range_rows`` rows the plain window runs. Both paths give the same
+answer, NULL keys, NULL order values and NULL values included. Frames are
+``ROWS BETWEEN lo AND hi`` with ``lo < 0`` and ``hi <= 0`` - look-back frames,
+which is what the baseline and form metrics use.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, FractionalType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, FractionalType, IntegerType, StructField, StructType
 
-# A key with more rows than this is split into buckets.
-HOT_KEY_ROWS = 5_000_000
-# At most this many hot keys are collected; beyond it every key is split.
-MAX_HOT_KEYS = 10_000
+# Rows of a range; a table of no more rows is not split at all.
+RANGE_ROWS = 5_000_000
+# Sampled rows per range: the bounds lie within some tenths of a range of the true quantiles.
+SAMPLED_PER_RANGE = 30
+# Bounds of one key are searched in two steps: among every STRIDE-th, then among STRIDE.
+STRIDE = 64
 
 
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+@dataclass
+class Ranges:
+    """Bounds of split keys: rows of (key, [order values of the first row of each further range])."""
 
+    key: StructField
+    order: StructType
+    bounds: list[tuple]
 
-def hot_keys(df: DataFrame, key: str, threshold: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS):
-    """Hot keys as a one-column DataFrame, ``[]`` when there are none, ``None``
-    when there are more than ``limit`` (then every key is split).
-
-    Nothing is collected: a bounded count (at most ``limit + 1`` rows) proves
-    the frame small enough to broadcast.
-    """
-    return _detect_hot(df, key, threshold, limit)
 
+def ranges_of(df: DataFrame, key: str, order: Sequence[str], range_rows: int) -> Ranges | None:
+    """The keys to split and where, or ``None`` when the plain window will do.
 
-def _detect_hot(df: DataFrame, key: str, threshold: int, limit: int):
-    frame = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > threshold)
-        .select(key)
-    )
-    n = frame.limit(limit + 1).count()
-    if n == 0:
-        return []
-    if n > limit:
+    Counts at most ``range_rows + 1`` rows of a small table; of a larger one it
+    samples the key and order columns. What is collected is one row per bound.
+    """
+    if df.select(F.lit(1)).limit(range_rows + 1).count() <= range_rows:
         return None
-    return frame
-
-
-def _bucketed(df: DataFrame, key: str, split: Column, hot) -> DataFrame:
-    """Add ``_b``: the split bucket for hot keys, one sentinel bucket otherwise."""
-    sentinel = F.lit(-(2**62))
-    if hot is None:
-        return df.withColumn("_b", F.coalesce(split.cast("long"), sentinel))
-    if isinstance(hot, DataFrame):
-        flags = F.broadcast(hot.select(F.col(key).alias("_hk")).withColumn("_hot", F.lit(True)))
-        x = df.join(flags, df[key].eqNullSafe(F.col("_hk")), "left").drop("_hk")
-        b = F.when(F.col("_hot"), split.cast("long"))
-        return x.withColumn("_b", F.coalesce(b, sentinel)).drop("_hot")
-    b = F.when(F.col(key).isin(list(hot)), split.cast("long"))
-    return df.withColumn("_b", F.coalesce(b, sentinel))
+    total = df.count()
+    wanted = -(-total // range_rows)
+    spec = df.select(key, *order).schema
+    picked = df.select(F.col(key).alias("_k"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)])
+    share = min(1.0, SAMPLED_PER_RANGE * wanted / total)
+    names = [f"_o{i}" for i in range(len(order))]
+    # One task ranks the sample, which holds some SAMPLED_PER_RANGE rows per range.
+    place = F.row_number().over(Window.orderBy("_k", *names)) % max(1, int(share * range_rows))
+    marks = picked.sample(False, share, seed=17).withColumn("_p", place).filter("_p = 0").groupBy("_k")
+    found = marks.agg(F.array_sort(F.collect_set(F.struct(*names))).alias("_bounds")).collect()
+    bounds = [(r["_k"], [tuple(b) for b in r["_bounds"]]) for r in found]
+    return Ranges(spec[0], StructType([StructField(n, f.dataType) for n, f in zip(names, spec.fields[1:])]), bounds)
+
+
+def _dealt(df: DataFrame, ranges: Ranges, order: Sequence[str], carry: list | None = None, kind: DataType | None = None) -> DataFrame:
+    """``df`` with ``_s``, the number of a row's key among the split ones, ``_b``, the
+    place of its range within the key, and ``_in``, that range's entry of ``carry``."""
+    rows = []
+    for s, (k, bounds) in enumerate(ranges.bounds):
+        rows.append((s, k, bounds, bounds[::STRIDE], carry[s] if carry is not None else None))
+    table = df.sparkSession.createDataFrame(
+        rows,
+        StructType(
+            [
+                StructField("_s", IntegerType()),
+                StructField("_sk", ranges.key.dataType),
+                StructField("_bounds", ArrayType(ranges.order)),
+                StructField("_coarse", ArrayType(ranges.order)),
+                StructField("_carry", ArrayType(kind or ranges.order)),
+            ]
+        ),
+    )
+    x = df.join(F.broadcast(table), F.col(ranges.key.name).eqNullSafe(F.col("_sk")), "left")
+    here = F.struct(*[F.col(o).alias(f.name) for o, f in zip(order, ranges.order)])
+    steps = F.size(F.filter("_coarse", lambda bound: bound <= here))
+    stretch = F.slice("_bounds", F.greatest(F.lit(1), (steps - 1) * STRIDE + 1), F.lit(STRIDE))
+    within = F.size(F.filter(stretch, lambda bound: bound <= here))
+    place = F.when(steps > 0, (steps - 1) * STRIDE + within).otherwise(F.lit(0))
+    x = x.withColumn("_b", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(place))
+    if carry is not None:
+        x = x.withColumn("_in", F.get("_carry", F.col("_b")))
+    return x.drop("_sk", "_bounds", "_coarse", "_carry")
 
 
 def _frame_value(v: Column, scale: int | None):
@@ -92,25 +115,20 @@ def rolling_avg(
     lo: int,
     hi: int,
     out: str,
-    split: Column | None = None,
     scale: int | None = None,
-    hot_threshold: int = HOT_KEY_ROWS,
-    hot: Sequence | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """``AVG(value) OVER (PARTITION BY key ORDER BY order ROWS BETWEEN lo AND hi)``.
 
     ``scale``: sum as DECIMAL with that many decimals (exact, rerun-stable).
-    ``split``: monotone (non-decreasing in ``order``) bucket expression used
-    for hot keys, e.g. the month of a date or ``floor(id / 65536)``.
-    ``hot``: known hot keys — a list or a one-column DataFrame (skips detection).
+    ``range_rows``: rows per range of the prefix scan.
     """
     if not (lo < 0 and hi <= 0 and lo <= hi):
         raise ValueError("look-back frames only: lo < 0, lo <= hi <= 0")
-    if split is not None and hot is None:
-        hot = hot_keys(df, key, hot_threshold)
-    if split is None or (isinstance(hot, list) and not hot):
+    ranges = ranges_of(df, key, order, range_rows)
+    if ranges is None:
         return _plain_rolling(df, key, order, value, lo, hi, out, scale)
-    return _split_rolling(_bucketed(df, key, split, hot), df.columns, key, order, value, lo, hi, out, scale)
+    return _scanned_rolling(df, ranges, key, order, value, lo, hi, out, scale)
 
 
 def _avg_from(total: Column, n: Column) -> Column:
@@ -118,94 +136,103 @@ def _avg_from(total: Column, n: Column) -> Column:
 
 
 def _plain_rolling(df, key, order, value, lo, hi, out, scale):
-    w = Window.partitionBy(key).orderBy(*[_c(o) for o in order]).rowsBetween(lo, hi)
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(lo, hi)
     v = _frame_value(F.col(value), scale)
     return df.withColumn(out, _avg_from(F.sum(v).over(w), F.count(v).over(w)))
 
 
-def _with_prefix(x: DataFrame, per_bucket: DataFrame, key: str) -> DataFrame:
-    """``x`` with its bucket's row of ``per_bucket`` (key, ``_b``, values); NULL keys match."""
-    named = per_bucket.withColumnsRenamed({key: "_pk", "_b": "_pb"})
-    return x.join(named, x[key].eqNullSafe(F.col("_pk")) & (x["_b"] == F.col("_pb")), "left").drop("_pk", "_pb")
-
-
-def _split_rolling(x, cols, key, order, value, lo, hi, out, scale):
-    depth = -lo  # rows of look-back needed at a bucket edge
-    x = x.withColumn("_v", _frame_value(F.col(value), scale))
-    part = Window.partitionBy(key, "_b")
-    wo = part.orderBy(*[_c(o) for o in order])
+def _split_rows(df: DataFrame, ranges: Ranges, key: str) -> DataFrame:
+    """The rows of split keys only: no other range has one before it."""
+    keys = df.sparkSession.createDataFrame([(k,) for k, _ in ranges.bounds], StructType([StructField("_sk", ranges.key.dataType)]))
+    return df.join(F.broadcast(keys), df[key].eqNullSafe(F.col("_sk")), "left_semi")
+
+
+def _last_values(df: DataFrame, ranges: Ranges, key: str, order: Sequence[str], depth: int) -> list:
+    """Per split key and range the last ``depth`` values before it, at most ``depth`` per bound."""
+    x = _dealt(_split_rows(df.select(key, *order, "_v"), ranges, key), ranges, order)
+    # Spark keeps the last ``depth`` rows per (key, range) before it shuffles them.
+    back = Window.partitionBy(key, "_b").orderBy(*[F.col(o).desc() for o in order])
+    last = x.withColumn("_rn", F.row_number().over(back)).filter(F.col("_rn") <= depth)
+    tails: dict = {}
+    for r in last.select("_s", "_b", "_rn", "_v").collect():
+        tails.setdefault((r["_s"], r["_b"]), []).append((-r["_rn"], r["_v"]))
+    carry = []
+    for s, (_, bounds) in enumerate(ranges.bounds):
+        held: list = []
+        carry.append([])
+        for b in range(len(bounds) + 1):
+            carry[s].append(held)
+            held = (held + [v for _, v in sorted(tails.get((s, b), []), key=lambda t: t[0])])[-depth:]
+    return carry
+
+
+def _scanned_rolling(df, ranges, key, order, value, lo, hi, out, scale):
+    depth = -lo  # rows of look-back needed at the start of a range
+    cols = df.columns
+    df = df.withColumn("_v", _frame_value(F.col(value), scale))
+    kind = df.schema["_v"].dataType
+    carry = _last_values(df, ranges, key, order, depth)
+    x = _dealt(df, ranges, order, carry, ArrayType(kind))
+    wo = Window.partitionBy(key, "_b").orderBy(*order)
     boxed = F.struct("_v")  # collect_list drops bare NULLs
-    # Last values of each bucket: one row per (key, bucket), at most ``depth`` values.
-    ends = (
-        x.withColumn("_rn", F.row_number().over(wo))
-        .withColumn("_cnt", F.count(F.lit(1)).over(part))
-        .withColumn("_tail", F.collect_list(boxed).over(wo.rowsBetween(1 - depth, 0)))
-        .filter(F.col("_rn") == F.col("_cnt"))
-        .select(key, "_b", "_tail")
-    )
-    # No bucket is empty, so the last ``depth`` values lie in the last ``depth`` buckets.
-    before = Window.partitionBy(key).orderBy("_b").rowsBetween(-depth, -1)
-    carry = ends.select(key, "_b", F.flatten(F.collect_list("_tail").over(before)).alias("_in"))
-    carry = carry.withColumn("_in", F.slice("_in", F.greatest(F.lit(1), F.size("_in") - depth + 1), depth))
-    x = (
-        x.withColumn("_rn", F.row_number().over(wo))
-        .withColumn("_fs", F.sum("_v").over(wo.rowsBetween(lo, hi)))
-        .withColumn("_fn", F.count("_v").over(wo.rowsBetween(lo, hi)))
-        .withColumn("_own", F.collect_list(F.when(F.col("_rn") <= 2 * depth, boxed)).over(wo.rowsBetween(lo, hi)))
-    )
-    x = _with_prefix(x, carry, key)
-    # The frame of row ``rn`` starts at carried place size + rn + lo and ends at size + min(0, rn + hi).
+    x = x.withColumn("_rn", F.row_number().over(wo))
+    frame = wo.rowsBetween(lo, hi)
+    x = x.withColumn("_fs", F.sum("_v").over(frame)).withColumn("_fn", F.count("_v").over(frame))
+    # The frame of row ``rn`` reaches from carried place held + rn + lo to held + min(0, rn + hi).
     held = F.coalesce(F.size("_in"), F.lit(0))
     first = F.greatest(F.lit(1), held + F.col("_rn") + lo)
     last = held + F.least(F.lit(0), F.col("_rn") + hi)
-    borrowed = F.when(last >= first, F.slice("_in", first, last - first + 1))
-    frame = F.filter(F.concat(F.coalesce(borrowed, F.array().cast(x.schema["_own"].dataType)), "_own"), lambda e: e["_v"].isNotNull())
-    zero = F.lit(0.0) if scale is None else F.lit(0).cast(f"decimal(38,{scale})")
-    total = F.aggregate(frame, zero, lambda acc, e: (acc + e["_v"]).cast(_sum_type(scale)))
-    at_edge = F.col("_rn") <= depth
-    result = F.when(at_edge, _avg_from(total, F.size(frame))).otherwise(_avg_from(F.col("_fs"), F.col("_fn")))
+    borrowed = F.when((held > 0) & (last >= first), F.slice("_in", first, last - first + 1))
+    borrowed = F.filter(F.coalesce(borrowed, F.array().cast(ArrayType(kind))), lambda v: v.isNotNull())
+    if scale is None:
+        # Floating sums depend on their order: add the whole frame from its first row on.
+        x = x.withColumn("_own", F.collect_list(F.when(F.col("_rn") <= 2 * depth, boxed)).over(frame))
+        own = F.filter(F.transform("_own", lambda e: e["_v"]), lambda v: v.isNotNull())
+        whole = F.concat(borrowed, own)
+        total, n = F.aggregate(whole, F.lit(0.0), lambda acc, v: acc + v), F.size(whole)
+    else:
+        wide = f"decimal(38,{scale})"
+        total = F.aggregate(borrowed, F.coalesce(F.col("_fs"), F.lit(0)).cast(wide), lambda acc, v: (acc + v).cast(wide))
+        n = F.size(borrowed) + F.col("_fn")
+    at_start = (F.col("_rn") <= depth) & (held > 0)
+    result = F.when(at_start, _avg_from(total, n)).otherwise(_avg_from(F.col("_fs"), F.col("_fn")))
     return x.withColumn(out, result).select(*cols, out)
 
 
-def _sum_type(scale: int | None) -> str:
-    return "double" if scale is None else f"decimal(38,{scale})"
-
-
 def running_sum(
     df: DataFrame,
     key: str,
     order: Sequence[str],
     value: str,
     out: str,
-    split: Column | None = None,
-    hot_threshold: int = HOT_KEY_ROWS,
-    hot: Sequence | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED PRECEDING)``.
 
-    Hot keys are split into buckets; each row adds the totals of the earlier
-    buckets of its key (a prefix over one row per bucket). ``split`` needs an
-    integer or decimal ``value``: floating sums depend on their order, and
-    the answer must not depend on the table's size.
+    Each row of a range adds the total of the earlier ranges of its key. A
+    table that has to be split needs an integer or decimal ``value``: floating
+    sums depend on their order, and the answer must not depend on the split.
     """
-    if split is not None and isinstance(df.schema[value].dataType, FractionalType) and not isinstance(
-        df.schema[value].dataType, DecimalType
-    ):
-        raise ValueError(f"a split running sum needs an integer or decimal value, not {df.schema[value].dataType}")
-    if split is not None and hot is None:
-        hot = hot_keys(df, key, hot_threshold)
-    w = Window.partitionBy(key).orderBy(*[_c(o) for o in order])
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if split is None or (isinstance(hot, list) and not hot):
+    ranges = ranges_of(df, key, order, range_rows)
+    if ranges is None:
+        run = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(run))
+    if isinstance(df.schema[value].dataType, FractionalType) and not isinstance(df.schema[value].dataType, DecimalType):
+        raise ValueError(f"a split running sum needs an integer or decimal value, not {df.schema[value].dataType}")
     cols = df.columns
-    x = _bucketed(df, key, split, hot)
-    totals = x.groupBy(key, "_b").agg(F.sum(value).alias("_tot"))
-    prefix = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_b", F.sum("_tot").over(prefix).alias("_off"))
-    wo = Window.partitionBy(key, "_b").orderBy(*[_c(o) for o in order])
-    x = x.withColumn("_local", F.sum(value).over(wo.rowsBetween(Window.unboundedPreceding, 0)))
-    y = _with_prefix(x, offsets, key)
     kind = df.select(F.sum(value)).schema[0].dataType
-    total = F.coalesce(F.col("_local") + F.col("_off"), F.col("_local"), F.col("_off")).cast(kind)
+    x = _dealt(_split_rows(df.select(key, *order, value), ranges, key), ranges, order)
+    totals = {(r["_s"], r["_b"]): r["_tot"] for r in x.groupBy("_s", "_b").agg(F.sum(value).alias("_tot")).collect()}
+    carry: list = []
+    for s, (_, bounds) in enumerate(ranges.bounds):
+        so_far = None
+        carry.append([])
+        for b in range(len(bounds) + 1):
+            carry[s].append(so_far)
+            add = totals.get((s, b))
+            so_far = add if so_far is None else so_far if add is None else so_far + add
+    y = _dealt(df, ranges, order, carry, kind)
+    run = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    y = y.withColumn("_local", F.sum(value).over(run))
+    total = F.coalesce(F.col("_local") + F.col("_in"), F.col("_local"), F.col("_in")).cast(kind)
     return y.withColumn(out, total).select(*cols, out)

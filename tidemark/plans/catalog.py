@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import OPEN_END, hash_key
 from tidemark.functions.text import WHITESPACE_CLASS_RE2, clean_whitespace
 from tidemark.operators import dq as dqm
-from tidemark.operators.asof import asof_join, inside_closed, month_index
+from tidemark.operators.asof import asof_join, inside_closed
 from tidemark.operators.dedup import keep_first, union_keep_existing
 from tidemark.operators.extract import (
     active_matches,
@@ -107,7 +107,7 @@ def squad_deficit_frame(t: Tables) -> DataFrame:
     teams = t.supplier.select(F.col("s_suppkey").alias("player_id"), F.col("s_nationkey").alias("team_id"))
     injury = roster.join(injured, "player_id", "left_semi").join(teams, "player_id")
     d = compute_match_squad_health_deficit(
-        injury, roster, s, grain="match", scale=MONEY, split=F.floor(F.col("match_id") / 1024)
+        injury, roster, s, grain="match", scale=MONEY
     )
     return d.select(
         "match_id",
@@ -161,13 +161,13 @@ def _matches(t: Tables) -> DataFrame:
 
 def q_team_form(spark, d):
     t = Tables(spark, d)
-    return gold.build_team_form(_matches(t), scale=MONEY, split=month_index(F.col("date")))
+    return gold.build_team_form(_matches(t), scale=MONEY)
 
 
 def q_team_form_split(spark, d):
-    """Same result with customers above 12 orders routed through the hot-key path."""
+    """Same result through the prefix scan: some 40 ranges over all orders."""
     t = Tables(spark, d)
-    return gold.build_team_form(_matches(t), scale=MONEY, split=month_index(F.col("date")), hot_threshold=12)
+    return gold.build_team_form(_matches(t), scale=MONEY, range_rows=t.orders.count() // 40 + 1)
 
 
 def _lookback(spark, d, **kw):
@@ -187,7 +187,6 @@ def _lookback(spark, d, **kw):
         -5,
         -1,
         "rolling_player_xg_5match",
-        split=F.floor(F.col("match_id") / 1024),
         scale=MONEY,
         **kw,
     )
@@ -199,8 +198,8 @@ def q_lookback_baseline(spark, d):
 
 
 def q_lookback_split(spark, d):
-    """Same result with suppliers above 600 lines routed through the hot-key path."""
-    return _lookback(spark, d, hot_threshold=600)
+    """Same result through the prefix scan: some 40 ranges over all line items."""
+    return _lookback(spark, d, range_rows=Tables(spark, d).lineitem.count() // 40 + 1)
 
 
 def q_squad_deficit(spark, d):
@@ -507,7 +506,7 @@ def q_active_matches(spark, d):
 
 
 def q_running_sum_split(spark, d):
-    """W1 through the hot-key path: running revenue of every supplier above 200 lines."""
+    """W1 through the prefix scan, some 40 ranges: running revenue of every supplier."""
     t = Tables(spark, d)
     li = t.lineitem.select(
         "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), "l_quantity"
@@ -518,8 +517,7 @@ def q_running_sum_split(spark, d):
         ["l_orderkey", "l_linenumber", "l_partkey", "price", "l_quantity"],
         "price",
         "revenue",
-        split=F.floor(F.col("l_orderkey") / 1024),
-        hot_threshold=200,
+        range_rows=t.lineitem.count() // 40 + 1,
     )
     return out.select(
         "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("price").cast("double"), "l_quantity", F.col("revenue").cast("double")
@@ -661,7 +659,7 @@ def q_union_missing(spark, d):
 def q_baselines_match(spark, d):
     """W2 at match grain (trap T14): per (player, match) xG summed first."""
     t = Tables(spark, d)
-    b = player_baselines(shots(t), grain="match", scale=MONEY, split=F.floor(F.col("match_id") / 1024))
+    b = player_baselines(shots(t), grain="match", scale=MONEY)
     return b
 
 

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.scd2 import scd2_apply
+from tidemark.session import cut_lineage
 from tidemark.sources.io import publish_version, read_latest
 
 
@@ -73,19 +74,18 @@ def start_scd2_stream(
     per_day = daily_states(raw, keys, ts_col, tracked, tiebreak, watermark)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()  # used by the emptiness test, the key statistics and the write
-        try:
-            if batch.isEmpty():
-                return
-            current = read_latest(spark, history_base)
-            if current is not None and "is_current" in current.columns:
-                current = current.drop("is_current")
-            new_state = scd2_apply(
-                current, batch, list(keys), list(tracked), current_col="is_current", check_batch=False
-            )
-            publish_version(new_state, history_base)
-        finally:
-            batch.unpersist()
+        # The micro-batch is read several times below: written once to the shared
+        # folder, it is a plain table, free of the streaming plan's state operators.
+        states = cut_lineage(batch)
+        if states.isEmpty():
+            return
+        current = read_latest(spark, history_base)
+        if current is not None and "is_current" in current.columns:
+            current = current.drop("is_current")
+        new_state = scd2_apply(
+            current, states, list(keys), list(tracked), current_col="is_current", check_batch=False
+        )
+        publish_version(new_state, history_base)
 
     writer = (
         per_day.writeStream.outputMode("update")
