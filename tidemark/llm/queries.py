@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     bpe,
     link_graph,
+    merkle,
     minhash,
     packing,
     perm_index,
@@ -16,6 +17,7 @@ from tidemark.llm import (
     radix_dedup,
     tool_links,
     toxicity,
+    whitening,
     wordpiece,
 )
 from tidemark.sources.tables import table
@@ -82,6 +84,21 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op11_weighted_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` whitened on their first 8 components; a deviation beyond 64 bits is null."""
+    made = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return made.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_bitmap_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of ``documents``; where 3 divides the id's crc32 the proof meets a tampered text."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    made = merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"), claims={"text": text}))
+    return made.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +112,8 @@ QUERIES = {
         op8_tool_call_links,
         op9_longest_match_counts,
         op10_minhash_near_dedup,
+        op11_weighted_whitening,
+        op12_bitmap_merkle,
     )
 }
 
