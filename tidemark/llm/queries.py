@@ -15,6 +15,7 @@ from tidemark.llm import (
     perm_index,
     pfor,
     radix_dedup,
+    suffix_repeats,
     tool_links,
     toxicity,
     whitening,
@@ -99,6 +100,12 @@ def op12_bitmap_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without the bytes of 50-byte strings that a smaller document has too."""
+    cut = suffix_repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", *suffix_repeats.digests(cut))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,10 +121,36 @@ QUERIES = {
         op10_minhash_near_dedup,
         op11_weighted_whitening,
         op12_bitmap_merkle,
+        op13_suffix_repeats,
     )
 }
 
 ORACLE_SQL = {
+    # Every 50-byte string as 100 hex digits; runs of removed bytes as islands of starts at most 50 apart.
+    "op13_suffix_repeats": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+        ), w AS (
+            SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(n - 49)) AS p FROM d WHERE n >= 50)
+        ), m AS (
+            SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)
+        ), c AS (
+            SELECT w.doc_id, w.p, lag(w.p) OVER (PARTITION BY w.doc_id ORDER BY w.p) AS q FROM w JOIN m ON w.s = m.s WHERE m.least < w.doc_id
+        ), i AS (
+            SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p - q > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM c
+        ), r AS (
+            SELECT doc_id, run, min(p) AS b, max(p) + 50 AS e FROM i GROUP BY doc_id, run
+        ), k AS (
+            SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS f FROM r
+        ), g AS (
+            SELECT k.doc_id, count(*) AS n_spans, sum(e - b) AS n_removed,
+                   string_agg(substr(d.h, 2 * f + 1, 2 * (b - f)), '' ORDER BY b) || substr(any_value(d.h), 2 * max(e) + 1) AS kept
+            FROM k JOIN d ON k.doc_id = d.doc_id GROUP BY k.doc_id
+        )
+        SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(g.kept, d.h))) AS kept_sha256
+        FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+    """,
     "op4_link_graph_filter": link_graph.judge_sql(),
     "op7_radix_exact_dedup": r"""
         WITH n AS (
