@@ -90,7 +90,8 @@ def _numbered(repeated: DataFrame, range_rows: int) -> DataFrame:
     stretches = placed.select(*keys, (F.col("upto") - F.col("n")).alias("first"), "n", start.alias("start"))
     stretches = stretches.repartition(F.xxhash64(*keys, "start"))
     last = F.least(F.col("start") + COPIES, F.col("n")) - 1
-    return stretches.select(*keys, (F.col("first") + F.explode(F.sequence("start", last))).alias("nth"))
+    each = stretches.select(*keys, "first", F.explode(F.sequence("start", last)).alias("copy"))
+    return each.select(*keys, (F.col("first") + F.col("copy")).alias("nth"))
 
 
 def placed_leaves(rows: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
