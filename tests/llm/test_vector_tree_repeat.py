@@ -232,7 +232,7 @@ def test_cut_with_very_common_keys_and_long_documents(spark, monkeypatch):
 
 def test_repeat_groups_are_maximal_and_list_every_occurrence(spark):
     passage = "the same passage of more than fifty bytes stands here"
-    rows = [(1, f"alpha {passage} one"), (2, f"beta {passage} two"), (3, f"{passage}"), (4, "something else that nobody shares with anybody at all, here")]
+    rows = [(1, f"alpha {passage} one"), (2, f"betas {passage} two"), (3, f"{passage}"), (4, "something else that nobody shares with anybody at all, here")]
     found = suffix_repeats.maximal_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
     texts = dict(rows)
     groups = {}
@@ -253,9 +253,24 @@ def test_suffix_array_intervals_of_one_text():
     n, size = 4, len(text)
     start = np.arange(size - n + 1)
     left = np.concatenate(([-1], text[:-1].astype(np.int64)))[: len(start)]
-    key = suffix_repeats._gram_hashes(text, n, suffix_repeats._MULTIPLIERS[0])
-    found = suffix_repeats.repeat_groups(text, start, size - start, left, key, np.zeros(len(start), bool), n)
-    assert {(length, tuple(sorted(start[m].tolist()))) for length, m in found} == {(7, (1, 15)), (6, (1, 8, 15))}
+    key = suffix_repeats._Hashes(text, 0).every(n)
+    r = suffix_repeats.repeat_groups(text, start, size - start, left, key, np.zeros(len(start), bool), n)
+    found = {(length, tuple(sorted(start[r.suffixes[b:e]].tolist()))) for b, e, length in zip(r.begin, r.end, r.length)}
+    assert found == {(7, (1, 15)), (6, (1, 8, 15))}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_intervals_against_every_pair(seed):
+    rng = random.Random(seed)
+    lcp = np.array([rng.choice([0, 4, 5, 5, 6, 9]) for _ in range(40)])
+    length, first, last = suffix_repeats._intervals(lcp, 4)
+    want = set()
+    for a in range(40):
+        for b in range(a + 1, 41):
+            depth = min(lcp[a:b])
+            if depth >= 4 and (a == 0 or lcp[a - 1] < depth) and (b == 40 or lcp[b] < depth):
+                want.add((depth, a, b))
+    assert set(zip(length.tolist(), first.tolist(), last.tolist())) == {tuple(map(int, w)) for w in want}
 
 
 def test_digest_queries_have_the_asked_columns(spark):

@@ -46,13 +46,14 @@ GRAM = 24
 CONTEXT_WINDOWS = 32
 #: Bytes of text in a chunk, and of text worked on at once.
 CHUNK_BYTES = 4 << 20
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 256 << 10
 #: Bytes of text per bucket of keys.
-BUCKET_BYTES = 16 << 20
-#: Contexts of one key beyond which its windows are counted one by one.
-HOT_CONTEXTS = 100_000
-#: Suffixes sorted together, but for those of one key.
-SLICE_SUFFIXES = 400_000
+BUCKET_BYTES = 8 << 20
+#: Runs of one key beyond which its windows are counted one by one.
+HOT_CONTEXTS = 20_000
+#: Suffixes sorted together, but for those of one key; and compared at once.
+SLICE_SUFFIXES = 100_000
+COMPARED = 20_000
 #: Null ids come last: no document is smaller because of one.
 LAST_ID = np.iinfo(np.int64).max
 
@@ -64,21 +65,37 @@ _KEYS, _COPIES, _WINDOWS = 0, 1, 2
 # ------------------------------------------------------------------ hashing
 
 
-def _gram_hashes(data: np.ndarray, length: int, multiplier: int) -> np.ndarray:
-    """Polynomial hashes (mod 2**64) of all strings of ``length`` bytes, by doubling."""
-    power = lambda n: _U(pow(multiplier, n, 1 << 64))
-    have, done, result, width = data.astype(_U) + _U(1), 1, None, 0
-    while True:
-        if length & done:
-            if result is None:
-                result, width = have, done
-            else:
-                n = max(0, len(data) - width - done + 1)
-                result, width = result[:n] * power(done) + have[width : width + n], width + done
-        if width == length:
-            return result
-        n = max(0, len(data) - 2 * done + 1)
-        have, done = have[:n] * power(done) + have[done : done + n], 2 * done
+class _Hashes:
+    """Hashes (mod 2**64) of any strings of some bytes: prefix sums of one number per byte value
+    times a power of an odd number, brought back to the string's start by the inverse power."""
+
+    def __init__(self, data: np.ndarray, seed: int):
+        multiplier = _MULTIPLIERS[seed]
+        up, down = _powers(seed, multiplier, len(data)), _powers(2 + seed, pow(multiplier, -1, 1 << 64), len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, _U)
+        np.cumsum(_BYTES[seed][data] * up, out=self.sums[1:])
+        self.down = down
+
+    def every(self, length: int) -> np.ndarray:
+        n = max(0, len(self.sums) - length)
+        return (self.sums[length:] - self.sums[:n]) * self.down[:n]
+
+    def at(self, start: np.ndarray, length: int) -> np.ndarray:
+        return (self.sums[start + length] - self.sums[start]) * self.down[start]
+
+
+_BYTES = [np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, 256, dtype=_U) | _U(1) for seed in (5, 6)]
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(which: int, base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` mod 2**64, kept by a worker for the next piece."""
+    have = _POWERS.get(which)
+    if have is None or len(have) < n:
+        have = np.full(max(n, PIECE_BYTES + 1024), base, _U)
+        have[0] = 1
+        _POWERS[which] = have = np.cumprod(have)
+    return have[:n]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -106,7 +123,7 @@ class Runs:
     at: np.ndarray
     place: np.ndarray
     windows: np.ndarray
-    own: np.ndarray
+    hashes: _Hashes
 
 
 def _pieces(texts: list[bytes], min_len: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -132,7 +149,8 @@ def _pieces(texts: list[bytes], min_len: int) -> Iterator[tuple[np.ndarray, np.n
 
 def _runs(texts: list[bytes], min_len: int, gram: int) -> Iterator[Runs]:
     for data, docs, offsets, ends in _pieces(texts, min_len):
-        key = _sliding_min(_mixed(_gram_hashes(data, gram, _MULTIPLIERS[0])), min_len - gram + 1)
+        hashes = _Hashes(data, 0)
+        key = _sliding_min(_mixed(hashes.every(gram)), min_len - gram + 1)
         starts = np.concatenate(([0], ends[:-1]))
         change = np.empty(len(key), bool)
         change[0] = True
@@ -154,8 +172,7 @@ def _runs(texts: list[bytes], min_len: int, gram: int) -> Iterator[Runs]:
             part, end = np.repeat(part, pieces), np.repeat(end, pieces)
             first = np.repeat(first, pieces) + step * CONTEXT_WINDOWS
             end = np.minimum(end, first + CONTEXT_WINDOWS)
-        own = _gram_hashes(data, min_len, _MULTIPLIERS[0])
-        yield Runs(data, key[first], docs[part], first, offsets[part] + first - starts[part], end - first, own)
+        yield Runs(data, key[first], docs[part], first, offsets[part] + first - starts[part], end - first, hashes)
 
 
 # ------------------------------------------------------------------ chunks
@@ -233,24 +250,25 @@ def _chunk_keys(runs: list[Runs]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([r.key for r in runs]), return_counts=True)
 
 
-def _grouped_min(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of equal rows (columns of hashes): the distinct rows in order, each row's class, and each class's least value."""
+def _grouped(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of equal rows (columns of hashes): the distinct rows in order, each row's class, and each class's least and largest value."""
     order = np.lexsort(rows.T[::-1])
-    ordered = rows[order]
+    ordered, held = rows[order], values[order]
     new = np.ones(len(order), bool)
     new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
     first = np.flatnonzero(new)
-    least = np.minimum.reduceat(values[order], first) if len(first) else values[:0]
     cls = np.empty(len(order), np.int64)
     cls[order] = np.cumsum(new) - 1
-    return ordered[first], cls, least
+    if not len(first):
+        return ordered, cls, values[:0], values[:0]
+    return ordered[first], cls, np.minimum.reduceat(held, first), np.maximum.reduceat(held, first)
 
 
 def _copy_sheet(texts: list[bytes], ids: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct texts of a chunk (128 bits each), the class of every document long enough, and each class's least id."""
     there = np.flatnonzero([len(t) >= min_len for t in texts])
     digests = np.array([np.frombuffer(hashlib.blake2b(texts[d], digest_size=16).digest(), _U) for d in there], _U).reshape(-1, 2)
-    rows, cls, least = _grouped_min(digests, ids[there])
+    rows, cls, least, _ = _grouped(digests, ids[there])
     return rows, cls, least, there
 
 
@@ -293,7 +311,7 @@ def _answer_least(payloads: list[bytes]) -> list[np.ndarray]:
     sizes = [len(p) // 24 for p in payloads]
     rows = np.concatenate([np.frombuffer(p, _U, 2 * n).reshape(n, 2) for p, n in zip(payloads, sizes)])
     least = np.concatenate([np.frombuffer(p, np.int64, n, 16 * n) for p, n in zip(payloads, sizes)])
-    _, cls, found = _grouped_min(rows, least)
+    _, cls, found, _ = _grouped(rows, least)
     return np.split(found[cls], np.cumsum(sizes)[:-1])
 
 
@@ -364,16 +382,16 @@ def _contexts(ids: np.ndarray, texts: list[bytes], answers: pd.DataFrame, bucket
     no = np.concatenate(sent or [np.empty(0, np.int64)]).astype(np.int64)
     pick = lambda get: np.concatenate([get(r)[n] for r, n in zip(runs, sent)] or [np.empty(0, np.int64)])
     at, windows = pick(lambda r: r.at), pick(lambda r: r.windows)
-    first, last = pick(lambda r: r.own[r.at]), pick(lambda r: r.own[r.at + r.windows - 1])
+    first = pick(lambda r: r.hashes.at(r.at, min_len)).astype(_U)
+    last = pick(lambda r: r.hashes.at(r.at + r.windows - 1, min_len)).astype(_U)
     who = ids[pick(lambda r: r.doc).astype(np.int64)] if len(no) else np.empty(0, np.int64)
     # A context is its first and its last window, which together hold all of its bytes.
     key = pick(lambda r: r.key).astype(_U)
-    same = np.stack([key, first.astype(_U), last.astype(_U), windows.astype(_U)], axis=1) if len(no) else np.empty((0, 4), _U)
-    _, run_class, low = _grouped_min(same, who)
-    _, _, high = _grouped_min(same, -who - 1)
+    same = np.stack([_mixed(first + windows.astype(_U)), _mixed(last) ^ key], axis=1) if len(no) else np.empty((0, 2), _U)
+    _, run_class, low, high = _grouped(same, who)
     one = np.zeros(len(low), np.int64)
     one[run_class] = np.arange(len(run_class))
-    return Contexts(runs, key[one], windows[one], low, -high - 1, piece[one], at[one], piece, no, run_class, copy_of, hot)
+    return Contexts(runs, key[one], windows[one], low, high, piece[one], at[one], piece, no, run_class, copy_of, hot)
 
 
 CONTEXT = "bucket int, chunk string, payload binary"
@@ -394,11 +412,39 @@ def _context_rows(chunk: str, c: Contexts, buckets: int, min_len: int) -> list[t
 # ------------------------------------------------------------------ the suffix array of a slice
 
 
+@dataclass
+class Repeats:
+    """Repeat groups: members of group g are ``suffixes[begin[g] : end[g]]``, all alike for ``length[g]`` bytes."""
+
+    suffixes: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    length: np.ndarray
+
+
+def _intervals(lcp: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tree of common-prefix intervals by one scan with a stack: (length, first, last member) of each."""
+    lengths, firsts, lasts = [], [], []
+    stack: list[tuple[int, int]] = []  # (length, first member) of the open intervals
+    # Between two changes of the common prefix nothing opens or closes.
+    changes = np.flatnonzero(np.diff(lcp, prepend=0, append=0))
+    for i, length in zip(changes.tolist(), np.append(lcp, 0)[changes].tolist()):
+        begin = i
+        while stack and stack[-1][0] > length:
+            deep, begin = stack.pop()
+            lengths.append(deep)
+            firsts.append(begin)
+            lasts.append(i)
+        if length >= min_len and (not stack or stack[-1][0] < length):
+            stack.append((length, begin))
+    return np.array(lengths, np.int64), np.array(firsts, np.int64), np.array(lasts, np.int64)
+
+
 def repeat_groups(
     text: np.ndarray, start: np.ndarray, room: np.ndarray, left: np.ndarray, first_key: np.ndarray, several: np.ndarray, min_len: int
-) -> Iterator[tuple[int, np.ndarray]]:
-    """Maximal repeats among suffixes: (length, members) of every common-prefix interval
-    of ``min_len`` bytes or more whose members differ to the left.
+) -> Repeats:
+    """Maximal repeats among suffixes: every common-prefix interval of ``min_len`` bytes or
+    more whose members differ to the left.
 
     ``start`` and ``room``: a suffix is ``text[start : start + room]``; ``left``: the byte
     before it, -1 where its context starts; ``first_key``: a hash of its first ``min_len``
@@ -406,42 +452,47 @@ def repeat_groups(
     The array is ordered by that hash and then by the further bytes, an order in
     which suffixes with a common prefix of ``min_len`` bytes or more stand together.
     """
-    for i in np.flatnonzero(several & (left < 0)):
-        yield int(room[i]), np.array([i])
+    alone = np.flatnonzero(several & (left < 0))
     order = np.argsort(first_key, kind="stable")
-    new = np.concatenate(([True], first_key[order][1:] != first_key[order][:-1]))
-    head = np.flatnonzero(new)
+    head = np.flatnonzero(np.concatenate(([True], first_key[order][1:] != first_key[order][:-1])))
     size = np.diff(np.append(head, len(order)))
     # Suffixes alone, and classes whose suffixes all have the same byte to the left,
     # yield nothing: the repeat of the latter is found one byte earlier.
     low, high = np.minimum.reduceat(left[order], head), np.maximum.reduceat(left[order], head)
-    wanted = (size > 1) & ((low != high) | (low < 0))
-    array = order[np.repeat(wanted, size)]
+    array = order[np.repeat((size > 1) & ((low != high) | (low < 0)), size)]
     if not len(array):
-        return
-    width = int(room[array].max()) - min_len
-    reach = start[array][:, None] + min_len + np.arange(-(-max(width, 1) // 8) * 8)
-    tail = np.where(np.arange(reach.shape[1]) < (room[array] - min_len)[:, None], text[np.minimum(reach, len(text) - 1)], 0)
-    words = np.ascontiguousarray(tail.astype(np.uint8)).view(">u8")
-    array, words, tail = (lambda o: (array[o], words[o], tail[o]))(np.lexsort((*words.T[::-1], first_key[array])))
+        return Repeats(alone, np.arange(len(alone)), np.arange(len(alone)) + 1, room[alone])
+    width = -(-max(int(room[array].max()) - min_len, 1) // 8) * 8
+    tail = np.empty((len(array), width), np.uint8)
+    for a in range(0, len(array), COMPARED):
+        some = array[a : a + COMPARED]
+        reach = start[some][:, None] + np.arange(min_len, min_len + width)
+        inside = np.arange(width) < (room[some] - min_len)[:, None]
+        tail[a : a + COMPARED] = np.where(inside, text[np.minimum(reach, len(text) - 1)], 0)
+    order = np.lexsort((*tail.view(">u8").T[::-1], first_key[array]))
+    array, tail = array[order], tail[order]
     # Common prefixes of neighbours, compared byte by byte.
-    differ = tail[1:] != tail[:-1]
-    more = np.where(differ.any(axis=1), differ.argmax(axis=1), tail.shape[1])
-    more = np.minimum(more, np.minimum(room[array][1:], room[array][:-1]) - min_len)
-    starts = start[array][:, None] + np.arange(min_len)
-    opening = text[starts]
-    lcp = np.where((opening[1:] == opening[:-1]).all(axis=1), min_len + more, 0)
-    stack: list[tuple[int, int]] = []  # (length, first member) of the open intervals
+    lcp = np.empty(len(array) - 1, np.int64)
+    for a in range(0, len(lcp), COMPARED):
+        one, two = array[a : a + COMPARED + 1][:-1], array[a + 1 : a + COMPARED + 1]
+        differ = tail[a + 1 : a + 1 + len(two)] != tail[a : a + len(two)]
+        more = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+        more = np.minimum(more, np.minimum(room[one], room[two]) - min_len)
+        opening = np.arange(min_len)
+        same = (text[start[one][:, None] + opening] == text[start[two][:, None] + opening]).all(axis=1)
+        lcp[a : a + COMPARED] = np.where(same, min_len + more, 0)
+    length, first, last = _intervals(lcp, min_len)
     before = left[array]
-    for i, length in enumerate(np.append(lcp, 0).tolist()):
-        begin = i
-        while stack and stack[-1][0] > length:
-            deep, begin = stack.pop()
-            beside = before[begin : i + 1]
-            if beside[0] < 0 or (beside != beside[0]).any():
-                yield deep, array[begin : i + 1]
-        if length >= min_len and (not stack or stack[-1][0] < length):
-            stack.append((length, begin))
+    changed = np.concatenate(([0], np.cumsum(before[1:] != before[:-1])))
+    diverse = (before[first] < 0) | (changed[last] > changed[first])
+    length, first, last = length[diverse], first[diverse], last[diverse]
+    base = np.arange(len(alone))
+    return Repeats(
+        np.concatenate([alone, array]),
+        np.concatenate([base, first + len(alone)]),
+        np.concatenate([base + 1, last + 1 + len(alone)]),
+        np.concatenate([room[alone], length]),
+    )
 
 
 REPEAT = "chunk string, bucket int, payload binary"
@@ -468,7 +519,7 @@ def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
         # Slices of some SLICE_SUFFIXES that never part a key.
         upto = np.cumsum(windows[order])
         edge = np.append(np.flatnonzero(key[order][1:] != key[order][:-1]) + 1, len(order))
-        found: list[np.ndarray] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
         group, a = 0, 0
         while a < len(order):
             done = upto[a - 1] if a else 0
@@ -482,19 +533,21 @@ def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
             left = np.where(step > 0, text[np.maximum(start - 1, 0)].astype(np.int64), -1)
             hashes = _window_hashes(text, begin, windows, part, min_len)
             several = (least < largest)[context]
-            for length, members in repeat_groups(text, start, room, left, hashes, several, min_len):
-                held = context[members]
-                low = least[held].min()
-                tell = np.ones(len(held), bool) if every else largest[held] > low
-                if not every and not tell.any():
-                    continue
-                if every and least[held].min() == largest[held].max():
-                    continue
-                spans = np.empty(int(tell.sum()), _SPAN)
-                spans["context"], spans["at"], spans["length"] = number[held[tell]], step[members[tell]], length
-                spans["group"], spans["least"] = group, low
-                found.append(np.rec.fromarrays([owner[held[tell]], spans], names="owner,span"))
-                group += 1
+            r = repeat_groups(text, start, room, left, hashes, several, min_len)
+            if not len(r.begin):
+                continue
+            n = r.end - r.begin
+            member = r.suffixes[np.repeat(r.begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            held = context[member]
+            edges = np.cumsum(n) - n
+            low, high = np.minimum.reduceat(least[held], edges), np.maximum.reduceat(largest[held], edges)
+            # An occurrence is told of a group that holds a smaller document than one of its own.
+            tell = np.repeat(low < high, n) if every else largest[held] > np.repeat(low, n)
+            spans = np.empty(int(tell.sum()), _SPAN)
+            spans["context"], spans["at"], spans["length"] = number[held[tell]], step[member[tell]], np.repeat(r.length, n)[tell]
+            spans["group"], spans["least"] = np.repeat(group + np.arange(len(n)), n)[tell], np.repeat(low, n)[tell]
+            found.append((owner[held[tell]], spans))
+            group += len(n)
         return _by_owner(sheet, found)
 
     return contexts.groupBy("bucket").applyInPandas(bucket_repeats, REPEAT)
@@ -503,24 +556,22 @@ def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
 def _window_hashes(text: np.ndarray, begin: np.ndarray, windows: np.ndarray, part: np.ndarray, min_len: int) -> np.ndarray:
     """Hashes of every window of the contexts ``part``, context by context."""
     size = windows[part] + min_len - 1
-    base = np.cumsum(size) - size
-    inside = np.arange(size.sum()) - np.repeat(base, size)
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     joined = text[np.repeat(begin[part], size) + inside]
-    whole = _gram_hashes(joined, min_len, _MULTIPLIERS[1])
-    return whole[np.flatnonzero(inside < np.repeat(windows[part], size))]
+    return _Hashes(joined, 1).at(np.flatnonzero(inside < np.repeat(windows[part], size)), min_len)
 
 
-def _by_owner(sheet: pd.DataFrame, found: list[np.ndarray]) -> pd.DataFrame:
-    if not found:
-        return pd.DataFrame({"chunk": [], "bucket": [], "payload": []})
-    whole = np.concatenate(found)
-    whole = whole[np.argsort(whole["owner"], kind="stable")]
-    cuts = np.flatnonzero(np.diff(whole["owner"])) + 1
+def _by_owner(sheet: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """The spans of each chunk that sent a sheet."""
     out = []
-    for group in np.split(whole, cuts):
-        owner = int(group["owner"][0])
-        payload = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(group["span"]).tobytes())
-        out.append((sheet["chunk"].iloc[owner], int(sheet["bucket"].iloc[0]), payload))
+    if found:
+        owner, spans = (np.concatenate(a) for a in zip(*found))
+        order = np.argsort(owner, kind="stable")
+        bucket = int(sheet["bucket"].iloc[0])
+        for group in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+            if len(group):
+                payload = zstandard.ZstdCompressor(level=1).compress(spans[group].tobytes())
+                out.append((sheet["chunk"].iloc[int(owner[group[0]])], bucket, payload))
     return pd.DataFrame(out, columns=["chunk", "bucket", "payload"])
 
 
@@ -536,8 +587,7 @@ def _hot_windows(c: Contexts, ids: np.ndarray, min_len: int):
         n = r.windows[no]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = np.repeat(r.at[no], n) + step
-        other = _gram_hashes(r.data, min_len, _MULTIPLIERS[1])
-        rows.append(np.stack([_mixed(r.own[at]), other[at]], axis=1))
+        rows.append(np.stack([_mixed(r.hashes.at(at, min_len)), _Hashes(r.data, 1).at(at, min_len)], axis=1))
         docs.append(np.repeat(r.doc[no], n))
         places.append(np.repeat(r.place[no], n) + step)
     if not rows:
@@ -552,7 +602,7 @@ def _window_sheets(joined: DataFrame, buckets: int, min_len: int, gram: int) ->
             ids, _, texts = _unpack(row)
             c = _contexts(ids, texts, answers, buckets, min_len, gram)
             rows, docs, _ = _hot_windows(c, ids, min_len)
-            distinct, _, least = _grouped_min(rows, ids[docs])
+            distinct, _, least, _ = _grouped(rows, ids[docs])
             for b, at in _by_bucket(distinct[:, 0], buckets):
                 out.append((b, _WINDOWS, row.chunk, distinct[at].tobytes() + least[at].tobytes()))
         return pd.DataFrame(out, columns=["bucket", "kind", "chunk", "payload"])
@@ -625,7 +675,7 @@ def _occurrences(ids, texts, sheet, buckets, min_len, gram):
     empty = tuple(np.empty(0, np.int64) for _ in range(6))
     found = tuple(np.concatenate(a) for a in zip(*parts)) if parts else empty
     rows, docs, places = _hot_windows(c, ids, min_len)
-    distinct, cls, _ = _grouped_min(rows, ids[docs])
+    distinct, cls, _, _ = _grouped(rows, ids[docs])
     least = _collected(sheet, _WINDOWS, distinct[:, 0], buckets, np.int64, LAST_ID)[cls] if len(rows) else np.empty(0, np.int64)
     return c, found, (docs, places, least)
 
