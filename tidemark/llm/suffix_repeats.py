@@ -44,8 +44,9 @@ MIN_LEN = 50
 GRAM = 24
 #: Windows of one context at most; a longer run of equal keys is cut.
 CONTEXT_WINDOWS = 32
-#: Bytes of text in a chunk, and of text worked on at once.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text in a chunk (its compressed row stays below half a megabyte, which the JVM
+#: moves about as an ordinary object), and of text worked on at once.
+CHUNK_BYTES = 1 << 20
 PIECE_BYTES = 256 << 10
 #: Bytes of text per bucket of keys.
 BUCKET_BYTES = 8 << 20
