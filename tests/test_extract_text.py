@@ -201,3 +201,115 @@ def test_injury_status_gates(spark):
         extract_injury_status(pages(spark, _grid("")))
     with pytest.raises(ValueError, match="no id"):
         extract_injury_status(pages(spark, _grid(_player_row("Saka", "50%", ""))))
+
+
+def test_wrong_payload_shapes_raise(spark):
+    from tidemark.errors import PayloadDriftError
+
+    entry = {"id": "1", "player": "A"}
+    wrong = {
+        extract_league_players: [
+            [entry],  # a list as body
+            {"players": {"1": entry}},  # a map instead of the list
+            {"players": "none"},
+            {"players": [["1", "A"]]},  # entries that are no objects
+            {"players": [entry, None]},
+            {"players": [{"id": {"n": 1}}]},  # an object where a plain value was
+        ],
+        extract_rosters: [
+            [entry],
+            {"rosters": [entry]},
+            {"rosters": {"h": [entry], "a": {}}},  # a list instead of the map
+            {"rosters": {"h": {"1": "A"}, "a": {}}},
+            {"rosters": {"h": {"1": {"time": [90]}}}},
+        ],
+        extract_shots: [
+            "text",
+            {"shots": {"h": {"1": entry}, "a": []}},  # a map instead of the list
+            {"shots": {"h": [1, 2], "a": []}},
+            {"shots": {"h": [], "a": [{"id": "1", "xG": {"v": 1}}]}},
+        ],
+    }
+    good = {"players": [], "rosters": {"h": {}, "a": {}}, "shots": {"h": [], "a": []}, "more": [1]}
+    for extractor, bodies in wrong.items():
+        for body in bodies:
+            with pytest.raises(PayloadDriftError):
+                extractor(payloads(spark, good, body))
+        assert extractor(payloads(spark, good, {})).count() == 0
+        assert extractor(spark.createDataFrame([], "payload_id INT, body STRING")).count() == 0
+    for body in ([1], {"teams": "x"}, {"teams": [{"id": [1], "title": "A"}]}):
+        with pytest.raises(PayloadDriftError):
+            extract_id_title(payloads(spark, body), "teams")
+
+
+def test_id_title_of_every_dataset_shape(spark):
+    one = {"id": 5, "title": "T", "player": "P", "player_name": "N", "datetime": "2024-01-01"}
+    two = {**one, "id": "6"}
+    for dataset, title in (("teams", "T"), ("players", "N"), ("dates", "2024-01-01"), ("rosters", "P"), ("shots", "P")):
+        for shape in ([one, two], {"x": one, "y": two}):
+            if dataset in ("rosters", "shots") and isinstance(shape, dict):
+                with pytest.raises(ValueError, match="empty"):
+                    extract_id_title(payloads(spark, {dataset: shape}), dataset)  # no sides
+            else:
+                assert rows(extract_id_title(payloads(spark, {dataset: shape}), dataset), "id", "title") == [(5, title), (6, title)]
+    for sides in ({"h": {"1": one}, "a": {"2": two}}, {"h": [one], "a": [two]}, {"h": {"1": one}, "a": [two]}):
+        assert rows(extract_id_title(payloads(spark, {"rosters": sides}), "rosters"), "id", "title") == [(5, "P"), (6, "P")]
+
+
+def test_audited_tables_are_published_or_deleted(spark):
+    import os
+
+    from tidemark.session import ensure_checkpoint_dir
+
+    def stored():
+        base = ensure_checkpoint_dir(spark).removeprefix("file:")
+        return {f for f in os.listdir(base) if f.startswith("audited-")}
+
+    before = stored()
+    with pytest.raises(TypeError):
+        extract_league_players(payloads(spark, {"players": [{"id": "1", "games": "ten"}]}))
+    assert stored() == before
+    out = extract_league_players(payloads(spark, {"players": [{"id": "1", "games": "10"}]}))
+    assert len(stored()) == len(before) + 1
+    assert out.count() == 1  # read from the published table: nothing is parsed again
+    import contextlib
+    import io
+
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        out.explain()
+    assert "parse_json" not in text.getvalue() and text.getvalue().count("FileScan") == 1
+
+
+def test_grid_with_nested_tables_upper_case_and_unclosed_cells(spark):
+    def loose(name, pid):
+        cells = "".join(f"<TD><DIV CLASS='mob-title'>{lab}</DIV> {v}" for lab, v in zip(GRID_LABELS, (name, "Knee", "x", "May", "Bad", "Out")))
+        return f"<TR CLASS='team_1 player-row'>{cells}<TD><A CLASS='btn track' DATA-ID={pid}>x</A>"
+
+    from tidemark.operators.extract import GRID_LABELS
+
+    nested = "<tr class='details'><td colspan=7><table><tr><td>Saka: &lt;3</td></tr><tr class=heading><td>none</table></td></tr>"
+    html = (
+        "<!-- <table class='injury-table'> --><script>var t = '<table class=\"injury-table\">';</script>"
+        "<TABLE CLASS='injury-table'><TR CLASS=heading><TH><DIV CLASS=injury-team>A<b>FC</b> &Aacute;</DIV>"
+        + loose("Saka", 7)
+        + nested
+        + loose("a > b &notin; c", 8)
+        + "<tr class='player-row'><td>short</td></tr>"
+        + loose("Kane <table><tr><td>(on loan)</td></tr></table>", 9)
+        + "</TABLE><table class='injury-table'><tr class='player-row'>" + "<td>x</td>" * 7 + "</table>"
+    )
+    got = rows(extract_injury_grid(pages(spark, html)), "row_pos", "team", "player_name", "status")
+    assert got == [(0, "AFC Á", "Saka", "Out"), (1, "AFC Á", "a > b ∉ c", "Out"), (3, "AFC Á", "Kane (on loan)", "Out")]
+    assert rows(extract_injury_status(pages(spark, html)), "id", "title") == [(7, "Out"), (8, "Out"), (9, "Out")]
+    # a page that breaks off in the middle of a row keeps what there is
+    cut = "<table class=injury-table>" + _player_row("Saka", "50%", 7) + '<tr class="player-row"><td>half'
+    assert rows(extract_injury_grid(pages(spark, cut)), "player_name") == [("Saka",)]
+    assert extract_injury_grid(spark.createDataFrame([], "payload_id INT, html STRING")).count() == 0
+
+
+def test_active_matches_with_a_broken_time(spark):
+    import datetime as dt
+
+    dates = spark.createDataFrame([("1", "2024-01-05 15:00:00", True), ("2", "soon", True)], "id STRING, datetime STRING, isResult BOOLEAN")
+    assert rows(active_matches(dates, dt.date(2024, 1, 5)), "id") == [("1",)]

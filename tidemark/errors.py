@@ -27,6 +27,10 @@ class MalformedPayloadError(WarehouseError, ValueError):
     """A payload is there but is not the JSON it should be."""
 
 
+class PayloadDriftError(MalformedPayloadError):
+    """A payload is JSON of another shape than the registered one."""
+
+
 class SelectorNotFoundError(WarehouseError):
     """An expected HTML structure (e.g. the injury grid) is absent from a page."""
 

@@ -1,18 +1,25 @@
 """Bronze extraction as Spark jobs over payload tables.
 
 Every extractor takes a DataFrame with one raw payload per row (JSON text or
-an HTML page) and returns flat rows. Parsing is native: ``from_json`` with
-explicit schemas, ``get_json_object`` for polymorphic parts (map *or* list),
-``regexp_extract_all`` + ``posexplode`` for HTML. Nothing is collected; the
-gates run one aggregation each and raise the typed errors.
+an HTML page) and returns flat rows. JSON is read as VARIANT: the container
+kinds of every payload and the aggregated schema of all entries are held
+against the registered ones before any row is handed on. HTML is read by a
+one-pass tokenizer with an element stack (``functions.markup``), mapped over
+the pages.
+
+A payload is parsed once: its rows are written to the shared folder while the
+gates' counters are observed on the same pass, and the table is handed on only
+when they are clean (``operators.audit``); otherwise the typed error is raised.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StructField, StructType
 
 from tidemark.errors import (
     MSG_DUP_PLAYER,
@@ -22,17 +29,13 @@ from tidemark.errors import (
     MSG_MATCH_INFO_MISSING,
     IntraBatchDuplicateError,
     MalformedPayloadError,
+    PayloadDriftError,
     SelectorNotFoundError,
     SourceDataMissingError,
 )
-from tidemark.functions.text import (
-    WHITESPACE_CLASS,
-    clean_injury_text,
-    clean_whitespace,
-    html_text,
-    strip_html_tags,
-    unescape_all,
-)
+from tidemark.functions.markup import COLUMNS, GridReader
+from tidemark.functions.text import WHITESPACE_CLASS, clean_injury_text, clean_whitespace, html_text
+from tidemark.operators.audit import write_audited
 
 # League player fields -> output name and type, in output order.
 PLAYER_FIELDS = (
@@ -78,11 +81,6 @@ def _uncastable(raw: Column, dtype: str) -> Column:
     return raw.isNotNull() & raw.try_cast(dtype).isNull()
 
 
-def _broken(body: Column) -> Column:
-    """A body that is there but is no JSON (blank text included)."""
-    return body.isNotNull() & F.get_json_object(body, "$").isNull()
-
-
 def _refuse(broken: int | None, bad: int | None, what: str) -> None:
     if broken:
         raise MalformedPayloadError(f"{broken} {what} payloads are not JSON")
@@ -93,67 +91,179 @@ def _refuse(broken: int | None, bad: int | None, what: str) -> None:
 # ------------------------------------------------------------------ JSON
 
 
+def _kind(variant: Column | str) -> Column:
+    """OBJECT, ARRAY, STRING, ... of a variant (VOID of a JSON null); NULL where there is none."""
+    return F.regexp_extract(F.schema_of_variant(variant), "^[A-Z]+", 0)
+
+
+def _part(variant: str, path: str) -> Column:
+    return F.try_variant_get(variant, path, "variant")
+
+
+def _read_json(payloads: DataFrame, body: str, key: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``key``, ``_v`` (the body as VARIANT) and ``_broken``: a body is there but is no JSON (blank text included)."""
+    parsed = payloads.select(key, *keep, F.col(body).isNotNull().alias("_given"), F.try_parse_json(F.col(body)).alias("_v"))
+    return parsed.select(key, *keep, "_v", (F.col("_given") & F.col("_v").isNull()).alias("_broken"))
+
+
+def _other_than(kind: str, *parts: Column | str) -> Column:
+    """Whether one of the parts that are there is of another kind."""
+    out = F.lit(False)
+    for part in parts:
+        out = out | F.coalesce(_kind(part) != kind, F.lit(False))
+    return out
+
+
+def _entry_schema(entries: str) -> Column:
+    """Aggregate: the merged schema of all entries, as text."""
+    return F.schema_of_variant_agg(entries)
+
+
+def hold_schema(found: str | None, fields: Sequence[str], what: str) -> None:
+    """The drift gate: entries must be objects whose registered fields hold plain values.
+
+    ``found`` is the merged schema of all entries, a list. A field that is new
+    or absent is no drift; a registered one that has become a list or an
+    object is, and so are entries that are no objects.
+    """
+    if found is None:
+        return
+    merged = DataType.fromDDL(found.replace("OBJECT<", "STRUCT<"))
+    if isinstance(merged.elementType if isinstance(merged, ArrayType) else merged, NullType):
+        return  # no entries at all
+    if not isinstance(merged, ArrayType) or not isinstance(merged.elementType, StructType):
+        raise PayloadDriftError(f"{what} entries are not objects: {found}")
+    for field in merged.elementType:
+        if field.name in fields and isinstance(field.dataType, (StructType, ArrayType, MapType)):
+            raise PayloadDriftError(f"{what} field {field.name!r} is no plain value: {field.dataType.simpleString()}")
+
+
+def _json_audit(seen: dict, fields: Sequence[str], what: str, message: str | None = None) -> None:
+    """The gates in order: no JSON, another shape, an uncastable number, an id twice in one payload."""
+    _refuse(seen["broken"], None, what)
+    if seen["drift"]:
+        raise PayloadDriftError(f"{seen['drift']} {what} payloads are of another shape than registered")
+    hold_schema(seen["entries"], fields, what)
+    if seen["holes"]:
+        raise PayloadDriftError(f"{seen['holes']} {what} payloads hold a null instead of an entry")
+    _refuse(None, seen["bad"], what)
+    if message is not None and seen["dup"] is not None:
+        raise IntraBatchDuplicateError(f"{message}: {seen['dup']}")
+
+
+def _struct_of(fields: Sequence[str]) -> str:
+    return "struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">"
+
+
+def _any(entries: str, test) -> Column:
+    return F.coalesce(F.exists(entries, test), F.lit(False))
+
+
+def _bad_numbers(entry: Column, numbers: Sequence[tuple[str, str]]) -> Column:
+    bad = F.lit(False)
+    for name, dtype in numbers:
+        bad = bad | _uncastable(entry[name], dtype)
+    return bad
+
+
+def _first_repeated(ids: str) -> Column:
+    """The first of an array's values that stands there before already; NULL when none does."""
+    return F.get(F.filter(ids, lambda x, i: x.isNotNull() & (F.array_position(ids, x) <= i)), 0)
+
+
 def extract_league_players(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
     """The league ``players`` list, renamed and typed; absent numbers are 0.
 
     A payload without ``players`` yields no rows. One that is not JSON raises
-    ``MalformedPayloadError``, a present but uncastable number ``TypeError``;
-    both are counted in one aggregation.
+    ``MalformedPayloadError``; a body that is no object, ``players`` that is no
+    list, entries that are no objects or whose registered fields hold lists or
+    objects, ``PayloadDriftError``; a present but uncastable number ``TypeError``.
     """
-    fields = ", ".join(f"`{src}` string" for src, _, _ in PLAYER_FIELDS)
-    parsed = payloads.select(
-        F.col(key),
-        _broken(F.col(body)).alias("_broken"),
-        F.from_json(F.col(body), f"struct<players: array<struct<{fields}>>>").alias("_j"),
+    fields = [src for src, _, _ in PLAYER_FIELDS]
+    numbers = [(src, dtype) for src, _, dtype in PLAYER_FIELDS if dtype != "string"]
+    parsed = _read_json(payloads, body, key).select(key, "_v", "_broken", _part("_v", "$.players").alias("_list"))
+    parsed = parsed.select(
+        "*",
+        (_other_than("OBJECT", "_v") | _other_than("ARRAY", "_list")).alias("_drift"),
+        F.try_variant_get("_list", "$", f"array<{_struct_of(fields)}>").alias("_entries"),
     )
-    every = parsed.select(key, "_broken", F.explode_outer("_j.players").alias("p"))
-    bad = F.lit(False)
-    out = [F.col(key)]
-    for src, dst, dtype in PLAYER_FIELDS:
-        raw = F.col(f"p.`{src}`")
-        if dtype == "string":
-            out.append(raw.alias(dst))
-        else:
-            bad = bad | _uncastable(raw, dtype)
-            out.append(_num(raw, dtype, 0).alias(dst))
-    seen = every.agg(F.count_if("_broken").alias("broken"), F.count_if(bad).alias("bad")).first()
-    _refuse(seen["broken"], seen["bad"], "league player")
-    return parsed.select(key, F.explode("_j.players").alias("p")).select(*out)
+    counters = {
+        "broken": F.count_if("_broken"),
+        "drift": F.count_if("_drift"),
+        "entries": _entry_schema("_list"),
+        "holes": F.count_if(_any("_entries", lambda e: e.isNull())),
+        "bad": F.count_if(_any("_entries", lambda e: _bad_numbers(e, numbers))),
+    }
 
+    def rows(seen: DataFrame) -> DataFrame:
+        out = [F.col(key)]
+        for src, dst, dtype in PLAYER_FIELDS:
+            raw = F.col(f"p.`{src}`")
+            out.append((raw if dtype == "string" else _num(raw, dtype, 0)).alias(dst))
+        return seen.select(key, F.explode("_entries").alias("p")).select(*out)
 
-ROSTER_ENTRY = "struct<id: string, player_id: string, team_id: string, player: string, position: string, time: string>"
-SHOT_ENTRY = (
-    "struct<id: string, player_id: string, match_id: string, player: string, xG: string, "
-    "minute: string, result: string>"
-)
+    return write_audited(parsed, counters, rows, lambda seen: _json_audit(seen, fields, "league player"))
 
 
-def _sides(payloads: DataFrame, body: str, key: str, root: str, entry_schema: str, as_map: bool):
-    container = f"map<string, {entry_schema}>" if as_map else f"array<{entry_schema}>"
-    parsed = payloads.select(
-        F.col(key),
-        _broken(F.col(body)).alias("_broken"),
-        F.from_json(F.col(body), f"struct<{root}: struct<h: {container}, a: {container}>>").alias("_j"),
-    )
-    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"_j.{root}.{s}").alias("entries")) for s in SIDES])
-    return parsed.select(key, "_broken", F.posexplode(sides).alias("_side_pos", "_s"))
+# Fields of a roster entry and of a shot.
+ROSTER_FIELDS = ("id", "player_id", "team_id", "player", "position", "time")
+SHOT_FIELDS = ("id", "player_id", "match_id", "player", "xG", "minute", "result")
 
 
-def _gate_entries(every: DataFrame, key: str, entry_id: str, numbers: Sequence[tuple[str, str]], what: str, message: str) -> None:
-    """One aggregation: payloads that are no JSON, uncastable numbers, an id twice in a payload."""
-    bad = F.lit(False)
-    for column, dtype in numbers:
-        bad = bad | _uncastable(F.col(column), dtype)
-    per_id = every.groupBy(key, F.col(entry_id).alias("_id")).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if("_broken").alias("_broken"), F.count_if(bad).alias("_bad")
+def _sides(
+    payloads: DataFrame, body: str, key: str, root: str, fields: Sequence[str], numbers: Sequence[tuple[str, str]], as_map: bool
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Both sides' entries in one array ``_all`` of (side, id, e), and the gates' counters.
+
+    A side is a map of entries (``as_map``, its keys are the ids) or a list.
+    """
+    parsed = _read_json(payloads, body, key).select(key, "_v", "_broken", _part("_v", f"$.{root}").alias("_root"))
+    parsed = parsed.select("*", *[_part("_root", f"$.{s}").alias(f"_{s}") for s in SIDES])
+    sides = [f"_{s}" for s in SIDES]
+    drift = _other_than("OBJECT", "_v", "_root") | _other_than("OBJECT" if as_map else "ARRAY", *sides)
+    entry = _struct_of(fields)
+    kind = f"map<string, {entry}>" if as_map else f"array<{entry}>"
+    parsed = parsed.select(
+        key,
+        "_broken",
+        drift.alias("_drift"),
+        *[F.try_variant_get(c, "$", kind).alias(f"{c}_typed") for c in sides],
+        *[F.try_variant_get(c, "$", "map<string, variant>" if as_map else "array<variant>").alias(f"{c}_raw") for c in sides],
     )
-    named = F.when(F.col("_id").isNotNull(), F.col("_n"))
-    seen = per_id.agg(
-        F.count_if(F.col("_broken") > 0).alias("broken"), F.sum("_bad").alias("bad"), F.max(named).alias("most"), F.max_by("_id", named).alias("dup")
-    ).first()
-    _refuse(seen["broken"], seen["bad"], what)
-    if seen["most"] is not None and seen["most"] > 1:
-        raise IntraBatchDuplicateError(f"{message}: {seen['dup']}")
+
+    def side(c: str) -> Column:
+        name = F.lit(c[1:]).alias("side")
+        if as_map:
+            made = F.transform(F.map_entries(f"{c}_typed"), lambda e: F.struct(name, e["key"].alias("id"), e["value"].alias("e")))
+        else:
+            made = F.transform(f"{c}_typed", lambda e: F.struct(name, e["id"].alias("id"), e.alias("e")))
+        return F.coalesce(made, F.array().cast(f"array<struct<side: string, id: string, e: {entry}>>"))
+
+    def raw(c: str) -> Column:
+        values = F.map_values(f"{c}_raw") if as_map else F.col(f"{c}_raw")
+        return F.coalesce(values, F.array().cast("array<variant>"))
+
+    parsed = parsed.select(
+        key,
+        "_broken",
+        "_drift",
+        F.concat(*[side(c) for c in sides]).alias("_all"),
+        F.to_variant_object(F.concat(*[raw(c) for c in sides])).alias("_list"),
+    ).withColumn("_dup", _first_repeated_id("_all"))
+    counters = {
+        "broken": F.count_if("_broken"),
+        "drift": F.count_if("_drift"),
+        "entries": _entry_schema("_list"),
+        "holes": F.count_if(_any("_all", lambda x: x["e"].isNull())),
+        "bad": F.count_if(_any("_all", lambda x: _bad_numbers(x["e"], numbers))),
+        "dup": F.max("_dup"),
+    }
+    return parsed, counters
+
+
+def _first_repeated_id(entries: str) -> Column:
+    ids = F.transform(entries, lambda x: x["id"])
+    return F.get(F.filter(ids, lambda x, i: x.isNotNull() & (F.array_position(ids, x) <= i)), 0)
 
 
 def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
@@ -163,47 +273,52 @@ def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload
     parser, trap T22) and ``player_id`` the id inside the entry. ``is_start`` is true
     unless the position is 'Sub' (an absent position counts as a start). A
     roster id on both sides of one match raises ``IntraBatchDuplicateError``,
-    a payload that is not JSON ``MalformedPayloadError``, uncastable minutes
-    ``TypeError``.
+    a payload that is not JSON ``MalformedPayloadError``, one whose sides are
+    no maps of objects with plain fields ``PayloadDriftError``, uncastable
+    minutes ``TypeError``.
     """
-    sides = _sides(payloads, body, key, "rosters", ROSTER_ENTRY, as_map=True)
-    every = sides.select(key, "_broken", F.explode_outer("_s.entries").alias("roster_id", "e"))
-    _gate_entries(every, key, "roster_id", [("e.time", "int")], "roster", MSG_DUP_ROSTER)
-    rows = sides.select(key, "_side_pos", F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("roster_id", "e"))
-    return rows.select(
-        key,
-        "roster_id",
-        F.col("e.player_id").alias("player_id"),
-        F.col("e.player").alias("player_name"),
-        (~F.col("e.position").eqNullSafe(F.lit("Sub"))).alias("is_start"),
-        F.col("e.position").alias("position"),
-        _num(F.col("e.time"), "int", 0).alias("minutes"),
-        "team_side",
-    )
+    parsed, counters = _sides(payloads, body, key, "rosters", ROSTER_FIELDS, [("time", "int")], as_map=True)
+
+    def rows(seen: DataFrame) -> DataFrame:
+        return seen.select(key, F.explode("_all").alias("x")).select(
+            key,
+            F.col("x.id").alias("roster_id"),
+            F.col("x.e.player_id").alias("player_id"),
+            F.col("x.e.player").alias("player_name"),
+            (~F.col("x.e.position").eqNullSafe(F.lit("Sub"))).alias("is_start"),
+            F.col("x.e.position").alias("position"),
+            _num(F.col("x.e.time"), "int", 0).alias("minutes"),
+            F.col("x.side").alias("team_side"),
+        )
+
+    return write_audited(parsed, counters, rows, lambda seen: _json_audit(seen, ROSTER_FIELDS, "roster", MSG_DUP_ROSTER))
 
 
 def extract_shots(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
     """Both sides' shot lists; keeps player_id/match_id for the fact.
 
     A shot id twice in one match raises ``IntraBatchDuplicateError``, a
-    payload that is not JSON ``MalformedPayloadError``, an uncastable xG or
-    minute ``TypeError``.
+    payload that is not JSON ``MalformedPayloadError``, one whose sides are no
+    lists of objects with plain fields ``PayloadDriftError``, an uncastable xG
+    or minute ``TypeError``.
     """
-    sides = _sides(payloads, body, key, "shots", SHOT_ENTRY, as_map=False)
-    every = sides.select(key, "_broken", F.explode_outer("_s.entries").alias("e"))
-    _gate_entries(every, key, "e.id", [("e.xG", "double"), ("e.minute", "int")], "shot", MSG_DUP_SHOT)
-    rows = sides.select(key, F.col("_s.side").alias("team_side"), F.explode("_s.entries").alias("e"))
-    return rows.select(
-        key,
-        F.col("e.id").alias("id"),
-        F.col("e.player").alias("player"),
-        F.col("e.player_id").alias("player_id"),
-        F.col("e.match_id").alias("match_id"),
-        _num(F.col("e.xG"), "double", 0.0).alias("xg"),
-        _num(F.col("e.minute"), "int", 0).alias("minute"),
-        F.col("e.result").alias("result"),
-        "team_side",
-    )
+    numbers = [("xG", "double"), ("minute", "int")]
+    parsed, counters = _sides(payloads, body, key, "shots", SHOT_FIELDS, numbers, as_map=False)
+
+    def rows(seen: DataFrame) -> DataFrame:
+        return seen.select(key, F.explode("_all").alias("x")).select(
+            key,
+            F.col("x.id").alias("id"),
+            F.col("x.e.player").alias("player"),
+            F.col("x.e.player_id").alias("player_id"),
+            F.col("x.e.match_id").alias("match_id"),
+            _num(F.col("x.e.xG"), "double", 0.0).alias("xg"),
+            _num(F.col("x.e.minute"), "int", 0).alias("minute"),
+            F.col("x.e.result").alias("result"),
+            F.col("x.side").alias("team_side"),
+        )
+
+    return write_audited(parsed, counters, rows, lambda seen: _json_audit(seen, SHOT_FIELDS, "shot", MSG_DUP_SHOT))
 
 
 # The assignment, its opening quote, and the text up to the same quote before the closing bracket.
@@ -232,7 +347,9 @@ def extract_match_info(pages: DataFrame, html: str = "html", key: str = "payload
     aggregation counts all three.
     """
     raw = F.regexp_extract(F.coalesce(F.col(html), F.lit("")), MATCH_INFO, 2)
-    x = pages.select(key, raw.alias("_raw")).withColumn("_json", _js_text(F.col("_raw")))
+    x = pages.select(key, raw.alias("_raw"))
+    x = x.select(key, "_raw", _js_text(F.col("_raw")).alias("_json"))
+    numbers = (("h_goals", "int", 0), ("a_goals", "int", 0), ("h_xg", "double", 0.0), ("a_xg", "double", 0.0))
     info = F.from_json(
         F.col("_json"),
         "struct<id: string, team_h: string, team_a: string, h_goals: string, a_goals: string, "
@@ -240,34 +357,34 @@ def extract_match_info(pages: DataFrame, html: str = "html", key: str = "payload
     )
     y = x.select(key, "_raw", F.get_json_object("_json", "$").isNull().alias("_broken"), info.alias("i"))
     bad = F.lit(False)
-    for field, dtype in (("h_goals", "int"), ("a_goals", "int"), ("h_xg", "double"), ("a_xg", "double")):
+    for field, dtype, _ in numbers:
         bad = bad | _uncastable(F.col(f"i.{field}"), dtype)
-    seen = y.agg(
-        F.count_if(F.col("_raw") == "").alias("absent"),
-        F.count_if((F.col("_raw") != "") & F.col("_broken")).alias("broken"),
-        F.count_if(bad).alias("bad"),
-    ).first()
-    if seen["absent"]:
-        raise SourceDataMissingError(f"{MSG_MATCH_INFO_MISSING} in page")
-    _refuse(seen["broken"], seen["bad"], "match info")
-    return y.select(
-        key,
-        F.coalesce(F.col("i.id"), F.lit("0")).alias("match_id"),
-        F.coalesce(F.col("i.team_h"), F.lit("Unknown")).alias("home_team"),
-        F.coalesce(F.col("i.team_a"), F.lit("Unknown")).alias("away_team"),
-        _num(F.col("i.h_goals"), "int", 0).alias("home_goals"),
-        _num(F.col("i.a_goals"), "int", 0).alias("away_goals"),
-        _num(F.col("i.h_xg"), "double", 0.0).alias("home_xg"),
-        _num(F.col("i.a_xg"), "double", 0.0).alias("away_xg"),
-        F.col("i.date").alias("match_date"),
-    )
-
-
-def _elements(raw: Column) -> Column:
-    """JSON text of each element of an object (its values) or of an array."""
-    as_map = F.map_values(F.from_json(raw, "map<string, string>"))
-    as_list = F.from_json(raw, "array<string>")
-    return F.coalesce(as_list, as_map)
+    counters = {
+        "absent": F.count_if(F.col("_raw") == ""),
+        "broken": F.count_if((F.col("_raw") != "") & F.col("_broken")),
+        "bad": F.count_if(bad),
+    }
+
+    def audit(seen: dict) -> None:
+        if seen["absent"]:
+            raise SourceDataMissingError(f"{MSG_MATCH_INFO_MISSING} in page")
+        _refuse(seen["broken"], seen["bad"], "match info")
+
+    def rows(seen: DataFrame) -> DataFrame:
+        value = {field: _num(F.col(f"i.{field}"), dtype, default) for field, dtype, default in numbers}
+        return seen.select(
+            key,
+            F.coalesce(F.col("i.id"), F.lit("0")).alias("match_id"),
+            F.coalesce(F.col("i.team_h"), F.lit("Unknown")).alias("home_team"),
+            F.coalesce(F.col("i.team_a"), F.lit("Unknown")).alias("away_team"),
+            value["h_goals"].alias("home_goals"),
+            value["a_goals"].alias("away_goals"),
+            value["h_xg"].alias("home_xg"),
+            value["a_xg"].alias("away_xg"),
+            F.col("i.date").alias("match_date"),
+        )
+
+    return write_audited(y, counters, rows, audit)
 
 
 def extract_id_title(
@@ -275,59 +392,77 @@ def extract_id_title(
 ) -> DataFrame:
     """X5 + X6: uniform ``(id INT, title STRING)`` rows of one dataset.
 
-    Accepts the dataset as a map or a list; rosters and shots are flattened
-    over the h then a sides. Gates, checked together in one aggregation
-    pass and raised in this order: root key absent -> SourceDataMissingError;
-    empty dataset -> ValueError; id or label missing -> ValueError; id not
-    an integer -> TypeError.
+    Accepts the dataset as a map or a list; of rosters and shots given as a
+    map, the h then a sides are flattened, each a map or a list. Gates, raised
+    in this order: body not JSON -> MalformedPayloadError; body no object, or
+    dataset neither map nor list -> PayloadDriftError; root key absent ->
+    SourceDataMissingError; empty dataset -> ValueError; id or label missing ->
+    ValueError; id or label no plain value -> PayloadDriftError; id not an
+    integer -> TypeError.
     """
     if dataset not in ID_TITLE_FIELDS:
         raise ValueError(f"unknown dataset {dataset!r}")
     id_f, label_f = ID_TITLE_FIELDS[dataset]
-    root = F.get_json_object(F.col(body), f"$.{dataset}")
-    keys = F.json_object_keys(F.col(body))
-    x = payloads.select(key, root.alias("_root"), keys.alias("_keys"))
+    none = F.array().cast("array<variant>")
+
+    def elements(part: str) -> Column:
+        """The entries of a list, or the values of a map; none of anything else."""
+        listed = F.when(_kind(part) == "ARRAY", F.try_variant_get(part, "$", "array<variant>"))
+        mapped = F.when(_kind(part) == "OBJECT", F.map_values(F.try_variant_get(part, "$", "map<string, variant>")))
+        return F.coalesce(listed, mapped, none)
+
+    parsed = _read_json(payloads, body, key).select(key, "_v", "_broken", _part("_v", f"$.{dataset}").alias("_root"))
+    parsed = parsed.select("*", *[_part("_root", f"$.{s}").alias(f"_{s}") for s in SIDES])
+    entries = elements("_root")
     if dataset in ("rosters", "shots"):
-        sides = F.array(*[F.get_json_object("_root", f"$.{s}") for s in SIDES])
-        per_side = F.transform(sides, lambda s: F.coalesce(_elements(s), F.array().cast("array<string>")))
-        flat = F.flatten(per_side)
-        elems = F.when(F.size(flat) > 0, flat).otherwise(_elements(F.col("_root")))
-    else:
-        elems = _elements(F.col("_root"))
-    y = x.select(
+        both = F.concat(*[elements(f"_{s}") for s in SIDES])
+        entries = F.when(_kind("_root") == "OBJECT", both).otherwise(entries)
+    scalar = F.coalesce(~_kind("_root").isin("OBJECT", "ARRAY", "VOID"), F.lit(False))
+    parsed = parsed.select(
         key,
-        F.coalesce(F.array_contains("_keys", dataset), F.lit(False)).alias("_has_root"),
-        elems.alias("_e"),
+        "_broken",
+        (_other_than("OBJECT", "_v") | scalar).alias("_drift"),
+        (F.col("_v").isNotNull() & F.col("_root").isNull()).alias("_no_root"),
+        (F.col("_root").isNotNull() & (F.size(entries) == 0)).alias("_empty"),
+        entries.alias("_entries"),
     )
-    rows = y.select(key, "_has_root", F.size("_e").alias("_n"), F.explode_outer("_e").alias("_r"))
-    z = rows.select(
-        key,
-        "_has_root",
-        "_n",
-        F.get_json_object("_r", f"$.{id_f}").alias("_id"),
-        F.get_json_object("_r", f"$.{label_f}").alias("_title"),
+    typed = F.transform(
+        "_entries", lambda e: F.struct(F.try_variant_get(e, f"$.{id_f}", "string").alias("id"), F.try_variant_get(e, f"$.{label_f}", "string").alias("title"))
     )
-    has_row = F.col("_n") > 0
-    check = z.agg(
-        F.count_if(~F.col("_has_root")).alias("no_root"),
-        F.count_if(F.col("_has_root") & ~F.coalesce(has_row, F.lit(False))).alias("empty"),
-        F.count_if(has_row & (F.col("_id").isNull() | F.col("_title").isNull())).alias("missing"),
-        F.count_if(has_row & F.col("_id").isNotNull() & F.col("_id").try_cast("int").isNull()).alias("badtype"),
-    ).first()
-    if check["no_root"]:
-        raise SourceDataMissingError(f"Payload has no '{dataset}' key")
-    if check["empty"]:
-        raise ValueError(f"Dataset '{dataset}' is empty")
-    if check["missing"]:
-        raise ValueError(f"A '{dataset}' record lacks its id or label field")
-    if check["badtype"]:
-        raise TypeError(f"A '{dataset}' id is not an integer")
-    return z.filter(has_row).select(key, F.col("_id").cast("int").alias("id"), F.col("_title").alias("title"))
+    parsed = parsed.select("*", typed.alias("_typed"), F.to_variant_object("_entries").alias("_list"))
+    counters = {
+        "broken": F.count_if("_broken"),
+        "drift": F.count_if("_drift"),
+        "no_root": F.count_if("_no_root"),
+        "empty": F.count_if("_empty"),
+        "missing": F.count_if(_any("_typed", lambda x: x["id"].isNull() | x["title"].isNull())),
+        "badtype": F.count_if(_any("_typed", lambda x: _uncastable(x["id"], "int"))),
+        "entries": _entry_schema("_list"),
+    }
+
+    def audit(seen: dict) -> None:
+        _refuse(seen["broken"], None, dataset)
+        if seen["drift"]:
+            raise PayloadDriftError(f"{seen['drift']} payloads hold '{dataset}' in another shape than a map or a list")
+        if seen["no_root"]:
+            raise SourceDataMissingError(f"Payload has no '{dataset}' key")
+        if seen["empty"]:
+            raise ValueError(f"Dataset '{dataset}' is empty")
+        if seen["missing"]:
+            raise ValueError(f"A '{dataset}' record lacks its id or label field")
+        hold_schema(seen["entries"], (id_f, label_f), dataset)
+        if seen["badtype"]:
+            raise TypeError(f"A '{dataset}' id is not an integer")
+
+    def rows(seen: DataFrame) -> DataFrame:
+        return seen.select(key, F.explode("_typed").alias("x")).select(key, F.col("x.id").try_cast("int").alias("id"), F.col("x.title").alias("title"))
+
+    return write_audited(parsed, counters, rows, audit)
 
 
 def active_matches(dates: DataFrame, run_date, datetime_col: str = "datetime", result_col: str = "isResult") -> DataFrame:
-    """Matches of the dates feed played on ``run_date``."""
-    return dates.filter((F.to_date(F.col(datetime_col)) == F.lit(run_date)) & F.col(result_col))
+    """Matches of the dates feed played on ``run_date``; one whose time is no date is on none."""
+    return dates.filter((F.try_to_date(F.col(datetime_col).cast("string")) == F.lit(run_date)) & F.col(result_col))
 
 
 # ------------------------------------------------------------------ HTML
@@ -341,7 +476,6 @@ def carry_down_rows(
     heading_text: str,
     row_pattern: str,
     keep: Sequence[str] = (),
-    outer: bool = False,
 ) -> DataFrame:
     """Rows of a document, each tagged with the nearest heading above it.
 
@@ -350,11 +484,9 @@ def carry_down_rows(
     the start of its segment; ``row_pattern`` matches the rows of a segment.
     The carry-down needs no window and no shuffle: a row's heading is the one
     that starts its segment. Output: key, ``keep`` columns, section_pos,
-    row_pos, section, row. ``outer`` keeps pages and segments without rows
-    (with NULL positions and row), which lets gates see every page.
+    row_pos, section, row.
     """
-    explode = F.posexplode_outer if outer else F.posexplode
-    segs = pages.select(key, *keep, explode(F.split(F.col(html), heading_split)).alias("section_pos", "_seg"))
+    segs = pages.select(key, *keep, F.posexplode(F.split(F.col(html), heading_split)).alias("section_pos", "_seg"))
     segs = segs.withColumn(
         "section",
         F.when(F.col("section_pos") > 0, F.regexp_extract("_seg", heading_text, 1)),
@@ -364,82 +496,73 @@ def carry_down_rows(
         *keep,
         "section_pos",
         "section",
-        explode(F.regexp_extract_all("_seg", F.lit(row_pattern), 0)).alias("row_pos", "row"),
+        F.posexplode(F.regexp_extract_all("_seg", F.lit(row_pattern), 0)).alias("row_pos", "row"),
     )
     return rows
 
 
-def _class(token: str) -> str:
-    """Look-ahead within a tag: one whole token of its class attribute, quoted either way or bare."""
-    return (
-        rf"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^">]*\s)?{token}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{token}(?:\s[^'>]*)?'|{token}[\s>]))"""
-    )
+GRID_ROWS = "array<struct<section_pos: int, row_pos: int, team: string, cells: array<string>, n_cells: int, link: boolean, data_id: string, status: string>>"
+_GRID_ROW = pa.struct(
+    [
+        ("section_pos", pa.int32()),
+        ("row_pos", pa.int32()),
+        ("team", pa.string()),
+        ("cells", pa.list_(pa.string())),
+        ("n_cells", pa.int32()),
+        ("link", pa.bool_()),
+        ("data_id", pa.string()),
+        ("status", pa.string()),
+    ]
+)
 
 
-GRID_TABLE = rf"(?s)<table\b{_class('injury-table')}[^>]*>.*?(?:</table>|\z)"
-TEAM_NODE = rf"<div\b{_class('injury-team')}[^>]*>"
-# A heading row without a team node changes nothing: the team above it stays.
-GRID_HEADING = rf"(?s)<tr\b{_class('heading')}[^>]*>(?=(?:(?!</tr).)*?{TEAM_NODE})"
-GRID_TEAM = rf"(?s)^.*?{TEAM_NODE}(.*?)</div>"
-GRID_ROW = rf"(?s)<tr\b{_class('player-row')}[^>]*>.*?</tr>"
-GRID_CELL = r"(?s)<td\b[^>]*>(.*?)</td>"
-MOB_TITLE = rf"(?s)<div\b{_class('mob-title')}[^>]*>.*?</div>"
-TRACK_TAG = rf"<a\b{_class('track')}[^>]*>"
-DATA_ID = r"""\sdata-id\s*=\s*["']?([^"'\s>]*)"""
+def _read_grids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [f.name for f in _GRID_ROW]
+    for batch in batches:
+        grids = [GridReader().read(page or "") for page in batch.column(1).to_pylist()]
+        rows = [[dict(zip(names, row)) for row in g.rows] for g in grids]
+        found = pa.array([g.found for g in grids], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(0), found, pa.array(rows, pa.list_(_GRID_ROW))], ["key", "found", "rows"])
 
 
-def _grid_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Every page with the player rows, and their cells, of its first injury grid; pages
-    without a grid or without rows are kept (``_has_table`` flag, NULL row) for the gates."""
-    grid = F.regexp_extract(F.coalesce(F.col(html), F.lit("")), GRID_TABLE, 0)
-    x = pages.select(key, grid.alias("_html"), (grid != "").alias("_has_table"))
-    rows = carry_down_rows(x, key, "_html", GRID_HEADING, GRID_TEAM, GRID_ROW, keep=["_has_table"], outer=True)
-    return rows.withColumn("_cells", F.regexp_extract_all("row", F.lit(GRID_CELL), 1))
+def _grids(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Every page with ``_has_table`` and ``_rows``, the player rows of its first injury grid, parsed once."""
+    plain = pages.select(F.col(key).alias("key"), F.col(html).alias("html"))
+    schema = StructType([StructField("key", plain.schema["key"].dataType)])
+    schema = schema.add("found", "boolean").add("rows", DataType.fromDDL(GRID_ROWS))
+    read = plain.mapInArrow(_read_grids, schema)
+    return read.select(F.col("key").alias(key), F.col("found").alias("_has_table"), F.col("rows").alias("_rows"))
 
 
 def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "html") -> DataFrame:
     """Team-tagged injury rows (rows with at least six cells).
 
-    Only the page's injury table is read. The team comes from the nearest
-    heading row above that names one; all HTML entities are decoded and each
-    cell is cleaned by :func:`clean_injury_text` with its mobile label. Both
-    gates — a page without the grid (``SelectorNotFoundError``) and a player
-    twice on one page (``IntraBatchDuplicateError``) — are checked in one
-    aggregation that cleans the name cell alone.
+    Only the page's injury table is read, tables nested in it included. The
+    team comes from the nearest heading row above that names one; all HTML
+    entities are decoded and each cell is cleaned by :func:`clean_injury_text`
+    with its mobile label. A page without the grid raises
+    ``SelectorNotFoundError``, a player twice on one page
+    ``IntraBatchDuplicateError``.
     """
-    rows = _grid_rows(pages, key, html)
-    full = F.coalesce(F.size("_cells"), F.lit(0)) >= 6
+    grids = _grids(pages, key, html)
+    full = grids.select(key, "_has_table", F.filter("_rows", lambda r: r["n_cells"] >= COLUMNS).alias("_full"))
+    names = F.transform("_full", lambda r: clean_injury_text(F.get(r["cells"], 0), GRID_LABELS[0]))
+    named = full.select("*", names.alias("_names")).withColumn("_dup", _first_repeated("_names"))
+    counters = {"no_table": F.count_if(~F.col("_has_table")), "dup": F.max("_dup")}
 
-    def cell(texts: Column, i: int) -> Column:
-        return clean_injury_text(F.get(texts, i), GRID_LABELS[i])
+    def audit(seen: dict) -> None:
+        if seen["no_table"]:
+            raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
+        if seen["dup"] is not None:
+            raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {seen['dup']}")
 
-    name = unescape_all(F.array(strip_html_tags(F.get("_cells", 0))))
-    names = rows.select(key, "_has_table", F.when(full, cell(name, 0)).alias("_player"))
-    per_player = names.groupBy(key, "_player").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(F.col("_has_table").cast("int")).alias("_has")
-    )
-    check = per_player.agg(
-        F.count_if(F.col("_has") == 0).alias("no_table"),
-        F.max(F.when(F.col("_player").isNotNull(), F.col("_n"))).alias("most"),
-        F.max_by(F.col("_player"), F.when(F.col("_player").isNotNull(), F.col("_n"))).alias("dup"),
-    ).first()
-    if check["no_table"]:
-        raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
-    if check["most"] is not None and check["most"] > 1:
-        raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {check['dup']}")
-    # One decoding per row: its six cells, then its section.
-    texts = F.transform(F.slice("_cells", 1, 6), strip_html_tags)
-    section = F.array(strip_html_tags(F.coalesce("section", F.lit(""))))
-    found = rows.filter(full).select(
-        key, "section_pos", "row_pos", F.col("section").isNotNull().alias("_team"), unescape_all(F.concat(texts, section)).alias("_t")
-    )
-    return found.select(
-        key,
-        "section_pos",
-        "row_pos",
-        F.when(F.col("_team"), clean_whitespace(F.get("_t", 6))).alias("team"),
-        *[cell(F.col("_t"), i).alias(column) for i, column in enumerate(GRID_COLUMNS)],
-    )
+    def rows(seen: DataFrame) -> DataFrame:
+        each = seen.select(key, F.explode(F.arrays_zip("_full", "_names")).alias("x")).select(key, "x._full.*", F.col("x._names").alias("_name"))
+        cells = [clean_injury_text(F.get("cells", i), GRID_LABELS[i]).alias(GRID_COLUMNS[i]) for i in range(1, COLUMNS)]
+        team = F.when(F.col("team").isNotNull(), clean_whitespace("team")).alias("team")
+        return each.select(key, "section_pos", "row_pos", team, F.col("_name").alias(GRID_COLUMNS[0]), *cells)
+
+    return write_audited(named, counters, rows, audit)
 
 
 def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str = "html") -> DataFrame:
@@ -447,55 +570,43 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
     in the seventh cell, status from the sixth cell without its mobile title.
 
     Rows with fewer than seven cells or no tracking link are skipped. Gates,
-    all from one aggregation per page and raised in this order: no grid ->
-    SelectorNotFoundError; no player rows, or no usable row -> ValueError; a
-    tracking link without an id, or an empty status -> ValueError; a
-    non-integer id -> TypeError.
+    raised in this order: no grid -> SelectorNotFoundError; no player rows, or
+    no usable row -> ValueError; a tracking link without an id, or an empty
+    status -> ValueError; a non-integer id -> TypeError.
     """
-    rows = _grid_rows(pages, key, html)
-    # get() yields NULL past the end: short rows are skipped, not errors.
-    link = F.regexp_extract(F.get("_cells", 6), TRACK_TAG, 0)
-    rid = F.trim(F.regexp_extract(link, DATA_ID, 1))
-    # Status text: tags and the mobile title removed, outer whitespace
-    # stripped, inner whitespace kept.
-    raw_status = F.get(unescape_all(F.array(strip_html_tags(F.regexp_replace(F.get("_cells", 5), MOB_TITLE, "")))), 0)
-    status = F.regexp_replace(raw_status, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
-    usable = (F.coalesce(F.size("_cells"), F.lit(0)) >= 7) & (F.coalesce(link, F.lit("")) != "")
-    x = rows.select(
-        key,
-        "_has_table",
-        F.col("row").isNotNull().alias("_has_row"),
-        usable.alias("_ok"),
-        rid.alias("_id"),
-        status.alias("_status"),
-    )
-    per_page = x.groupBy(key).agg(
-        F.min(F.col("_has_table").cast("int")).alias("has"),
-        F.count_if(F.col("_has_row")).alias("nrows"),
-        F.count_if(F.col("_ok")).alias("nok"),
-        F.count_if(F.col("_ok") & (F.col("_status") == "")).alias("nostatus"),
-        F.count_if(F.col("_ok") & (F.col("_id") == "")).alias("noid"),
-        F.count_if(F.col("_ok") & F.col("_id").try_cast("int").isNull()).alias("badid"),
+    # Outer white space of a status goes, inner white space stays.
+    usable = F.transform(
+        F.filter("_rows", lambda r: r["link"]),
+        lambda r: F.struct(
+            F.trim(F.coalesce(r["data_id"], F.lit(""))).alias("id"),
+            F.regexp_replace(r["status"], f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "").alias("title"),
+        ),
     )
-    check = per_page.agg(
-        F.count_if(F.col("has") == 0).alias("no_table"),
-        F.count_if((F.col("has") == 1) & (F.col("nrows") == 0)).alias("no_rows"),
-        F.count_if((F.col("nrows") > 0) & (F.col("nok") == 0)).alias("no_usable"),
-        F.sum("nostatus").alias("nostatus"),
-        F.sum("noid").alias("noid"),
-        F.sum("badid").alias("badid"),
-    ).first()
-    if check["no_table"]:
-        raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
-    if check["no_rows"] or check["no_usable"]:
-        raise ValueError("Page has no usable injury rows")
-    if check["noid"]:
-        raise ValueError("Injury row whose tracking link has no id")
-    if check["nostatus"]:
-        raise ValueError("Injury row without a status")
-    if check["badid"]:
-        raise TypeError("Injury row id is not an integer")
-    return x.filter(F.col("_ok")).select(key, F.col("_id").cast("int").alias("id"), F.col("_status").alias("title"))
+    parsed = _grids(pages, key, html).select(key, "_has_table", usable.alias("_usable"))
+    counters = {
+        "no_table": F.count_if(~F.col("_has_table")),
+        "unusable": F.count_if(F.col("_has_table") & (F.size("_usable") == 0)),
+        "no_id": F.count_if(_any("_usable", lambda x: x["id"] == "")),
+        "no_status": F.count_if(_any("_usable", lambda x: x["title"] == "")),
+        "bad_id": F.count_if(_any("_usable", lambda x: _uncastable(x["id"], "int"))),
+    }
+
+    def audit(seen: dict) -> None:
+        if seen["no_table"]:
+            raise SelectorNotFoundError(f"{MSG_GRID_MISSING} in page")
+        if seen["unusable"]:
+            raise ValueError("Page has no usable injury rows")
+        if seen["no_id"]:
+            raise ValueError("Injury row whose tracking link has no id")
+        if seen["no_status"]:
+            raise ValueError("Injury row without a status")
+        if seen["bad_id"]:
+            raise TypeError("Injury row id is not an integer")
+
+    def rows(seen: DataFrame) -> DataFrame:
+        return seen.select(key, F.explode("_usable").alias("x")).select(key, F.col("x.id").try_cast("int").alias("id"), F.col("x.title").alias("title"))
+
+    return write_audited(parsed, counters, rows, audit)
 
 
 # Page-analogue patterns — headings are <title> and <h1>, rows are

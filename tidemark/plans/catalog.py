@@ -820,8 +820,10 @@ def injury_pages(t: Tables) -> DataFrame:
     (its lines number a few, in these tables at most 13).
 
     Around the grid stand tables of other classes with rows like the grid's,
-    within it a heading without a team; names hold numeric and named
-    entities, and the pages of finished orders quote attributes singly."""
+    within it a heading without a team and, after second lines, a row holding
+    a table of its own; names hold numeric and named entities. Finished
+    orders' pages quote attributes singly and write tags in capitals, open
+    orders' pages leave cells unclosed."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
              "l_returnflag", "l_linestatus", "l_shipdate"]
     li = t.lineitem.withColumn("_pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)))
@@ -835,9 +837,13 @@ def injury_pages(t: Tables) -> DataFrame:
         cell("Reason", F.col("l_returnflag")),
         cell("Further Detail", F.concat(F.lit("Apr 09: 'Line "), F.col("l_linenumber").cast("string"), F.lit(".'"))),
         cell("Potential Return", F.to_date("l_shipdate").cast("string")),
-        cell("Condition", F.col("l_linestatus")),
+        cell("Condition", F.concat(F.col("l_linestatus"), F.lit("&nbsp;"))),
         cell("Status", F.concat_ws("/", "l_linestatus", "l_returnflag")),
         F.lit('<td><a class="track" data-id="'), F.col("l_suppkey").cast("string"), F.lit('">x</a></td></tr>'),
+        F.when(
+            F.col("l_linenumber") == 2,
+            '<tr class="details"><td colspan="7"><table class="more"><tr><td>Notes</td><td>1 &lt; 2</td></tr></table></td></tr>',
+        ).otherwise(""),
     )
     side = F.when(F.col("l_linenumber") % 2 == 1, 0).otherwise(1)
     rows = li.groupBy("l_orderkey").agg(
@@ -864,7 +870,11 @@ def injury_pages(t: Tables) -> DataFrame:
         heading(F.col("n_name")), side_html(1),
         F.lit("</table>"), foreign, F.lit("</html>"),
     )
-    html = F.when(F.col("o_orderstatus") == "F", F.translate(html, '"', "'")).otherwise(html)
+    loud = F.translate(html, '"', "'")
+    for tag in ("table", "tr", "td"):
+        loud = F.replace(F.replace(loud, F.lit(f"<{tag}"), F.lit(f"<{tag.upper()}")), F.lit(f"</{tag}"), F.lit(f"</{tag.upper()}"))
+    loose = F.replace(html, F.lit("</td>"), F.lit(""))
+    html = F.when(F.col("o_orderstatus") == "F", loud).when(F.col("o_orderstatus") == "O", loose).otherwise(html)
     return pages.select(F.col("l_orderkey").alias("payload_id"), html.alias("html"))
 
 
@@ -889,7 +899,32 @@ def q_extract_id_title_json(spark, d):
     return extract_id_title(payloads, "teams")
 
 
+def q_extract_id_title_list(spark, d):
+    """X5 over list-shaped payloads: the players of each nation, ids as numbers."""
+    t = Tables(spark, d)
+    player = F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("player_name"), F.col("s_acctbal").alias("xG"))
+    per_nation = t.supplier.groupBy("s_nationkey").agg(F.collect_list(player).alias("players"))
+    payloads = per_nation.select(F.col("s_nationkey").alias("payload_id"), F.to_json(F.struct("players")).alias("body"))
+    return extract_id_title(payloads, "players")
+
+
+def q_extract_id_title_rosters(spark, d):
+    """X5 over match documents: both sides' roster maps, flattened."""
+    t = Tables(spark, d)
+    named = t.lineitem.withColumn("_id", F.monotonically_increasing_id())
+    entry = F.struct(F.col("l_suppkey").alias("id"), F.concat(F.lit("Line "), F.col("l_linenumber").cast("string")).alias("player"))
+    side = F.when(F.col("l_linenumber") % 2 == 1, "h").otherwise("a")
+    per_side = named.groupBy("l_orderkey", side.alias("_side")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("_id").cast("string"), entry))).alias("_roster")
+    )
+    doc = per_side.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("_side", "_roster"))).alias("rosters"))
+    payloads = doc.select(F.col("l_orderkey").alias("payload_id"), F.to_json(F.struct("rosters")).alias("body"))
+    return extract_id_title(payloads, "rosters")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "extract_id_title_list": q_extract_id_title_list,
+    "extract_id_title_rosters": q_extract_id_title_rosters,
     "player_stats": q_player_stats,
     "injury_summary": q_injury_summary,
     "team_form": q_team_form,
@@ -1324,6 +1359,9 @@ SELECT s.s_suppkey AS payload_id, CAST(s.s_suppkey AS VARCHAR) AS player_id, s.s
        s.s_acctbal AS xg, CAST(0 AS DOUBLE) AS xa, 0 AS shots, 0 AS key_passes, CAST(0 AS DOUBLE) AS npxg,
        CAST(0 AS DOUBLE) AS xg_chain, CAST(0 AS DOUBLE) AS xg_buildup
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    "extract_id_title_list": "SELECT s_nationkey AS payload_id, CAST(s_suppkey AS INTEGER) AS id, s_name AS title FROM supplier",
+    "extract_id_title_rosters": """
+SELECT l_orderkey AS payload_id, CAST(l_suppkey AS INTEGER) AS id, 'Line ' || CAST(l_linenumber AS VARCHAR) AS title FROM lineitem""",
     "extract_id_title_json": "SELECT c_custkey AS payload_id, CAST(c_custkey AS INTEGER) AS id, c_name AS title FROM customer",
     "extract_rosters_json": _MATCH_LINES + """
 SELECT l_orderkey AS payload_id, pos AS roster_id, CAST(l_suppkey AS VARCHAR) AS player_id,
