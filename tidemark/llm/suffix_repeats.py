@@ -60,7 +60,7 @@ LAST_ID = np.iinfo(np.int64).max
 
 _U = np.uint64
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_KEYS, _COPIES, _WINDOWS = 0, 1, 2
+_KEYS, _COPIES, _WINDOWS, _CONTEXTS = 0, 1, 2, 3
 
 
 # ------------------------------------------------------------------ hashing
@@ -316,20 +316,18 @@ def _answer_least(payloads: list[bytes]) -> list[np.ndarray]:
     return np.split(found[cls], np.cumsum(sizes)[:-1])
 
 
+def _packed(sheet: pd.DataFrame, answers: list[np.ndarray]) -> pd.DataFrame:
+    out = sheet[["chunk", "kind", "bucket"]].copy()
+    out["payload"] = [zstandard.ZstdCompressor(level=1).compress(a.tobytes()) for a in answers]
+    return out
+
+
 def _answered(sheets: DataFrame, hot: int) -> DataFrame:
     def answer(sheet: pd.DataFrame) -> pd.DataFrame:
         payloads = list(sheet["payload"])
-        kind = int(sheet["kind"].iloc[0])
-        marks = _answer_keys(payloads, hot) if kind == _KEYS else _answer_least(payloads)
-        out = sheet[["chunk", "kind", "bucket"]].copy()
-        out["payload"] = [zstandard.ZstdCompressor(level=1).compress(m.tobytes()) for m in marks]
-        if kind == _KEYS:
-            out["hot"] = [bool((m == 2).any()) for m in marks]
-        else:
-            out["hot"] = False
-        return out
+        return _packed(sheet, _answer_keys(payloads, hot) if int(sheet["kind"].iloc[0]) == _KEYS else _answer_least(payloads))
 
-    return sheets.groupBy("bucket", "kind").applyInPandas(answer, ANSWER + ", hot boolean")
+    return sheets.groupBy("bucket", "kind").applyInPandas(answer, ANSWER)
 
 
 def _collected(answers: pd.DataFrame, kind: int, hashes: np.ndarray, buckets: int, dtype, default) -> np.ndarray:
@@ -395,9 +393,6 @@ def _contexts(ids: np.ndarray, texts: list[bytes], answers: pd.DataFrame, bucket
     return Contexts(runs, key[one], windows[one], low, high, piece[one], at[one], piece, no, run_class, copy_of, hot)
 
 
-CONTEXT = "bucket int, chunk string, payload binary"
-
-
 def _context_rows(chunk: str, c: Contexts, buckets: int, min_len: int) -> list[tuple]:
     out = []
     for b, at in _by_bucket(c.key, buckets):
@@ -406,7 +401,7 @@ def _context_rows(chunk: str, c: Contexts, buckets: int, min_len: int) -> list[t
         )
         parts = (c.key[at], c.least[at], c.largest[at], at.astype(np.int32), c.windows[at].astype(np.uint8))
         raw = len(at).to_bytes(8, "little") + b"".join(p.tobytes() for p in parts) + blob
-        out.append((b, chunk, zstandard.ZstdCompressor(level=1).compress(raw)))
+        out.append((b, _CONTEXTS, chunk, zstandard.ZstdCompressor(level=1).compress(raw)))
     return out
 
 
@@ -496,12 +491,13 @@ def repeat_groups(
     )
 
 
-REPEAT = "chunk string, bucket int, payload binary"
 _SPAN = np.dtype([("context", "<i4"), ("group", "<i8"), ("least", "<i8"), ("at", "u1"), ("length", "u1")])
 
 
 def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
     def bucket_repeats(sheet: pd.DataFrame) -> pd.DataFrame:
+        if int(sheet["kind"].iloc[0]) == _WINDOWS:
+            return _packed(sheet, _answer_least(list(sheet["payload"])))
         keys, least, largest, number, windows, owner, texts = [], [], [], [], [], [], []
         for row, payload in enumerate(sheet["payload"]):
             # The number of contexts, 29 bytes of numbers for each, then their texts.
@@ -551,7 +547,7 @@ def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
             group += len(n)
         return _by_owner(sheet, found)
 
-    return contexts.groupBy("bucket").applyInPandas(bucket_repeats, REPEAT)
+    return contexts.groupBy("bucket", "kind").applyInPandas(bucket_repeats, ANSWER)
 
 
 def _window_hashes(text: np.ndarray, begin: np.ndarray, windows: np.ndarray, part: np.ndarray, min_len: int) -> np.ndarray:
@@ -572,8 +568,8 @@ def _by_owner(sheet: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray]]) -
         for group in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
             if len(group):
                 payload = zstandard.ZstdCompressor(level=1).compress(spans[group].tobytes())
-                out.append((sheet["chunk"].iloc[int(owner[group[0]])], bucket, payload))
-    return pd.DataFrame(out, columns=["chunk", "bucket", "payload"])
+                out.append((sheet["chunk"].iloc[int(owner[group[0]])], _CONTEXTS, bucket, payload))
+    return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "payload"])
 
 
 # ------------------------------------------------------------------ windows of very common keys
@@ -596,19 +592,10 @@ def _hot_windows(c: Contexts, ids: np.ndarray, min_len: int):
     return np.concatenate(rows), np.concatenate(docs), np.concatenate(places)
 
 
-def _window_sheets(joined: DataFrame, buckets: int, min_len: int, gram: int) -> DataFrame:
-    def sheets(_key, chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in chunk.itertuples(index=False):
-            ids, _, texts = _unpack(row)
-            c = _contexts(ids, texts, answers, buckets, min_len, gram)
-            rows, docs, _ = _hot_windows(c, ids, min_len)
-            distinct, _, least, _ = _grouped(rows, ids[docs])
-            for b, at in _by_bucket(distinct[:, 0], buckets):
-                out.append((b, _WINDOWS, row.chunk, distinct[at].tobytes() + least[at].tobytes()))
-        return pd.DataFrame(out, columns=["bucket", "kind", "chunk", "payload"])
-
-    return joined.applyInPandas(sheets, SHEET)
+def _window_rows(chunk: str, c: Contexts, ids: np.ndarray, buckets: int, min_len: int) -> list[tuple]:
+    rows, docs, _ = _hot_windows(c, ids, min_len)
+    distinct, _, least, _ = _grouped(rows, ids[docs])
+    return [(b, _WINDOWS, chunk, distinct[at].tobytes() + least[at].tobytes()) for b, at in _by_bucket(distinct[:, 0], buckets)]
 
 
 # ------------------------------------------------------------------ operator
@@ -618,7 +605,6 @@ def _window_sheets(joined: DataFrame, buckets: int, min_len: int, gram: int) ->
 class _Plan:
     chunks: DataFrame
     answers: DataFrame
-    repeats: DataFrame
     buckets: int
 
 
@@ -635,33 +621,27 @@ def _found(docs, id_col, text_col, min_len, gram, chunk_bytes, hot_contexts, eve
     total = chunks.agg(F.sum(F.length("blob"))).first()[0] or 0
     buckets = max(8, int(3 * total // BUCKET_BYTES))  # the blobs are compressed to about a third
     answers = stage(_answered(_key_sheets(chunks, buckets, min_len, gram), hot_contexts), "repeats-answers", 2)
-    if not answers.filter("hot").isEmpty():
-        again = _answered(_window_sheets(_joined(chunks, answers.drop("hot")), buckets, min_len, gram), hot_contexts)
-        answers = answers.unionByName(stage(again, "repeats-windows"))
-    answers = answers.drop("hot")
 
     def contexts(_key, chunk: pd.DataFrame, sheet: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in chunk.itertuples(index=False):
             ids, _, texts = _unpack(row)
-            out += _context_rows(row.chunk, _contexts(ids, texts, sheet, buckets, min_len, gram), buckets, min_len)
-        return pd.DataFrame(out, columns=["bucket", "chunk", "payload"])
+            c = _contexts(ids, texts, sheet, buckets, min_len, gram)
+            out += _context_rows(row.chunk, c, buckets, min_len) + _window_rows(row.chunk, c, ids, buckets, min_len)
+        return pd.DataFrame(out, columns=["bucket", "kind", "chunk", "payload"])
 
-    sent = _joined(chunks, answers).applyInPandas(contexts, CONTEXT)
+    sent = _joined(chunks, answers).applyInPandas(contexts, SHEET)
     repeats = stage(_repeats(sent, min_len, every), "repeats-found")
-    both = answers.select("chunk", "kind", "bucket", "payload").unionByName(
-        repeats.select("chunk", F.lit(-1).alias("kind"), "bucket", "payload")
-    )
-    return _Plan(chunks, both, repeats, buckets)
+    return _Plan(chunks, answers.unionByName(repeats), buckets)
 
 
 def _occurrences(ids, texts, sheet, buckets, min_len, gram):
     """A chunk's occurrences: (document, place, length, least id of the group, bucket, group), and its hot windows."""
-    c = _contexts(ids, texts, sheet[sheet["kind"] >= 0], buckets, min_len, gram)
+    c = _contexts(ids, texts, sheet, buckets, min_len, gram)
     by_class = np.argsort(c.run_class, kind="stable")
     first = np.searchsorted(c.run_class[by_class], np.arange(len(c.key) + 1))
     parts = []
-    for b, payload in sheet.loc[sheet["kind"] == -1, ["bucket", "payload"]].itertuples(index=False):
+    for b, payload in sheet.loc[sheet["kind"] == _CONTEXTS, ["bucket", "payload"]].itertuples(index=False):
         spans = np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(payload), _SPAN)
         n = first[spans["context"] + 1] - first[spans["context"]]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
