@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import MSG_PK_COLLISION, FutureDateError, IntraBatchDuplicateError, SCD2TimelineException
+from tidemark.operators.dedup import collapse, comparable
+from tidemark.session import cut_lineage
 
 
 def _col(c: Column | str) -> Column:
@@ -68,23 +70,26 @@ def scd2_batch_overlap_gate(df: DataFrame, keys: Sequence[str], eff_col: str) ->
 def dedupe_batch(df: DataFrame, pk: str) -> DataFrame:
     """Exact copies collapse; one PK with different attributes fails; NULL PK fails.
 
-    One aggregation pass: per PK the smallest and largest full row. They
-    differ exactly when the PK carries two different attribute profiles.
-    The returned frame holds one row per PK.
+    One hash aggregation over fixed-width values: per PK the rows and the
+    smallest and largest of two 64-bit row hashes, which differ exactly when
+    the PK carries different attribute profiles. Only repeated PKs are kept of
+    it; they also tell which rows to collapse. Returns one row per PK.
     """
     others = [c for c in df.columns if c != pk]
-    row = F.struct(*[F.col(c) for c in others]) if others else F.lit(0)
-    grouped = df.groupBy(pk).agg(F.min(row).alias("_lo"), F.max(row).alias("_hi"))
-    bad = grouped.filter(F.col(pk).isNull() | ~F.col("_lo").eqNullSafe(F.col("_hi"))).limit(1).collect()
+    row = comparable(df, others)
+    hashes = [F.xxhash64(F.lit(seed), *row) for seed in (1, 2)]
+    ends = [agg(h).alias(f"_{name}{i}") for i, h in enumerate(hashes) for name, agg in (("lo", F.min), ("hi", F.max))]
+    grouped = df.groupBy(F.col(pk).alias("_rk0")).agg(F.count(F.lit(1)).alias("_n"), *ends)
+    repeated = cut_lineage(grouped.filter(F.col("_rk0").isNull() | (F.col("_n") > 1)))
+    differs = (F.col("_lo0") != F.col("_hi0")) | (F.col("_lo1") != F.col("_hi1"))
+    bad = repeated.filter(F.col("_rk0").isNull() | differs).limit(1).collect()
     if bad:
-        if bad[0][pk] is None:
+        if bad[0]["_rk0"] is None:
             raise ValueError(f"NULL primary key {pk!r} in batch")
         raise IntraBatchDuplicateError(
-            f"{MSG_PK_COLLISION} on {pk}={bad[0][pk]!r}: two different rows share the key"
+            f"{MSG_PK_COLLISION} on {pk}={bad[0]['_rk0']!r}: two different rows share the key"
         )
-    if not others:
-        return grouped.select(pk)
-    return grouped.select(pk, *[F.col(f"_lo.{c}").alias(c) for c in others])
+    return collapse(df, [pk], repeated.select("_rk0"), [])
 
 
 def require_non_empty(df: DataFrame, message: str, exc: type[Exception] = ValueError) -> None:

@@ -25,6 +25,7 @@ from tidemark.errors import MSG_UNRESOLVED, IntraBatchDuplicateError, Unresolved
 from tidemark.functions.exprs import hash_key
 from tidemark.operators.gates import first_duplicate
 from tidemark.operators.sizing import broadcast_if_bounded
+from tidemark.session import cut_lineage
 from tidemark.sources.io import read_source
 
 log = logging.getLogger(__name__)
@@ -140,6 +141,27 @@ def resolve_source(
     return out, report
 
 
+def resolve_published(
+    spark: SparkSession,
+    bronze_path: str,
+    mapping_path: str,
+    source_name_col: str,
+    mapping_name_col: str = "source_name",
+    team_col: str = "team_name",
+) -> tuple[DataFrame, DataFrame]:
+    """R3 written, then audited (A9): ``(resolved, counts)``.
+
+    The rows are written once to the shared folder while both counts ride on
+    the write; ``counts`` has one row: ``raw_rows``, ``resolved_rows`` and
+    ``left_out``, the rows without a mapping entry.
+    """
+    out, report = resolve_source(spark, bronze_path, mapping_path, source_name_col, mapping_name_col, team_col)
+    stored = cut_lineage(out)
+    raw, resolved = int(report.raw.get.get("n", 0)), int(report.resolved.get.get("n", 0))
+    counts = spark.createDataFrame([(raw, resolved, raw - resolved)], "raw_rows long, resolved_rows long, left_out long")
+    return stored, counts
+
+
 def log_gap(report: ResolveReport, source: str) -> int:
     gap = report.gap()
     if gap > 0:

@@ -38,7 +38,8 @@ from tidemark.errors import SCD2TimelineException
 from tidemark.functions.exprs import OPEN_END
 from tidemark.operators.asof import inside_closed
 from tidemark.operators.gates import future_date_gate, scd2_batch_overlap_gate
-from tidemark.operators.sizing import BROADCAST_MAX_ROWS, KEY_COLUMN_BYTES, rows_within
+from tidemark.operators.sizing import BROADCAST_MAX_ROWS, KEY_COLUMN_BYTES, broadcast_if_bounded, rows_within
+from tidemark.session import cut_lineage
 
 _OPEN_TS = _dt.datetime(9999, 12, 31)
 
@@ -230,8 +231,6 @@ def scd2_apply_many(
     if checkpoint_every < 1 or checkpoint_every > 8:
         raise ValueError("checkpoint_every must be between 1 and 8")
     kwargs.setdefault("bypass", False)
-    from tidemark.session import cut_lineage
-
     state = history
     for i, batch in enumerate(batches, start=1):
         if state is not None and kwargs.get("current_col") and kwargs["current_col"] in state.columns:
@@ -242,6 +241,71 @@ def scd2_apply_many(
     return state
 
 
+def scd2_apply_late(
+    history: DataFrame | None,
+    witnesses: DataFrame | None,
+    batch: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    eff_col: str = "effective_date",
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+) -> tuple[DataFrame, DataFrame]:
+    """D5 whatever the order of the batches: ``(history, witnesses)`` after ``batch``.
+
+    An event that repeats the running state opens no slice, but it proves the
+    state for its day: when an earlier day arrives later with another state,
+    the history must change back there. Such events are kept as witness rows
+    (keys, tracked, ``eff_col``). Loads in any order give the history of one
+    load of all events.
+
+    Only keys of the batch are rebuilt, from their first day in it: slices
+    that ended before it and earlier witnesses pass by. Of two events for one
+    key and day, the later load's counts; within a batch that is gate G4. The
+    history must come from this function (or be empty): its slices follow one
+    another without gaps, open ones end at ``OPEN_END``. Dates are DATE columns.
+    """
+    scd2_batch_overlap_gate(batch, keys, eff_col)
+    first = batch.groupBy(*[F.col(k).alias(f"_b_{k}") for k in keys]).agg(F.min(eff_col).alias("_first"))
+    first = broadcast_if_bounded(first)
+
+    def with_first(df: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for k in keys:
+            same = same & df[k].eqNullSafe(F.col(f"_b_{k}"))
+        return df.join(first, same, "left").drop(*[f"_b_{k}" for k in keys])
+
+    points = batch.select(*keys, *tracked, F.col(eff_col).alias("_at"), F.lit(1).alias("_src"))
+    kept_slices = kept_witnesses = None
+    if history is not None:
+        h = with_first(history.select(*keys, *tracked, valid_from, valid_to))
+        # A slice that ends on the first day may go on, if that day is corrected.
+        passed = F.col("_first").isNull() | (F.col(valid_to) < F.col("_first"))
+        kept_slices = h.filter(passed).drop("_first")
+        points = points.unionByName(h.filter(~passed).select(*keys, *tracked, F.col(valid_from).alias("_at"), F.lit(0).alias("_src")))
+    if witnesses is not None:
+        w = with_first(witnesses.select(*keys, *tracked, eff_col))
+        passed = F.col("_first").isNull() | (F.col(eff_col) < F.col("_first"))
+        kept_witnesses = w.filter(passed).drop("_first")
+        points = points.unionByName(w.filter(~passed).select(*keys, *tracked, F.col(eff_col).alias("_at"), F.lit(0).alias("_src")))
+
+    # One row per key and day: at most the calendar's number of rows in a window.
+    days = Window.partitionBy(*keys).orderBy("_at", "_src")
+    points = points.withColumn("_next", F.lead("_at").over(days)).filter(~F.col("_next").eqNullSafe(F.col("_at")))
+    points = points.withColumn("_state", F.struct(*tracked))
+    marked = points.withColumn("_starts", ~F.coalesce(F.lag("_state").over(days).eqNullSafe(F.col("_state")), F.lit(False)) | (F.lag("_at").over(days).isNull()))
+    marked = cut_lineage(marked.select(*keys, *tracked, "_at", "_starts"))
+    later = Window.partitionBy(*keys).orderBy("_at")
+    slices = marked.filter("_starts").select(
+        *keys, *tracked, F.col("_at").alias(valid_from), F.coalesce(F.lead("_at").over(later), F.lit(OPEN_END)).alias(valid_to)
+    )
+    seen = marked.filter("not _starts").select(*keys, *tracked, F.col("_at").alias(eff_col))
+    return (
+        slices if kept_slices is None else kept_slices.unionByName(slices),
+        seen if kept_witnesses is None else kept_witnesses.unionByName(seen),
+    )
+
+
 def scd2_rebuild(events: DataFrame, **kwargs) -> DataFrame:
     """Order-independent rebuild: the whole event log applied to an empty history."""
     return scd2_apply(None, events, **kwargs)

@@ -48,7 +48,12 @@ def row_bytes(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> int:
     return int(df.limit(max_rows + 1).agg(F.sum(_measured(df))).first()[0] or 0)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if it provably holds at most ``max_rows`` rows and the byte bound, else ``df``."""
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` provably holds at most ``max_rows`` rows and the byte bound."""
     n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_measured(df))).first()
-    return F.broadcast(df) if n <= max_rows and (size or 0) <= BROADCAST_MAX_BYTES else df
+    return n <= max_rows and (size or 0) <= BROADCAST_MAX_BYTES
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` is within the bounds, else ``df``."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df

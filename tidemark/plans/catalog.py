@@ -16,11 +16,13 @@ as DECIMAL so Spark and the oracle agree bit for bit and reruns are stable.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.errors import WarehouseError
 from tidemark.functions.exprs import OPEN_END, hash_key
 from tidemark.functions.text import WHITESPACE_CLASS_RE2, clean_whitespace
 from tidemark.operators import dq as dqm
@@ -38,22 +40,42 @@ from tidemark.operators.extract import (
     extract_rosters,
     extract_shots,
 )
-from tidemark.operators.gates import dedupe_batch, duplicate_keys, pk_collisions
-from tidemark.operators.loads import load_silver_matches, load_silver_rosters, load_silver_teams, upsert_dim_teams
+from tidemark.operators.gates import (
+    dedupe_batch,
+    duplicate_keys,
+    future_date_gate,
+    pk_collisions,
+    scd2_batch_overlap_gate,
+    validate_composite_keys,
+)
+from tidemark.operators.loads import (
+    load_silver_matches,
+    load_silver_rosters,
+    load_silver_teams,
+    upsert_dim_teams,
+    write_fact_match_stats,
+)
 from tidemark.operators.merge import merge_update, upsert
 from tidemark.operators.metrics import compute_match_squad_health_deficit, compute_player_injury_summary, player_baselines
-from tidemark.operators.resolve import resolve_entities, resolve_player_entities, resolve_player_identities
+from tidemark.operators.resolve import (
+    resolve_entities,
+    resolve_player_entities,
+    resolve_player_identities,
+    resolve_published,
+)
 from tidemark.operators.scd2 import (
     latest_per_period,
     load_silver_injuries,
     process_injury_scd2,
     scd2_apply,
+    scd2_apply_late,
     update_injury_history,
     upsert_dim_players_scd2,
 )
-from tidemark.operators.setops import set_difference, union_by_name
+from tidemark.operators.setops import set_difference, state_diff, state_fingerprint, union_by_name
 from tidemark.operators.windows import rolling_avg, running_sum
 from tidemark.plans import gold
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.tables import Tables
 
 # Fixed parameters of the registered queries.
@@ -413,9 +435,9 @@ def q_dim_hash(spark, d):
 
 
 def q_merge_if_changed(spark, d):
-    """S10 with change detection: customers whose latest order priority differs
-    from the stored segment's first letter take segment and balance; those
-    where it is equal keep both, those without orders are not matched."""
+    """S10 with change detection: customers of whom the highest order status is P
+    (pending) take that segment and their orders' total as balance; other
+    customers with orders match without a change, those without are not matched."""
     t = Tables(spark, d)
     source = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.when(F.max("o_orderstatus") == "P", "PENDING").alias("_moved"),
@@ -922,7 +944,152 @@ def q_extract_id_title_rosters(spark, d):
     return extract_id_title(payloads, "rosters")
 
 
+def q_scd2_odd_even(spark, d):
+    """D5 in any order: the odd days first, then the even ones, as witnesses keep
+    the days that changed nothing when they came."""
+    ev = status_events(Tables(spark, d))
+    odd = F.day("effective_date") % 2 == 1
+    history, witnesses = scd2_apply_late(None, None, ev.filter(odd), ["player_id"], ["status"])
+    history, _ = scd2_apply_late(history, witnesses, ev.filter(~odd), ["player_id"], ["status"])
+    return history.withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END))
+
+
+def _customer_state(t: Tables) -> DataFrame:
+    return t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.col("c_acctbal").cast("decimal(18,2)"))
+
+
+def q_state_fingerprint(spark, d):
+    """O7, first level: the customers' fingerprint in 64 buckets."""
+    out = state_fingerprint(_customer_state(Tables(spark, d)), 64)
+    return out.select("bucket", "n_rows", F.col("sum_low").cast("string").alias("sum_low"), F.col("sum_high").cast("string").alias("sum_high"))
+
+
+def q_state_diff(spark, d):
+    """O7 between the customers and a later state of them: balances of one
+    nation are raised, one segment is listed twice."""
+    before = _customer_state(Tables(spark, d))
+    raised = F.when(F.col("c_nationkey") == 7, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).cast("decimal(18,2)")
+    after = before.withColumn("c_acctbal", raised).unionByName(before.filter("c_mktsegment = 'BUILDING' and c_nationkey <> 7"))
+    gone, added = state_diff(before, after)
+    return gone.withColumn("side", F.lit("gone")).unionByName(added.withColumn("side", F.lit("added"))).withColumn(
+        "c_acctbal", F.col("c_acctbal").cast("double")
+    )
+
+
+def q_dq_metrics_daily(spark, d):
+    """Q1 from three daily loads of each table, measured once each and merged."""
+    t = Tables(spark, d)
+
+    def merged(df, key, name, child=None, **kw):
+        days = [df.filter(F.col(key) % 3 == day) for day in range(3)]
+        states = [dqm.measure_state(day, **kw) for day in days]
+        if child is not None:
+            states += [dqm.orphan_state(day, *child) for day in days]
+        return dqm.state_metrics(dqm.merge_states(*states), name, SNAPSHOT_DATE, CHECK_TS)
+
+    customer = merged(
+        t.customer,
+        "c_custkey",
+        "customer",
+        not_null=["c_name", "c_acctbal", "c_mktsegment"],
+        unique=["c_custkey"],
+        valid={"acctbal_non_negative": F.col("c_acctbal") >= 0, "name_format": F.col("c_name").rlike("^Customer#[0-9]+$")},
+    )
+    orders = merged(
+        t.orders,
+        "o_orderkey",
+        "orders",
+        child=("o_custkey", t.customer, "c_custkey"),
+        not_null=["o_custkey", "o_orderdate"],
+        unique=["o_orderkey"],
+        valid={"status_domain": F.col("o_orderstatus").isin("O", "F", "P")},
+    )
+    labels = merged(
+        t.labels,
+        "doc_id",
+        "labels",
+        child=("doc_id", t.documents, "doc_id"),
+        not_null=["quality", "toxic"],
+        unique=["doc_id"],
+        valid={"quality_binary": F.col("quality").isin(0, 1)},
+    )
+    out = customer.unionByName(orders).unionByName(labels)
+    return out.withColumn("check_timestamp", F.col("check_timestamp").cast("timestamp_ntz"))
+
+
+def _put(df: DataFrame, name: str) -> str:
+    """A path below the shared folder with ``df`` in it, as a feed or a mapping lies there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
+def q_resolve_report(spark, d):
+    """R3 and A9 by path: the name feed of all orders against a mapping that lacks
+    one segment's customers; the counts observed on the write."""
+    t = Tables(spark, d)
+    feed = _put(_name_feed(t).withColumn("team_name", F.lit("all")), "feed")
+    known = t.customer.filter(F.col("c_mktsegment") != "BUILDING").select(F.col("c_name").alias("source_name"))
+    _, counts = resolve_published(spark, feed, _put(known, "mapping"), "player_name")
+    return counts
+
+
+def q_fact_snapshot(spark, d):
+    """L6 run twice for one day: shots cast, stamped and written, the second run in the first one's place."""
+    t = Tables(spark, d)
+    shots_ = t.lineitem.select(
+        F.col("l_orderkey").alias("player_id"),
+        F.col("l_linenumber").alias("team_id"),
+        F.col("l_extendedprice").cast("string").alias("xg"),
+        F.concat(F.col("l_quantity").cast("int").cast("string"), F.when(F.col("l_returnflag") == "R", " goals").otherwise("")).alias("goals"),
+    )
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_fact_match_stats(shots_, path, SNAPSHOT_DATE)
+    return spark.read.parquet(path).select("player_id", "team_id", "xg", "actual_goals", F.col("snapshot_date").cast("date").alias("snapshot_date"))
+
+
+def q_gate_outcomes(spark, d):
+    """G1-G4, Q2, Q4 as a report: what each gate raises over whole tables, on a batch that breaks its rule and on one that keeps it."""
+    t = Tables(spark, d)
+    dates = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    first, last = dates.agg(F.min("day"), F.max("day")).first()
+    status = status_events(t)
+    logins = t.events.select("user_id", F.to_date("ts").alias("day"))
+    metrics = dq_metrics_frame(t)
+    contract = t.customer.schema
+    runs = {
+        "G1 future, bound the first day": lambda: future_date_gate(dates, "day", first),
+        "G1 future, bound the last day": lambda: future_date_gate(dates, "day", last),
+        "G2 line keys": lambda: validate_composite_keys(t.lineitem, ["l_orderkey", "l_linenumber"]),
+        "G2 order keys": lambda: validate_composite_keys(t.orders, ["o_orderkey"]),
+        "G3 customers by nation": lambda: dedupe_batch(t.customer, "c_nationkey"),
+        "G3 customers twice": lambda: dedupe_batch(t.customer.unionByName(t.customer), "c_custkey"),
+        "G4 raw events": lambda: scd2_batch_overlap_gate(logins, ["user_id"], "day"),
+        "G4 last event a day": lambda: scd2_batch_overlap_gate(status, ["player_id"], "effective_date"),
+        "Q2 above one": lambda: dqm.dq_gate(metrics, 1.01),
+        "Q2 at zero": lambda: dqm.dq_gate(metrics, 0.0),
+        "Q4 suppliers as customers": lambda: dqm.check_contract(t.supplier, contract),
+        "Q4 customers": lambda: dqm.check_contract(t.customer, contract, ["c_custkey"]),
+    }
+    seen = []
+    for name, run in runs.items():
+        try:
+            run()
+            seen.append((name, "passed"))
+        except WarehouseError as refused:
+            seen.append((name, type(refused).__name__))
+    return spark.createDataFrame(seen, "gate string, outcome string")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "scd2_odd_even": q_scd2_odd_even,
+    "state_fingerprint": q_state_fingerprint,
+    "state_diff": q_state_diff,
+    "dq_metrics_daily": q_dq_metrics_daily,
+    "resolve_report": q_resolve_report,
+    "fact_snapshot": q_fact_snapshot,
+    "gate_outcomes": q_gate_outcomes,
     "extract_id_title_list": q_extract_id_title_list,
     "extract_id_title_rosters": q_extract_id_title_rosters,
     "player_stats": q_player_stats,
@@ -1156,6 +1323,15 @@ def _html_text_sql(expr: str) -> str:
     return f"trim(regexp_replace(COALESCE({out}, ''), '{WHITESPACE_CLASS_RE2}+', ' ', 'g'))"
 
 
+# Two 15-digit numbers of the md5 of each row's texts with their lengths.
+_STATE_DIGESTS = """
+WITH digests AS (
+  SELECT ('0x' || substr(d, 1, 15))::BIGINT AS lo, ('0x' || substr(d, 17, 15))::BIGINT AS hi FROM (
+    SELECT md5(""" + " || ".join(
+    f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "CAST(c_acctbal AS DECIMAL(18,2))")
+) + """) AS d FROM customer))"""
+
 ORACLE_SQL: dict[str, str] = {
     "player_stats": _PLAYER_STATS,
     "injury_summary": "WITH " + _TIMELINE + """
@@ -1359,6 +1535,42 @@ SELECT s.s_suppkey AS payload_id, CAST(s.s_suppkey AS VARCHAR) AS player_id, s.s
        s.s_acctbal AS xg, CAST(0 AS DOUBLE) AS xa, 0 AS shots, 0 AS key_passes, CAST(0 AS DOUBLE) AS npxg,
        CAST(0 AS DOUBLE) AS xg_chain, CAST(0 AS DOUBLE) AS xg_buildup
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    "scd2_odd_even": "WITH " + _TIMELINE + " SELECT * FROM tl",
+    "state_fingerprint": _STATE_DIGESTS + """
+SELECT lo % 64 AS bucket, COUNT(*) AS n_rows, CAST(SUM(lo) AS VARCHAR) AS sum_low, CAST(SUM(hi) AS VARCHAR) AS sum_high
+FROM digests GROUP BY lo % 64""",
+    "state_diff": """
+WITH c AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS c_acctbal,
+                  CAST(CAST(c_acctbal AS DECIMAL(18,2)) + 1 AS DOUBLE) AS raised FROM customer)
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal, 'gone' AS side FROM c WHERE c_nationkey = 7
+UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, raised, 'added' FROM c WHERE c_nationkey = 7
+UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal, 'added' FROM c
+WHERE c_mktsegment = 'BUILDING' AND c_nationkey <> 7""",
+    "dq_metrics_daily": _DQ + "SELECT table_name, dimension, metric_name, metric_value, unit, check_timestamp, snapshot_date FROM dq",
+    "resolve_report": """
+SELECT COUNT(*) AS raw_rows, COUNT(*) FILTER (WHERE c_mktsegment <> 'BUILDING') AS resolved_rows,
+       COUNT(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS left_out
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "fact_snapshot": """
+SELECT l_orderkey AS player_id, l_linenumber AS team_id, l_extendedprice AS xg,
+       CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS INTEGER) END AS actual_goals, DATE '2024-02-01' AS snapshot_date
+FROM lineitem""",
+    "gate_outcomes": """
+WITH days AS (SELECT CAST(o_orderdate AS DATE) AS day FROM orders),
+seen AS (
+  SELECT 'G1 future, bound the first day' AS gate, (SELECT COUNT(*) FROM days WHERE day > (SELECT MIN(day) FROM days)) AS n, 'FutureDateError' AS error
+  UNION ALL SELECT 'G1 future, bound the last day', (SELECT COUNT(*) FROM days WHERE day > (SELECT MAX(day) FROM days)), 'FutureDateError'
+  UNION ALL SELECT 'G2 line keys', (SELECT COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem), 'IntraBatchDuplicateError'
+  UNION ALL SELECT 'G2 order keys', (SELECT COUNT(*) - COUNT(DISTINCT o_orderkey) FROM orders), 'IntraBatchDuplicateError'
+  UNION ALL SELECT 'G3 customers by nation', (SELECT COUNT(*) - COUNT(DISTINCT c_nationkey) FROM customer), 'IntraBatchDuplicateError'
+  UNION ALL SELECT 'G3 customers twice', (SELECT COUNT(*) - COUNT(DISTINCT c_custkey) FROM customer), 'IntraBatchDuplicateError'
+  UNION ALL SELECT 'G4 raw events', (SELECT COUNT(*) - COUNT(DISTINCT (user_id, CAST(ts AS DATE))) FROM events), 'SCD2TimelineException'
+  UNION ALL SELECT 'G4 last event a day', 0, ''
+  UNION ALL SELECT 'Q2 above one', 1, 'DataQualityError'
+  UNION ALL SELECT 'Q2 at zero', 0, ''
+  UNION ALL SELECT 'Q4 suppliers as customers', 1, 'ContractViolationError'
+  UNION ALL SELECT 'Q4 customers', (SELECT COUNT(*) FROM customer WHERE c_custkey IS NULL), 'ContractViolationError')
+SELECT gate, CASE WHEN n > 0 THEN error ELSE 'passed' END AS outcome FROM seen""",
     "extract_id_title_list": "SELECT s_nationkey AS payload_id, CAST(s_suppkey AS INTEGER) AS id, s_name AS title FROM supplier",
     "extract_id_title_rosters": """
 SELECT l_orderkey AS payload_id, CAST(l_suppkey AS INTEGER) AS id, 'Line ' || CAST(l_linenumber AS VARCHAR) AS title FROM lineitem""",
