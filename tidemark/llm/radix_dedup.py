@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import shared_folder, stage, stage_at
+from tidemark.llm.staging import shared_folder, stage, stage_at, temporary
 
 #: Bytes compared in the first round, and the factor from round to round.
 FIRST_BYTES = 32
@@ -50,7 +50,6 @@ def radix_dedup(
     each other. Other columns are not read, whatever their names. An empty
     table gives no rows.
     """
-    spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.encode(normalised(text_col), "UTF-8").alias("bytes")).select(
         "id",
         F.sha2("bytes", 256).alias("sha"),
@@ -58,7 +57,16 @@ def radix_dedup(
         F.substring("bytes", 1, first_bytes).alias("chunk"),
         F.expr(f"substring(bytes, {first_bytes + 1})").alias("tail"),
     )
-    # Round one: openings that occur twice; everything else is already single.
+    opened = _opened(base, F.concat("chunk", "tail"), ["id", "sha"])
+    single, ended = _rounds(opened.filter("open").drop("open"), first_bytes, growth, ["id", "sha"])
+    return _decide(_union([opened.filter(~F.col("open")).select("id", "sha"), *single]), _union(ended), id_col)
+
+
+def _opened(base: DataFrame, tail: Column, carried: list[str]) -> DataFrame:
+    """Round one, stored: openings that occur twice (``open``), everything else is already single.
+
+    ``base`` has size, chunk and the ``carried`` columns; ``tail``: the bytes that an open row takes on.
+    """
     repeated = stage(
         base.groupBy("size", "chunk")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -69,27 +77,27 @@ def radix_dedup(
     # The number of repeated openings grows with the table: merged, never broadcast.
     same = (base["size"] == repeated["opening_size"]) & (base["chunk"] == repeated["opening"])
     first = base.join(repeated.hint("merge"), same, "left")
-    path = shared_folder(spark, "radix-first")
+    path = shared_folder(base.sparkSession, "radix-first")
     is_open = F.col("opening").isNotNull()
-    opened = stage_at(
+    return stage_at(
         first.select(
             F.monotonically_increasing_id().alias("row"),
-            "id",
-            "sha",
+            *carried,
             is_open.alias("open"),
             F.col("size").cast("long").alias("grp"),
-            F.when(is_open, F.concat("chunk", "tail")).alias("tail"),
+            F.when(is_open, tail).alias("tail"),
         ),
         path,
     )
-    single = [opened.filter(~F.col("open")).select("id", "sha")]
-    ended = []
-    pending, width, last = opened.filter("open").drop("open"), first_bytes, None
+
+
+def _rounds(pending: DataFrame, width: int, growth: int, carried: list[str]) -> tuple[list[DataFrame], list[DataFrame]]:
+    """The later rounds over open rows (row, ``carried``, grp, tail): those that became single, and those whose group ended."""
+    single, ended = [], []
     while True:
         cut = pending.select(
             "row",
-            "id",
-            "sha",
+            *carried,
             "grp",
             F.substring("tail", 1, width).alias("chunk"),
             (F.length("tail") <= width).alias("end"),
@@ -97,26 +105,24 @@ def radix_dedup(
         )
         key = ["grp", "chunk", "end"]
         groups = stage(cut.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("new_grp")), "radix-groups")
-        path = shared_folder(spark, "radix-round")
+        path = shared_folder(pending.sparkSession, "radix-round")
         done = (F.col("n") == 1) | F.col("end")
         split = stage_at(
             cut.join(groups, key).select(
                 "row",
-                "id",
-                "sha",
+                *carried,
                 F.col("new_grp").alias("grp"),
                 F.when(F.col("n") == 1, 1).when(F.col("end"), 2).otherwise(0).alias("state"),
                 F.when(~done, F.col("tail")).alias("tail"),
             ),
             path,
         )
-        single.append(split.filter("state = 1").select("id", "sha"))
-        ended.append(split.filter("state = 2").select("row", "id", "sha", "grp"))
+        single.append(split.filter("state = 1").select(*carried))
+        ended.append(split.filter("state = 2").select("row", *carried, "grp"))
         pending = split.filter("state = 0").drop("state")
         if pending.isEmpty():
-            break
+            return single, ended
         width *= growth
-    return _decide(_union(single), _union(ended), id_col)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -153,23 +159,40 @@ def _decide(single: DataFrame, ended: DataFrame, id_col: str) -> DataFrame:
     return alone.unionByName(copies)
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_exact_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    first_bytes: int = FIRST_BYTES,
+    growth: int = GROWTH,
+) -> DataFrame:
     """The rows of ``docs`` that ``radix_dedup`` keeps, all columns unchanged.
 
-    A row is found again by its id and the digest of its normalised text; of
-    rows that repeat both, one is returned.
+    Whole rows are shuffled once, in round one, and stored with a row number;
+    rows with a single opening are kept from there, and of the others the
+    rounds name the row numbers that stay. Of rows that repeat id and text one
+    is returned. Columns may have any names.
     """
-    decided = radix_dedup(docs, id_col, text_col)
-    # Rows to leave out, and ids that stay but occur more than once with the same text.
-    named = stage(
-        decided.filter("group_size > 1")
-        .groupBy(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
-        .agg(F.max(F.col("kept").cast("int")).alias("__kept"), F.count(F.lit(1)).alias("__n"))
-        .filter("__kept = 0 or __n > 1"),
-        "radix-named",
-    )
-    keyed = docs.withColumn("__own_sha", F.sha2(F.encode(normalised(text_col), "UTF-8"), 256))
-    same = keyed[id_col].eqNullSafe(named["__id"]) & (keyed["__own_sha"] == named["__sha"])
-    rest = keyed.join(named, same, "left_anti")
-    twice = keyed.join(named.filter("__kept = 1"), same, "left_semi").dropDuplicates([id_col, "__own_sha"])
-    return rest.unionByName(twice).drop("__own_sha")
+    spark = docs.sparkSession
+    columns = docs.columns
+    with temporary(spark) as scope:
+        numbered = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).alias("doc"))
+        text = f"doc.c{columns.index(text_col)}"
+        bytes_ = F.encode(normalised(text), "UTF-8")
+        base = numbered.select(
+            "doc", F.length(bytes_).alias("size"), F.substring(bytes_, 1, first_bytes).alias("chunk")
+        )
+        # Every byte travels once: an open row's remaining bytes are made from its text again.
+        opened = _opened(base, bytes_, ["doc"])
+        is_id = F.col(f"doc.c{columns.index(id_col)}").cast("long").alias("id")
+        _, ended = _rounds(opened.filter("open").select("row", is_id, "grp", "tail"), first_bytes, growth, ["id"])
+        copies = _union(ended)
+        by_id = copies.groupBy("grp", "id").agg(F.min("row").alias("row"))
+        keepers = by_id.groupBy("grp").agg(F.coalesce(F.min_by("row", "id"), F.min("row")).alias("kept"))
+        dropped = copies.join(keepers.hint("merge"), "grp").filter("row <> kept").select(F.col("row").alias("gone"))
+        dropped = stage(dropped, "radix-dropped")
+        scope.keep(opened, dropped)
+    open_rows = opened.filter("open")
+    stay = open_rows.join(dropped.hint("merge"), open_rows["row"] == dropped["gone"], "left_anti")
+    kept = opened.filter("not open").select("doc").unionByName(stay.select("doc"))
+    return kept.select(*[F.col(f"doc.c{i}").alias(c) for i, c in enumerate(columns)])

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,8 +45,46 @@ def stage(df: DataFrame, name: str = "stage", batch_rows: int | None = None) ->
 
 
 def stage_at(df: DataFrame, path: str) -> DataFrame:
+    if (open_scope := _scope.get()) is not None:
+        open_scope.paths.add(path)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made._staged_path = path
+    return made
+
+
+class Scope:
+    """Staged tables of a stretch of work."""
+
+    def __init__(self) -> None:
+        self.paths: set[str] = set()
+        self.kept: set[str] = set()
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Tables that the result still reads."""
+        self.kept |= {t._staged_path for t in tables}
+
+
+_scope: ContextVar[Scope | None] = ContextVar("staging_scope", default=None)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Scope]:
+    """Tables staged inside are deleted at the end, but for those that are kept.
+
+    Kept ones belong to the surrounding scope, if any. After an error all stay
+    for a look.
+    """
+    outer, scope = _scope.get(), Scope()
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
+    for path in scope.paths - scope.kept:
+        discard(spark, path)
+    if outer is not None:
+        outer.paths |= scope.kept & scope.paths
 
 
 def discard(spark: SparkSession, path: str) -> None:
