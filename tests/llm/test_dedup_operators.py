@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import collected
@@ -107,27 +108,29 @@ def test_near_duplicates_equal_brute_force(spark, k):
 
 
 def test_buckets_that_span_components_are_tried_whole(spark, monkeypatch):
-    """With one partner put forward at first and tiny blocks, the rounds still lose no link."""
+    """With tiny blocks, by members or by shingles, no link is lost."""
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 4)
-    monkeypatch.setattr(minhash, "PARTNERS", (1, 4))
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 100)
     rows = near_rows(random.Random(9), 1, 40)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert collected(minhash.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id", "kept") == plain_near(rows, 2)
 
 
-def test_links_behind_likelier_partners_reach_the_verifier(spark, monkeypatch):
+def test_links_behind_likelier_partners_are_confirmed(spark, monkeypatch):
     """Blocks that exceed BLOCK_ROWS, where many likelier partners rank before the only linked one."""
     monkeypatch.setattr(minhash, "BLOCK_ROWS", 1)
-    monkeypatch.setattr(minhash, "PARTNERS", (1, 1))
     half = 12
 
     class Linked:
         def __init__(self, *_):
-            pass
+            self.sets = spark.createDataFrame([(i, [i % half, 100 + i % half]) for i in range(2 * half)], "node long, shingles array<long>")
 
         def links(self, pairs):
             return pairs.selectExpr("greatest(u, v) as u", "least(u, v) as v").filter(f"u - v = {half}").distinct()
 
+        def _add_sets(self, near):
+            pass
+
     monkeypatch.setattr(minhash, "_Verifier", Linked)
     low, high = bytes(400), bytes(300) + b"x" * 100  # alike in 0.75 of the places
     nodes = spark.createDataFrame([(i, 9, [0], low if i < half else high) for i in range(2 * half)], "node long, n_shingles long, bands array<long>, sketch binary")
@@ -135,6 +138,60 @@ def test_links_behind_likelier_partners_reach_the_verifier(spark, monkeypatch):
     assert got == [(i, i % half) for i in range(2 * half)]
 
 
+def test_half_alike_groups_make_no_rows_per_pair(spark):
+    """A group of texts just below the threshold, of which a few are linked: units, not pairs, are rows."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for at in rng.sample(range(200), 16):
+            copy[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(copy)))
+    rows += [(100 + i, rows[i][1] + " end") for i in range(0, 60, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(minhash.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id", "kept") == plain_near(rows, 2)
+
+
+def test_repeated_rows_are_one_node(spark):
+    rows = near_rows(random.Random(3), 3, 10)
+    docs = spark.createDataFrame(rows + [rows[4]] * 40, "doc_id long, text string").repartition(4)
+    sketches = minhash.stage(minhash.sketch(docs, 2).withColumn("row", F.monotonically_increasing_id()), "test")
+    classes = sketches.groupBy(F.col("digest").alias("class")).agg(F.min("doc_id").alias("rep"), F.min_by("row", "doc_id").alias("first_row"))
+    assert minhash._nodes(sketches, classes).count() == len({frozenset(shingles(t, 2)) for _, t in rows})
+    got = minhash.near_duplicates(docs, 2)
+    assert got.count() == len(rows) + 40
+    assert collected(got.distinct(), "doc_id", "n_shingles", "component_id", "kept") == plain_near(rows, 2)
+
+
+def test_staged_tables_are_deleted(spark, odd_docs):
+    import os
+
+    from tidemark.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    kept = radix_dedup.drop_exact_copies(odd_docs)
+    names = {f.rsplit("-", 1)[0] for f in set(os.listdir(base)) - before}
+    assert names == {"radix-first", "radix-dropped"} and kept.count() > 0
+    before = set(os.listdir(base))
+    kept = minhash.drop_near_duplicates(odd_docs)
+    names = {f.rsplit("-", 1)[0] for f in set(os.listdir(base)) - before}
+    assert names == {"near-dropped"} and kept.count() > 0
+
+
+def test_whole_rows_pass_exact_dedup_under_any_names(spark):
+    rows = [(i % 40 if i % 9 else None, f"t {i % 13}  x" if i % 4 else None, i, "k") for i in range(90)] + [(1, "t 1 x", 1, "k")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long, open string").withColumn("grp", F.col("row")).withColumn("doc", F.col("row"))
+    out = radix_dedup.drop_exact_copies(docs.repartition(5), first_bytes=2, growth=2)
+    assert out.columns == docs.columns
+    best = {}
+    for i, t, *_ in rows:
+        key = SPACE.sub(" ", t or "")
+        best[key] = min(best.get(key, float("inf")), float("inf") if i is None else i)
+    assert sorted((SPACE.sub(" ", r["text"] or ""), r["doc_id"]) for r in out.collect()) == sorted(best.items())
+
+
 def test_near_duplicates_on_odd_rows(odd_docs, no_docs):
     got = minhash.near_duplicates(odd_docs, 2).collect()
     assert len(got) == odd_docs.count()

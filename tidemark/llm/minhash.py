@@ -9,14 +9,15 @@
 3. A band bucket does not list its pairs. In the star round each member is
    tried against the bucket's first one; confirmed links are joined to
    components and buckets within one component are finished. Buckets that
-   still span components are compared by sketch in bounded blocks, only
-   across components and in the first bucket that two members share; each
-   member puts forward its 4 likeliest partners per block and, where it has
-   more, in a last round without bound all that still lie in other components.
-   So no link between components is lost, whatever a bucket's or block's size.
+   still span components are dealt into bounded blocks; every pair of blocks
+   is one unit of work, which compares sketches across components, takes a
+   pair in the first bucket that its two members share, and confirms all its
+   pairs on the members' full sets. Of the confirmed links a unit puts out a
+   spanning forest: the pairs of a group never become rows, and no link
+   between components is lost, whatever a bucket's or block's size.
 4. A pair is confirmed when its sketches agree in 0.71 of the places or more
-   (four and a half standard deviations below 0.8) and the full shingle sets
-   meet the threshold exactly.
+   and the full shingle sets meet the threshold exactly. At 0.8 a sketch of
+   400 places agrees in 0.71 of them but for a chance of some 1e-5 per pair.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.staging import TEXT_BATCH_ROWS, stage
+from tidemark.llm.staging import TEXT_BATCH_ROWS, stage, temporary
 
 BANDS = 40
 ROWS = 5
@@ -43,8 +44,8 @@ LEAST_AGREEMENT = 0.71
 SHINGLE_WORDS = 5
 #: Members of a bucket compared in one task, squared.
 BLOCK_ROWS = 256
-#: Partners a member puts forward per block in the rounds before the last, which has no bound.
-PARTNERS = (4,)
+#: Shingles of a bucket per block, on average, whatever the number of members.
+BLOCK_SHINGLES = 500_000
 SEED = 7
 #: Words a worker remembers the hash of.
 CACHE_WORDS = 250_000
@@ -209,7 +210,8 @@ class _Verifier:
                     sets = [shingle_set(t, size, words_of).view(np.int64) for t in part["text"]]
                     yield pd.DataFrame({"node": part["node"].array, "shingles": sets})
 
-        texts = self.docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
+        # Equal rows make one set.
+        texts = self.docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi").distinct()
         made = stage(texts.mapInPandas(run, "node long, shingles array<long>"), "sets", TEXT_BATCH_ROWS)
         self.sets = made if self.sets is None else self.sets.unionByName(made)
 
@@ -226,22 +228,26 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col:
     table gives no rows.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = stage(sketch(docs, shingle_words), "sketches", TEXT_BATCH_ROWS)
-    classes = stage(
-        sketches.filter("digest is not null and doc_id is not null")
-        .groupBy(F.col("digest").alias("class"))
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-        "classes",
-    )
-    nodes = _nodes(sketches, classes)
-    labels = _components(docs, nodes, shingle_words)
-    named = stage(
-        classes.join(labels, classes["rep"] == labels["node"], "left").select(
-            "class", F.coalesce("component", "rep").alias("component")
-        ),
-        "named-classes",
-    )
-    found = sketches.select("doc_id", "n_shingles", "digest").join(named, F.col("digest") == F.col("class"), "left")
+    with temporary(docs.sparkSession) as scope:
+        made = sketch(docs, shingle_words).withColumn("row", F.monotonically_increasing_id())
+        sketches = stage(made, "sketches", TEXT_BATCH_ROWS)
+        classes = stage(
+            sketches.filter("digest is not null and doc_id is not null")
+            .groupBy(F.col("digest").alias("class"))
+            .agg(F.min("doc_id").alias("rep"), F.min_by("row", "doc_id").alias("first_row")),
+            "classes",
+        )
+        nodes = _nodes(sketches, classes)
+        labels = _components(docs, nodes, shingle_words)
+        named = stage(
+            classes.join(labels, classes["rep"] == labels["node"], "left").select(
+                "class", F.coalesce("component", "rep").alias("component")
+            ),
+            "named-classes",
+        )
+        sketches = stage(sketches.select("doc_id", "n_shingles", "digest"), "found")
+        scope.keep(sketches, named)
+    found = sketches.join(named, F.col("digest") == F.col("class"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
@@ -249,8 +255,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col:
 
 
 def _nodes(sketches: DataFrame, classes: DataFrame) -> DataFrame:
-    """The first document of each class: node, n_shingles, bands, sketch."""
-    alone = (sketches["digest"] == classes["class"]) & (sketches["doc_id"] == classes["rep"])
+    """One row per class, of its first document: node, n_shingles, bands, sketch."""
+    alone = sketches["row"] == classes["first_row"]
     return stage(
         sketches.join(classes, alone).select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch"), "nodes"
     )
@@ -268,18 +274,10 @@ def _components(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFr
     links = verifier.links(stars)
     labels = stage(connected_components(links), "labels")
     open_members, left = _open(members, labels)
-    for partners in (*PARTNERS, None):
-        if not left:
-            break
-        pairs = stage(_block_pairs(open_members, nodes, partners), "block-pairs")
-        new = verifier.links(pairs.select("u", "v"))
+    if left:
+        new = _block_links(verifier, open_members, nodes)
         if not new.isEmpty():
-            links = links.unionByName(new)
-            labels = stage(connected_components(links), "labels")
-        if pairs.filter("more").isEmpty():
-            break
-        if not new.isEmpty():
-            open_members, left = _open(members, labels)
+            labels = stage(connected_components(links.unionByName(new)), "labels")
     return labels
 
 
@@ -303,18 +301,54 @@ def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
     return found, found.count()
 
 
-def _block_pairs(members: DataFrame, nodes: DataFrame, partners: int | None) -> DataFrame:
-    """(u, v, more): the likeliest pairs across components within each bucket's blocks.
+UNIT = ["bucket", "i", "j"]
+
+
+def _candidates(unit: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The likely pairs (u, v) across components between the unit's two blocks, or within its one."""
+    left, right = unit[unit["own"] == unit["i"]], unit[unit["own"] == unit["j"]]
+    none = np.empty(0, np.int64), np.empty(0, np.int64)
+    if not len(left) or not len(right):
+        return none
+    nx, ny = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
+    fit = left["component"].to_numpy()[:, None] != right["component"].to_numpy()
+    fit &= 100 * np.minimum(nx[:, None], ny) >= THRESHOLD_PERCENT * np.maximum(nx[:, None], ny)
+    u, v = left["node"].to_numpy(), right["node"].to_numpy()
+    if unit["i"].iloc[0] == unit["j"].iloc[0]:
+        fit &= u[:, None] < v
+    if not fit.any():
+        return none
+    x = np.frombuffer(b"".join(left["sketch"]), dtype=np.uint8).reshape(len(left), -1)
+    y = np.frombuffer(b"".join(right["sketch"]), dtype=np.uint8).reshape(len(right), -1)
+    band = int(unit["bucket"].iloc[0]) >> 8 * ROWS
+    found_u, found_v = [], []
+    for r in np.flatnonzero(fit.any(axis=1)):
+        few = np.flatnonzero(fit[r])
+        same = x[r] == y[few]
+        likely = np.flatnonzero(same.mean(axis=1) >= LEAST_AGREEMENT)
+        if len(likely):
+            # A pair that shares several buckets counts in the first one only.
+            first = same[likely, : BANDS * ROWS].reshape(len(likely), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            likely = likely[first == band]
+            found_u.append(np.full(len(likely), u[r]))
+            found_v.append(v[few[likely]])
+    if not found_u:
+        return none
+    return np.concatenate(found_u), np.concatenate(found_v)
+
+
+def _units(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(bucket, i, j, u, v): the likely pairs of every unit that has any, as two arrays.
 
-    A bucket is dealt into blocks of about ``BLOCK_ROWS``; each pair of blocks
-    is one unit of work, so a large bucket is shared by many tasks. ``more``
-    tells that a member had further partners beyond ``partners``; None takes all,
-    whatever the size of a block.
+    A bucket is dealt into blocks of about ``BLOCK_ROWS`` members, fewer where
+    their sets are large; each pair of blocks is one unit of work, so a large
+    bucket is shared by many tasks.
     """
-    facts = nodes.select("node", "n_shingles", "sketch")
-    parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    facts = members.join(nodes.select("node", "n_shingles", "sketch"), "node")
+    weight = stage(facts.groupBy("bucket").agg(F.sum("n_shingles").alias("weight")), "bucket-weights")
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.least(F.col("weight") / BLOCK_SHINGLES, F.col("n")))).cast("int")
     dealt = (
-        members.join(facts, "node")
+        facts.join(weight, "bucket")
         .withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -329,62 +363,83 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, partners: int | None) ->
             "sketch",
         )
     )
-    key = ["bucket", "i", "j"]
-
-    def compare(unit: pd.DataFrame) -> pd.DataFrame | None:
-        left = unit[unit["own"] == unit["i"]]
-        right = unit[unit["own"] == unit["j"]]
-        if not len(left) or not len(right):
-            return None
-        nx, ny = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-        fit = left["component"].to_numpy()[:, None] != right["component"].to_numpy()
-        fit &= 100 * np.minimum(nx[:, None], ny) >= THRESHOLD_PERCENT * np.maximum(nx[:, None], ny)
-        if not fit.any():
-            return None
-        x = np.frombuffer(b"".join(left["sketch"]), dtype=np.uint8).reshape(len(left), -1)
-        y = np.frombuffer(b"".join(right["sketch"]), dtype=np.uint8).reshape(len(right), -1)
-        band = int(unit["bucket"].iloc[0]) >> 8 * ROWS
-        u, v = left["node"].to_numpy(), right["node"].to_numpy()
-        found_u, found_v, found_more = [], [], []
-        for r in np.flatnonzero(fit.any(axis=1)):
-            few = np.flatnonzero(fit[r])
-            same = x[r] == y[few]
-            alike = same.mean(axis=1)
-            likely = np.flatnonzero(alike >= LEAST_AGREEMENT)
-            # A pair that shares several buckets counts in the first one only.
-            if not len(likely):
-                continue
-            first = same[likely, : BANDS * ROWS].reshape(len(likely), BANDS, ROWS).all(axis=2).argmax(axis=1)
-            likely = likely[first == band]
-            best = likely[np.argsort(-alike[likely], kind="stable")[:partners]]
-            found_u.append(np.full(len(best), u[r]))
-            found_v.append(v[few[best]])
-            found_more.append(np.full(len(best), len(likely) > len(best)))
-        if not found_u:
-            return None
-        return pd.DataFrame({"u": np.concatenate(found_u), "v": np.concatenate(found_v), "more": np.concatenate(found_more)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def answer(unit: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            u, v = _candidates(unit)
+            if len(u):
+                yield pd.DataFrame({**{k: unit[k].iloc[:1].to_numpy() for k in UNIT}, "u": [u], "v": [v]})
+
         held = None
         for pdf in batches:
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
             if not len(pdf):
                 continue
-            keys = pdf[key].to_numpy()
+            keys = pdf[UNIT].to_numpy()
             starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
             for a, b in zip(starts[:-1], starts[1:], strict=True):
-                if (found := compare(pdf.iloc[a:b])) is not None:
-                    yield found
+                yield from answer(pdf.iloc[a:b])
             held = pdf.iloc[starts[-1] :]
-        if held is not None and len(held) and (found := compare(held)) is not None:
-            yield found
-
-    ordered = dealt.repartition(*key).sortWithinPartitions(*key)
-    return ordered.mapInPandas(run, "u long, v long, more boolean")
+        if held is not None and len(held):
+            yield from answer(held)
+
+    ordered = dealt.repartition(*UNIT).sortWithinPartitions(*UNIT)
+    return ordered.mapInPandas(run, "bucket long, i int, j int, u array<long>, v array<long>")
+
+
+def _forest(u: np.ndarray, v: np.ndarray, sets: dict[int, list[np.ndarray]]) -> list[tuple[int, int]]:
+    """Confirmed links among the pairs that connect what they connect; a pair whose nodes are already connected is left."""
+    parent: dict[int, int] = {}
+
+    def top(n: int) -> int:
+        parent.setdefault(n, n)
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    links = []
+    for a, b in zip(u.tolist(), v.tolist()):
+        x, y = top(a), top(b)
+        if x != y and any(_meet(s, t) for s in sets.get(a, ()) for t in sets.get(b, ())):
+            parent[x] = y
+            links.append((a, b))
+    return links
+
+
+def _meet(s: np.ndarray, t: np.ndarray) -> bool:
+    """Whether two sets of sorted hashes meet the threshold."""
+    if len(s) > len(t):
+        s, t = t, s
+    if 100 * len(s) < THRESHOLD_PERCENT * len(t):
+        return False
+    at = np.minimum(np.searchsorted(t, s), len(t) - 1)
+    common = int((t[at] == s).sum())
+    return 100 * common >= THRESHOLD_PERCENT * (len(s) + len(t) - common)
+
+
+def _block_links(verifier: _Verifier, members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links across components within the open buckets, confirmed unit by unit; a spanning forest of each unit's."""
+    units = stage(_units(members, nodes), "units")
+    named = units.select(*[F.col(k).alias(f"of_{k}") for k in UNIT], F.explode(F.array_distinct(F.concat("u", "v"))).alias("node"))
+    verifier._add_sets(named.select(F.col("node").alias("u"), F.col("node").alias("v")))
+    held = named.join(verifier.sets, "node")
+
+    def confirm(key: tuple, unit: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        sets: dict[int, list[np.ndarray]] = {}
+        for node, shingles in zip(held["node"], held["shingles"]):
+            sets.setdefault(node, []).append(np.asarray(shingles, np.int64).view(np.uint64))
+        links = [link for u, v in zip(unit["u"], unit["v"]) for link in _forest(np.asarray(u), np.asarray(v), sets)]
+        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+    made = units.groupBy(*UNIT).cogroup(held.groupBy(*[f"of_{k}" for k in UNIT])).applyInPandas(confirm, "u long, v long")
+    return stage(made, "block-links")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, all columns unchanged."""
-    found = near_duplicates(docs, shingle_words)
-    dropped = stage(found.filter("not kept").select(F.col("doc_id").alias("__id")).distinct(), "near-dropped")
+    with temporary(docs.sparkSession) as scope:
+        found = near_duplicates(docs, shingle_words)
+        dropped = stage(found.filter("not kept").select(F.col("doc_id").alias("__id")).distinct(), "near-dropped")
+        scope.keep(dropped)
     return docs.join(dropped, docs["doc_id"] == dropped["__id"], "left_anti")
