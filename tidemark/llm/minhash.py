@@ -247,7 +247,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col:
         )
         sketches = stage(sketches.select("doc_id", "n_shingles", "digest"), "found")
         scope.keep(sketches, named)
-    found = sketches.join(named, F.col("digest") == F.col("class"), "left")
+    found = sketches.join(named.hint("merge"), F.col("digest") == F.col("class"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
@@ -257,8 +257,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col:
 def _nodes(sketches: DataFrame, classes: DataFrame) -> DataFrame:
     """One row per class, of its first document: node, n_shingles, bands, sketch."""
     alone = sketches["row"] == classes["first_row"]
+    # Classes grow with the table, so they are merged at every size; so are shared buckets and named classes.
     return stage(
-        sketches.join(classes, alone).select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch"), "nodes"
+        sketches.join(classes.hint("merge"), alone).select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch"), "nodes"
     )
 
 
@@ -268,7 +269,7 @@ def _components(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFr
     shared = stage(
         banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("rep")).filter("n > 1"), "buckets"
     )
-    members = stage(banded.join(shared.select("bucket"), "bucket"), "members")
+    members = stage(banded.join(shared.select("bucket").hint("merge"), "bucket"), "members")
     verifier = _Verifier(docs, nodes, shingle_words)
     stars = members.join(shared, "bucket").select(F.col("rep").alias("u"), F.col("node").alias("v"))
     links = verifier.links(stars)
