@@ -40,6 +40,33 @@ def test_interactions_are_learnt():
     assert np.mean(right) > 0.95
 
 
+def test_scores_equal_the_plain_sum_over_all_pairs():
+    rng = np.random.default_rng(6)
+    places = np.array([2, 5, 9, 11, 30], np.int32)
+    machine = toxicity.FactorizationMachine(0.3, places, rng.normal(size=5), rng.normal(size=(5, toxicity.FACTORS)))
+    for held in ([2, 5, 9, 11, 30], [5, 7, 30], [3], []):
+        x = rng.random(len(held)).astype(np.float32)
+        raw = machine.bias
+        terms = [(int(np.flatnonzero(places == p)[0]), float(w)) for p, w in zip(held, x) if p in places]
+        for n, (i, a) in enumerate(terms):
+            raw += machine.linear[i] * a
+            for j, b in terms[n + 1 :]:
+                raw += float(machine.factors[i] @ machine.factors[j]) * a * b
+        assert machine.score(np.array(held, np.int32), x) == pytest.approx(1 / (1 + np.exp(-raw)), rel=1e-6)
+
+
+def test_the_sample_holds_one_row_per_labelled_id_present(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda rows, **kw: seen.update(rows=rows))
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(ids[0], f"copy {i % 3}") for i in range(300)] + [(i, f"text {i}") for i in ids[1:40]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")  # most have no document
+    toxicity.train(docs, labels)
+    assert len(seen["rows"]) == 40
+    toxicity.train(docs, labels, sample_rows=25)
+    assert len(seen["rows"]) == 25
+
+
 def test_toxicity_on_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(10, 1), (20, 0), (20, 1), (None, 1), (30, None)], "doc_id long, toxic int")
     none = spark.createDataFrame([], "doc_id long, toxic int")

@@ -160,16 +160,20 @@ def fold(id_col: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> FactorizationMachine:
     """Fit on the rows of ``docs`` that ``labels`` (doc_id, toxic) marks, outside fold 0.
 
-    At most ``sample_rows`` labelled ids are taken, by smallest hash of the
-    id, the same ones on any cluster. Ids labelled both ways, null ids and
+    At most ``sample_rows`` rows are taken, one per labelled id that ``docs``
+    holds, by smallest hash of the id, the same ones on any cluster; of an id
+    with several texts the smallest text. Ids labelled both ways, null ids and
     null marks are left out. A row of the sample is its distinct places
     and weights; the sample alone reaches the driver.
     """
-    marked = (
+    clear = (
         labels.filter("doc_id is not null and toxic is not null")
         .groupBy(F.col("doc_id").alias("__id"))
         .agg(F.min("toxic").alias("low"), F.max("toxic").alias("toxic"))
         .filter((F.col("low") == F.col("toxic")) & (fold(F.col("__id")) != 0))
+    )
+    marked = (
+        clear.join(docs.select("doc_id"), F.col("doc_id") == F.col("__id"), "left_semi")
         .orderBy(F.xxhash64(F.lit(SEED), "__id"), "__id")
         .limit(sample_rows)
         .select("__id", F.col("toxic").cast("int").alias("__toxic"))
@@ -185,7 +189,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     # Broadcast: ``sample_rows`` ids and marks, 12 bytes each.
     sample = docs.select("doc_id", "text").join(F.broadcast(marked), F.col("doc_id") == F.col("__id"))
-    rows = sample.select("doc_id", "text", F.col("__toxic").alias("y")).mapInPandas(
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("__toxic").alias("y"))
+    rows = sample.select("doc_id", "text", "y").mapInPandas(
         vectors, "doc_id long, y int, p binary, x binary"
     )
     gathered = sorted((r["doc_id"], r["p"], r["x"], r["y"]) for r in rows.toLocalIterator())
