@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.staging import stage
 
 DAMPING = 0.85
+#: Part of the definition of a verdict: trust and distrust flow along paths of up to this many
+#: links. Of all flow, paths beyond it would carry at most DAMPING ** (ITERATIONS + 1), 17 %.
 ITERATIONS = 10
 THRESHOLD = 0.5
 
