@@ -95,6 +95,17 @@ def test_packing_places_every_id_once(spark, library, odd_docs, no_docs):
     assert packing.pack(no_docs, PATH).count() == 0
 
 
+def test_repeated_rows_are_spread_over_packing_groups(spark, library):
+    """A third of the rows equal: no group gathers them, and every copy is packed."""
+    rows = [(1000 + i, f"text number {i}") for i in range(400)] + [(7, "one row again")] * 200 + [(None, None)] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+    packed = packing.pack(docs, PATH, docs_per_group=70)
+    groups = [r["sequence_id"] >> 32 for r in packed.filter("doc_id = 7 and doc_tokens = 4").collect()]
+    assert len(groups) == 200 and max(groups.count(g) for g in set(groups)) < 60
+    assert packed.count() == 700
+    docs.unpersist()
+
+
 def test_packing_wastes_little_and_builds_sequences(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     packed = packing.pack(docs, PATH, with_ids=True).cache()

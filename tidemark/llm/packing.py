@@ -11,11 +11,15 @@ waste is at most the last sequence or two of a group.
 
 from __future__ import annotations
 
+import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,16 +91,23 @@ def token_pieces(
 
     Returns doc_id, grp_hash, start, length, doc_tokens, ids_crc32 and, if
     asked for, ids (little-endian uint32 bytes). A null or empty text is its
-    end id alone. No shuffle.
+    end id alone. No shuffle. ``deal`` is a hash of id and text; the second
+    and further rows of a partition that repeat both get hashes of their own,
+    by partition and number, so that no group gathers all copies.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
     step = 4 * capacity
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizer_path).encode
+        part, seen = TaskContext.get().partitionId(), Counter()
         for pdf in batches:
             rows = []
             for doc_id, deal, text in zip(pdf["doc_id"], pdf["deal"], pdf["text"], strict=True):
+                copies = seen[deal]
+                seen[deal] += 1
+                if copies:
+                    deal = _own_deal(deal, part, copies)
                 ids = encode(text) + end
                 total = len(ids) // 4
                 for at in range(0, len(ids), step):
@@ -113,6 +124,10 @@ def token_pieces(
     return source.mapInPandas(cut, f"doc_id long, deal long, {_PIECE}" + (", ids binary" if with_ids else ""))
 
 
+def _own_deal(deal: int, part: int, copies: int) -> int:
+    return xxhash.xxh64_intdigest(struct.pack("<qqq", deal, part, copies)) - 2**63
+
+
 def _frame(rows: list[tuple], with_ids: bool) -> pd.DataFrame:
     names = ["doc_id", "deal", "start", "length", "doc_tokens", "ids_crc32"] + ["ids"] * with_ids
     out = pd.DataFrame(rows, columns=names)
