@@ -56,7 +56,7 @@ from tidemark.operators.loads import (
     write_fact_match_stats,
 )
 from tidemark.operators.merge import merge_update, upsert
-from tidemark.operators.metrics import compute_match_squad_health_deficit, compute_player_injury_summary, player_baselines
+from tidemark.operators.metrics import compute_player_injury_summary, player_baselines, shooters_squad_health_deficit
 from tidemark.operators.resolve import (
     resolve_entities,
     resolve_player_entities,
@@ -123,14 +123,9 @@ def shots(t: Tables) -> DataFrame:
 
 
 def squad_deficit_frame(t: Tables) -> DataFrame:
-    s = shots(t)
-    roster = s.select("player_id", "match_id").distinct()
     injured = status_history(t).filter(F.col("is_current") & (F.col("status") == INJURED)).select("player_id")
     teams = t.supplier.select(F.col("s_suppkey").alias("player_id"), F.col("s_nationkey").alias("team_id"))
-    injury = roster.join(injured, "player_id", "left_semi").join(teams, "player_id")
-    d = compute_match_squad_health_deficit(
-        injury, roster, s, grain="match", scale=MONEY
-    )
+    d = shooters_squad_health_deficit(shots(t), injured, teams, scale=MONEY)
     return d.select(
         "match_id",
         "team_id",
