@@ -258,3 +258,68 @@ def verify(proofs: DataFrame) -> DataFrame:
 def proof_digest(path: Column) -> Column:
     """H of a path's siblings, level by level, left to right."""
     return digest(F.array_join(F.transform(path, lambda e: F.concat(e["left"], e["right"])), ""))
+
+
+def _sql_part(name: str) -> str:
+    return f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR), '-')"
+
+
+def manifest_sql() -> str:
+    """The manifest of ``documents`` and its check against tampered texts, level by level in recursive SQL."""
+    parts = {name: _sql_part(name) for name in ("source", "lang", "n_chars", "text", "other")}
+    return _MANIFEST_SQL.format(doc_id=_sql_part("d.doc_id"), **parts)
+
+
+# crc32 of the decimal id by the table of its bytes; the tree of each group, then that of the groups; siblings by windows.
+_MANIFEST_SQL = """
+WITH RECURSIVE bits AS (
+    SELECT range AS i, range AS v, 0 AS n FROM range(256)
+    UNION ALL SELECT i, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), n + 1 FROM bits WHERE n < 8
+), crc AS (
+    SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 1 AS ch, 4294967295::BIGINT AS v FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL
+    SELECT doc_id, s, ch + 1, xor(crc.v >> 8, bits.v) FROM crc
+    JOIN bits ON bits.n = 8 AND bits.i = xor(crc.v & 255, ascii(substr(s, ch, 1))::BIGINT) WHERE ch <= length(s)
+), tampered AS (
+    SELECT doc_id FROM crc WHERE ch = length(s) + 1 AND xor(v, 4294967295::BIGINT) % 3 = 0
+), own AS (
+    SELECT d.doc_id, coalesce('=' || lang, '') AS g,
+           {doc_id} || {source} || {lang} || {n_chars} AS head, text,
+           CASE WHEN t.doc_id IS NOT NULL THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other
+    FROM documents d LEFT JOIN tampered t ON d.doc_id = t.doc_id
+), leaves AS (
+    SELECT doc_id, g, sha256(head || {text}) AS leaf, sha256(head || {other}) AS start,
+           row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY g) AS size
+    FROM own
+), lv AS (
+    SELECT 0 AS level, g, pos, size, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT level + 1, g, pos // 8, (size + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM lv WHERE size > 1 GROUP BY level, g, pos // 8, size
+), sub AS (
+    SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS size FROM lv WHERE size = 1
+), tv AS (
+    SELECT 100 AS level, pos, size, subroot AS digest FROM sub
+    UNION ALL
+    SELECT level + 1, pos // 8, (size + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM tv WHERE size > 1 GROUP BY level, pos // 8, size
+), beside AS (
+    SELECT level, g, pos,
+           coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+           coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM (SELECT level, g, pos, size, digest FROM lv UNION ALL SELECT level, NULL, pos, size, digest FROM tv) WHERE size > 1
+    WINDOW w AS (PARTITION BY level, g, pos // 8 ORDER BY pos)
+), path AS (
+    SELECT a.doc_id, row_number() OVER (PARTITION BY a.doc_id ORDER BY b.level) - 1 AS step, b.l, b.r
+    FROM leaves a JOIN sub ON a.g = sub.g
+    JOIN beside b ON (b.level < 100 AND b.g = a.g AND b.pos = a.pos >> (3 * b.level)) OR (b.level >= 100 AND b.pos = sub.pos >> (3 * (b.level - 100)))
+), fold AS (
+    SELECT doc_id, 0 AS step, start AS acc FROM leaves
+    UNION ALL
+    SELECT f.doc_id, f.step + 1, sha256(p.l || f.acc || p.r) FROM fold f JOIN path p ON p.doc_id = f.doc_id AND p.step = f.step
+), proof AS (
+    SELECT a.doc_id, sha256(coalesce(string_agg(l || r, '' ORDER BY step), '')) AS proof_sha256, count(step) AS steps
+    FROM leaves a LEFT JOIN path ON path.doc_id = a.doc_id GROUP BY a.doc_id
+)
+SELECT a.doc_id, a.leaf, sub.subroot, top.digest AS root, p.proof_sha256, f.acc AS folded_root, f.acc = top.digest AS verified
+FROM leaves a JOIN sub ON a.g = sub.g JOIN (SELECT digest FROM tv WHERE size = 1) top ON true
+JOIN proof p ON p.doc_id = a.doc_id JOIN fold f ON f.doc_id = a.doc_id AND f.step = p.steps
+"""

@@ -152,6 +152,7 @@ ORACLE_SQL = {
         FROM d LEFT JOIN g ON d.doc_id = g.doc_id
     """,
     "op4_link_graph_filter": link_graph.judge_sql(),
+    "op12_bitmap_merkle": merkle.manifest_sql(),
     "op7_radix_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
