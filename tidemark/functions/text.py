@@ -1,14 +1,11 @@
 """Text cleaning expressions (F1, F2, F4) and HTML entity decoding.
 
-All of these but ``unescape_all`` are built-in Column expressions: they run
-inside whole-stage codegen on the executors. Texts may be of any length.
+All of these are built-in Column expressions: they run inside whole-stage
+codegen on the executors. Texts may be of any length.
 """
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,19 +62,6 @@ def decode_entities(c: Column | str) -> Column:
     return out
 
 
-def _unescape(cells: pd.Series) -> pd.Series:
-    return cells.map(lambda row: None if row is None else [None if t is None else html.unescape(t) for t in row])
-
-
-def unescape_all(texts: Column) -> Column:
-    """Decode every HTML entity, named or numeric, in an array of texts.
-
-    The one Arrow UDF of the library outside ``llm``: the table of named
-    entities has thousands of entries, which no built-in function holds.
-    """
-    return F.pandas_udf(_unescape, "array<string>")(texts)
-
-
 def html_text(c: Column | str) -> Column:
     """Visible text of an HTML fragment: tags dropped, entities decoded, whitespace cleaned."""
     return clean_whitespace(decode_entities(strip_html_tags(c)))
