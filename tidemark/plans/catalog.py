@@ -124,7 +124,7 @@ def shots(t: Tables) -> DataFrame:
 
 def squad_deficit_frame(t: Tables) -> DataFrame:
     injured = status_history(t).filter(F.col("is_current") & (F.col("status") == INJURED)).select("player_id")
-    teams = t.supplier.select(F.col("s_suppkey").alias("player_id"), F.col("s_nationkey").alias("team_id"))
+    teams = t.customer.select(F.col("c_custkey").alias("player_id"), F.col("c_nationkey").alias("team_id"))
     d = shooters_squad_health_deficit(shots(t), injured, teams, scale=MONEY)
     return d.select(
         "match_id",
@@ -554,9 +554,10 @@ def q_load_ids(spark, d):
 
 def q_star_health(spark, d):
     t = Tables(spark, d)
-    # Line items are summed per (supplier, month) before the supplier join, so
-    # the join sees one row per player and month; the exact decimal partial
-    # sums are summed again per team by the gold builder.
+    # Players and their nation are customers, who include every event user and
+    # every supplier number. Line items are summed per (player, month) before
+    # that join, so it sees one row per player and month; the exact decimal
+    # partial sums are summed again per team by the gold builder.
     per_player = (
         t.lineitem.groupBy(
             F.col("l_suppkey").alias("player_id"),
@@ -566,13 +567,13 @@ def q_star_health(spark, d):
             F.sum(F.col("l_quantity").cast("int")).alias("actual_goals"),
         )
     )
-    facts = per_player.join(t.supplier, F.col("player_id") == F.col("s_suppkey")).select(
-        "player_id", F.col("s_nationkey").alias("team_id"), "xg", "actual_goals", "snapshot_date"
+    facts = per_player.join(t.customer, F.col("player_id") == F.col("c_custkey")).select(
+        "player_id", F.col("c_nationkey").alias("team_id"), "xg", "actual_goals", "snapshot_date"
     )
     teams = t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("team_name"))
-    players = status_history(t).join(t.supplier, F.col("player_id") == F.col("s_suppkey")).select(
+    players = status_history(t).join(t.customer, F.col("player_id") == F.col("c_custkey")).select(
         "player_id",
-        F.col("s_nationkey").alias("team_id"),
+        F.col("c_nationkey").alias("team_id"),
         F.when(F.col("status") == INJURED, F.col("status")).alias("injury_status"),
         "is_current",
     )
@@ -1176,8 +1177,8 @@ base AS (SELECT player_id, match_id,
            CASE WHEN COUNT(xg) OVER w > 0 THEN CAST(SUM(xg) OVER w AS DOUBLE) / COUNT(xg) OVER w END AS b
          FROM pm WINDOW w AS (PARTITION BY player_id ORDER BY match_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)),
 roster AS (SELECT DISTINCT l_suppkey AS player_id, l_orderkey AS match_id FROM lineitem),
-injury AS (SELECT r.player_id, r.match_id, s.s_nationkey AS team_id
-           FROM roster r JOIN inj i ON r.player_id = i.player_id JOIN supplier s ON s.s_suppkey = r.player_id),
+injury AS (SELECT r.player_id, r.match_id, c.c_nationkey AS team_id
+           FROM roster r JOIN inj i ON r.player_id = i.player_id JOIN customer c ON c.c_custkey = r.player_id),
 deficit AS (
   SELECT i.match_id, i.team_id, COUNT(i.player_id) AS active_injured_count,
          ROUND(SUM(b.b), 9) AS total_squad_xg_drag,
@@ -1491,12 +1492,12 @@ SELECT md5(name) AS team_id, name AS team_name,
        CASE WHEN name IN (SELECT name FROM feed) THEN '2024-02-01' ELSE '2024-01-01' END AS updated_on
 FROM (SELECT name FROM stored UNION SELECT name FROM feed)""",
     "star_health": "WITH " + _TIMELINE + """,
-ci AS (SELECT s.s_nationkey AS team_id, COUNT(tl.player_id) AS active_injuries
-       FROM tl JOIN supplier s ON tl.player_id = s.s_suppkey
-       WHERE tl.is_current AND tl.status = 'error' GROUP BY s.s_nationkey),
-f AS (SELECT s.s_nationkey AS team_id, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS snapshot_date,
+ci AS (SELECT c.c_nationkey AS team_id, COUNT(tl.player_id) AS active_injuries
+       FROM tl JOIN customer c ON tl.player_id = c.c_custkey
+       WHERE tl.is_current AND tl.status = 'error' GROUP BY c.c_nationkey),
+f AS (SELECT c.c_nationkey AS team_id, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS snapshot_date,
              CAST(l.l_discount AS DECIMAL(18,2)) AS xg, CAST(l.l_quantity AS INTEGER) AS goals
-      FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey)
+      FROM lineitem l JOIN customer c ON l.l_suppkey = c.c_custkey)
 SELECT n.n_name AS team_name, f.snapshot_date, CAST(SUM(f.xg) AS DOUBLE) AS total_xg,
        CAST(SUM(f.goals) AS BIGINT) AS total_goals, COALESCE(ci.active_injuries, 0) AS injured_player_count,
        CAST(ROUND(CAST(SUM(f.goals) AS DECIMAL(38,2)) - SUM(f.xg), 2) AS DOUBLE) AS finishing_efficiency
