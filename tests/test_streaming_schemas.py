@@ -84,3 +84,26 @@ def test_contract_against_registry(spark):
     bad = good.withColumn("player_id", good["player_id"].cast("string"))
     with pytest.raises(ContractViolationError, match="player_id"):
         check_contract(bad, spec.schema, spec.not_null)
+
+
+def test_stream_takes_days_in_any_order(spark, scratch):
+    """A day that changed nothing when it came still holds when an earlier day arrives after it."""
+    import datetime as dt
+
+    d = dt.date
+    schema = "player_id INT, status STRING, ts TIMESTAMP, event_id INT"
+    src, hist, ckpt = (os.path.join(scratch, name) for name in ("landing", "history", "ckpt"))
+    kw = dict(keys=["player_id"], tracked=["status"], ts_col="ts", tiebreak=["event_id"], watermark="30 days")
+    days = [[(1, "A"), (5, "A"), (9, "C")], [(3, "B")], [(7, "C"), (2, "A")]]
+    for part, events in enumerate(days):
+        df = spark.createDataFrame([(1, s, dt.datetime(2024, 1, day, 10), 10 * part + day) for day, s in events], schema)
+        df.write.parquet(os.path.join(src, f"p{part}"))
+        start_scd2_stream(spark, os.path.join(src, "*"), df.schema, hist, ckpt, **kw).awaitTermination()
+    got = rows(read_latest(spark, hist), "status", "valid_from", "valid_to", "is_current")
+    assert sorted(got, key=lambda r: r[1]) == [
+        ("A", d(2024, 1, 1), d(2024, 1, 3), False),
+        ("B", d(2024, 1, 3), d(2024, 1, 5), False),
+        ("A", d(2024, 1, 5), d(2024, 1, 7), False),
+        ("C", d(2024, 1, 7), d(9999, 12, 31), True),
+    ]
+    assert rows(read_latest(spark, f"{hist}_witnesses"), "effective_date") == [(d(2024, 1, 2),), (d(2024, 1, 9),)]

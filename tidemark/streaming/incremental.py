@@ -7,11 +7,12 @@ An append-only event log (files landing in a folder) drives the history:
    key and day (``max_by`` over ``(ts, tiebreak)``) in the state store, so a
    late event inside the watermark still corrects its day;
 3. ``foreachBatch`` applies the updated (key, day) rows to the current
-   history with :func:`scd2_apply` and publishes the result as the next
-   immutable version.
+   history and its witnesses with :func:`scd2_apply_late` and publishes both as
+   the next immutable versions, so days may arrive in any order.
 
 Replays are safe: re-applying a batch to a history that already contains it
-is a no-op, so an epoch retried after a failure publishes the same state.
+is a no-op, so an epoch retried after a failure, also one that has published
+the history but not yet its witnesses, ends in the same state.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.operators.scd2 import scd2_apply
+from tidemark.functions.exprs import OPEN_END
+from tidemark.operators.scd2 import scd2_apply_late
 from tidemark.session import cut_lineage
 from tidemark.sources.io import publish_version, read_latest
 
@@ -64,14 +66,13 @@ def start_scd2_stream(
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what exists and stops.
 
-    Limits: events later than ``watermark`` are dropped by the stream, and a
-    day whose state repeats the running one leaves no trace in the history,
-    so an event arriving afterwards for an earlier day holds until the next
-    recorded change. Rebuild such keys from the event log
-    (:func:`tidemark.operators.scd2.scd2_rebuild`) when late events matter.
+    The witnesses, days that repeated the running state, lie beside the history
+    under ``<history_base>_witnesses``. Limit: events later than ``watermark``
+    are dropped by the stream. Dates are DATE columns.
     """
     raw = spark.readStream.format(source_format).schema(source_schema).load(source_path)
     per_day = daily_states(raw, keys, ts_col, tracked, tiebreak, watermark)
+    witness_base = f"{history_base.rstrip('/')}_witnesses"
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         # The micro-batch is read several times below: written once to the shared
@@ -79,13 +80,12 @@ def start_scd2_stream(
         states = cut_lineage(batch)
         if states.isEmpty():
             return
-        current = read_latest(spark, history_base)
-        if current is not None and "is_current" in current.columns:
+        current, seen = read_latest(spark, history_base), read_latest(spark, witness_base)
+        if current is not None:
             current = current.drop("is_current")
-        new_state = scd2_apply(
-            current, states, list(keys), list(tracked), current_col="is_current", check_batch=False
-        )
-        publish_version(new_state, history_base)
+        history, witnesses = scd2_apply_late(current, seen, states, list(keys), list(tracked))
+        publish_version(history.withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END)), history_base)
+        publish_version(witnesses, witness_base)
 
     writer = (
         per_day.writeStream.outputMode("update")
