@@ -366,7 +366,7 @@ def test_registered_queries_and_oracles(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names if n != "pipeline") == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in names if n != "pipeline") == sorted(f"op{i}" for i in range(1, 14))
     assert "pipeline" in names and set(ORACLE_SQL) <= set(QUERIES)
     from tests.oracle_compare import compare
 
