@@ -120,11 +120,18 @@ def test_prefix_scan_reads_and_shuffles_its_source_once(spark):
         with contextlib.redirect_stdout(text):
             out.explain()
         plan = text.getvalue()
-        assert plan.count("FileScan") == 1
+        assert plan.count("FileScan") == 1 and path in plan
         assert plan.count("Exchange hashpartitioning") == 1
         assert plan.count("Exchange") <= 3
 
 
+def test_prefix_scan_stores_a_computed_source(spark):
+    df = _random_frame(spark, 6).groupBy("k", "t").agg(F.min("id").alias("id"), F.max("v").alias("v"))
+    out = rolling_avg(df, "k", ["t", "id"], "v", -5, -1, "r", scale=2, range_rows=50)
+    assert "tidemark-" in "".join(out.inputFiles())
+    assert rows(out) == rows(rolling_avg(df, "k", ["t", "id"], "v", -5, -1, "r", scale=2))
+
+
 def test_prefix_scan_of_odd_keys(spark):
     import datetime
     import decimal

@@ -15,7 +15,8 @@ scan once a table has more than ``range_rows`` rows:
 
 Bounds and carries are counted in ranges, not rows: a few per ``range_rows``
 rows. They are collected, and travel as one small broadcast table, so the
-query itself reads its source once and shuffles it once.
+query itself reads its source once and shuffles it once. A source that has to
+be computed (joins, aggregates, windows) is stored before it is sampled.
 
 Up to ``range_rows`` rows the plain window runs. Both paths give the same
 answer, NULL keys, NULL order values and NULL values included. Frames are
@@ -25,6 +26,7 @@ which is what the baseline and form metrics use.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -32,6 +34,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DecimalType, FractionalType, IntegerType, StructField, StructType
 
+from tidemark.session import cut_lineage
+
 # Rows of a range; a table of no more rows is not split at all.
 RANGE_ROWS = 5_000_000
 # Sampled rows per range: the bounds lie within some tenths of a range of the true quantiles.
@@ -49,14 +53,27 @@ class Ranges:
     bounds: list[tuple]
 
 
+def _fits(df: DataFrame, range_rows: int) -> bool:
+    """Whether the plain window will do; looks at ``range_rows + 1`` rows at most."""
+    return df.select(F.lit(1)).limit(range_rows + 1).count() <= range_rows
+
+
+def _table(df: DataFrame) -> DataFrame:
+    """``df`` to be read several times: stored first if it has to be computed, a mere scan as it is."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return cut_lineage(df) if re.search(r"\b(Aggregate|Join|Window|Generate|Distinct|Expand)\b", plan) else df
+
+
 def ranges_of(df: DataFrame, key: str, order: Sequence[str], range_rows: int) -> Ranges | None:
     """The keys to split and where, or ``None`` when the plain window will do.
 
-    Counts at most ``range_rows + 1`` rows of a small table; of a larger one it
-    samples the key and order columns. What is collected is one row per bound.
+    A larger table is counted, and its key and order columns are sampled. What
+    is collected is one row per bound.
     """
-    if df.select(F.lit(1)).limit(range_rows + 1).count() <= range_rows:
-        return None
+    return None if _fits(df, range_rows) else _ranges(df, key, order, range_rows)
+
+
+def _ranges(df: DataFrame, key: str, order: Sequence[str], range_rows: int) -> Ranges:
     total = df.count()
     wanted = -(-total // range_rows)
     spec = df.select(key, *order).schema
@@ -125,9 +142,10 @@ def rolling_avg(
     """
     if not (lo < 0 and hi <= 0 and lo <= hi):
         raise ValueError("look-back frames only: lo < 0, lo <= hi <= 0")
-    ranges = ranges_of(df, key, order, range_rows)
-    if ranges is None:
+    if _fits(df, range_rows):
         return _plain_rolling(df, key, order, value, lo, hi, out, scale)
+    df = _table(df)
+    ranges = _ranges(df, key, order, range_rows)
     return _scanned_rolling(df, ranges, key, order, value, lo, hi, out, scale)
 
 
@@ -213,13 +231,14 @@ def running_sum(
     table that has to be split needs an integer or decimal ``value``: floating
     sums depend on their order, and the answer must not depend on the split.
     """
-    ranges = ranges_of(df, key, order, range_rows)
-    if ranges is None:
+    if _fits(df, range_rows):
         run = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(run))
     if isinstance(df.schema[value].dataType, FractionalType) and not isinstance(df.schema[value].dataType, DecimalType):
         raise ValueError(f"a split running sum needs an integer or decimal value, not {df.schema[value].dataType}")
     cols = df.columns
+    df = _table(df)
+    ranges = _ranges(df, key, order, range_rows)
     kind = df.select(F.sum(value)).schema[0].dataType
     x = _dealt(_split_rows(df.select(key, *order, value), ranges, key), ranges, order)
     totals = {(r["_s"], r["_b"]): r["_tot"] for r in x.groupBy("_s", "_b").agg(F.sum(value).alias("_tot")).collect()}
