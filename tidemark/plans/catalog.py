@@ -512,14 +512,15 @@ def q_historical_impact(spark, d):
 
 
 def q_active_matches(spark, d):
-    """The orders of one date that are finished, as the day's matches."""
+    """The finished orders of the last date that has any, as the day's matches."""
     t = Tables(spark, d)
     feed = t.orders.select(
         F.col("o_orderkey").alias("id"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
         (F.col("o_orderstatus") == "F").alias("isResult"),
     )
-    return active_matches(feed, t.orders.select(F.max(F.to_date("o_orderdate"))).scalar())
+    last = t.orders.filter("o_orderstatus = 'F'").select(F.max(F.to_date("o_orderdate")))
+    return active_matches(feed, last.scalar())
 
 
 def q_running_sum_split(spark, d):
@@ -659,8 +660,9 @@ def q_extract_grid(spark, d):
 
 
 def q_set_diff(spark, d):
+    """O3: customers without a pending order."""
     t = Tables(spark, d)
-    ordering = t.orders.select(F.col("o_custkey").alias("custkey"))
+    ordering = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("custkey"))
     return set_difference(t.customer.select(F.col("c_custkey").alias("custkey")), ordering)
 
 
@@ -1434,7 +1436,8 @@ FROM events e JOIN tl ON e.user_id = tl.player_id
  AND CAST(e.ts AS DATE) >= tl.valid_from AND (CAST(e.ts AS DATE) < tl.valid_to OR tl.is_current)""",
     "active_matches": """
 SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "datetime", o_orderstatus = 'F' AS "isResult"
-FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) AND o_orderstatus = 'F'""",
+FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderstatus = 'F')
+  AND o_orderstatus = 'F'""",
     "running_sum_split": """
 SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price, l_quantity,
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) OVER (
@@ -1608,7 +1611,7 @@ FROM lineitem""",
     "extract_grid": _PAGE_LINKS.replace("{clean_section}", _html_text_sql("section")).replace(
         "{clean_link}", _html_text_sql("regexp_extract(row, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2)")
     ),
-    "set_diff": "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey AS custkey FROM orders",
+    "set_diff": "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'P'",
     "union_missing": """
 SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_acctbal AS balance FROM customer
 UNION ALL BY NAME
