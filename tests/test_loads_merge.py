@@ -98,3 +98,18 @@ def test_merge_source_must_be_unique(spark):
         upsert(tgt, src, ["k"])
     with pytest.raises(IntraBatchDuplicateError):
         merge_update(tgt, src, ["k"], ["v"])
+
+
+def test_set_diff_reads_orders_of_every_status(spark, scratch):
+    import duckdb
+
+    from tidemark.plans.catalog import ORACLE_SQL, QUERIES
+
+    spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 4)], "c_custkey LONG").write.parquet(f"{scratch}/customer.parquet")
+    orders = [(10, 1, "P"), (11, 2, "F"), (12, 3, "O"), (13, 9, "P")]
+    spark.createDataFrame(orders, "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING").write.parquet(f"{scratch}/orders.parquet")
+    assert rows(QUERIES["set_diff"](spark, scratch)) == [(4,)]
+    con = duckdb.connect()
+    for name in ("customer", "orders"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{scratch}/{name}.parquet/*.parquet')")
+    assert con.execute(ORACLE_SQL["set_diff"]).fetchall() == [(4,)]
