@@ -75,12 +75,15 @@ def clean_injury_text(c: Column | str, label: str) -> Column:
     (``: '`` -> ``: ``, ``.'`` -> ``.``, ``?'`` -> ``?``) and strips outer
     quotes.
     """
-    text = F.regexp_replace(F.coalesce(_col(c), F.lit("")), "(?s)^(.*?)\\Q" + label + "\\E", "$1")
+    raw = F.coalesce(_col(c), F.lit(""))
+    # A pattern is tried on those texts only that can hold it.
+    at = F.instr(raw, F.lit(label))
+    text = F.when(at > 0, F.concat(F.left(raw, at - 1), F.substring(raw, at + len(label), F.length(raw)))).otherwise(raw)
     text = clean_whitespace(text)
-    text = F.trim(F.regexp_replace(text, "(?i)See Player Page", ""))
-    text = F.replace(text, F.lit(": '"), F.lit(": "))
-    text = F.replace(text, F.lit(".'"), F.lit("."))
-    text = F.replace(text, F.lit("?'"), F.lit("?"))
+    link = F.contains(F.lower(text), F.lit("see player page"))
+    text = F.when(link, F.trim(F.regexp_replace(text, "(?i)See Player Page", ""))).otherwise(text)
+    for quoted, plain in ((": '", ": "), (".'", "."), ("?'", "?")):
+        text = F.replace(text, F.lit(quoted), F.lit(plain))
     # strip("'") then strip('"'), then whitespace
     text = F.regexp_replace(text, "^'+|'+$", "")
     text = F.regexp_replace(text, '^"+|"+$', "")

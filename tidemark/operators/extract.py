@@ -15,6 +15,7 @@ when they are clean (``operators.audit``); otherwise the typed error is raised.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -517,12 +518,13 @@ _GRID_ROW = pa.struct(
 
 
 def _read_grids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [f.name for f in _GRID_ROW]
     for batch in batches:
         grids = [GridReader().read(page or "") for page in batch.column(1).to_pylist()]
-        rows = [[dict(zip(names, row)) for row in g.rows] for g in grids]
-        found = pa.array([g.found for g in grids], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0), found, pa.array(rows, pa.list_(_GRID_ROW))], ["key", "found", "rows"])
+        ends = [0, *accumulate(len(g.rows) for g in grids)]
+        columns = zip(*(row for g in grids for row in g.rows)) if ends[-1] else [()] * len(_GRID_ROW)
+        rows = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _GRID_ROW)], fields=list(_GRID_ROW))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g.found for g in grids], pa.bool_()), lists], ["key", "found", "rows"])
 
 
 def _grids(pages: DataFrame, key: str, html: str) -> DataFrame:
