@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -313,3 +314,49 @@ def test_active_matches_with_a_broken_time(spark):
 
     dates = spark.createDataFrame([("1", "2024-01-05 15:00:00", True), ("2", "soon", True)], "id STRING, datetime STRING, isResult BOOLEAN")
     assert rows(active_matches(dates, dt.date(2024, 1, 5)), "id") == [("1",)]
+
+
+def test_grid_cells_take_the_short_way_and_read_alike(monkeypatch):
+    from tidemark.functions import markup
+
+    bits = ["<td>", "</td>", "<TD class=x>", '<div class="mob-title">', "<div class='injury-team'>", "</div>", '<tr class="player-row">',
+            "<tr class=heading>", "</tr>", "<table>", "</table>", '<a class="track" data-id="7">', "</a>", "&amp;", "x", "<!-- <td> -->",
+            "<script>'<td>'</script>", '<b title="a>b">', "< 5", '<td a"b>', "<td a= 'q>", "<th>", "<br/>", '<div class="injury-team mob-title">']
+    rng = random.Random(3)
+    made = ['<p><table class="injury-table"><tr class=player-row>' + "".join(rng.choices(bits, k=40)) for _ in range(2000)]
+
+    def read(page):
+        grid = markup.GridReader().read(page)
+        return grid.found, grid.rows
+
+    short = [read(page) for page in made]
+    searched = []
+
+    class Counted:
+        def search(self, page, at):
+            searched.append(at)
+            return tag.search(page, at)
+
+    tag = markup._TAG
+    monkeypatch.setattr(markup, "_TAG", Counted())
+    read(_grid('<tr class="player-row">' + '<td><div class="mob-title">Status</div> Out </td>' * 200 + "</tr>"))
+    assert len(searched) < 10
+    monkeypatch.setattr(markup, "_TAG", tag)
+    monkeypatch.setattr(markup.GridReader, "_cells", lambda self, page, at: at)
+    assert short == [read(page) for page in made]
+
+
+def test_ids_are_not_gathered_again_for_every_entry(spark, monkeypatch):
+    from tidemark.operators import extract
+
+    plans = []
+
+    def look(parsed, counters, rows, audit):
+        plans.append(parsed.agg(*counters.values())._jdf.queryExecution().optimizedPlan().toString())
+        return parsed
+
+    monkeypatch.setattr(extract, "write_audited", look)
+    payloads = spark.createDataFrame([(1, "{}")], "payload_id INT, body STRING")
+    extract.extract_shots(payloads)
+    extract.extract_rosters(payloads)
+    assert all("array_position(" in p and "array_position(transform" not in p for p in plans)

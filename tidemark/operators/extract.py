@@ -115,6 +115,15 @@ def _other_than(kind: str, *parts: Column | str) -> Column:
     return out
 
 
+def _no(kind: str, *parts: str) -> Column:
+    """Like :func:`_other_than` for OBJECT or ARRAY, without the schema of all that a part holds."""
+    whole = {"OBJECT": "map<string, variant>", "ARRAY": "array<variant>"}[kind]
+    out = F.lit(False)
+    for part in parts:
+        out = out | (F.col(part).isNotNull() & F.try_variant_get(part, "$", whole).isNull())
+    return out
+
+
 def _entry_schema(entries: str) -> Column:
     """Aggregate: the merged schema of all entries, as text."""
     return F.schema_of_variant_agg(entries)
@@ -169,7 +178,8 @@ def _bad_numbers(entry: Column, numbers: Sequence[tuple[str, str]]) -> Column:
 
 def _first_repeated(ids: str) -> Column:
     """The first of an array's values that stands there before already; NULL when none does."""
-    return F.get(F.filter(ids, lambda x, i: x.isNotNull() & (F.array_position(ids, x) <= i)), 0)
+    found = F.get(F.filter(ids, lambda x, i: x.isNotNull() & (F.array_position(ids, x) <= i)), 0)
+    return F.when(F.size(F.array_distinct(ids)) < F.size(ids), found)
 
 
 def extract_league_players(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
@@ -221,7 +231,7 @@ def _sides(
     parsed = _read_json(payloads, body, key).select(key, "_v", "_broken", _part("_v", f"$.{root}").alias("_root"))
     parsed = parsed.select("*", *[_part("_root", f"$.{s}").alias(f"_{s}") for s in SIDES])
     sides = [f"_{s}" for s in SIDES]
-    drift = _other_than("OBJECT", "_v", "_root") | _other_than("OBJECT" if as_map else "ARRAY", *sides)
+    drift = _no("OBJECT", "_v", "_root") | _no("OBJECT" if as_map else "ARRAY", *sides)
     entry = _struct_of(fields)
     kind = f"map<string, {entry}>" if as_map else f"array<{entry}>"
     parsed = parsed.select(
@@ -250,7 +260,9 @@ def _sides(
         "_drift",
         F.concat(*[side(c) for c in sides]).alias("_all"),
         F.to_variant_object(F.concat(*[raw(c) for c in sides])).alias("_list"),
-    ).withColumn("_dup", _first_repeated_id("_all"))
+    )
+    # The ids are a column of their own: an expression would be computed again for every id it is held against.
+    parsed = parsed.select("*", F.transform("_all", lambda x: x["id"]).alias("_ids")).withColumn("_dup", _first_repeated("_ids"))
     counters = {
         "broken": F.count_if("_broken"),
         "drift": F.count_if("_drift"),
@@ -262,11 +274,6 @@ def _sides(
     return parsed, counters
 
 
-def _first_repeated_id(entries: str) -> Column:
-    ids = F.transform(entries, lambda x: x["id"])
-    return F.get(F.filter(ids, lambda x, i: x.isNotNull() & (F.array_position(ids, x) <= i)), 0)
-
-
 def extract_rosters(payloads: DataFrame, body: str = "body", key: str = "payload_id") -> DataFrame:
     """Both sides' roster maps, home first.
 
