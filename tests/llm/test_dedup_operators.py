@@ -250,3 +250,19 @@ def test_pipeline_stages_hand_on_the_columns_of_documents(spark):
         if name == "near_dedup":
             assert left == {i for i, _, _, kept in plain_near(before, 5) if kept}
     assert corpus_pipeline.run(spark, sf).count() >= len(left)
+
+
+def test_a_node_is_joined_once_for_all_its_buckets(spark):
+    from tidemark.llm.minhash import _each
+
+    buckets = spark.range(400).select((F.col("id") % 10).alias("node"), (F.col("id") % 40).alias("bucket"))
+    facts = spark.createDataFrame([(n, f"s{n}") for n in range(10)], "node long, sketch string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = _each(buckets, ["bucket"], facts)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate explode") < plan.index("Join Inner") < plan.index("collect_set")
+        assert {tuple(r) for r in out.select("bucket", "node", "sketch").collect()} == {(b, b % 10, f"s{b % 10}") for b in range(40)}
+        assert out.count() == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -305,6 +305,16 @@ def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
 UNIT = ["bucket", "i", "j"]
 
 
+def _each(rows: DataFrame, columns: list[str], facts: DataFrame) -> DataFrame:
+    """``rows`` (node and ``columns``), distinct, with the node's facts.
+
+    A node stands in as many rows as it has shared buckets, or units of them;
+    it is joined once, with these in a list, and dealt out afterwards.
+    """
+    held = rows.groupBy("node").agg(F.collect_set(F.struct(*columns)).alias("__rows")).join(facts, "node")
+    return held.select(*facts.columns, F.explode("__rows").alias("__row")).select("__row.*", *facts.columns)
+
+
 def _candidates(unit: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The likely pairs (u, v) across components between the unit's two blocks, or within its one."""
     left, right = unit[unit["own"] == unit["i"]], unit[unit["own"] == unit["j"]]
@@ -345,7 +355,7 @@ def _units(members: DataFrame, nodes: DataFrame) -> DataFrame:
     their sets are large; each pair of blocks is one unit of work, so a large
     bucket is shared by many tasks.
     """
-    facts = members.join(nodes.select("node", "n_shingles", "sketch"), "node")
+    facts = _each(members, ["bucket", "n", "component"], nodes.select("node", "n_shingles", "sketch"))
     weight = stage(facts.groupBy("bucket").agg(F.sum("n_shingles").alias("weight")), "bucket-weights")
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.least(F.col("weight") / BLOCK_SHINGLES, F.col("n")))).cast("int")
     dealt = (
@@ -424,7 +434,7 @@ def _block_links(verifier: _Verifier, members: DataFrame, nodes: DataFrame) -> D
     units = stage(_units(members, nodes), "units")
     named = units.select(*[F.col(k).alias(f"of_{k}") for k in UNIT], F.explode(F.array_distinct(F.concat("u", "v"))).alias("node"))
     verifier._add_sets(named.select(F.col("node").alias("u"), F.col("node").alias("v")))
-    held = named.join(verifier.sets, "node")
+    held = _each(named, [f"of_{k}" for k in UNIT], verifier.sets)
 
     def confirm(key: tuple, unit: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         sets: dict[int, list[np.ndarray]] = {}
