@@ -371,3 +371,18 @@ def test_registered_queries_and_oracles(spark):
     from tests.oracle_compare import compare
 
     assert all(ok for ok, _ in compare(spark, SF, sorted(ORACLE_SQL), verbose=False).values())
+
+
+def test_toxic_rows_are_dropped_in_small_batches(spark, monkeypatch):
+    seen = []
+
+    def look(df, name, batch_rows=None):
+        seen.append((name, batch_rows))
+        return df
+
+    monkeypatch.setattr(toxicity, "stage", look)
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    toxicity.drop_toxic(docs, labels)
+    assert seen == [("not-toxic", 1000)]
+    assert toxicity.CACHE_CHUNKS <= 100_000

@@ -26,6 +26,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.staging import TEXT_BATCH_ROWS, stage
+
 #: Places of the hashed terms, and factors of a pair's weight.
 PLACES = 1 << 22
 FACTORS = 4
@@ -46,7 +48,8 @@ POSITIVE_WEIGHT = 3.0
 PENALTY_LINEAR = 1e-4
 PENALTY_FACTORS = 1e-3
 SEED = 11
-CACHE_CHUNKS = 400_000
+#: Chunks a worker remembers the places of, some 400 bytes each.
+CACHE_CHUNKS = 100_000
 
 _TERM = regex.compile(r"[\p{L}\p{N}]+")
 
@@ -228,7 +231,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, all columns unchanged."""
+    """The rows of ``docs`` that score below 0.5, all columns unchanged.
+
+    They are stored in batches of ``TEXT_BATCH_ROWS``, so that a worker and
+    its executor hold little text at a time.
+    """
     machine = train(docs, labels)
     scored = score(docs.select(F.struct(*docs.columns).alias("__row"), F.col("text").alias("__text")), machine, "__text")
-    return scored.filter("score < 0.5").select("__row.*")
+    return stage(scored.filter("score < 0.5").select("__row.*"), "not-toxic", TEXT_BATCH_ROWS)
