@@ -1,10 +1,13 @@
 """Whitening, Merkle manifest and repeated passages against plain versions."""
 
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import collected
@@ -230,6 +233,50 @@ def test_cut_with_very_common_keys_and_long_documents(spark, monkeypatch):
     check_cut(docs, chunk_bytes=3000)
 
 
+def _shuffle_bytes():
+    files = SparkContext._active_spark_context._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f: os.path.getsize(f) for f in files if os.path.basename(f).startswith("shuffle_") and os.path.exists(f)}
+
+
+def test_staged_rounds_leave_no_shuffle_files(spark):
+    docs = _mixed_docs(spark, 5)
+    before, settings = _shuffle_bytes(), dict(spark.sparkContext.getConf().getAll())
+    cut = suffix_repeats.remove_repeats(docs, chunk_bytes=3000)
+    packing = 60_000  # the table's own repartition and the sum over the chunks
+    for _ in range(40):
+        left = sum(size for f, size in _shuffle_bytes().items() if f not in before)
+        if left < packing:
+            break
+        time.sleep(0.25)
+    assert left < packing
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == settings.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    assert cut.count() == docs.count()
+
+
+def test_key_sheets_and_context_payloads_are_small():
+    rng = np.random.default_rng(1)
+    n, width = 3000, 63
+    keys, least = rng.integers(0, 2**64, n, dtype=np.uint64), np.sort(rng.integers(10**9, 10**9 + 500, n))
+    largest, windows = least + (rng.random(n) < 0.1), np.full(n, width - 49)
+    text = rng.integers(0, 256, n * width, dtype=np.uint8)
+    assert len(suffix_repeats._key_sheet(keys, np.ones(n, np.int64))) == 5 * n
+    payload = suffix_repeats._context_payload(keys, least, largest, windows, text.tobytes())
+    assert len(payload) < (width + 4) * n
+    for want, got in zip((keys.astype(np.uint16), least, largest, windows, text), suffix_repeats._read_contexts(payload)):
+        assert (want == got).all()
+
+
+def test_context_payloads_and_spans_come_back_with_extreme_numbers():
+    ends = np.array([-(2**63), 2**63 - 1, 0, -1, 2**63 - 1, -(2**63)], np.int64)
+    n = len(ends)
+    payload = suffix_repeats._context_payload(np.arange(n, dtype=np.uint64), ends, ends[::-1], np.arange(1, n + 1), b"text" * n)
+    _, least, largest, windows, text = suffix_repeats._read_contexts(payload)
+    assert (least == ends).all() and (largest == ends[::-1]).all() and (windows == np.arange(1, n + 1)).all() and text.tobytes() == b"text" * n
+    spans = np.zeros(n, suffix_repeats._SPAN)
+    spans["context"], spans["at"], spans["length"], spans["below"], spans["group"] = [0, 0, 7, 9, 2**31 - 1, 2**31 - 1], [3, 31, 0, 5, 1, 2], 81, [1, 0, 1, 0, 1, 0], ends
+    assert (suffix_repeats._read_spans(suffix_repeats._span_payload(spans)) == spans).all()
+
+
 def test_repeat_groups_are_maximal_and_list_every_occurrence(spark):
     passage = "the same passage of more than fifty bytes stands here"
     rows = [(1, f"alpha {passage} one"), (2, f"betas {passage} two"), (3, f"{passage}"), (4, "something else that nobody shares with anybody at all, here")]

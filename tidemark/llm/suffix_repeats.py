@@ -55,6 +55,8 @@ HOT_CONTEXTS = 20_000
 #: Suffixes sorted together, but for those of one key; and compared at once.
 SLICE_SUFFIXES = 100_000
 COMPARED = 20_000
+#: Levels of zstd: chunks travel twice and lie on disk, so theirs may cost more.
+CHUNK_LEVEL, PAYLOAD_LEVEL = 5, 1
 #: Null ids come last: no document is smaller because of one.
 LAST_ID = np.iinfo(np.int64).max
 
@@ -180,7 +182,7 @@ def _runs(texts: list[bytes], min_len: int, gram: int) -> Iterator[Runs]:
 
 
 def _pack(ids: list[int], nulls: list[bool], texts: list[bytes], name: str) -> pd.DataFrame:
-    blob = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+    blob = zstandard.ZstdCompressor(level=CHUNK_LEVEL).compress(b"".join(texts))
     lens = np.array([len(t) for t in texts], np.int64)
     return pd.DataFrame(
         {"chunk": [name], "ids": [np.array(ids, np.int64).tobytes()], "nulls": [np.array(nulls, bool).tobytes()], "lens": [lens.tobytes()], "blob": [blob]}
@@ -231,8 +233,11 @@ ANSWER = "chunk string, kind int, bucket int, payload binary"
 
 
 def _by_bucket(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, places of its hashes); places keep their order."""
-    home = (hashes % _U(buckets)).astype(np.int64)
+    """(bucket, places of its hashes); places keep their order.
+
+    The upper half of a hash names the bucket, so that the lower half is left to tell hashes of a bucket apart.
+    """
+    home = ((hashes >> _U(32)) % _U(buckets)).astype(np.int64)
     order = np.argsort(home, kind="stable")
     cuts = np.flatnonzero(np.diff(home[order])) + 1
     for group in np.split(order, cuts):
@@ -273,6 +278,12 @@ def _copy_sheet(texts: list[bytes], ids: np.ndarray, min_len: int) -> tuple[np.n
     return rows, cls, least, there
 
 
+def _key_sheet(keys: np.ndarray, count: np.ndarray) -> bytes:
+    """Lower halves of a bucket's keys, and their runs. A bucket has some hundred thousand keys whatever the
+    corpus, so few halves agree by chance; such a key is taken for a shared one, and its contexts are compared."""
+    return keys.astype(np.uint32).tobytes() + np.minimum(count, 255).astype(np.uint8).tobytes()
+
+
 def _key_sheets(chunks: DataFrame, buckets: int, min_len: int, gram: int) -> DataFrame:
     def sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -282,9 +293,7 @@ def _key_sheets(chunks: DataFrame, buckets: int, min_len: int, gram: int) -> Dat
                 rows, _, least, _ = _copy_sheet(texts, ids, min_len)
                 out = []
                 for b, at in _by_bucket(keys, buckets):
-                    low = keys[at]
-                    parts = (low.astype(np.uint32), (low >> _U(32)).astype(np.uint16), np.minimum(count[at], 255).astype(np.uint8))
-                    out.append((b, _KEYS, row.chunk, b"".join(p.tobytes() for p in parts)))
+                    out.append((b, _KEYS, row.chunk, _key_sheet(keys[at], count[at])))
                 for b, at in _by_bucket(rows[:, 0], buckets):
                     out.append((b, _COPIES, row.chunk, rows[at].tobytes() + least[at].tobytes()))
                 yield pd.DataFrame(out, columns=["bucket", "kind", "chunk", "payload"])
@@ -294,11 +303,9 @@ def _key_sheets(chunks: DataFrame, buckets: int, min_len: int, gram: int) -> Dat
 
 def _answer_keys(payloads: list[bytes], hot: int) -> list[np.ndarray]:
     """Per sheet and key: 0 alone in one run, 1 shared, 2 shared by more than ``hot`` runs."""
-    sizes = [len(p) // 7 for p in payloads]
-    low = np.concatenate([np.frombuffer(p, np.uint32, n) for p, n in zip(payloads, sizes)]).astype(_U)
-    high = np.concatenate([np.frombuffer(p, np.uint16, n, 4 * n) for p, n in zip(payloads, sizes)]).astype(_U)
-    count = np.concatenate([np.frombuffer(p, np.uint8, n, 6 * n) for p, n in zip(payloads, sizes)]).astype(np.int64)
-    key = low | (high << _U(32))
+    sizes = [len(p) // 5 for p in payloads]
+    key = np.concatenate([np.frombuffer(p, np.uint32, n) for p, n in zip(payloads, sizes)])
+    count = np.concatenate([np.frombuffer(p, np.uint8, n, 4 * n) for p, n in zip(payloads, sizes)]).astype(np.int64)
     order = np.argsort(key)
     first = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
     total = np.add.reduceat(count[order], first)
@@ -318,7 +325,7 @@ def _answer_least(payloads: list[bytes]) -> list[np.ndarray]:
 
 def _packed(sheet: pd.DataFrame, answers: list[np.ndarray]) -> pd.DataFrame:
     out = sheet[["chunk", "kind", "bucket"]].copy()
-    out["payload"] = [zstandard.ZstdCompressor(level=1).compress(a.tobytes()) for a in answers]
+    out["payload"] = [zstandard.ZstdCompressor(level=PAYLOAD_LEVEL).compress(a.tobytes()) for a in answers]
     return out
 
 
@@ -347,7 +354,7 @@ def _collected(answers: pd.DataFrame, kind: int, hashes: np.ndarray, buckets: in
 
 @dataclass
 class Contexts:
-    """Distinct contexts of a chunk: bytes, key, windows, least and largest id; the runs of each."""
+    """Distinct contexts of a chunk in the order of its text: bytes, key, windows, least and largest id; the runs of each."""
 
     runs: list[Runs]
     key: np.ndarray
@@ -390,18 +397,49 @@ def _contexts(ids: np.ndarray, texts: list[bytes], answers: pd.DataFrame, bucket
     _, run_class, low, high = _grouped(same, who)
     one = np.zeros(len(low), np.int64)
     one[run_class] = np.arange(len(run_class))
+    by_place = np.argsort(one)
+    number = np.empty(len(one), np.int64)
+    number[by_place] = np.arange(len(one))
+    one, low, high, run_class = one[by_place], low[by_place], high[by_place], number[run_class]
     return Contexts(runs, key[one], windows[one], low, high, piece[one], at[one], piece, no, run_class, copy_of, hot)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Differences of neighbours, their lowest bytes first: ids of a chunk mostly lie close together."""
+    return np.diff(numbers, prepend=numbers.dtype.type(0)).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _from_planes(raw: memoryview, dtype, n: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8, n * np.dtype(dtype).itemsize).reshape(-1, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(dtype)[:, 0], dtype=dtype)
+
+
+def _context_payload(key: np.ndarray, least: np.ndarray, largest: np.ndarray, windows: np.ndarray, blob: bytes) -> bytes:
+    """Contexts of a chunk for a bucket: their number, 16 bits of each key, and compressed numbers and texts."""
+    squeeze = zstandard.ZstdCompressor(level=PAYLOAD_LEVEL).compress
+    numbers = squeeze(_planes(least) + _planes(largest - least) + windows.astype(np.uint8).tobytes())
+    head = np.array([len(key), len(numbers)], np.uint32)
+    return head.tobytes() + key.astype(np.uint16).tobytes() + numbers + squeeze(blob)
+
+
+def _read_contexts(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key, least and largest id, windows, and text of a payload."""
+    n, size = np.frombuffer(payload, np.uint32, 2).tolist()
+    rest = 8 + 2 * n
+    raw = memoryview(zstandard.ZstdDecompressor().decompress(payload[rest : rest + size]))
+    least = _from_planes(raw, np.int64, n)
+    largest = least + _from_planes(raw[8 * n :], np.int64, n)
+    text = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[rest + size :]), np.uint8)
+    return np.frombuffer(payload, np.uint16, n, 8), least, largest, np.frombuffer(raw, np.uint8, n, 16 * n).astype(np.int64), text
+
+
 def _context_rows(chunk: str, c: Contexts, buckets: int, min_len: int) -> list[tuple]:
     out = []
     for b, at in _by_bucket(c.key, buckets):
         blob = b"".join(
             c.runs[c.piece[i]].data[c.at[i] : c.at[i] + c.windows[i] + min_len - 1].tobytes() for i in at
         )
-        parts = (c.key[at], c.least[at], c.largest[at], at.astype(np.int32), c.windows[at].astype(np.uint8))
-        raw = len(at).to_bytes(8, "little") + b"".join(p.tobytes() for p in parts) + blob
-        out.append((b, _CONTEXTS, chunk, zstandard.ZstdCompressor(level=1).compress(raw)))
+        out.append((b, _CONTEXTS, chunk, _context_payload(c.key[at], c.least[at], c.largest[at], c.windows[at], blob)))
     return out
 
 
@@ -491,7 +529,24 @@ def repeat_groups(
     )
 
 
-_SPAN = np.dtype([("context", "<i4"), ("group", "<i8"), ("least", "<i8"), ("at", "u1"), ("length", "u1")])
+#: A repeat in a context: the context's place in the payload, whether the group holds a document smaller
+#: than all of the context's (else than all but the least), and the group.
+_SPAN = np.dtype([("context", "<i4"), ("at", "u1"), ("length", "u1"), ("below", "u1"), ("group", "<i8")])
+
+
+def _span_payload(spans: np.ndarray) -> bytes:
+    spans = spans[np.lexsort((spans["at"], spans["context"]))]
+    columns = b"".join(_planes(spans[f].copy()) for f in _SPAN.names)
+    return zstandard.ZstdCompressor(level=PAYLOAD_LEVEL).compress(columns)
+
+
+def _read_spans(payload: bytes) -> np.ndarray:
+    raw = memoryview(zstandard.ZstdDecompressor().decompress(payload))
+    spans, done = np.empty(len(raw) // _SPAN.itemsize, _SPAN), 0
+    for f in _SPAN.names:
+        spans[f] = _from_planes(raw[done:], _SPAN[f], len(spans))
+        done += len(spans) * _SPAN[f].itemsize
+    return spans
 
 
 def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
@@ -500,16 +555,10 @@ def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
             return _packed(sheet, _answer_least(list(sheet["payload"])))
         keys, least, largest, number, windows, owner, texts = [], [], [], [], [], [], []
         for row, payload in enumerate(sheet["payload"]):
-            # The number of contexts, 29 bytes of numbers for each, then their texts.
-            raw = zstandard.ZstdDecompressor().decompressobj().decompress(payload)
-            n, raw = int.from_bytes(raw[:8], "little"), memoryview(raw)[8:]
-            keys.append(np.frombuffer(raw, _U, n))
-            least.append(np.frombuffer(raw, np.int64, n, 8 * n))
-            largest.append(np.frombuffer(raw, np.int64, n, 16 * n))
-            number.append(np.frombuffer(raw, np.int32, n, 24 * n))
-            windows.append(np.frombuffer(raw, np.uint8, n, 28 * n).astype(np.int64))
-            owner.append(np.full(n, row))
-            texts.append(np.frombuffer(raw, np.uint8, offset=29 * n))
+            for to, part in zip((keys, least, largest, windows, texts), _read_contexts(payload)):
+                to.append(part)
+            number.append(np.arange(len(keys[-1])))
+            owner.append(np.full(len(keys[-1]), row))
         key, least, largest, number, windows, owner, text = (np.concatenate(a) for a in (keys, least, largest, number, windows, owner, texts))
         begin = np.cumsum(windows + min_len - 1) - (windows + min_len - 1)
         order = np.argsort(key, kind="stable")
@@ -542,7 +591,8 @@ def _repeats(contexts: DataFrame, min_len: int, every: bool) -> DataFrame:
             tell = np.repeat(low < high, n) if every else largest[held] > np.repeat(low, n)
             spans = np.empty(int(tell.sum()), _SPAN)
             spans["context"], spans["at"], spans["length"] = number[held[tell]], step[member[tell]], np.repeat(r.length, n)[tell]
-            spans["group"], spans["least"] = np.repeat(group + np.arange(len(n)), n)[tell], np.repeat(low, n)[tell]
+            spans["below"] = (np.repeat(low, n) < least[held])[tell]
+            spans["group"] = np.repeat(group + np.arange(len(n)), n)[tell] if every else 0
             found.append((owner[held[tell]], spans))
             group += len(n)
         return _by_owner(sheet, found)
@@ -567,8 +617,7 @@ def _by_owner(sheet: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray]]) -
         bucket = int(sheet["bucket"].iloc[0])
         for group in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
             if len(group):
-                payload = zstandard.ZstdCompressor(level=1).compress(spans[group].tobytes())
-                out.append((sheet["chunk"].iloc[int(owner[group[0]])], _CONTEXTS, bucket, payload))
+                out.append((sheet["chunk"].iloc[int(owner[group[0]])], _CONTEXTS, bucket, _span_payload(spans[group])))
     return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "payload"])
 
 
@@ -620,7 +669,7 @@ def _found(docs, id_col, text_col, min_len, gram, chunk_bytes, hot_contexts, eve
     chunks = pack_chunks(docs, id_col, text_col, chunk_bytes)
     total = chunks.agg(F.sum(F.length("blob"))).first()[0] or 0
     buckets = max(8, int(3 * total // BUCKET_BYTES))  # the blobs are compressed to about a third
-    answers = stage(_answered(_key_sheets(chunks, buckets, min_len, gram), hot_contexts), "repeats-answers", 2)
+    answers = stage(_answered(_key_sheets(chunks, buckets, min_len, gram), hot_contexts), "repeats-answers", 2, once=True)
 
     def contexts(_key, chunk: pd.DataFrame, sheet: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -631,28 +680,31 @@ def _found(docs, id_col, text_col, min_len, gram, chunk_bytes, hot_contexts, eve
         return pd.DataFrame(out, columns=["bucket", "kind", "chunk", "payload"])
 
     sent = _joined(chunks, answers).applyInPandas(contexts, SHEET)
-    repeats = stage(_repeats(sent, min_len, every), "repeats-found")
+    repeats = stage(_repeats(sent, min_len, every), "repeats-found", once=True)
     return _Plan(chunks, answers.unionByName(repeats), buckets)
 
 
 def _occurrences(ids, texts, sheet, buckets, min_len, gram):
-    """A chunk's occurrences: (document, place, length, least id of the group, bucket, group), and its hot windows."""
+    """A chunk's occurrences: (document, place, length, an id that its own exceeds if the group's least does, bucket, group), and its hot windows."""
     c = _contexts(ids, texts, sheet, buckets, min_len, gram)
     by_class = np.argsort(c.run_class, kind="stable")
     first = np.searchsorted(c.run_class[by_class], np.arange(len(c.key) + 1))
+    asked = dict(_by_bucket(c.key, buckets))
     parts = []
     for b, payload in sheet.loc[sheet["kind"] == _CONTEXTS, ["bucket", "payload"]].itertuples(index=False):
-        spans = np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(payload), _SPAN)
-        n = first[spans["context"] + 1] - first[spans["context"]]
+        spans = _read_spans(payload)
+        context = asked[b][spans["context"]]
+        n = first[context + 1] - first[context]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        run = by_class[np.repeat(first[spans["context"]], n) + step]
+        run = by_class[np.repeat(first[context], n) + step]
+        least = np.repeat(np.where(spans["below"] == 1, np.iinfo(np.int64).min, c.least[context]), n)
         spans = np.repeat(spans, n)
         doc, place = np.empty(len(run), np.int64), np.empty(len(run), np.int64)
         for p in np.unique(c.run_piece[run]):
             here = c.run_piece[run] == p
             no = c.run_no[run[here]]
             doc[here], place[here] = c.runs[p].doc[no], c.runs[p].place[no]
-        parts.append((doc, place + spans["at"], spans["length"].astype(np.int64), spans["least"], np.full(len(run), b), spans["group"]))
+        parts.append((doc, place + spans["at"], spans["length"].astype(np.int64), least, np.full(len(run), b), spans["group"]))
     empty = tuple(np.empty(0, np.int64) for _ in range(6))
     found = tuple(np.concatenate(a) for a in zip(*parts)) if parts else empty
     rows, docs, places = _hot_windows(c, ids, min_len)
