@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -325,7 +326,7 @@ def _answer_least(payloads: list[bytes]) -> list[np.ndarray]:
 
 def _packed(sheet: pd.DataFrame, answers: list[np.ndarray]) -> pd.DataFrame:
     out = sheet[["chunk", "kind", "bucket"]].copy()
-    out["payload"] = [zstandard.ZstdCompressor(level=PAYLOAD_LEVEL).compress(a.tobytes()) for a in answers]
+    out["payload"] = [_payload_compressor().compress(a.tobytes()) for a in answers]
     return out
 
 
@@ -404,9 +405,17 @@ def _contexts(ids: np.ndarray, texts: list[bytes], answers: pd.DataFrame, bucket
     return Contexts(runs, key[one], windows[one], low, high, piece[one], at[one], piece, no, run_class, copy_of, hot)
 
 
+@cache
+def _payload_compressor() -> zstandard.ZstdCompressor:
+    """One for all payloads of a worker: most are small."""
+    return zstandard.ZstdCompressor(level=PAYLOAD_LEVEL)
+
+
 def _planes(numbers: np.ndarray) -> bytes:
     """Differences of neighbours, their lowest bytes first: ids of a chunk mostly lie close together."""
-    return np.diff(numbers, prepend=numbers.dtype.type(0)).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    steps = numbers.copy()
+    steps[1:] -= numbers[:-1]
+    return steps.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
 
 
 def _from_planes(raw: memoryview, dtype, n: int) -> np.ndarray:
@@ -416,10 +425,10 @@ def _from_planes(raw: memoryview, dtype, n: int) -> np.ndarray:
 
 def _context_payload(key: np.ndarray, least: np.ndarray, largest: np.ndarray, windows: np.ndarray, blob: bytes) -> bytes:
     """Contexts of a chunk for a bucket: their number, 16 bits of each key, and compressed numbers and texts."""
-    squeeze = zstandard.ZstdCompressor(level=PAYLOAD_LEVEL).compress
+    squeeze = _payload_compressor().compress
     numbers = squeeze(_planes(least) + _planes(largest - least) + windows.astype(np.uint8).tobytes())
-    head = np.array([len(key), len(numbers)], np.uint32)
-    return head.tobytes() + key.astype(np.uint16).tobytes() + numbers + squeeze(blob)
+    head = len(key).to_bytes(4, "little") + len(numbers).to_bytes(4, "little")
+    return head + key.astype(np.uint16).tobytes() + numbers + squeeze(blob)
 
 
 def _read_contexts(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -536,8 +545,8 @@ _SPAN = np.dtype([("context", "<i4"), ("at", "u1"), ("length", "u1"), ("below",
 
 def _span_payload(spans: np.ndarray) -> bytes:
     spans = spans[np.lexsort((spans["at"], spans["context"]))]
-    columns = b"".join(_planes(spans[f].copy()) for f in _SPAN.names)
-    return zstandard.ZstdCompressor(level=PAYLOAD_LEVEL).compress(columns)
+    columns = b"".join(_planes(np.ascontiguousarray(spans[f])) for f in _SPAN.names)
+    return _payload_compressor().compress(columns)
 
 
 def _read_spans(payload: bytes) -> np.ndarray:
