@@ -16,6 +16,10 @@ from tidemark.llm.queries import WORD_BPE
 from tidemark.llm.staging import stage
 from tidemark.sources.tables import table
 
+#: Chunks a worker remembers the ids of in packing, a third of the operator's own number: a worker
+#: goes from stage to stage beside a heap that the stages before have filled, and keeps what it took.
+PACKING_CHUNKS = 300_000
+
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores 0.5 or more go."""
@@ -34,7 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents and their places in sequences of 4,096."""
-    return packing.pack(docs, public_tokenizers.path(WORD_BPE))
+    return packing.pack(docs, public_tokenizers.path(WORD_BPE), cache_entries=PACKING_CHUNKS)
 
 
 STAGES = [

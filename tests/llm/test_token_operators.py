@@ -6,10 +6,11 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+import corpus_pipeline
 from tests.llm.conftest import TEXTS, collected
 from tidemark.llm import bpe, packing, pfor, wordpiece
 from tidemark.llm.staging import shared_folder
-from tidemark.llm.tokens import ChunkEncoder
+from tidemark.llm.tokens import ChunkEncoder, encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -106,6 +107,26 @@ def test_repeated_rows_are_spread_over_packing_groups(spark, library):
     docs.unpersist()
 
 
+def test_pipeline_packs_small_batches_with_a_small_cache(spark, library, odd_docs, monkeypatch):
+    stored, limits = [], []
+    keep, cut = packing.stage, packing.token_pieces
+    monkeypatch.setattr(packing, "stage", lambda df, name, rows=None: stored.append((name, rows)) or keep(df, name, rows))
+    monkeypatch.setattr(packing, "token_pieces", lambda *a, **b: limits.append(a[-1]) or cut(*a, **b))
+    check_packing(library, odd_docs, corpus_pipeline.pack(spark, odd_docs, None), 4096)
+    assert stored == [("pieces", 1000)]
+    assert limits == [corpus_pipeline.PACKING_CHUNKS] and limits[0] <= 300_000
+
+
+def test_a_worker_holds_one_encoder_within_its_limit(library):
+    small = encoder(PATH, 50)
+    for text in fuzz(20):
+        assert np.frombuffer(small.encode(text), "<u4").tolist() == ids_of(library, text)
+        assert len(small) <= 50
+    assert encoder(PATH, 50) is small
+    assert encoder(PATH).limit > 50
+    assert encoder(PATH, 50) is not small
+
+
 def test_packing_wastes_little_and_builds_sequences(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     packed = packing.pack(docs, PATH, with_ids=True).cache()

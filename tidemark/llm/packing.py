@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tokens import encoder
+from tidemark.llm.staging import TEXT_BATCH_ROWS, stage
+from tidemark.llm.tokens import CACHE_ENTRIES, encoder
 
 CAPACITY = 4096
 END_ID = 2
@@ -86,6 +87,7 @@ def token_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    cache_entries: int = CACHE_ENTRIES,
 ) -> DataFrame:
     """Each document's ids and its end id, cut into pieces of at most ``capacity``.
 
@@ -93,13 +95,14 @@ def token_pieces(
     asked for, ids (little-endian uint32 bytes). A null or empty text is its
     end id alone. No shuffle. ``deal`` is a hash of id and text; the second
     and further rows of a partition that repeat both get hashes of their own,
-    by partition and number, so that no group gathers all copies.
+    by partition and number, so that no group gathers all copies. A worker
+    remembers the ids of at most ``cache_entries`` chunks.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
     step = 4 * capacity
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path).encode
+        encode = encoder(tokenizer_path, cache_entries).encode
         part, seen = TaskContext.get().partitionId(), Counter()
         for pdf in batches:
             rows = []
@@ -144,6 +147,7 @@ def pack(
     text_col: str = "text",
     docs_per_group: int = DOCS_PER_GROUP,
     with_ids: bool = False,
+    cache_entries: int = CACHE_ENTRIES,
 ) -> DataFrame:
     """Pieces and their places: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -152,10 +156,12 @@ def pack(
     groups (group number in the high bits). Ties in length are broken by id
     and start. Rows that repeat id and text are packed as often as they
     occur; a null id is packed like any other. An empty table gives no rows.
+    The pieces are stored in batches of ``TEXT_BATCH_ROWS`` documents, so that
+    a worker and its executor hold little text at a time.
     """
     groups = max(1, -(-docs.count() // docs_per_group))
-    pieces = token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, with_ids)
-    pieces = pieces.withColumn("grp", F.pmod("deal", F.lit(groups))).drop("deal")
+    pieces = token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, with_ids, cache_entries)
+    pieces = stage(pieces, "pieces", TEXT_BATCH_ROWS).withColumn("grp", F.pmod("deal", F.lit(groups))).drop("deal")
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", na_position="last")

@@ -121,7 +121,7 @@ class ChunkEncoder(dict):
         return b"".join(map(self.__getitem__, text.encode().split()))  # bytes.split: ASCII white space only
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> ChunkEncoder:
-    """This worker's encoder of a tokenizer file."""
-    return ChunkEncoder(path)
+@lru_cache(maxsize=1)
+def encoder(path: str, limit: int = CACHE_ENTRIES) -> ChunkEncoder:
+    """This worker's encoder of a tokenizer file; only the last one used is kept, with its cache."""
+    return ChunkEncoder(path, limit)
