@@ -360,3 +360,67 @@ def test_ids_are_not_gathered_again_for_every_entry(spark, monkeypatch):
     extract.extract_shots(payloads)
     extract.extract_rosters(payloads)
     assert all("array_position(" in p and "array_position(transform" not in p for p in plans)
+
+
+def _told(pages, links=True):
+    import pyarrow as pa
+
+    from tidemark.functions.grids import read_grids
+
+    out = []
+    for _, _, found, lists in read_grids(pa.array(pages, pa.string()), links):
+        out += [(f, [tuple(r.values()) for r in rows]) for f, rows in zip(found.to_pylist(), lists.to_pylist())]
+    return out
+
+
+def test_runs_of_pages_read_as_one_by_one(monkeypatch):
+    from tidemark.functions import grids, markup
+
+    bits = ["<td>", "</td>", "<TD class=x>", '<div class="mob-title">', "<div class='injury-team'>", "</div>", '<tr class="player-row">',
+            "<tr class=heading>", "</tr>", '<a class="track" data-id="7">', "<a class=x>", "</a>", "&amp;", "x", "&am", "p;q", "&nGt;", "\u00e9&\u00e9&gt\u00e9",
+            "&notit; &#65; &#x1F600", ">", "<th>", "<br/>", '<div class="injury-team mob-title">', "<td\u00a0>", '<tr class="&#104;eading">']
+    odd = ["<table>", "</TABLE>", "<!-- <td> -->", "<script>'<td>'</script>", '<b title="a>b">', "< 5", '<td a"b>', "<td a= 'q>"]
+    starts = ['<p><table class="injury-table">', "<!DOCTYPE html><!-- <table class=injury-table> --><table><tr></table><table class='a injury-table'>",
+              "\u00e9\u00a0<b \u3000 x><table class=injury-table>", "<table class=other><tr class=player-row><td>"]
+    rng = random.Random(5)
+    made = ["", "x"]
+    for use in (bits, bits + odd):
+        for _ in range(1500):
+            row = rng.choice(["<tr class=player-row>", "<tr class=heading>", ""])
+            made.append(rng.choice(starts) + row + "".join(rng.choices(use, k=rng.randrange(60))) + rng.choice(["", "</table>", "</table></table><!--"]))
+    want = [(g.found, [(*r[:3], list(r[3]), *r[4:]) for r in g.rows]) for g in (markup.GridReader().read(page) for page in made)]
+    for size in (1, 5000, grids.RUN_BYTES):
+        monkeypatch.setattr(grids, "RUN_BYTES", size)
+        assert _told(made) == want
+        assert _told(made, links=False) == [(found, [(*r[:5], None, None, None) for r in lines]) for found, lines in want]
+
+
+def test_plain_grids_are_read_together(monkeypatch):
+    """Pages as the registered query has them, and one of everyday markup, need no reading tag by tag."""
+    from tidemark.functions import markup
+
+    nested = "<tr class='details'><td colspan=7><table><tr><td>1 &lt; 2</td></tr></table></td></tr>"
+    html = "<!DOCTYPE html><script>'<td>'</script>" + _grid("<tr class=heading><td><div class='injury-team'>A<b>FC</b></div>" + _player_row("S\u00f8n &amp; Co", "Out", 7) + nested)
+    loud = html.replace("<td", "<TD").replace("</td", "</TD").replace("<tr", "<TR")
+
+    def no_reading(self, page):
+        raise AssertionError("read tag by tag")
+
+    monkeypatch.setattr(markup.GridReader, "read", no_reading)
+    cells = ["Player S\u00f8n & Co ", "Reason Knee ", "Further Detail Apr 09: 'Out.' ", "Potential Return May ", "Condition Bad ", "Status Out "]
+    assert _told([html, loud, html.replace("</td>", "")]) == [(True, [(1, 0, "AFC", cells, 7, True, "7", " Out ")])] * 3
+
+
+def test_injury_text_step_by_step_is_one_text(spark):
+    """Every step gets a text that is computed once: texts of a page's array and of a plain column are cleaned alike."""
+    from tidemark.functions.text import INJURY_TEXT_STEPS
+
+    texts = [" Status  a\u00a0\tb\u2028 ", "Status Status x", None, "", "''\"'q'\"''", "see PLAYER page: 'x.'", "a?'", "\x1f", "\"See Player Page\"", "K\u00f8b  y", "'", "\u00e9", "a See Player Pagesee player page b"]
+    df = spark.createDataFrame([(texts,)], "t ARRAY<STRING>")
+    stepped = F.col("t")
+    for step in INJURY_TEXT_STEPS:
+        stepped = F.transform(stepped, lambda x: step(x, F.lit("Status")))  # noqa: B023
+    want = ["a b", "Status x", "", "", "'q'", ": x.", "a?", "", "", "K\u00f8b y", "", "\u00e9", "a  b"]
+    assert df.select(stepped).first()[0] == want
+    flat = df.select(F.posexplode("t").alias("i", "s")).select("i", clean_injury_text("s", "Status").alias("c"))
+    assert [r.c for r in flat.orderBy("i").collect()] == want

@@ -14,8 +14,7 @@ when they are clean (``operators.audit``); otherwise the typed error is raised.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,8 +33,9 @@ from tidemark.errors import (
     SelectorNotFoundError,
     SourceDataMissingError,
 )
-from tidemark.functions.markup import COLUMNS, GridReader
-from tidemark.functions.text import WHITESPACE_CLASS, clean_injury_text, clean_whitespace, html_text
+from tidemark.functions.grids import read_grids
+from tidemark.functions.markup import COLUMNS
+from tidemark.functions.text import INJURY_TEXT_STEPS, WHITESPACE_CLASS, even_space, html_text
 from tidemark.operators.audit import write_audited
 
 # League player fields -> output name and type, in output order.
@@ -510,36 +510,26 @@ def carry_down_rows(
 
 
 GRID_ROWS = "array<struct<section_pos: int, row_pos: int, team: string, cells: array<string>, n_cells: int, link: boolean, data_id: string, status: string>>"
-_GRID_ROW = pa.struct(
-    [
-        ("section_pos", pa.int32()),
-        ("row_pos", pa.int32()),
-        ("team", pa.string()),
-        ("cells", pa.list_(pa.string())),
-        ("n_cells", pa.int32()),
-        ("link", pa.bool_()),
-        ("data_id", pa.string()),
-        ("status", pa.string()),
-    ]
-)
 
 
-def _read_grids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        grids = [GridReader().read(page or "") for page in batch.column(1).to_pylist()]
-        ends = [0, *accumulate(len(g.rows) for g in grids)]
-        columns = zip(*(row for g in grids for row in g.rows)) if ends[-1] else [()] * len(_GRID_ROW)
-        rows = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _GRID_ROW)], fields=list(_GRID_ROW))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g.found for g in grids], pa.bool_()), lists], ["key", "found", "rows"])
+def _grid_reader(links: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, found, rows in read_grids(batch.column(1), links):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), found, rows], ["key", "found", "rows"])
+
+    return read
 
 
-def _grids(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Every page with ``_has_table`` and ``_rows``, the player rows of its first injury grid, parsed once."""
+def _grids(pages: DataFrame, key: str, html: str, links: bool) -> DataFrame:
+    """Every page with ``_has_table`` and ``_rows``, the player rows of its first injury grid, parsed once.
+
+    ``links``: with the rows' tracking link and status.
+    """
     plain = pages.select(F.col(key).alias("key"), F.col(html).alias("html"))
     schema = StructType([StructField("key", plain.schema["key"].dataType)])
     schema = schema.add("found", "boolean").add("rows", DataType.fromDDL(GRID_ROWS))
-    read = plain.mapInArrow(_read_grids, schema)
+    read = plain.mapInArrow(_grid_reader(links), schema)
     return read.select(F.col("key").alias(key), F.col("found").alias("_has_table"), F.col("rows").alias("_rows"))
 
 
@@ -553,10 +543,16 @@ def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "
     ``SelectorNotFoundError``, a player twice on one page
     ``IntraBatchDuplicateError``.
     """
-    grids = _grids(pages, key, html)
+    grids = _grids(pages, key, html, links=False)
     full = grids.select(key, "_has_table", F.filter("_rows", lambda r: r["n_cells"] >= COLUMNS).alias("_full"))
-    names = F.transform("_full", lambda r: clean_injury_text(F.get(r["cells"], 0), GRID_LABELS[0]))
-    named = full.select("*", names.alias("_names")).withColumn("_dup", _first_repeated("_names"))
+    # A page's cells in one array, cleaned step by step; a full row has as many as there are labels.
+    cells = F.flatten(F.transform("_full", lambda r: r["cells"]))
+    labels = F.array(*[F.lit(label) for label in GRID_LABELS])
+    for step in INJURY_TEXT_STEPS:
+        cells = F.transform(cells, lambda x, i: step(x, F.get(labels, i % COLUMNS)))  # noqa: B023 (called at once)
+    cleaned = full.select("*", cells.alias("_cells"))
+    names = cleaned.select("*", F.transform("_full", lambda r, i: F.get("_cells", i * COLUMNS)).alias("_names"))
+    named = names.withColumn("_dup", _first_repeated("_names"))
     counters = {"no_table": F.count_if(~F.col("_has_table")), "dup": F.max("_dup")}
 
     def audit(seen: dict) -> None:
@@ -566,10 +562,10 @@ def extract_injury_grid(pages: DataFrame, key: str = "payload_id", html: str = "
             raise IntraBatchDuplicateError(f"{MSG_DUP_PLAYER}: {seen['dup']}")
 
     def rows(seen: DataFrame) -> DataFrame:
-        each = seen.select(key, F.explode(F.arrays_zip("_full", "_names")).alias("x")).select(key, "x._full.*", F.col("x._names").alias("_name"))
-        cells = [clean_injury_text(F.get("cells", i), GRID_LABELS[i]).alias(GRID_COLUMNS[i]) for i in range(1, COLUMNS)]
-        team = F.when(F.col("team").isNotNull(), clean_whitespace("team")).alias("team")
-        return each.select(key, "section_pos", "row_pos", team, F.col("_name").alias(GRID_COLUMNS[0]), *cells)
+        each = seen.select(key, "_cells", F.posexplode("_full").alias("_row", "x"))
+        team = F.when(F.col("x.team").isNotNull(), even_space(F.col("x.team"))).alias("team")
+        cells = [F.get("_cells", F.col("_row") * COLUMNS + i).alias(c) for i, c in enumerate(GRID_COLUMNS)]
+        return each.select(key, "x.section_pos", "x.row_pos", team, *cells)
 
     return write_audited(named, counters, rows, audit)
 
@@ -591,7 +587,7 @@ def extract_injury_status(pages: DataFrame, key: str = "payload_id", html: str =
             F.regexp_replace(r["status"], f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "").alias("title"),
         ),
     )
-    parsed = _grids(pages, key, html).select(key, "_has_table", usable.alias("_usable"))
+    parsed = _grids(pages, key, html, links=True).select(key, "_has_table", usable.alias("_usable"))
     counters = {
         "no_table": F.count_if(~F.col("_has_table")),
         "unusable": F.count_if(F.col("_has_table") & (F.size("_usable") == 0)),

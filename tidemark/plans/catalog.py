@@ -846,56 +846,78 @@ def injury_pages(t: Tables) -> DataFrame:
     orders' pages leave cells unclosed."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
              "l_returnflag", "l_linestatus", "l_shipdate"]
-    li = t.lineitem.withColumn("_pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)))
-
-    def cell(label, value):
-        return F.concat(F.lit(f'<td><div class="mob-title">{label}</div> '), value, F.lit(" </td>"))
-
-    row = F.concat(
-        F.lit('<tr class="player-row team_1">'),
-        cell("Player", F.concat(F.lit("Supplier&num;"), F.col("l_suppkey").cast("string"), F.lit("-"), F.col("_pos").cast("string"))),
-        cell("Reason", F.col("l_returnflag")),
-        cell("Further Detail", F.concat(F.lit("Apr 09: 'Line "), F.col("l_linenumber").cast("string"), F.lit(".'"))),
-        cell("Potential Return", F.to_date("l_shipdate").cast("string")),
-        cell("Condition", F.concat(F.col("l_linestatus"), F.lit("&nbsp;"))),
-        cell("Status", F.concat_ws("/", "l_linestatus", "l_returnflag")),
-        F.lit('<td><a class="track" data-id="'), F.col("l_suppkey").cast("string"), F.lit('">x</a></td></tr>'),
-        F.when(
-            F.col("l_linenumber") == 2,
-            '<tr class="details"><td colspan="7"><table class="more"><tr><td>Notes</td><td>1 &lt; 2</td></tr></table></td></tr>',
-        ).otherwise(""),
-    )
-    side = F.when(F.col("l_linenumber") % 2 == 1, 0).otherwise(1)
-    rows = li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct(side.alias("s"), F.col("_pos").alias("p"), row.alias("r")))).alias("_rows")
-    )
-
-    def side_html(k):
-        return F.array_join(F.transform(F.filter("_rows", lambda x: x["s"] == k), lambda x: x["r"]), "")
+    # One pass over the sorted lines: an order's lines are gathered as they are, and rendered beside its names.
+    by_order = Window.partitionBy("l_orderkey").orderBy("_line")
+    whole = by_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    li = t.lineitem.select("l_orderkey", F.struct(*order).alias("_line")).select(
+        "l_orderkey", F.row_number().over(by_order).alias("_pos"), F.collect_list("_line").over(whole).alias("_lines")
+    )
+
+    tags = [f"<{end}{tag}" for tag in ("table", "tr", "td") for end in ("", "/")]
+    # Replacements in the pages of one style, made in the page's own texts here and in every value on the way.
+    loud, loose, plain = [('"', "'"), *[(tag, tag.upper()) for tag in tags]], [("</td>", "")], []
+
+    def page(style):
+        def markup(text):
+            for old, new in style:
+                text = text.replace(old, new)
+            return F.lit(text)
+
+        def value(c):
+            for old, new in style:
+                c = F.replace(c, F.lit(old), F.lit(new))
+            return c
+
+        def cell(label, c):
+            return F.concat(markup(f'<td><div class="mob-title">{label}</div> '), c, markup(" </td>"))
+
+        def row(x, i):
+            return F.concat(
+                markup('<tr class="player-row team_1">'),
+                cell("Player", F.concat(F.lit("Supplier&num;"), x["l_suppkey"].cast("string"), F.lit("-"), (i + 1).cast("string"))),
+                cell("Reason", value(x["l_returnflag"])),
+                cell("Further Detail", F.concat(F.lit("Apr 09: 'Line "), x["l_linenumber"].cast("string"), F.lit(".'"))),
+                cell("Potential Return", F.to_date(x["l_shipdate"]).cast("string")),
+                cell("Condition", F.concat(value(x["l_linestatus"]), F.lit("&nbsp;"))),
+                cell("Status", value(F.concat_ws("/", x["l_linestatus"], x["l_returnflag"]))),
+                markup('<td><a class="track" data-id="'), x["l_suppkey"].cast("string"), markup('">x</a></td></tr>'),
+                F.when(
+                    x["l_linenumber"] == 2,
+                    markup('<tr class="details"><td colspan="7"><table class="more"><tr><td>Notes</td><td>1 &lt; 2</td></tr></table></td></tr>'),
+                ).otherwise(""),
+            )
+
+        def side(x):
+            return F.when(x["l_linenumber"] % 2 == 1, 0).otherwise(1)
+
+        def side_html(k):
+            return F.array_join(F.transform(F.filter("_rows", lambda x: x["s"] == k), lambda x: x["r"]), "")
+
+        def heading(name):
+            return F.concat(markup('<tr class="heading"><td><div class="injury-team">'), value(name), markup("</div></td></tr>"))
+
+        foreign = markup('<table class="standings"><tr class="heading"><td><div class="injury-team">Foreign</div></td></tr>'
+                         '<tr class="player-row">' + "<td>1</td>" * 7 + "</tr></table>")
+        html = F.concat(
+            F.lit("<html>"), foreign, markup('<table id="grid" class="wide injury-table">'),
+            heading(F.replace(F.col("c_name"), F.lit("#"), F.lit("&#35;"))),
+            markup('<tr class="heading"><td>no team</td></tr>'), side_html(0),
+            heading(F.col("n_name")), side_html(1),
+            markup("</table>"), foreign, F.lit("</html>"),
+        )
+        return F.transform("_lines", lambda x, i: F.struct(side(x).alias("s"), row(x, i).alias("r"))), html
 
-    def heading(name):
-        return F.concat(F.lit('<tr class="heading"><td><div class="injury-team">'), name, F.lit("</div></td></tr>"))
+    def styled(part):
+        status = F.col("o_orderstatus")
+        return F.when(status == "F", page(loud)[part]).when(status == "O", page(loose)[part]).otherwise(page(plain)[part])
 
-    pages = (
-        rows.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    names = (
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", "o_orderstatus", "c_name", "n_name")
     )
-    foreign = F.lit('<table class="standings"><tr class="heading"><td><div class="injury-team">Foreign</div></td></tr>'
-                    '<tr class="player-row">' + "<td>1</td>" * 7 + "</tr></table>")
-    html = F.concat(
-        F.lit("<html>"), foreign, F.lit('<table id="grid" class="wide injury-table">'),
-        heading(F.replace(F.col("c_name"), F.lit("#"), F.lit("&#35;"))),
-        F.lit('<tr class="heading"><td>no team</td></tr>'), side_html(0),
-        heading(F.col("n_name")), side_html(1),
-        F.lit("</table>"), foreign, F.lit("</html>"),
-    )
-    loud = F.translate(html, '"', "'")
-    for tag in ("table", "tr", "td"):
-        loud = F.replace(F.replace(loud, F.lit(f"<{tag}"), F.lit(f"<{tag.upper()}")), F.lit(f"</{tag}"), F.lit(f"</{tag.upper()}"))
-    loose = F.replace(html, F.lit("</td>"), F.lit(""))
-    html = F.when(F.col("o_orderstatus") == "F", loud).when(F.col("o_orderstatus") == "O", loose).otherwise(html)
-    return pages.select(F.col("l_orderkey").alias("payload_id"), html.alias("html"))
+    pages = li.filter(F.col("_pos") == 1).join(names, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("_rows", styled(0))
+    return pages.select(F.col("l_orderkey").alias("payload_id"), styled(1).alias("html"))
 
 
 def q_extract_injury_grid(spark, d):
